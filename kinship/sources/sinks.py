@@ -20,6 +20,6 @@ def write_report(report: DataFrame, path: str) -> None:
         report.select(section.alias("section"), name.alias("name"), F.col("value"))
         .groupBy("section")
         .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("name", "value")))).alias("entries"))
-        .agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("section", "entries")))).alias("answers"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("section", "entries"))).alias("answers"))
     )
     nested.select("answers").coalesce(1).write.mode("overwrite").json(path)
