@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
+from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, rescale, safe_ratio
 from kinship.operators.features import global_avg_value, preprocess, user_avg, user_count_value
 from kinship.operators.neighbors import directed, neighbors
 from kinship.operators.predict import attach_similarity, candidates
@@ -72,9 +72,14 @@ def k_sweep(
 
 def lowest_k(sweep: DataFrame, baseline: Column | float) -> DataFrame:
     """One row ``(k, mae, mae_minus_baseline)``: the smallest ``k`` whose MAE is
-    below ``baseline``; all NULL when no ``k`` is."""
+    below ``baseline``; all NULL when no ``k`` is.
+
+    Both sides are compared after rounding to 12 decimals: a ``k`` at least the
+    number of users reproduces the all-users MAE exactly in real arithmetic, and
+    summation-order noise must not decide whether it "beats" it."""
     base = baseline if isinstance(baseline, Column) else F.lit(float(baseline))
-    best = sweep.where(F.col("mae") < base).agg(
+    better = F.round(F.col("mae"), SIM_DIGITS) < F.round(base, SIM_DIGITS)
+    best = sweep.where(better).agg(
         F.min("k").alias("k"), F.min_by("mae", "k").alias("mae")
     )
     return best.select("k", "mae", (F.col("mae") - base).alias("mae_minus_baseline"))

@@ -181,7 +181,7 @@ def baseline_ctes() -> list[str]:
 def lowest_k_select() -> str:
     return f"""SELECT CAST(min(s.k) AS INTEGER) AS k, {r6('arg_min(s.mae, s.k)')} AS mae,
        {r6('arg_min(s.mae, s.k) - (SELECT mae FROM base)')} AS mae_minus_baseline
-FROM sweep s WHERE s.mae < (SELECT mae FROM base)"""
+FROM sweep s WHERE round(s.mae, 12) < round((SELECT mae FROM base), 12)"""
 
 
 def recommend_sql(k: int, n: int = 5) -> str:
