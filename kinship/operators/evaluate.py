@@ -8,11 +8,18 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, rescale, safe_ratio
-from kinship.operators.features import global_avg_value, preprocess, user_avg, user_count_value
+from kinship.operators.features import (
+    global_avg_value,
+    normalized_deviation,
+    preprocess,
+    user_avg,
+    user_count_value,
+)
 from kinship.operators.neighbors import directed, neighbors
 from kinship.operators.predict import attach_similarity, candidates
 from kinship.operators.similarity import similarity
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys
+from kinship.session import write_table
 
 # The neighbourhood sizes swept and the constant baseline MAE.
 REFERENCE_KS = (10, 30, 50, 100, 200, 300, 400, 800, 943)
@@ -45,10 +52,12 @@ def k_sweep(
     ks = sorted({int(k) for k in ks})
     if not ks or ks[0] <= 0:
         raise ValueError("k_sweep needs positive k values")
-    pre = preprocess(train, bounds)
+    dev = normalized_deviation(train, bounds)
+    pre = preprocess(train, bounds, dev)
     hot = hot_keys(train, "item", skew)
-    ranked = neighbors(directed(similarity(pre, metric, hot)), ks[-1], user_count_value(train))
-    weighted = attach_similarity(candidates(targets, pre, hot), ranked, lower=False)
+    sims = write_table(similarity(pre, metric, hot), f"similarity-{metric}")  # two consumers, see neighbour_pairs
+    ranked = neighbors(directed(sims), ks[-1], user_count_value(train))
+    weighted = attach_similarity(candidates(targets, dev, hot), ranked, lower=False)
     sums = []
     for k in ks:
         inside = F.col("rank") <= k

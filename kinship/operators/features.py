@@ -73,11 +73,12 @@ def user_norm(deviations: DataFrame) -> DataFrame:
     return deviations.groupBy("user").agg(F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"))
 
 
-def preprocess(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+def preprocess(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE, deviations: DataFrame | None = None) -> DataFrame:
     """``(user, item, rating, avg_rating, n_ratings, dev, ndev)``.
 
     ``ndev`` is ``dev`` divided by the user's norm; a user whose ratings are all
     equal has norm 0 and gets ``ndev = 0`` (so similarity 0 with everyone).
+    Pass ``deviations`` (from ``normalized_deviation``) to share that plan.
     """
-    dev = normalized_deviation(ratings, bounds)
+    dev = deviations if deviations is not None else normalized_deviation(ratings, bounds)
     return dev.join(user_norm(dev), "user").withColumn("ndev", safe_ratio("dev", "norm")).drop("norm")

@@ -3,16 +3,19 @@
 Ranking follows the dense definition over *all* other users, where users that
 share nothing with ``u`` have similarity 0 and rank between the positive and
 the negative neighbours (ties: smaller neighbour id first). Zero rows are never
-materialised; with ``pos``/``neg`` the numbers of positive and negative
-neighbours of ``u`` and ``N`` the number of users:
+materialised. Ordering the non-zero neighbours of ``u`` by (sim desc,
+neighbour asc) puts the positives first and the negatives last, so with
+``rn`` that row number, ``nnz`` the number of non-zero neighbours of ``u`` and
+``N`` the number of users:
 
-* a positive neighbour ranks ``row_number`` among the positives,
-* the zero block fills ranks ``pos + 1 .. N - 1 - neg``,
-* a negative neighbour ranks ``(N - 1 - neg) + row_number`` among the negatives.
+* a positive neighbour has rank ``rn``,
+* the ``N - 1 - nnz`` zero neighbours fill the ranks right after the positives,
+* a negative neighbour has rank ``rn + (N - 1 - nnz)``.
 
-Both row numbers are filtered to ``<= k`` right after the window, which lets
-Spark insert a partial ``WindowGroupLimit`` before the shuffle: every map task
-sends at most ``k`` rows per user, however many neighbours a user has.
+Every kept row has ``rn <= k``, so the window is filtered on that first, which
+lets Spark insert a partial ``WindowGroupLimit`` before the shuffle: each map
+task sends at most ``k`` rows per user, however many neighbours a user has.
+``nnz`` is a per-user count (partial aggregation), joined to those ``k`` rows.
 """
 
 from __future__ import annotations
@@ -22,12 +25,21 @@ from pyspark.sql import functions as F
 
 
 def directed(lower: DataFrame) -> DataFrame:
-    """Both orientations of a lower-triangle table ``(user, neighbour, sim, ...)``."""
+    """Both orientations of a lower-triangle table ``(user, neighbour, sim, ...)``.
+
+    One ``explode`` per row instead of a ``union`` of two projections: the
+    triangle (an aggregate) is then computed once, not once per orientation.
+    """
     cols = [c for c in lower.columns if c not in ("user", "neighbour")]
-    flipped = lower.select(
-        F.col("neighbour").alias("user"), F.col("user").alias("neighbour"), *cols
+    both = F.explode(
+        F.array(
+            F.struct(F.col("user").alias("a"), F.col("neighbour").alias("b")),
+            F.struct(F.col("neighbour").alias("a"), F.col("user").alias("b")),
+        )
+    ).alias("_o")
+    return lower.select(both, *cols).select(
+        F.col("_o.a").alias("user"), F.col("_o.b").alias("neighbour"), *cols
     )
-    return lower.unionByName(flipped)
 
 
 def neighbors(sims: DataFrame, k: int, n_users: Column) -> DataFrame:
@@ -40,21 +52,16 @@ def neighbors(sims: DataFrame, k: int, n_users: Column) -> DataFrame:
     if k <= 0:
         return sims.withColumn("rank", F.lit(None).cast("long"))
     order = Window.partitionBy("user").orderBy(F.desc("sim"), F.asc("neighbour"))
-    rn = F.row_number().over(order)
-    positives = (
-        sims.where(F.col("sim") > 0.0)
-        .withColumn("_rn", rn)
+    top = (
+        sims.select("user", "neighbour", "sim")
+        .withColumn("_rn", F.row_number().over(order))
         .where(F.col("_rn") <= k)
-        .select("user", "neighbour", "sim", F.col("_rn").cast("long").alias("rank"))
     )
-    negative_rows = sims.where(F.col("sim") < 0.0)
-    negative_counts = negative_rows.groupBy("user").agg(F.count(F.lit(1)).alias("_neg"))
-    offset = n_users.cast("long") - F.lit(1) - F.col("_neg")
-    negatives = (
-        negative_rows.withColumn("_rn", rn)
-        .where(F.col("_rn") <= k)
-        .join(negative_counts, "user")
-        .select("user", "neighbour", "sim", (offset + F.col("_rn")).alias("rank"))
+    nonzero = sims.groupBy("user").agg(F.count(F.lit(1)).alias("_nnz"))
+    zeros = n_users.cast("long") - F.lit(1) - F.col("_nnz")
+    rank = F.col("_rn").cast("long") + F.when(F.col("sim") < 0.0, zeros).otherwise(F.lit(0).cast("long"))
+    return (
+        top.join(nonzero, "user")
+        .select("user", "neighbour", "sim", rank.alias("rank"))
         .where(F.col("rank") <= k)
     )
-    return positives.unionByName(negatives)

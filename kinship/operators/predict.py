@@ -18,17 +18,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
-from kinship.operators.features import global_avg_value, preprocess, user_avg, user_count_value
+from kinship.operators.features import (
+    global_avg_value,
+    normalized_deviation,
+    preprocess,
+    user_avg,
+    user_count_value,
+)
 from kinship.operators.neighbors import directed, neighbors
 from kinship.operators.similarity import similarity
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, salted_join
+from kinship.session import write_table
 
 
-def candidates(targets: DataFrame, pre: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def candidates(targets: DataFrame, dev: DataFrame, hot: DataFrame | None = None) -> DataFrame:
     """``(user, item, neighbour, dev)``: train ratings of each target item by
-    users other than the target user."""
+    users other than the target user. ``dev`` is ``normalized_deviation(train)``
+    (the norm is not needed here, so it is not joined)."""
     wanted = targets.select("user", "item")
-    raters = pre.select(F.col("user").alias("neighbour"), "item", "dev")
+    raters = dev.select(F.col("user").alias("neighbour"), "item", "dev")
     return salted_join(wanted, raters, "item", hot, "user", "neighbour").where(
         F.col("user") != F.col("neighbour")
     )
@@ -48,14 +56,14 @@ def attach_similarity(cands: DataFrame, pairs: DataFrame, lower: bool) -> DataFr
 
 def weighted_deviation(
     targets: DataFrame,
-    pre: DataFrame,
+    dev: DataFrame,
     pairs: DataFrame,
     hot: DataFrame | None = None,
     lower: bool = False,
 ) -> DataFrame:
     """``(user, item, num, den, w)`` for targets with at least one weighted
     candidate; others get ``w = 0`` in ``predict``."""
-    weighted = attach_similarity(candidates(targets, pre, hot), pairs, lower)
+    weighted = attach_similarity(candidates(targets, dev, hot), pairs, lower)
     return (
         weighted.groupBy("user", "item")
         .agg(
@@ -74,10 +82,17 @@ def neighbour_pairs(
     hot: DataFrame | None,
     for_users: DataFrame | None = None,
 ) -> tuple[DataFrame, bool]:
-    """The pair table a prediction needs and whether it is a lower triangle."""
+    """The pair table a prediction needs and whether it is a lower triangle.
+
+    With ``k > 0`` the similarities feed two consumers (the ranking window and
+    the per-user count of non-zero neighbours), so the triangle is written once
+    to the shared checkpoint folder instead of being aggregated twice; that also
+    cuts the lineage right after the most expensive (quadratic) step.
+    """
     sims = similarity(pre, metric, hot, for_users)
     if k <= 0:
         return sims, for_users is None
+    sims = write_table(sims, f"similarity-{metric}")
     both = sims if for_users is not None else directed(sims)
     return neighbors(both, k, user_count_value(train)), False
 
@@ -113,9 +128,10 @@ def predict(
     (ordered pairs) instead of the whole triangle; worth it when few users are
     asked for, as in a recommendation for one user.
     """
-    pre = preprocess(train, bounds)
+    dev = normalized_deviation(train, bounds)
+    pre = preprocess(train, bounds, dev)
     hot = hot_keys(train, "item", skew)
     target_users = targets.select("user") if only_target_users else None
     pairs, lower = neighbour_pairs(train, pre, metric, k, hot, target_users)
-    w = weighted_deviation(targets, pre, pairs, hot, lower)
+    w = weighted_deviation(targets, dev, pairs, hot, lower)
     return finish(targets, train, w, bounds)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -59,3 +60,18 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def write_table(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+
+    For an expensive derived input that several branches of a plan read: the
+    branches then scan columnar files (with column pruning and real size
+    statistics for join planning) instead of re-running the derivation, and a
+    lost executor costs a re-read, not a recomputation.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/kinship-{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
