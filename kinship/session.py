@@ -17,6 +17,10 @@ _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # Let AQE replace a sort-merge join by a shuffled hash join when every
+    # build-side partition measured at run time is under this size (no sort of
+    # either side; the memory bound is checked, larger partitions keep SMJ).
+    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64MB",
     "spark.sql.session.timeZone": "UTC",
 }
 
