@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
-from kinship.operators.features import pair_count, preprocess, user_count_value
+from kinship.operators.features import pair_count, preprocess
 from kinship.operators.predict import predict
 from kinship.operators.similarity import co_ratings, similarity
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys

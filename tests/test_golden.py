@@ -1,7 +1,6 @@
 """Golden values of the tiny fixture (FIXTURES.md section 3)."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from kinship import mae, predict, preprocess, similarity, user_avg, global_avg
 from kinship.operators.features import pair_count

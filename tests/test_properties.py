@@ -73,3 +73,20 @@ def test_order_preserving_relabel(small):
     a = _preds(predict(train, targets, "jaccard", 10))
     b = _preds(predict(relabel(train), relabel(targets), "jaccard", 10))
     assert {((u - 1000) // 3, i): p for (u, i), p in b.items()} == pytest.approx(a, abs=1e-9)
+
+
+def test_salted_pairs_equal_plain_pairs(small):
+    """Force every item with more than 5 raters through the salted self-join."""
+    from kinship.operators.similarity import co_ratings
+    from kinship.operators.skew import hot_keys
+
+    train, _ = small
+    pre = preprocess(train)
+    hot = hot_keys(train, "item", SkewPolicy(bucket_rows=5))
+    assert hot is not None and hot.count() > 10
+    plain = {(r.user, r.neighbour): (r.overlap, r.dot) for r in co_ratings(pre).collect()}
+    salted = {(r.user, r.neighbour): (r.overlap, r.dot) for r in co_ratings(pre, hot).collect()}
+    assert plain.keys() == salted.keys()
+    for key, (n, dot) in plain.items():
+        assert salted[key][0] == n
+        assert abs(salted[key][1] - dot) < 1e-12

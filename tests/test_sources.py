@@ -5,7 +5,6 @@ import os
 import tempfile
 
 import pytest
-from pyspark.sql import functions as F
 
 from kinship.sources.files import expect_ratings, ratings_profile, read_personal, read_ratings
 from kinship.sources.sinks import write_report
