@@ -1,0 +1,5 @@
+"""Intentionally empty.
+
+The recommender reads bounded rating files only (no watermark, window or state
+semantics exist in the workload), so there is no streaming operator to offer.
+"""
