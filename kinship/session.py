@@ -34,6 +34,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "16g"))
     )
+    java_opts = os.environ.get("KINSHIP_DRIVER_JAVA_OPTIONS")
+    if java_opts:
+        builder = builder.config("spark.driver.extraJavaOptions", java_opts)
     for key, value in _DEFAULTS.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -74,8 +77,12 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     statistics for join planning) instead of re-running the derivation, and a
     lost executor costs a re-read, not a recomputation.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
+    return df.sparkSession.read.parquet(write_table_path(df, name))
+
+
+def write_table_path(df: DataFrame, name: str) -> str:
+    """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
+    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
     path = f"{base}/kinship-{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return path
