@@ -46,27 +46,21 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory named by ``spark.checkpoint.dir``.
+    """Return the reliable checkpoint directory of the session.
 
-    On a cluster this is a shared folder set by the operator. Only when nothing is
-    configured (a bare local test session) do we pick a fresh scratch folder.
+    On a cluster this is the shared folder named by ``spark.checkpoint.dir``
+    (or set with ``SparkContext.setCheckpointDir``); without one a cluster job
+    fails here rather than write to a machine-local folder. Only a local-mode
+    session without any setting (a bare test session) gets a scratch folder.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = tempfile.mkdtemp(prefix="kinship-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
-
-
-def materialize(df: DataFrame) -> DataFrame:
-    """Cut lineage with a reliable checkpoint in the shared checkpoint folder.
-
-    Used where a result feeds several later jobs; a lost executor then costs a
-    re-read of the checkpoint, not a re-run of the whole plan.
-    """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    sc = spark.sparkContext
+    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if path:
+        return path
+    if not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+    sc.setCheckpointDir(tempfile.mkdtemp(prefix="kinship-ckpt-"))
+    return sc.getCheckpointDir()
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
