@@ -41,9 +41,8 @@ def similarity_report(
     pairs, overlap statistics over all pairs and the bytes of the non-zero
     similarities of each metric."""
     cos = mae(predict(train, targets, "cosine", 0, bounds, skew))
-    jac = mae(predict(train, targets, "jaccard", 0, bounds, skew))
-    maes = cos.select(F.col("mae").alias("cosine_mae")).join(jac.select(F.col("mae").alias("jaccard_mae")))
-    maes = maes.select(
+    jac = mae_value(predict(train, targets, "jaccard", 0, bounds, skew))
+    maes = cos.select(F.col("mae").alias("cosine_mae"), jac.alias("jaccard_mae")).select(
         "cosine_mae",
         "jaccard_mae",
         (F.col("cosine_mae") - F.lit(baseline)).alias("cosine_minus_baseline"),
