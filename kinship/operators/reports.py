@@ -14,11 +14,12 @@ from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
-from kinship.operators.features import pair_count, preprocess
-from kinship.operators.predict import predict
-from kinship.operators.similarity import co_ratings, similarity
+from kinship.operators.features import normalized_deviation, pair_count, preprocess
+from kinship.operators.predict import finish, predict, weighted_deviation
+from kinship.operators.similarity import co_ratings, similarity_from_pairs
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys
 from kinship.operators.stats import knn_bytes, nonzero_bytes, summary_with_zeros
+from kinship.session import write_table
 
 
 def _rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -39,19 +40,29 @@ def similarity_report(
 ) -> DataFrame:
     """MAE of both metrics (k = 0) and their differences, the number of user
     pairs, overlap statistics over all pairs and the bytes of the non-zero
-    similarities of each metric."""
-    cos = mae(predict(train, targets, "cosine", 0, bounds, skew))
-    jac = mae_value(predict(train, targets, "jaccard", 0, bounds, skew))
+    similarities of each metric.
+
+    Everything derives from one co-rating table (dot product, overlap and both
+    item counts per pair), computed once and written to the checkpoint folder;
+    both metrics, both predictions and all statistics read it.
+    """
+    dev = normalized_deviation(train, bounds)
+    pre = preprocess(train, bounds, dev)
+    hot = hot_keys(train, "item", skew)
+    co = write_table(co_ratings(pre, hot), "co-ratings")
+    sims = {m: similarity_from_pairs(co, m) for m in ("cosine", "jaccard")}
+    preds = {m: finish(targets, train, weighted_deviation(targets, dev, sims[m], hot, lower=True), bounds)
+             for m in sims}
+    cos = mae(preds["cosine"])
+    jac = mae_value(preds["jaccard"])
     maes = cos.select(F.col("mae").alias("cosine_mae"), jac.alias("jaccard_mae")).select(
         "cosine_mae",
         "jaccard_mae",
         (F.col("cosine_mae") - F.lit(baseline)).alias("cosine_minus_baseline"),
         (F.col("jaccard_mae") - F.col("cosine_mae")).alias("jaccard_minus_cosine"),
     )
-    pre = preprocess(train, bounds)
-    hot = hot_keys(train, "item", skew)
     pairs = pair_count(train)
-    overlap = summary_with_zeros(co_ratings(pre, hot), "overlap", pairs.select("n_pairs").scalar())
+    overlap = summary_with_zeros(co, "overlap", pairs.select("n_pairs").scalar())
     parts = [
         _rows(maes, [
             ("cosine.mae", "cosine_mae"),
@@ -66,8 +77,8 @@ def similarity_report(
             ("overlap.mean", "mean_value"),
             ("overlap.stddev", "stddev_value"),
         ]),
-        _rows(nonzero_bytes(similarity(pre, "cosine", hot)), [("bytes.nonzero_cosine", "bytes")]),
-        _rows(nonzero_bytes(similarity(pre, "jaccard", hot)), [("bytes.nonzero_jaccard", "bytes")]),
+        _rows(nonzero_bytes(sims["cosine"]), [("bytes.nonzero_cosine", "bytes")]),
+        _rows(nonzero_bytes(sims["jaccard"]), [("bytes.nonzero_jaccard", "bytes")]),
     ]
     out = parts[0]
     for part in parts[1:]:

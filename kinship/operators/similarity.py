@@ -68,6 +68,14 @@ def similarity_value(metric: str):
     return tidy(raw, SIM_DIGITS)
 
 
+def similarity_from_pairs(co: DataFrame, metric: str, keep_overlap: bool = False) -> DataFrame:
+    """Non-zero ``(user, neighbour, sim)`` from an existing ``co_ratings`` table."""
+    cols = ["user", "neighbour", similarity_value(metric).alias("sim")]
+    if keep_overlap:
+        cols.append("overlap")
+    return co.select(*cols).where(F.col("sim") != 0.0)
+
+
 def similarity(
     pre: DataFrame,
     metric: str = "cosine",
@@ -77,7 +85,4 @@ def similarity(
 ) -> DataFrame:
     """Non-zero similarities ``(user, neighbour, sim)``; lower triangle unless
     ``for_users`` is given (see ``co_ratings``)."""
-    cols = ["user", "neighbour", similarity_value(metric).alias("sim")]
-    if keep_overlap:
-        cols.append("overlap")
-    return co_ratings(pre, hot, for_users).select(*cols).where(F.col("sim") != 0.0)
+    return similarity_from_pairs(co_ratings(pre, hot, for_users), metric, keep_overlap)
