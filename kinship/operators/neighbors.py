@@ -3,19 +3,19 @@
 Ranking follows the dense definition over *all* other users, where users that
 share nothing with ``u`` have similarity 0 and rank between the positive and
 the negative neighbours (ties: smaller neighbour id first). Zero rows are never
-materialised. Ordering the non-zero neighbours of ``u`` by (sim desc,
-neighbour asc) puts the positives first and the negatives last, so with
-``rn`` that row number, ``nnz`` the number of non-zero neighbours of ``u`` and
-``N`` the number of users:
+materialised. With ``neg`` the number of negative neighbours of ``u`` and ``N``
+the number of users:
 
-* a positive neighbour has rank ``rn``,
-* the ``N - 1 - nnz`` zero neighbours fill the ranks right after the positives,
-* a negative neighbour has rank ``rn + (N - 1 - nnz)``.
+* a positive neighbour ranks ``row_number`` among the positives,
+* the zero neighbours fill the ranks up to ``N - 1 - neg``,
+* a negative neighbour ranks ``(N - 1 - neg) + row_number`` among the negatives,
+  so only users with ``neg > N - 1 - k`` have any negative in their top ``k``;
+  the negatives of all other users are dropped (by a per-user count, partially
+  aggregated) before any sort.
 
-Every kept row has ``rn <= k``, so the window is filtered on that first, which
-lets Spark insert a partial ``WindowGroupLimit`` before the shuffle: each map
-task sends at most ``k`` rows per user, however many neighbours a user has.
-``nnz`` is a per-user count (partial aggregation), joined to those ``k`` rows.
+Each window is filtered on ``row_number <= k`` right away, which lets Spark
+insert a partial ``WindowGroupLimit`` before the shuffle: every map task sends
+at most ``k`` rows per user, however many neighbours a user has.
 """
 
 from __future__ import annotations
@@ -51,17 +51,27 @@ def neighbors(sims: DataFrame, k: int, n_users: Column) -> DataFrame:
     """
     if k <= 0:
         return sims.withColumn("rank", F.lit(None).cast("long"))
+    n = n_users.cast("long")
     order = Window.partitionBy("user").orderBy(F.desc("sim"), F.asc("neighbour"))
-    top = (
-        sims.select("user", "neighbour", "sim")
-        .withColumn("_rn", F.row_number().over(order))
+    rn = F.row_number().over(order)
+    positives = (
+        sims.where(F.col("sim") > 0.0)
+        .select("user", "neighbour", "sim")
+        .withColumn("_rn", rn)
         .where(F.col("_rn") <= k)
+        .select("user", "neighbour", "sim", F.col("_rn").cast("long").alias("rank"))
     )
-    nonzero = sims.groupBy("user").agg(F.count(F.lit(1)).alias("_nnz"))
-    zeros = n_users.cast("long") - F.lit(1) - F.col("_nnz")
-    rank = F.col("_rn").cast("long") + F.when(F.col("sim") < 0.0, zeros).otherwise(F.lit(0).cast("long"))
-    return (
-        top.join(nonzero, "user")
-        .select("user", "neighbour", "sim", rank.alias("rank"))
+    negative = sims.where(F.col("sim") < 0.0).select("user", "neighbour", "sim")
+    reaching = (
+        negative.groupBy("user")
+        .agg(F.count(F.lit(1)).alias("_neg"))
+        .where(F.col("_neg") > n - F.lit(1) - F.lit(k))
+    )
+    negatives = (
+        negative.join(reaching, "user")
+        .withColumn("_rn", rn)
+        .where(F.col("_rn") <= k)
+        .select("user", "neighbour", "sim", (n - F.lit(1) - F.col("_neg") + F.col("_rn")).alias("rank"))
         .where(F.col("rank") <= k)
     )
+    return positives.unionByName(negatives)
