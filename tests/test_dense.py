@@ -76,7 +76,7 @@ def data():
     return _load()
 
 
-@pytest.mark.parametrize("metric,k", [("cosine", 0), ("cosine", 10), ("jaccard", 0), ("jaccard", 50)])
+@pytest.mark.parametrize("metric,k", [("cosine", 0), ("cosine", 10), ("cosine", 100), ("jaccard", 0), ("jaccard", 50)])
 def test_against_dense(spark, data, metric, k):
     train, test = data
     want = dense_predictions(train, test, metric, k)
