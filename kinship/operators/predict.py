@@ -26,7 +26,7 @@ from kinship.operators.features import (
     user_count_value,
 )
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.similarity import similarity
+from kinship.operators.similarity import co_ratings, similarity, similarity_from_pairs
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, salted_join
 from kinship.session import write_table
 
@@ -135,3 +135,27 @@ def predict(
     pairs, lower = neighbour_pairs(train, pre, metric, k, hot, target_users)
     w = weighted_deviation(targets, dev, pairs, hot, lower)
     return finish(targets, train, w, bounds)
+
+
+def predict_both_metrics(
+    train: DataFrame,
+    targets: DataFrame,
+    bounds: RatingScale = DEFAULT_SCALE,
+    skew: SkewPolicy = DEFAULT_SKEW,
+) -> tuple[dict[str, DataFrame], DataFrame]:
+    """All-users (k = 0) predictions for both metrics from one co-rating table.
+
+    Cosine and Jaccard differ only in how a pair's similarity is computed from
+    the same co-rating row (dot product vs overlap and item counts), so the
+    self-join runs once and its result is written to the checkpoint folder.
+    Returns ``({"cosine": ..., "jaccard": ...}, co_ratings)``.
+    """
+    dev = normalized_deviation(train, bounds)
+    pre = preprocess(train, bounds, dev)
+    hot = hot_keys(train, "item", skew)
+    co = write_table(co_ratings(pre, hot), "co-ratings")
+    preds = {}
+    for metric in ("cosine", "jaccard"):
+        pairs = similarity_from_pairs(co, metric)
+        preds[metric] = finish(targets, train, weighted_deviation(targets, dev, pairs, hot, lower=True), bounds)
+    return preds, co

@@ -14,12 +14,11 @@ from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
-from kinship.operators.features import normalized_deviation, pair_count, preprocess
-from kinship.operators.predict import finish, predict, weighted_deviation
-from kinship.operators.similarity import co_ratings, similarity_from_pairs
-from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys
+from kinship.operators.features import pair_count
+from kinship.operators.predict import predict, predict_both_metrics
+from kinship.operators.similarity import similarity_from_pairs
+from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy
 from kinship.operators.stats import knn_bytes, nonzero_bytes, summary_with_zeros
-from kinship.session import write_table
 
 
 def _rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -46,13 +45,8 @@ def similarity_report(
     item counts per pair), computed once and written to the checkpoint folder;
     both metrics, both predictions and all statistics read it.
     """
-    dev = normalized_deviation(train, bounds)
-    pre = preprocess(train, bounds, dev)
-    hot = hot_keys(train, "item", skew)
-    co = write_table(co_ratings(pre, hot), "co-ratings")
+    preds, co = predict_both_metrics(train, targets, bounds, skew)
     sims = {m: similarity_from_pairs(co, m) for m in ("cosine", "jaccard")}
-    preds = {m: finish(targets, train, weighted_deviation(targets, dev, sims[m], hot, lower=True), bounds)
-             for m in sims}
     cos = mae(preds["cosine"])
     jac = mae_value(preds["jaccard"])
     maes = cos.select(F.col("mae").alias("cosine_mae"), jac.alias("jaccard_mae")).select(

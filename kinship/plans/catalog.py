@@ -18,7 +18,7 @@ from kinship.operators import features as feat
 from kinship.operators import recommend as rec
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.predict import neighbour_pairs, predict, weighted_deviation
+from kinship.operators.predict import neighbour_pairs, predict, predict_both_metrics, weighted_deviation
 from kinship.operators.reports import knn_report, similarity_report
 from kinship.operators.similarity import co_ratings, similarity
 from kinship.operators.skew import hot_keys
@@ -272,8 +272,9 @@ def _mae(metric):
 
 def q_mae_deltas(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
-    cos = mae(predict(train, targets, "cosine", 0)).select(F.col("mae").alias("cosine_mae"))
-    jac = mae_value(predict(train, targets, "jaccard", 0))
+    preds, _ = predict_both_metrics(train, targets)
+    cos = mae(preds["cosine"]).select(F.col("mae").alias("cosine_mae"))
+    jac = mae_value(preds["jaccard"])
     out = cos.select(
         "cosine_mae",
         jac.alias("jaccard_mae"),
