@@ -35,6 +35,9 @@ class SkewPolicy:
 
 DEFAULT_SKEW = SkewPolicy()
 
+# Number of hot keys per (application, plan, key, threshold); see hot_keys.
+_HOT_COUNTS: dict[tuple, int] = {}
+
 
 def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame | None:
     """Keys of ``df`` with more than ``policy.bucket_rows`` rows and their bucket
@@ -42,7 +45,10 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> Data
 
     Runs one aggregate job to learn how many hot keys there are (a single number
     reaches the driver); that count decides between a broadcast and a shuffle
-    join, so nothing is broadcast without a known size.
+    join, so nothing is broadcast without a known size. The number is remembered
+    per plan (``semanticHash``) for the session: the decision only affects how
+    the work is spread, never the result, since a salted join is exact whichever
+    keys are salted.
     """
     if policy.bucket_rows is None:
         return None
@@ -53,7 +59,10 @@ def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> Data
         .where(F.col("_n") > limit)
         .select(key, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias(_BUCKETS))
     )
-    n_hot = hot.count()
+    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, limit)
+    n_hot = _HOT_COUNTS.get(memo)
+    if n_hot is None:
+        n_hot = _HOT_COUNTS[memo] = hot.count()
     if n_hot == 0:
         return None
     return F.broadcast(hot) if n_hot <= policy.max_broadcast_keys else hot
