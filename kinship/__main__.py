@@ -1,11 +1,15 @@
-"""Command line: ``python -m kinship {similarity,knn,recommend} ...``."""
+"""Command line: ``spark-submit ... -m kinship {similarity,knn,recommend} ...`` (or ``python -m kinship``).
+
+Master, memory and the shared folder are the submitter's; without any, Spark's
+own default (``local[*]``) applies.
+"""
 
 from __future__ import annotations
 
 import argparse
 
 from kinship.plans.jobs import knn_job, recommend_job, similarity_job
-from kinship.session import local_session
+from kinship.session import cleanup, session
 
 
 def main(argv=None) -> None:
@@ -24,10 +28,9 @@ def main(argv=None) -> None:
     p.add_argument("--json")
     p.add_argument("--data-rows", type=int)
     p.add_argument("--personal-rows", type=int)
-    parser.add_argument("--master", default=None, help="local cores, e.g. 8 (default: all)")
     args = parser.parse_args(argv)
 
-    spark = local_session(args.master or "*")
+    spark = session()
     if args.job == "similarity":
         out = similarity_job(spark, args.train, args.test, args.json, args.train_rows, args.test_rows)
     elif args.job == "knn":
@@ -36,6 +39,7 @@ def main(argv=None) -> None:
         out = recommend_job(spark, args.data, args.personal, args.json,
                             data_rows=args.data_rows, personal_rows=args.personal_rows)
     out.show(100, truncate=False)
+    cleanup(spark)
     spark.stop()
 
 

@@ -1,18 +1,19 @@
 """Session helpers.
 
 Cluster settings (master, memory, shuffle partitions, checkpoint directory)
-belong to whoever submits the job; these helpers only fill in what is unset.
+belong to whoever submits the job. ``session`` builds a session from them and
+fills in only what is unset; ``local_session`` is for tests and benchmarks.
 """
 
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
+from pyspark import SparkConf
 from pyspark.sql import DataFrame, SparkSession
 
-# Settings the library relies on; applied only when the session leaves them unset.
+# Settings the library recommends; used only where the submitter left them unset.
 _DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
@@ -25,6 +26,19 @@ _DEFAULTS = {
 }
 
 
+def _with_defaults(builder, given: SparkConf):
+    for key, value in _DEFAULTS.items():
+        if not given.contains(key):
+            builder = builder.config(key, value)
+    return builder
+
+
+def session(app: str = "kinship") -> SparkSession:
+    """The session of the submitted job: master, memory and folders come from
+    ``spark-submit`` or the cluster's configuration, never from here."""
+    return _with_defaults(SparkSession.builder.appName(app), SparkConf()).getOrCreate()
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "kinship") -> SparkSession:
     """A local session for tests and benchmarks (UI off, AQE on)."""
     builder = (
@@ -32,51 +46,48 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
-        .config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "16g"))
+        .config("spark.driver.memory", os.environ.get("KINSHIP_DRIVER_MEMORY", "8g"))
     )
     java_opts = os.environ.get("KINSHIP_DRIVER_JAVA_OPTIONS")
     if java_opts:
         builder = builder.config("spark.driver.extraJavaOptions", java_opts)
-    for key, value in _DEFAULTS.items():
-        builder = builder.config(key, value)
-    spark = builder.getOrCreate()
+    spark = _with_defaults(builder, SparkConf()).getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
-    ensure_checkpoint_dir(spark)
     return spark
 
 
-def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the reliable checkpoint directory of the session.
+def shared_folder(spark: SparkSession) -> str:
+    """This application's folder for intermediate tables, below the folder that
+    the cluster shares: ``spark.checkpoint.dir``, else the directory set with
+    ``SparkContext.setCheckpointDir``, else the SQL warehouse (also shared)."""
+    sc = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
+    if not base:
+        base = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    return f"{base.rstrip('/')}/kinship-{sc.applicationId}"
+
 
-    On a cluster this is the shared folder named by ``spark.checkpoint.dir``
-    (or set with ``SparkContext.setCheckpointDir``); without one a cluster job
-    fails here rather than write to a machine-local folder. Only a local-mode
-    session without any setting (a bare test session) gets a scratch folder.
-    """
+def cleanup(spark: SparkSession) -> None:
+    """Delete every intermediate table this application has written. Results
+    that were not yet written read those tables, so call it after the last action."""
     sc = spark.sparkContext
-    path = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if path:
-        return path
-    if not sc.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="kinship-ckpt-"))
-    return sc.getCheckpointDir()
+    folder = sc._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def write_table(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and read it back.
+    """Write ``df`` as parquet under the application's shared folder and read it back.
 
     For an expensive derived input that several branches of a plan read: the
     branches then scan columnar files (with column pruning and real size
     statistics for join planning) instead of re-running the derivation, and a
-    lost executor costs a re-read, not a recomputation.
+    lost executor costs a re-read, not a recomputation. ``cleanup`` removes it.
     """
-    return df.sparkSession.read.parquet(write_table_path(df, name))
+    return df.sparkSession.read.schema(df.schema).parquet(write_table_path(df, name))
 
 
 def write_table_path(df: DataFrame, name: str) -> str:
-    """Write ``df`` as parquet under the shared checkpoint folder; return the path."""
-    base = ensure_checkpoint_dir(df.sparkSession).rstrip("/")
-    path = f"{base}/kinship-{name}-{uuid.uuid4().hex}"
+    """Write ``df`` as parquet under the application's shared folder; return the path."""
+    path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
     df.write.mode("error").parquet(path)
     return path

@@ -1,8 +1,9 @@
-"""Checkpoint-folder rules, with a stand-in session (no cluster needed)."""
+"""Rules for the shared folder and the session defaults."""
 
-import pytest
+import inspect
 
-from kinship.session import ensure_checkpoint_dir
+import kinship.session as session_mod
+from kinship.session import cleanup, shared_folder, write_table_path
 
 
 class _Conf:
@@ -10,38 +11,41 @@ class _Conf:
         self.value = value
 
     def get(self, key, default=None):
-        return self.value if key == "spark.checkpoint.dir" else default
+        return {"spark.checkpoint.dir": self.value, "spark.sql.warehouse.dir": "hdfs://w/"}.get(key) or default
 
 
 class _Context:
-    def __init__(self, master, current=None):
-        self.master, self.current = master, current
+    applicationId = "app-1"
+
+    def __init__(self, current=None):
+        self.current = current
 
     def getCheckpointDir(self):
         return self.current
 
-    def setCheckpointDir(self, path):
-        self.current = path + "/ctx"
-
 
 class _Session:
-    def __init__(self, conf_value, master, current=None):
-        self.conf, self.sparkContext = _Conf(conf_value), _Context(master, current)
+    def __init__(self, conf_value, current=None):
+        self.conf, self.sparkContext = _Conf(conf_value), _Context(current)
 
 
 def test_configured_folder_is_used():
-    assert ensure_checkpoint_dir(_Session("hdfs://shared/ckpt", "yarn")) == "hdfs://shared/ckpt"
+    assert shared_folder(_Session("hdfs://shared/ckpt")) == "hdfs://shared/ckpt/kinship-app-1"
 
 
 def test_context_folder_is_used():
-    assert ensure_checkpoint_dir(_Session(None, "yarn", "s3a://bucket/ckpt/x")) == "s3a://bucket/ckpt/x"
+    assert shared_folder(_Session(None, "s3a://bucket/ckpt/x")) == "s3a://bucket/ckpt/x/kinship-app-1"
 
 
-def test_cluster_without_folder_fails():
-    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        ensure_checkpoint_dir(_Session(None, "spark://master:7077"))
+def test_warehouse_is_the_last_resort_and_no_machine_local_folder_is_made():
+    assert shared_folder(_Session(None)) == "hdfs://w/_intermediate/kinship-app-1"
+    assert "tempfile" not in inspect.getsource(session_mod)
 
 
-def test_local_session_gets_scratch_folder():
-    path = ensure_checkpoint_dir(_Session(None, "local[4]"))
-    assert path.endswith("/ctx") and "kinship-ckpt-" in path
+def test_cleanup_removes_every_intermediate_table(spark):
+    folder = spark._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
+    fs = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    path = write_table_path(spark.range(3), "t")
+    assert spark.read.parquet(path).count() == 3
+    cleanup(spark)
+    assert not fs.exists(folder)
