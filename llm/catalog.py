@@ -11,6 +11,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.mixing import OP9_SQL, mix
+from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
+from llm.sharding import document_dims, shard
 from llm.substring_dedup import substring_dedup
 
 
@@ -23,8 +26,38 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan(_table(spark, sf_dir, "documents"))
+    names = F.array(*[F.lit(k) for k in KINDS])
+    label = lambda s: F.concat_ws(":", names[s["kind"]], s["start"], s["end"])
+    base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
+    count = lambda k: F.size(F.filter("spans", lambda s: s["kind"] == k)).cast("long")
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{name}") for k, name in enumerate(BASE_KINDS)],
+        F.sha2(F.array_join(F.transform(base, label), ","), 256).alias("base_sha256"),
+        F.array_join(F.transform("spans", label), ",").alias("spans"),
+        F.size(F.filter("spans", lambda s: s["looks_live"])).cast("long").alias("n_live"))
+
+
+def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    placed = shard(docs, document_dims(docs))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mix(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_secret_scan": op3_secret_scan,
+    "op8_hilbert_sharding": op8_hilbert_sharding,
+    "op9_source_mixing": op9_source_mixing,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op9_source_mixing": OP9_SQL,
+}
