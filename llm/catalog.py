@@ -15,6 +15,7 @@ from llm.mixing import OP9_SQL, mix
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
 from llm.sharding import document_dims, shard
 from llm.substring_dedup import substring_dedup
+from llm.warc import warc_round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -39,6 +40,11 @@ def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size(F.filter("spans", lambda s: s["looks_live"])).cast("long").alias("n_live"))
 
 
+def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, records = warc_round_trip(_table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     placed = shard(docs, document_dims(docs))
@@ -54,6 +60,7 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
+    "op4_warc_archives": op4_warc_archives,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_source_mixing": op9_source_mixing,
 }
