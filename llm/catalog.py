@@ -11,6 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.decontaminate import OP10_SQL, contained_items
+from llm.language_id import language_id
 from llm.mixing import OP9_SQL, mix
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
 from llm.sharding import document_dims, shard
@@ -45,6 +47,10 @@ def op4_warc_archives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id(_table(spark, sf_dir, "documents"))
+
+
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     placed = shard(docs, document_dims(docs))
@@ -57,14 +63,21 @@ def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_warc_archives": op4_warc_archives,
+    "op5_language_id": op5_language_id,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_source_mixing": op9_source_mixing,
+    "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
     "op9_source_mixing": OP9_SQL,
+    "op10_benchmark_decontamination": OP10_SQL,
 }

@@ -87,8 +87,9 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     if not 0 <= window - anchor <= 62:
         raise ValueError("a path holds at most 63 edges: choose anchor >= window - 62")
     paths = _paths(docs, window, anchor)
-    more = (paths.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
-            .where("lo < hi").select("anchor"))
+    # written, so that the join below has a plain shuffle on both sides and a hot anchor can be split
+    more = write_table(paths.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+                       .where("lo < hi").select("anchor"), "anchors")
     paths = write_table(paths.join(more, "anchor").select("_id", "_v", "first", "n", "anchor", "content"), "paths")
 
     contents = write_table(
@@ -105,7 +106,7 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     known = contents.join(lows, ["anchor", "content"], "left").select(
         "anchor", "content", F.col("_id").alias("src"), "lows").where("lows is not null or hi > src")
     mask = F.expr(
-        "CASE WHEN lows IS NULL THEN IF(src < _id, shiftright(-1L, 0) & (shiftleft(1L, n) - 1), 0L) "
+        "CASE WHEN lows IS NULL THEN IF(src < _id, shiftleft(1L, n) - 1, 0L) "
         "ELSE aggregate(lows, 0L, (m, e) -> m | IF(e.low < _id, shiftleft(1L, e.j), 0L)) END")
     return (paths.join(known, ["anchor", "content"]).select("_id", "_v", "first", mask.alias("mask"))
             .where("mask <> 0"))
