@@ -17,6 +17,8 @@ from llm.mixing import OP9_SQL, mix
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
 from llm.sharding import document_dims, shard
 from llm.substring_dedup import substring_dedup
+from llm.suffix_dedup import suffix_dedup
+from llm.topk_search import OP6_SQL, top_k
 from llm.warc import warc_round_trip
 
 
@@ -29,6 +31,12 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup(_table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"),
+                      F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secret_scan(_table(spark, sf_dir, "documents"))
     names = F.array(*[F.lit(k) for k in KINDS])
@@ -51,6 +59,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_id(_table(spark, sf_dir, "documents"))
 
 
+def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors["vec_id"] % 100 == 0).select("query_id", "rank", "vec_id", "score")
+
+
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     placed = shard(docs, document_dims(docs))
@@ -69,15 +82,18 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_suffix_array_dedup": op2_suffix_array_dedup,
     "op3_secret_scan": op3_secret_scan,
     "op4_warc_archives": op4_warc_archives,
     "op5_language_id": op5_language_id,
+    "op6_pivot_topk": op6_pivot_topk,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_source_mixing": op9_source_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op6_pivot_topk": OP6_SQL,
     "op9_source_mixing": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
