@@ -32,7 +32,7 @@ from llm._symbols import BASE_A, BASE_B, Rolling, Runs, blocks, byte_values, mix
 
 WINDOW = 200
 TRIGGER = 32
-FAMILY = 512
+FAMILY = 8192  # entries of a window or two each: a few megabytes, the most that one task compares at once
 CHUNK = 2000  # entries compared at once
 
 _PARSE = "_id long, _v long, at long, anchor long, content long"
