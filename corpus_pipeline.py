@@ -1,15 +1,75 @@
-"""The corpus pipeline (stages are added with their operators)."""
+"""The corpus pipeline: five stages, each over everything its predecessor kept.
+
+Every stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame; ``run`` writes
+each result as Parquet below the shared folder and reads it again for the next stage.
+All stages but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from kinship.session import write_table
+from llm import decontaminate as bench
+from llm.jaccard_join import keep_one
+from llm.language_id import UNKNOWN, fit, held_out, predict
+from llm.mixing import mix
+from llm.sharding import document_dims, shard
+
+
+def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without a language: null texts and texts without a letter.
+    What the classifier finds but is unsure of stays, since a short or noisy text of a
+    known language scores low, too."""
+    model = fit(docs.where(~held_out(docs["doc_id"])), "text", "lang", "doc_id")
+    return predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group stays, the one with the smallest id:
+    five-word shingles, similarity 0.85 or more."""
+    return keep_one(docs, width=5)
+
+
+def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold 80 % of the five-word shingles of a benchmark item go."""
+    return bench.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it: once for every epoch of its source
+    that takes all or part of it (the one document cut by a source's budget stays
+    whole); documents that the mix does not take go."""
+    version = lambda d: F.coalesce(F.xxhash64(d["text"]), F.lit(0))
+    marked = docs.withColumn("_mark", version(docs))
+    plan = mix(marked, extra=["_mark"]).groupBy("doc_id", "_mark").agg(
+        F.sum(F.ceil(F.try_divide("taken", "size"))).cast("int").alias("_copies")).where("_copies > 0")
+    plan = plan.select(F.col("doc_id").alias("_plan_id"), F.col("_mark").alias("_plan_mark"), "_copies")
+    same = marked["doc_id"].eqNullSafe(plan["_plan_id"]) & (marked["_mark"] == plan["_plan_mark"])
+    taken = marked.dropDuplicates(["doc_id", "_mark"]).join(plan, same)
+    return taken.withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("_copies")))).select(*docs.columns)
+
+
+def sharding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every row's place: 24 shards along the Hilbert curve, counts at most one apart."""
+    return shard(docs, document_dims(docs)).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot")
+
+
+STAGES = [
+    ("language_id", language_stage),
+    ("near_duplicates", near_duplicate_stage),
+    ("decontamination", decontamination_stage),
+    ("mixing", mixing_stage),
+    ("sharding", sharding_stage),
+]
 
-STAGES: list = []
+#: language identification has no SQL form; tests/llm/test_pipeline.py follows every stage by brute force
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for name, stage in STAGES:
+        docs = write_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

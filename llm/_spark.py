@@ -24,12 +24,13 @@ def ship(spark: SparkSession) -> None:
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``(_id, _v, _text)``: the id with null as NO_ID, and a checksum of the text
-    that tells rows with one id and different texts apart. Other columns, whatever
-    their names, play no part."""
+    that tells rows with one id and different texts apart (64 bits where there is no
+    id). Other columns, whatever their names, play no part."""
     text = docs[text_col].cast("string")
+    given = docs[id_col].cast("long")
     return docs.select(
-        F.coalesce(docs[id_col].cast("long"), F.lit(NO_ID)).alias("_id"),
-        F.coalesce(F.crc32(text), F.lit(-1)).alias("_v"),
+        F.coalesce(given, F.lit(NO_ID)).alias("_id"),
+        F.coalesce(F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text)), F.lit(-1)).alias("_v"),
         text.alias("_text"),
     )
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from llm.decontaminate import OP10_SQL, contained_items
+from llm.jaccard_join import near_duplicates
 from llm.language_id import language_id
 from llm.mixing import OP9_SQL, mix
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
@@ -64,6 +65,10 @@ def op6_pivot_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors["vec_id"] % 100 == 0).select("query_id", "rank", "vec_id", "score")
 
 
+def op7_signature_tree_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_hilbert_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     placed = shard(docs, document_dims(docs))
@@ -87,6 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc_archives": op4_warc_archives,
     "op5_language_id": op5_language_id,
     "op6_pivot_topk": op6_pivot_topk,
+    "op7_signature_tree_join": op7_signature_tree_join,
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_source_mixing": op9_source_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,

@@ -153,8 +153,8 @@ def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
     text = docs[text_col].cast("string")
     marked = docs.withColumn("_mark", F.xxhash64(docs[id_col], text))
     keyed = marked.select(marked["_mark"].alias("_mark_id"), marked[text_col].alias("_mark_text"))
-    hits = contained_items(keyed, items, "_mark_id", "_mark_text", **options).select("_mark_id").distinct()
-    return marked.join(hits, marked["_mark"] == hits["_mark_id"], "left_anti").drop("_mark")
+    hits = contained_items(keyed, items, "_mark_id", "_mark_text", **options).select(F.col("_mark_id").alias("_bad")).distinct()
+    return marked.join(hits, F.col("_mark") == F.col("_bad"), "left_anti").drop("_mark")
 
 
 OP10_SQL = r"""

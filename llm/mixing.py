@@ -48,11 +48,12 @@ def source_targets(sizes: DataFrame, weights=WEIGHTS, share: float = SHARE, max_
 
 
 def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source",
-        weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
+        weights=WEIGHTS, share: float = SHARE, max_epochs: int = MAX_EPOCHS, seed: str = SEED,
+        extra: list[str] | None = None) -> DataFrame:
     """How many words of each document the mix takes.
 
     Returns one row per input row: ``(<id_col>, <source_col>, size, source_size,
-    target, taken)``. ``size`` counts words (null text: 0). A document is taken whole
+    target, taken)``, and the ``extra`` columns. ``size`` counts words (null text: 0). A document is taken whole
     in every full epoch of its source; the last, partial epoch runs in key order and
     stops at the exact word, so one document per source may be taken in part. The
     taken words of a source differ from its target by less than one. A null source
@@ -61,9 +62,10 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     gives an empty result.
     """
     src = docs[source_col].cast("string")
+    kept = F.struct(*[docs[c] for c in extra or ()]).alias("_extra") if extra else F.lit(0).alias("_extra")
     text = docs[text_col].cast("string")
     rows = docs.select(
-        docs[id_col].alias("_id"), src.isNull().alias("_none"), F.coalesce(src, F.lit("")).alias("_src"),
+        kept, docs[id_col].alias("_id"), src.isNull().alias("_none"), F.coalesce(src, F.lit("")).alias("_src"),
         F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         F.coalesce(F.crc32(text), F.lit(-1)).alias("_crc"),
         F.md5(F.concat_ws(":", F.lit(seed), docs[id_col].cast("string"))).alias("_key"))
@@ -84,7 +86,8 @@ def mix(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_
     part = F.greatest(F.lit(0), F.least(F.col("size"), left - F.col("_before")))
     return placed.select(
         F.col("_id").alias(id_col), F.when(~F.col("_none"), F.col("_src")).alias(source_col), "size", "source_size",
-        "target", (epochs * F.col("size") + part).cast("long").alias("taken"))
+        "target", (epochs * F.col("size") + part).cast("long").alias("taken"),
+        *[F.col("_extra")[c].alias(c) for c in extra or ()])
 
 
 OP9_SQL = r"""
