@@ -11,14 +11,12 @@ from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, re
 from kinship.operators.features import (
     global_avg_value,
     normalized_deviation,
-    preprocess,
     user_avg,
     user_count_value,
 )
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.predict import attach_similarity, candidates
-from kinship.operators.similarity import similarity
-from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys
+from kinship.operators.predict import attach_similarity, candidates, finish, similar_users, weighted_deviation
+from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 from kinship.session import write_table
 
 # The neighbourhood sizes swept and the constant baseline MAE.
@@ -52,10 +50,23 @@ def k_sweep(
     ks = sorted({int(k) for k in ks})
     if not ks or ks[0] <= 0:
         raise ValueError("k_sweep needs positive k values")
+    return sweep_and_baseline(train, targets, ks, metric, bounds, skew)[0]
+
+
+def sweep_and_baseline(
+    train: DataFrame,
+    targets: DataFrame,
+    ks: Sequence[int] = REFERENCE_KS,
+    metric: str = "cosine",
+    bounds: RatingScale = DEFAULT_SCALE,
+    skew: SkewPolicy = DEFAULT_SKEW,
+) -> tuple[DataFrame, DataFrame]:
+    """``k_sweep`` and the all-users predictions, from one written triangle of pairs."""
+    ks = sorted({int(k) for k in ks})
     dev = normalized_deviation(train, bounds)
-    pre = preprocess(train, bounds, dev)
-    hot = hot_keys(train, "item", skew)
-    sims = write_table(similarity(pre, metric, hot), f"similarity-{metric}")  # two consumers, see neighbour_pairs
+    hot = plan_join(targets, train, "item", skew)
+    sims = write_table(similar_users(train, metric, bounds, skew), f"similarity-{metric}")
+    baseline = finish(targets, train, weighted_deviation(targets, dev, sims, hot, lower=True), bounds)
     ranked = neighbors(directed(sims), ks[-1], user_count_value(train))
     weighted = attach_similarity(candidates(targets, dev, hot), ranked, lower=False)
     sums = []
@@ -76,7 +87,7 @@ def k_sweep(
     g = global_avg_value(train)
     exploded = rows.select("rating", "avg_rating", per_k.alias("s"))
     pred = F.when(F.col("avg_rating").isNull(), g).otherwise(rescale("avg_rating", F.col("s.w"), bounds))
-    return exploded.groupBy(F.col("s.k").alias("k")).agg(F.avg(F.abs(F.col("rating") - pred)).alias("mae"))
+    return exploded.groupBy(F.col("s.k").alias("k")).agg(F.avg(F.abs(F.col("rating") - pred)).alias("mae")), baseline
 
 
 def lowest_k(sweep: DataFrame, baseline: Column | float) -> DataFrame:

@@ -56,8 +56,13 @@ def user_count_value(ratings: DataFrame) -> Column:
 
 def pair_count(ratings: DataFrame) -> DataFrame:
     """One row: ``n_users`` and ``n_pairs = n_users * (n_users - 1) / 2`` (LONG)."""
-    n = F.col("n_users").cast("long")
-    return user_count(ratings).select(n.alias("n_users"), (n * (n - F.lit(1)) / F.lit(2)).cast("long").alias("n_pairs"))
+    return user_count(ratings).select(F.col("n_users").cast("long").alias("n_users"), half_square("n_users").alias("n_pairs"))
+
+
+def half_square(col: str) -> Column:
+    """``n * (n - 1) / 2`` as an exact LONG (up to n = 4.29e9): the even factor is halved."""
+    n = f"cast({col} as long)"
+    return F.expr(f"if({n} % 2 = 0, ({n} div 2) * ({n} - 1), {n} * (({n} - 1) div 2))")
 
 
 def normalized_deviation(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:

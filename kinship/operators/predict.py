@@ -26,12 +26,12 @@ from kinship.operators.features import (
     user_count_value,
 )
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.similarity import co_ratings, similarity, similarity_from_pairs
-from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, hot_keys, salted_join
+from kinship.operators.similarity import co_ratings, pair_input, similarity, similarity_from_pairs
+from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
 
-def candidates(targets: DataFrame, dev: DataFrame, hot: DataFrame | None = None) -> DataFrame:
+def candidates(targets: DataFrame, dev: DataFrame, hot: JoinPlan | None = None) -> DataFrame:
     """``(user, item, neighbour, dev)``: train ratings of each target item by
     users other than the target user. ``dev`` is ``normalized_deviation(train)``
     (the norm is not needed here, so it is not joined)."""
@@ -58,7 +58,7 @@ def weighted_deviation(
     targets: DataFrame,
     dev: DataFrame,
     pairs: DataFrame,
-    hot: DataFrame | None = None,
+    hot: JoinPlan | None = None,
     lower: bool = False,
 ) -> DataFrame:
     """``(user, item, num, den, w)`` for targets with at least one weighted
@@ -74,27 +74,33 @@ def weighted_deviation(
     )
 
 
-def neighbour_pairs(
-    train: DataFrame,
-    pre: DataFrame,
-    metric: str,
-    k: int,
-    hot: DataFrame | None,
-    for_users: DataFrame | None = None,
-) -> tuple[DataFrame, bool]:
-    """The pair table a prediction needs and whether it is a lower triangle.
-
-    With ``k > 0`` the similarities feed two consumers (the ranking window and
-    the per-user count of non-zero neighbours), so the triangle is written once
-    to the shared checkpoint folder instead of being aggregated twice; that also
-    cuts the lineage right after the most expensive (quadratic) step.
-    """
-    sims = similarity(pre, metric, hot, for_users)
-    if k <= 0:
-        return sims, for_users is None
-    sims = write_table(sims, f"similarity-{metric}")
-    both = sims if for_users is not None else directed(sims)
-    return neighbors(both, k, user_count_value(train)), False
+def similar_users(train: DataFrame, metric: str, bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
+                  for_users: DataFrame | None = None) -> DataFrame:
+    """The non-zero similarities a prediction needs: the triangle, or for ``for_users``
+    ordered pairs. Only the side that is asked for counts as the left of the join."""
+    pre = pair_input(train, metric, bounds)
+    own = train if for_users is None else train.join(for_users.select("user").distinct(), "user", "left_semi")
+    return similarity(pre, metric, plan_join(own, train, "item", skew), for_users)
+
+
+def nearest(train: DataFrame, sims: DataFrame, metric: str, k: int, ordered: bool) -> DataFrame:
+    """The ``k`` nearest neighbours of each user. Cosine has negative values, which
+    makes two consumers of the pairs (the ranks and a count per user), so those are
+    written once to the shared folder; this runs a job while the plan is built."""
+    if metric != "jaccard":
+        sims = write_table(sims, f"similarity-{metric}")
+    return neighbors(sims if ordered else directed(sims), k, user_count_value(train))
+
+
+def deviation_of_nearest(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``weighted_deviation`` for ranked neighbours: targets meet their user's ``k``
+    neighbours first and then the neighbours' ratings, so the rows are ``targets * k``
+    however many raters an item has."""
+    wanted = targets.select("user", "item").distinct().join(ranked.select("user", "neighbour", "sim"), "user")
+    raters = dev.select(F.col("user").alias("neighbour"), "item", "dev")
+    return wanted.join(raters, ["neighbour", "item"]).groupBy("user", "item").agg(
+        F.sum(F.col("dev") * F.col("sim")).alias("num"), F.sum(F.abs(F.col("sim"))).alias("den"),
+    ).withColumn("w", safe_ratio("num", "den"))
 
 
 def finish(targets: DataFrame, train: DataFrame, w: DataFrame, bounds: RatingScale) -> DataFrame:
@@ -129,11 +135,12 @@ def predict(
     asked for, as in a recommendation for one user.
     """
     dev = normalized_deviation(train, bounds)
-    pre = preprocess(train, bounds, dev)
-    hot = hot_keys(train, "item", skew)
     target_users = targets.select("user") if only_target_users else None
-    pairs, lower = neighbour_pairs(train, pre, metric, k, hot, target_users)
-    w = weighted_deviation(targets, dev, pairs, hot, lower)
+    sims = similar_users(train, metric, bounds, skew, target_users)
+    if k > 0:
+        w = deviation_of_nearest(targets, dev, nearest(train, sims, metric, k, only_target_users))
+    else:
+        w = weighted_deviation(targets, dev, sims, plan_join(targets, train, "item", skew), lower=not only_target_users)
     return finish(targets, train, w, bounds)
 
 
@@ -152,8 +159,8 @@ def predict_both_metrics(
     """
     dev = normalized_deviation(train, bounds)
     pre = preprocess(train, bounds, dev)
-    hot = hot_keys(train, "item", skew)
-    co = write_table(co_ratings(pre, hot), "co-ratings")
+    co = write_table(co_ratings(pre, plan_join(train, train, "item", skew)), "co-ratings")
+    hot = plan_join(targets, train, "item", skew)
     preds = {}
     for metric in ("cosine", "jaccard"):
         pairs = similarity_from_pairs(co, metric)

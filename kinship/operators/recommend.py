@@ -30,25 +30,21 @@ def train_with_personal(ratings: DataFrame, personal: DataFrame, user: int = PER
     return ratings.select("user", "item", "rating").unionByName(personal_train(personal, user))
 
 
-def top_n(predictions: DataFrame, titles: DataFrame, n: int = 5) -> DataFrame:
+def top_n(predictions: DataFrame, titles: DataFrame, n: int | None = 5) -> DataFrame:
     """``(item, title, prediction)``: the ``n`` best titled predictions, ties to
-    the smaller item id. Predictions are rounded to 6 decimals before ordering,
+    the smaller item id; all of them, unordered, if ``n`` is None. Predictions are rounded to 6 decimals before ordering,
     so equal values are equal in every engine; ``orderBy + limit`` plans as one
     bounded TakeOrderedAndProject (each task keeps ``n`` rows)."""
     ranked = predictions.select("item", tidy("prediction", PRED_DIGITS).alias("prediction"))
-    return (
-        ranked.join(titles.select("item", "title"), "item")
-        .select("item", "title", "prediction")
-        .orderBy(F.desc("prediction"), F.asc("item"))
-        .limit(n)
-    )
+    titled = ranked.join(titles.select("item", "title"), "item").select("item", "title", "prediction")
+    return titled if n is None else titled.orderBy(F.desc("prediction"), F.asc("item")).limit(n)
 
 
 def recommend(
     ratings: DataFrame,
     personal: DataFrame,
     k: int,
-    n: int = 5,
+    n: int | None = 5,
     user: int = PERSONAL_USER,
     metric: str = "cosine",
     bounds: RatingScale = DEFAULT_SCALE,

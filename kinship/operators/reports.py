@@ -13,12 +13,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
-from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
+from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, lowest_k, mae, mae_value, sweep_and_baseline
 from kinship.operators.features import pair_count
-from kinship.operators.predict import predict, predict_both_metrics
+from kinship.operators.predict import predict_both_metrics
 from kinship.operators.similarity import similarity_from_pairs
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy
 from kinship.operators.stats import knn_bytes, nonzero_bytes, summary_with_zeros
+from kinship.session import write_table
 
 
 def _rows(df: DataFrame, pairs: Sequence[tuple[str, str]]) -> DataFrame:
@@ -90,9 +91,9 @@ def knn_report(
 ) -> DataFrame:
     """MAE for every ``k``, the lowest ``k`` that beats the all-users MAE of the
     same metric, and the bytes of each ``k``-nearest table."""
-    sweep = k_sweep(train, targets, ks, metric, bounds, skew)
-    baseline = mae_value(predict(train, targets, metric, 0, bounds, skew))
-    best = lowest_k(sweep, baseline)
+    sweep, everyone = sweep_and_baseline(train, targets, ks, metric, bounds, skew)
+    sweep = write_table(sweep, "sweep")  # a row per k, read twice below
+    best = lowest_k(sweep, mae_value(everyone))
     parts = [
         sweep.select(F.concat(F.lit("sweep.mae_k"), F.col("k").cast("string")).alias("metric"), F.col("mae").alias("value")),
         _rows(best, [("lowest.k", "k"), ("lowest.mae", "mae"), ("lowest.mae_minus_baseline", "mae_minus_baseline")]),

@@ -13,8 +13,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import SIM_DIGITS, safe_ratio, tidy
-from kinship.operators.skew import salted_join
+from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio, tidy
+from kinship.operators.features import preprocess
+from kinship.operators.skew import JoinPlan, salted_join
 
 METRICS = ("cosine", "jaccard")
 
@@ -28,33 +29,42 @@ def _check_metric(metric: str) -> str:
     return m
 
 
-def co_ratings(pre: DataFrame, hot: DataFrame | None = None, for_users: DataFrame | None = None) -> DataFrame:
-    """``(user, neighbour, overlap, dot, n_user, n_neighbour)`` for every pair of
-    users with at least one common item.
+def pair_input(ratings: DataFrame, metric: str | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+    """The least that pairs of users need: ``(user, item)`` for overlaps, with
+    ``n_ratings`` for Jaccard (one count per user), with ``ndev`` for cosine."""
+    if metric is None:
+        return ratings.select("user", "item")
+    if _check_metric(metric) == "jaccard":
+        counts = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("n_ratings"))
+        return ratings.select("user", "item").join(counts, "user")
+    return preprocess(ratings, bounds).select("user", "item", "ndev")
+
+
+def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame | None = None) -> DataFrame:
+    """``(user, neighbour, overlap[, dot][, n_user, n_neighbour])`` for every pair of
+    users with at least one common item; ``dot`` if ``pre`` has ``ndev``, the counts if
+    it has ``n_ratings``.
 
     Without ``for_users`` each unordered pair appears once, as ``user >
     neighbour`` (lower triangle). With ``for_users`` (a DataFrame with a ``user``
     column) only those users are on the left and pairs are ordered: ``(u, v)``
     for every ``v != u``. ``dot`` sums ``ndev_u * ndev_v`` over common items.
     """
-    left = pre.select(
-        "user", "item", F.col("ndev").alias("ndev_u"), F.col("n_ratings").alias("n_u")
-    )
-    right = pre.select(
-        F.col("user").alias("neighbour"), "item", F.col("ndev").alias("ndev_v"), F.col("n_ratings").alias("n_v")
-    )
+    extra = [c for c in ("ndev", "n_ratings") if c in pre.columns]
+    left = pre.select("user", "item", *[F.col(c).alias(f"{c}_u") for c in extra])
+    right = pre.select(F.col("user").alias("neighbour"), "item", *[F.col(c).alias(f"{c}_v") for c in extra])
     if for_users is not None:
-        left = left.join(for_users.select("user"), "user", "left_semi")
+        left = left.join(for_users.select("user").distinct(), "user", "left_semi")
         keep = F.col("user") != F.col("neighbour")
     else:
         keep = F.col("user") > F.col("neighbour")
     pairs = salted_join(left, right, "item", hot, "user", "neighbour").where(keep)
-    return pairs.groupBy("user", "neighbour").agg(
-        F.count(F.lit(1)).alias("overlap"),
-        F.sum(F.col("ndev_u") * F.col("ndev_v")).alias("dot"),
-        F.max("n_u").alias("n_user"),
-        F.max("n_v").alias("n_neighbour"),
-    )
+    sums = [F.count(F.lit(1)).alias("overlap")]
+    if "ndev" in extra:
+        sums.append(F.sum(F.col("ndev_u") * F.col("ndev_v")).alias("dot"))
+    if "n_ratings" in extra:
+        sums += [F.max("n_ratings_u").alias("n_user"), F.max("n_ratings_v").alias("n_neighbour")]
+    return pairs.groupBy("user", "neighbour").agg(*sums)
 
 
 def similarity_value(metric: str):
@@ -79,7 +89,7 @@ def similarity_from_pairs(co: DataFrame, metric: str, keep_overlap: bool = False
 def similarity(
     pre: DataFrame,
     metric: str = "cosine",
-    hot: DataFrame | None = None,
+    hot: JoinPlan | None = None,
     for_users: DataFrame | None = None,
     keep_overlap: bool = False,
 ) -> DataFrame:

@@ -1,95 +1,92 @@
-"""Salting for keys whose join output grows with the square of their size.
-
-The co-rating self-join on ``item`` emits ``n_i * n_i`` rows for an item with
-``n_i`` raters, so the cost of a hot item is quadratic while its input bytes
-are linear; byte-based skew detection (AQE) does not see it. Items with more
-than ``bucket_rows`` raters are therefore split into ``B = ceil(n_i /
-bucket_rows)`` buckets on both sides by a hash of the user; left rows are
-replicated to every right bucket and right rows to every left bucket, and the
-join key becomes ``(item, left bucket, right bucket)``. Every pair of rows still
-meets exactly once, in one of ``B * B`` tasks of about ``bucket_rows ** 2``
-pairs each. Items under the threshold keep a single bucket (no replication).
+"""Bounded work per task for joins whose output grows with the square of a key.
+
+An item with ``n`` left and ``m`` right rows emits ``n * m`` pairs, while its input
+bytes grow like ``n + m``; byte-based skew detection does not see it. Two things
+bound the pairs of a task:
+
+* keys are cut into ``ceil(n / bucket_rows)`` left and ``ceil(m / bucket_rows)`` right
+  buckets by a hash of the other column; rows are copied once per bucket of the
+  other side only, so a side that is small is never the reason to copy the large
+  one. Every pair meets exactly once, in a cell of at most about
+  ``bucket_rows ** 2`` pairs;
+* a join of more than ``pairs_per_task`` pairs per default partition gets a partition
+  count from the number of pairs, and both sides are dealt out by cell, so that
+  partitions are not merged by their (few) bytes.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-_BUCKETS = "_buckets"
-_A = "_salt_a"  # bucket of the left row / replica index of the right row
-_B = "_salt_b"  # replica index of the left row / bucket of the right row
+_A = "_salt_a"  # bucket of the left row
+_B = "_salt_b"  # bucket of the right row
 
 
 @dataclass(frozen=True)
 class SkewPolicy:
-    """``bucket_rows``: most rows of one key per salt bucket (None disables salting).
-    ``max_broadcast_keys``: hot-key tables up to this many rows are broadcast,
-    larger ones are joined with a shuffle."""
+    """``bucket_rows``: most rows of one key and side in a bucket (None: no buckets).
+    ``pairs_per_task``: pairs that one task may emit before partitions are added."""
 
-    bucket_rows: int | None = 20_000
-    max_broadcast_keys: int = 1_000_000
+    bucket_rows: int | None = 2_000
+    pairs_per_task: int = 20_000_000
 
 
 DEFAULT_SKEW = SkewPolicy()
 
-# Number of hot keys per (application, plan, key, threshold); see hot_keys.
-_HOT_COUNTS: dict[tuple, int] = {}
 
+@dataclass(frozen=True)
+class JoinPlan:
+    """``buckets``: (key, _left, _right) bucket counts of the keys that are cut, or None.
+    ``partitions``: partitions of the join, or None for Spark's own."""
+
+    buckets: DataFrame | None
+    partitions: int | None
 
-def hot_keys(df: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> DataFrame | None:
-    """Keys of ``df`` with more than ``policy.bucket_rows`` rows and their bucket
-    counts, or None when there are none.
 
-    Runs one aggregate job to learn how many hot keys there are (a single number
-    reaches the driver); that count decides between a broadcast and a shuffle
-    join, so nothing is broadcast without a known size. The number is remembered
-    per plan (``semanticHash``) for the session: the decision only affects how
-    the work is spread, never the result, since a salted join is exact whichever
-    keys are salted.
-    """
+def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> JoinPlan:
+    """Counts both sides per key in one job; two numbers reach the driver. The bucket
+    table is joined by whatever Spark's measured sizes allow: nothing forces a broadcast."""
     if policy.bucket_rows is None:
-        return None
+        return JoinPlan(None, None)
     limit = int(policy.bucket_rows)
-    hot = (
-        df.groupBy(key)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .where(F.col("_n") > limit)
-        .select(key, F.ceil(F.col("_n") / F.lit(limit)).cast("int").alias(_BUCKETS))
-    )
-    memo = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), key, limit)
-    n_hot = _HOT_COUNTS.get(memo)
-    if n_hot is None:
-        n_hot = _HOT_COUNTS[memo] = hot.count()
-    if n_hot == 0:
-        return None
-    return F.broadcast(hot) if n_hot <= policy.max_broadcast_keys else hot
-
-
-def _salt(df: DataFrame, key: str, hot: DataFrame, salt_col: str, own: str, replica: str) -> DataFrame:
-    buckets = F.coalesce(F.col(_BUCKETS), F.lit(1))
+    count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
+    if left is right:
+        n = count(left, "_n").select(key, "_n", F.col("_n").alias("_m"))
+    else:
+        n = count(left, "_n").join(count(right, "_m"), key)
+    hot = (F.col("_n") > limit) | (F.col("_m") > limit)
+    found = n.agg(F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot")).first()
+    cells = lambda c: F.ceil(F.col(c) / F.lit(limit)).cast("int")
+    buckets = n.where(hot).select(key, cells("_n").alias("_left"), cells("_m").alias("_right")) if found["hot"] else None
+    wanted = math.ceil((found["pairs"] or 0) / policy.pairs_per_task)
+    usual = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return JoinPlan(buckets, wanted if wanted > usual else None)
+
+
+def _cut(df: DataFrame, key: str, plan: JoinPlan, salt_col: str, own: str, other: str, own_n: str, other_n: str) -> DataFrame:
+    if plan.buckets is None:
+        return df
+    n = lambda c: F.coalesce(F.col(c), F.lit(1))
     return (
-        df.join(hot, key, "left")
-        .withColumn(own, F.pmod(F.xxhash64(salt_col), buckets.cast("long")).cast("int"))
-        .withColumn(replica, F.explode(F.sequence(F.lit(0), buckets - F.lit(1))))
-        .drop(_BUCKETS)
+        df.join(plan.buckets, key, "left")
+        .withColumn(own, F.pmod(F.xxhash64(salt_col), n(own_n).cast("long")).cast("int"))
+        .withColumn(other, F.explode(F.sequence(F.lit(0), n(other_n) - F.lit(1))))
+        .drop("_left", "_right")
     )
 
 
-def salted_join(
-    left: DataFrame,
-    right: DataFrame,
-    key: str,
-    hot: DataFrame | None,
-    left_salt: str,
-    right_salt: str,
-) -> DataFrame:
-    """Inner equi-join of ``left`` and ``right`` on ``key``, with hot keys split
-    by ``left_salt`` / ``right_salt`` (columns that spread a key's rows)."""
-    if hot is None:
+def salted_join(left: DataFrame, right: DataFrame, key: str, plan: JoinPlan | None, left_salt: str, right_salt: str) -> DataFrame:
+    """Inner equi-join of ``left`` and ``right`` on ``key`` by ``plan``; ``left_salt`` and
+    ``right_salt`` are columns that spread a key's rows."""
+    if plan is None:
         return left.join(right, key)
-    lhs = _salt(left, key, hot, left_salt, own=_A, replica=_B)
-    rhs = _salt(right, key, hot, right_salt, own=_B, replica=_A)
-    return lhs.join(rhs, [key, _A, _B]).drop(_A, _B)
+    lhs = _cut(left, key, plan, left_salt, _A, _B, "_left", "_right")
+    rhs = _cut(right, key, plan, right_salt, _B, _A, "_right", "_left")
+    on = [key] if plan.buckets is None else [key, _A, _B]
+    if plan.partitions:
+        lhs, rhs = lhs.repartition(plan.partitions, *on), rhs.repartition(plan.partitions, *on)
+    return lhs.join(rhs, on).drop(_A, _B)

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import safe_ratio
+from kinship.operators.features import half_square
 
 # Fixed value: bytes stored per similarity (one double).
 BYTES_PER_SIMILARITY = 8
@@ -43,10 +44,13 @@ def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFram
     )
 
 
-def multiplications_total(co: DataFrame) -> DataFrame:
+def multiplications_total(ratings: DataFrame) -> DataFrame:
     """One row: ``multiplications``, the number of products summed over all
-    pairs (the total size of all item intersections)."""
-    return co.agg(F.coalesce(F.sum("overlap"), F.lit(0)).cast("long").alias("multiplications"))
+    pairs (the total size of all item intersections). An item with ``n`` raters is
+    in ``n (n - 1) / 2`` intersections, so one count per item gives it; ratings are
+    unique per (user, item)."""
+    per_item = ratings.groupBy("item").agg(F.count(F.lit(1)).alias("n"))
+    return per_item.agg(F.coalesce(F.sum(half_square("n")), F.lit(0)).cast("long").alias("multiplications"))
 
 
 def nonzero_bytes(sims: DataFrame) -> DataFrame:

@@ -7,7 +7,6 @@ rounded to 6 decimals (``tidy``) so that results compare across engines.
 
 from __future__ import annotations
 
-import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -16,21 +15,23 @@ from pyspark.sql import functions as F
 from kinship.functions.columns import PRED_DIGITS, tidy
 from kinship.operators import features as feat
 from kinship.operators import recommend as rec
-from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value
+from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value, sweep_and_baseline
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.predict import neighbour_pairs, predict, predict_both_metrics, weighted_deviation
+from kinship.operators.predict import predict, predict_both_metrics, similar_users, weighted_deviation
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.operators.similarity import co_ratings, similarity
-from kinship.operators.skew import hot_keys
+from kinship.operators.similarity import co_ratings, pair_input, similarity
+from kinship.operators.skew import SkewPolicy, plan_join
 from kinship.operators.stats import knn_bytes, multiplications_total, nonzero_bytes, summary_with_zeros
 from kinship.session import write_table_path
 from kinship.sources.files import ratings_profile
-from kinship.sources.tables import personal_from_parts, ratings_from_orders, split_ratings
+from kinship.sources.tables import load_table, personal_from_parts, ratings_from_orders, split_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 # Fixed values of the registered queries.
 NEIGHBOUR_K = 10
+WIDE_K = 1400  # nearly all users of a small table, so that negative neighbours get ranks
+SALT_ROWS = 10  # buckets of co_ratings_salted: most items are cut
 PREDICT_K = 30
 RECOMMEND_KS = (30, 300)
 TOP_N = 5
@@ -40,12 +41,16 @@ _DERIVED: dict[tuple, str] = {}
 
 
 def _input_key(spark: SparkSession, sf_dir: str) -> tuple:
+    """Path, length and modification time of every input file, from the file system
+    that Spark itself reads (a listing, bounded by the number of files)."""
+    sc = spark.sparkContext
     files = []
     for name in ("orders", "lineitem"):
-        path = os.path.join(sf_dir, f"{name}.parquet")
-        st = os.stat(path) if os.path.exists(path) else None
-        files.append((os.path.abspath(path), st.st_size if st else None, st.st_mtime_ns if st else None))
-    return (spark.sparkContext.applicationId, tuple(files))
+        for uri in sorted(load_table(spark, sf_dir, name).inputFiles()):
+            path = sc._jvm.org.apache.hadoop.fs.Path(sc._jvm.java.net.URI(uri))
+            status = path.getFileSystem(sc._jsc.hadoopConfiguration()).getFileStatus(path)
+            files.append((uri, status.getLen(), status.getModificationTime()))
+    return (sc.applicationId, tuple(files))
 
 
 def _ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -157,9 +162,9 @@ def q_preprocessed(spark, sf_dir):
 
 # --- pairs, similarities and their statistics ----------------------------------
 
-def _pre_hot(spark, sf_dir):
+def _pre_hot(spark, sf_dir, metric=None):
     train = _split(spark, sf_dir)[0]
-    return train, feat.preprocess(train), hot_keys(train, "item")
+    return train, pair_input(train, metric), plan_join(train, train, "item")
 
 
 def q_co_ratings(spark, sf_dir):
@@ -167,9 +172,16 @@ def q_co_ratings(spark, sf_dir):
     return co_ratings(pre, hot).select("user", "neighbour", "overlap")
 
 
+def q_co_ratings_salted(spark, sf_dir):
+    """``co_ratings`` with nearly every item cut into buckets."""
+    train = _split(spark, sf_dir)[0]
+    plan = plan_join(train, train, "item", SkewPolicy(bucket_rows=SALT_ROWS))
+    return co_ratings(pair_input(train), plan).select("user", "neighbour", "overlap")
+
+
 def _similarity(metric):
     def run(spark, sf_dir):
-        _, pre, hot = _pre_hot(spark, sf_dir)
+        _, pre, hot = _pre_hot(spark, sf_dir, metric)
         return _round(similarity(pre, metric, hot), "sim")
 
     return run
@@ -184,7 +196,7 @@ def q_overlap_stats(spark, sf_dir):
 
 def _similarity_stats(metric):
     def run(spark, sf_dir):
-        train, pre, hot = _pre_hot(spark, sf_dir)
+        train, pre, hot = _pre_hot(spark, sf_dir, metric)
         n_pairs = feat.pair_count(train).select("n_pairs").scalar()
         return _round(summary_with_zeros(similarity(pre, metric, hot), "sim", n_pairs),
                       "min_value", "max_value", "mean_value", "stddev_value")
@@ -193,13 +205,12 @@ def _similarity_stats(metric):
 
 
 def q_multiplications_total(spark, sf_dir):
-    _, pre, hot = _pre_hot(spark, sf_dir)
-    return multiplications_total(co_ratings(pre, hot))
+    return multiplications_total(_split(spark, sf_dir)[0])
 
 
 def _similarity_bytes(metric):
     def run(spark, sf_dir):
-        _, pre, hot = _pre_hot(spark, sf_dir)
+        _, pre, hot = _pre_hot(spark, sf_dir, metric)
         return nonzero_bytes(similarity(pre, metric, hot))
 
     return run
@@ -211,7 +222,7 @@ def q_knn_bytes(spark, sf_dir):
 
 def _neighbors(metric, k):
     def run(spark, sf_dir):
-        train, pre, hot = _pre_hot(spark, sf_dir)
+        train, pre, hot = _pre_hot(spark, sf_dir, metric)
         ranked = neighbors(directed(similarity(pre, metric, hot)), k, feat.user_count_value(train))
         return _round(ranked, "sim")
 
@@ -231,10 +242,7 @@ def _predict(metric, k):
 def q_weighted_deviation(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
     dev = feat.normalized_deviation(train)
-    pre = feat.preprocess(train, deviations=dev)
-    hot = hot_keys(train, "item")
-    pairs, lower = neighbour_pairs(train, pre, "cosine", 0, hot)
-    w = weighted_deviation(targets, dev, pairs, hot, lower)
+    w = weighted_deviation(targets, dev, similar_users(train, "cosine"), plan_join(targets, train, "item"), lower=True)
     return _round(w.select("user", "item", "w"), "w")
 
 
@@ -292,16 +300,16 @@ def q_knn_sweep(spark, sf_dir):
 
 def q_knn_lowest_k(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
-    baseline = mae_value(predict(train, targets, "cosine", 0))
-    best = lowest_k(k_sweep(train, targets, REFERENCE_KS), baseline)
+    sweep, everyone = sweep_and_baseline(train, targets, REFERENCE_KS)
+    best = lowest_k(sweep, mae_value(everyone))
     return _round(best.select(F.col("k").cast("int").alias("k"), "mae", "mae_minus_baseline"), "mae", "mae_minus_baseline")
 
 
 # --- recommendations and reports -----------------------------------------------
 
-def _recommend(k):
+def _recommend(k, n=TOP_N):
     def run(spark, sf_dir):
-        return rec.recommend(_ratings(spark, sf_dir), personal_from_parts(spark, sf_dir), k, TOP_N)
+        return rec.recommend(_ratings(spark, sf_dir), personal_from_parts(spark, sf_dir), k, n)
 
     return run
 
@@ -335,6 +343,7 @@ QUERIES: dict[str, Query] = {
     "normalized_deviation": q_normalized_deviation,
     "preprocessed": q_preprocessed,
     "co_ratings": q_co_ratings,
+    "co_ratings_salted": q_co_ratings_salted,
     "similarity_cosine": _similarity("cosine"),
     "similarity_jaccard": _similarity("jaccard"),
     "overlap_stats": q_overlap_stats,
@@ -345,6 +354,7 @@ QUERIES: dict[str, Query] = {
     "similarity_stats_jaccard": _similarity_stats("jaccard"),
     "knn_bytes": q_knn_bytes,
     "neighbors_cosine_k10": _neighbors("cosine", NEIGHBOUR_K),
+    "neighbors_cosine_k1400": _neighbors("cosine", WIDE_K),
     "neighbors_jaccard_k10": _neighbors("jaccard", NEIGHBOUR_K),
     "weighted_deviation": q_weighted_deviation,
     "predict_cosine_all": _predict("cosine", 0),
@@ -358,6 +368,7 @@ QUERIES: dict[str, Query] = {
     "mae_deltas": q_mae_deltas,
     "knn_sweep": q_knn_sweep,
     "knn_lowest_k": q_knn_lowest_k,
+    "personal_predictions_k30": _recommend(RECOMMEND_KS[0], None),
     "recommend_k30": _recommend(RECOMMEND_KS[0]),
     "recommend_k300": _recommend(RECOMMEND_KS[1]),
     "report_similarity": q_report_similarity,

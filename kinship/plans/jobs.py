@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS
 from kinship.operators.recommend import recommend
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.sources.files import expect_ratings, read_personal, read_ratings
+from kinship.sources.files import expect_personal, expect_ratings, read_personal, read_ratings
 from kinship.sources.sinks import write_report
 
 # Fixed values of the jobs' defaults.
@@ -24,14 +24,6 @@ TOP_N = 5
 NEW_USER = 944
 
 
-def _expect_rows(df: DataFrame, rows: int | None, what: str) -> DataFrame:
-    if rows is not None:
-        n = df.count()
-        if n != rows:
-            raise ValueError(f"invalid {what}: expected {rows} rows, found {n}")
-    return df
-
-
 def similarity_job(
     spark: SparkSession,
     train_path: str,
@@ -83,7 +75,9 @@ def recommend_job(
     """``(k, position, item, title, prediction)``: the top ``n`` unrated personal
     items for every ``k``."""
     ratings = expect_ratings(read_ratings(spark, data_path), data_rows)
-    personal = _expect_rows(read_personal(spark, personal_path), personal_rows, "personal list")
+    if not ratings.where(F.col("user") == user).isEmpty():
+        raise ValueError(f"user {user} already has ratings: choose a new id for the personal list")
+    personal = expect_personal(read_personal(spark, personal_path), personal_rows)
     parts = [recommend(ratings, personal, k, n, user).select(F.lit(int(k)).alias("k"), "*") for k in ks]
     tops = parts[0]
     for part in parts[1:]:

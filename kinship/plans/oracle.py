@@ -184,11 +184,11 @@ def lowest_k_select() -> str:
 FROM sweep s WHERE round(s.mae, 12) < round((SELECT mae FROM base), 12)"""
 
 
-def recommend_sql(k: int, n: int = 5) -> str:
+def recommend_sql(k: int, n: int | None = 5) -> str:
     ctes = [RATINGS, PERSONAL, RECO_TRAIN, RECO_TARGETS] + MODEL + prediction_ctes("cosine", k, only_targets=True)
     return with_(ctes, f"""SELECT p.item, pe.title, {r6('p.prediction')} AS prediction
 FROM pred p JOIN personal pe ON pe.item = p.item
-ORDER BY prediction DESC, p.item ASC LIMIT {n}""")
+{'' if n is None else f'ORDER BY prediction DESC, p.item ASC LIMIT {n}'}""")
 
 
 def _sim_stats(metric: str) -> str:
@@ -268,6 +268,7 @@ FROM r_all"""),
         "normalized_deviation": with_(split, f'SELECT "user", item, rating, {r6("avg_rating")} AS avg_rating, {r6("dev")} AS dev FROM dev'),
         "preprocessed": with_(split, f'SELECT "user", item, {r6("dev")} AS dev, {r6("ndev")} AS ndev FROM pre'),
         "co_ratings": with_(split, 'SELECT "user", neighbour, overlap FROM co'),
+        "co_ratings_salted": with_(split, 'SELECT "user", neighbour, overlap FROM co'),
         "similarity_cosine": with_(split, f'SELECT "user", neighbour, {r6("sim")} AS sim FROM sim_cosine'),
         "similarity_jaccard": with_(split, f'SELECT "user", neighbour, {r6("sim")} AS sim FROM sim_jaccard'),
         "overlap_stats": with_(split, summary_select("co", "overlap")),
@@ -279,6 +280,7 @@ FROM r_all"""),
         "knn_bytes": with_(split, f"""SELECT k, CAST(n * least(k, n - 1) * 8 AS BIGINT) AS bytes
 FROM (SELECT unnest([{kl}]) AS k) CROSS JOIN (SELECT count(*) AS n FROM users)"""),
         "neighbors_cosine_k10": _neighbors("cosine", 10),
+        "neighbors_cosine_k1400": _neighbors("cosine", 1400),
         "neighbors_jaccard_k10": _neighbors("jaccard", 10),
         "weighted_deviation": with_(split + [weights_cte("cosine", 0)],
                                     f'SELECT "user", item, {r6("CASE WHEN den = 0 THEN 0.0::DOUBLE ELSE num / den END")} AS w FROM w'),
@@ -294,6 +296,7 @@ FROM (SELECT unnest([{kl}]) AS k) CROSS JOIN (SELECT count(*) AS n FROM users)""
         "mae_deltas": _mae_deltas(),
         "knn_sweep": with_(split + sweep_ctes(), f"SELECT k, {r6('mae')} AS mae FROM sweep"),
         "knn_lowest_k": with_(split + sweep_ctes() + baseline_ctes(), lowest_k_select()),
+        "personal_predictions_k30": recommend_sql(30, None),
         "recommend_k30": recommend_sql(30),
         "recommend_k300": recommend_sql(300),
         "report_similarity": _report_similarity(),

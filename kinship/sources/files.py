@@ -20,13 +20,14 @@ RATING_FILE_SCHEMA = T.StructType(
 )
 
 # A personal line is "id,title" (unrated), "id,title," (unrated) or
-# "id,title,rating"; titles may contain commas, so the first and the last field
-# are split off and the rest is the title.
-PERSONAL_LINE = r"^\s*(\d+)\s*,(.*?)(?:,\s*([0-9.]*)\s*)?$"
+# "id,title,rating". A title with commas stands in double quotes; without quotes the
+# last of three or more fields must be empty or a number.
+PERSONAL_LINE = r"^\s*(\d+)\s*,\s*(?:\"([^\"]*)\"|([^\",]*)|([^\"]*?))\s*(?:,\s*(|[0-9]+(?:\.[0-9]+)?)\s*)?$"
 
 
 def read_ratings(spark: SparkSession, path: str) -> DataFrame:
-    """Read tab-separated ratings; a malformed field fails the job."""
+    """Read tab-separated ratings; a malformed or missing field fails the job."""
+    given = lambda c: F.coalesce(F.col(c), F.raise_error(F.lit(f"a rating line has no {c}"))).alias(c)
     return (
         spark.read.schema(RATING_FILE_SCHEMA)
         .option("sep", "\t")
@@ -34,20 +35,28 @@ def read_ratings(spark: SparkSession, path: str) -> DataFrame:
         .option("ignoreLeadingWhiteSpace", "true")
         .option("ignoreTrailingWhiteSpace", "true")
         .csv(path)
-        .select("user", "item", "rating")
+        .select(given("user"), given("item"), given("rating"))
     )
 
 
 def read_personal(spark: SparkSession, path: str) -> DataFrame:
-    """Read the personal list as ``(item LONG, title STRING, rating DOUBLE NULL)``."""
+    """Read the personal list as ``(item LONG, title STRING, rating DOUBLE NULL)``.
+    A line of another form fails the job: a rating that is no number, or a title with
+    commas that is neither quoted nor followed by a rating field. Ratings are checked
+    against the scale by ``expect_personal``."""
     line = F.col("value")
-    rating = F.nullif(F.trim(F.regexp_extract(line, PERSONAL_LINE, 3)), F.lit(""))
+    part = lambda k: F.regexp_extract(line, PERSONAL_LINE, k)
+    # a bare title with commas needs the rating field after it, empty or not
+    open_title = (part(4) != "") & ~line.rlike(r",\s*([0-9]+(\.[0-9]+)?)?\s*$")
+    bad = ~line.rlike(PERSONAL_LINE) | open_title
+    rating = F.nullif(F.trim(part(5)), F.lit(""))
     return (
         spark.read.text(path)
         .where(F.trim(line) != "")
         .select(
-            F.regexp_extract(line, PERSONAL_LINE, 1).cast("long").alias("item"),
-            F.trim(F.regexp_extract(line, PERSONAL_LINE, 2)).alias("title"),
+            F.when(bad, F.raise_error(F.concat(F.lit("bad line in the personal list: "), line)))
+            .otherwise(part(1).cast("long")).alias("item"),
+            F.trim(F.concat(part(2), part(3), part(4))).alias("title"),
             rating.cast("double").alias("rating"),
         )
     )
@@ -56,18 +65,21 @@ def read_personal(spark: SparkSession, path: str) -> DataFrame:
 def ratings_profile(ratings: DataFrame) -> DataFrame:
     """One row describing a ratings table: sizes, bounds and defects."""
     r = F.col("rating")
-    return ratings.agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_distinct("user", "item").alias("n_pairs"),
-        F.count_distinct("user").alias("n_users"),
-        F.count_distinct("item").alias("n_items"),
-        F.min(r).alias("min_rating"),
-        F.max(r).alias("max_rating"),
-        F.sum(
-            F.when(F.col("user").isNull() | F.col("item").isNull() | r.isNull(), 1).otherwise(0)
-        ).cast("long").alias("n_null"),
-        F.sum(F.when(F.isnan(r), 1).otherwise(0)).cast("long").alias("n_nan"),
-    )
+    known = F.col("user").isNotNull() & F.col("item").isNotNull()
+    count_if = lambda c: F.sum(F.when(c, 1).otherwise(0)).cast("long")
+    # one shuffle of the ratings; pairs, users and items are counted from its groups
+    pairs = ratings.groupBy("user", "item").agg(
+        F.count(F.lit(1)).alias("n"), F.min(r).alias("lo"), F.max(r).alias("hi"),
+        count_if(~known | r.isNull()).alias("null"), count_if(F.isnan(r)).alias("nan"))
+    users = pairs.groupBy("user").agg(
+        F.sum("n").alias("n"), count_if(known).alias("pairs"), F.min("lo").alias("lo"), F.max("hi").alias("hi"),
+        F.sum("null").alias("null"), F.sum("nan").alias("nan"))
+    items = pairs.where("item is not null").groupBy("item").agg(F.lit(1).alias("one")).agg(F.count("*")).scalar()
+    total = lambda c: F.coalesce(F.sum(c), F.lit(0)).cast("long")
+    return users.agg(
+        total("n").alias("n_rows"), total("pairs").alias("n_pairs"), F.count("user").alias("n_users"),
+        items.alias("n_items"), F.min("lo").alias("min_rating"), F.max("hi").alias("max_rating"),
+        total("null").alias("n_null"), total("nan").alias("n_nan"))
 
 
 def expect_ratings(ratings: DataFrame, rows: int | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
@@ -93,3 +105,25 @@ def expect_ratings(ratings: DataFrame, rows: int | None = None, bounds: RatingSc
     if problems:
         raise ValueError("invalid ratings: " + "; ".join(problems))
     return ratings
+
+
+def expect_personal(personal: DataFrame, rows: int | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+    """Fail unless the personal list has ``rows`` rows (when given), unique non-null
+    items and every rating within the scale. Returns ``personal``; one aggregate job."""
+    r = F.col("rating")
+    p = personal.groupBy("item").agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.when((r < bounds.lo) | (r > bounds.hi) | F.isnan(r), 1).otherwise(0)).alias("out"),
+    ).agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.sum(F.when(F.col("item").isNull(), 1).otherwise(0)).alias("null"),
+          F.sum("out").alias("out")).first()
+    problems = []
+    if rows is not None and (p["rows"] or 0) != rows:
+        problems.append(f"expected {rows} rows, found {p['rows'] or 0}")
+    if p["null"]:
+        problems.append("rows without an item")
+    if (p["most"] or 0) > 1:
+        problems.append("repeated items")
+    if p["out"]:
+        problems.append(f"ratings outside [{bounds.lo}, {bounds.hi}]")
+    if problems:
+        raise ValueError("invalid personal list: " + "; ".join(problems))
+    return personal

@@ -82,7 +82,7 @@ def test_pair_statistics(tiny):
     assert (ov.min_value, ov.max_value) == (0, 2)
     assert ov.mean_value == pytest.approx(1.133333, abs=5e-7)
     assert ov.stddev_value == pytest.approx(0.805536, abs=5e-7)
-    assert multiplications_total(co_ratings(pre)).first()["multiplications"] == 17
+    assert multiplications_total(train).first()["multiplications"] == 17
     assert tuple(nonzero_bytes(similarity(pre, "cosine")).first()) == (7, 56)
     assert tuple(nonzero_bytes(similarity(pre, "jaccard")).first()) == (11, 88)
     cos = summary_with_zeros(similarity(pre, "cosine"), "sim", n_pairs).first()

@@ -46,3 +46,27 @@ def test_scan_prunes_columns(spark):
     plan = df._jdf.queryExecution().executedPlan().toString()
     # only the three columns the rating view needs are read from lineitem
     assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in plan
+
+
+def test_eager_writes_hold_one_self_join(spark, monkeypatch):
+    """The pair table of a k-NN question is planned once, across the eager writes and
+    the result, and no written plan holds an operator that pairs everything."""
+    import kinship.session as session_mod
+    from kinship.operators import evaluate, similarity
+
+    plans, joins = [], []
+    write, pairs = session_mod.write_table, similarity.co_ratings
+    monkeypatch.setattr(evaluate, "write_table", lambda df, name: plans.append(_executed(df)) or write(df, name))
+    monkeypatch.setattr(similarity, "co_ratings", lambda *a, **b: joins.append(1) or pairs(*a, **b))
+    QUERIES["knn_lowest_k"](spark, SF_SMALL).collect()
+    assert len(joins) == 1 and len(plans) == 1
+    for op in FORBIDDEN:
+        assert op not in plans[0], op
+
+
+def test_linear_statistics_have_no_self_join(spark):
+    plan = _executed(QUERIES["multiplications_total"](spark, SF_SMALL))
+    assert "Join" not in plan
+    assert "Expand" not in _executed(QUERIES["ratings_profile"](spark, SF_SMALL))
+    for key in ("co_ratings", "overlap_stats", "similarity_jaccard"):
+        assert not re.search(r"\bnorm\b|\bndev", _executed(QUERIES[key](spark, SF_SMALL))), key

@@ -78,15 +78,56 @@ def test_order_preserving_relabel(small):
 def test_salted_pairs_equal_plain_pairs(small):
     """Force every item with more than 5 raters through the salted self-join."""
     from kinship.operators.similarity import co_ratings
-    from kinship.operators.skew import hot_keys
+    from kinship.operators.skew import plan_join
 
     train, _ = small
     pre = preprocess(train)
-    hot = hot_keys(train, "item", SkewPolicy(bucket_rows=5))
-    assert hot is not None and hot.count() > 10
+    hot = plan_join(train, train, "item", SkewPolicy(bucket_rows=5))
+    assert hot.buckets is not None and hot.buckets.count() > 10
     plain = {(r.user, r.neighbour): (r.overlap, r.dot) for r in co_ratings(pre).collect()}
     salted = {(r.user, r.neighbour): (r.overlap, r.dot) for r in co_ratings(pre, hot).collect()}
     assert plain.keys() == salted.keys()
     for key, (n, dot) in plain.items():
         assert salted[key][0] == n
         assert abs(salted[key][1] - dot) < 1e-12
+
+
+def test_pairs_of_a_task_are_bounded_under_skew(spark):
+    """One item rated by everyone and many just below the bucket size: no task emits
+    more than a small multiple of its share, and the pairs are the plain ones."""
+    from pyspark.sql import functions as F
+
+    from kinship.operators.skew import plan_join, salted_join
+
+    users, policy = 1200, SkewPolicy(bucket_rows=100, pairs_per_task=20_000)
+    everyone = spark.range(users).select(F.col("id").alias("user"), F.lit(0).cast("long").alias("item"))
+    below = spark.range(99 * 40).select((F.col("id") % 99).alias("user"), (F.col("id") % 40 + 1).alias("item"))
+    rows = everyone.union(below)
+    plan = plan_join(rows, rows, "item", policy)
+    right = rows.withColumnRenamed("user", "neighbour")
+    pairs = salted_join(rows, right, "item", plan, "user", "neighbour")
+    total = users * users + 40 * 99 * 99
+    per_task = [r["count"] for r in pairs.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+    assert sum(per_task) == total == rows.join(right, "item").count()
+    assert plan.partitions >= total // policy.pairs_per_task
+    assert max(per_task) <= 6 * policy.pairs_per_task
+
+
+def test_one_sided_skew_copies_the_small_side_only(spark):
+    from pyspark.sql import functions as F
+
+    from kinship.operators.skew import _A, _B, _cut, plan_join
+
+    one = spark.createDataFrame([(7, 0)], "user long, item long")
+    many = spark.range(1000).select(F.col("id").alias("neighbour"), F.lit(0).cast("long").alias("item"))
+    plan = plan_join(one, many, "item", SkewPolicy(bucket_rows=50))
+    assert _cut(one, "item", plan, "user", _A, _B, "_left", "_right").count() == 20
+    assert _cut(many, "item", plan, "neighbour", _B, _A, "_right", "_left").count() == 1000
+
+
+def test_pair_count_is_exact_for_many_users(spark):
+    from kinship.operators.features import half_square
+
+    n = [0, 1, 2, 3, 200_000_003, 300_000_003, 4_000_000_000]
+    got = spark.createDataFrame([(x,) for x in n], "n long").select(half_square("n")).collect()
+    assert [r[0] for r in got] == [x * (x - 1) // 2 for x in n]

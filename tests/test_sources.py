@@ -83,3 +83,40 @@ def test_write_report_nests_sections(spark):
     with open(os.path.join(out, parts[0])) as f:
         doc = json.loads(f.readline())
     assert doc["answers"] == {"cosine": {"mae": 0.5, "minus_baseline": -0.2}, "pairs": {"users": 6.0}}
+
+
+@pytest.mark.parametrize("line", ["1,Toy Story (1995),5*", "2,GoldenEye (1995),five", "6,Heat,-3", "no id,Title", "3,Catch, as catch can"])
+def test_bad_personal_lines_fail(spark, line):
+    with pytest.raises(Exception, match="bad line in the personal list"):
+        read_personal(spark, _write(f"9,Fine,3\n{line}\n", "personal.csv")).collect()
+
+
+def test_commas_in_titles_are_quoted_and_the_scale_is_checked(spark):
+    from kinship.sources.files import expect_personal
+
+    lines = '3,"Catch-22, 1970",\n4,"Good, Bad, Ugly",5\n5,Plain,2.5\n6,"Just, quoted"\n'
+    df = read_personal(spark, _write(lines, "personal.csv"))
+    assert sorted(tuple(r) for r in df.collect()) == [
+        (3, "Catch-22, 1970", None), (4, "Good, Bad, Ugly", 5.0), (5, "Plain", 2.5), (6, "Just, quoted", None)]
+    assert expect_personal(df, 4) is df
+    for bad, why in (("3,Catch-22, 1970\n", "outside"), ("4,Se7en (1995),9\n", "outside"), ("1,A,2\n1,B\n", "repeated")):
+        with pytest.raises(ValueError, match=why):
+            expect_personal(read_personal(spark, _write(bad, "personal.csv")))
+    with pytest.raises(ValueError, match="expected 3 rows"):
+        expect_personal(df, 3)
+
+
+def test_short_rating_line_fails(spark):
+    with pytest.raises(Exception, match="no rating|malformed|Malformed"):
+        read_ratings(spark, _write("1\t10\t3\n1\t11\n", "u.data")).collect()
+
+
+def test_rewritten_input_is_read_again(spark, tmp_path):
+    from conftest import SF_SMALL
+    from kinship.plans.catalog import _ratings
+
+    for name in ("orders", "lineitem"):
+        spark.read.parquet(f"{SF_SMALL}/{name}.parquet").write.parquet(str(tmp_path / f"{name}.parquet"))
+    before = _ratings(spark, str(tmp_path)).count()
+    spark.read.parquet(f"{SF_SMALL}/lineitem.parquet").where("l_orderkey % 2 = 0").write.mode("overwrite").parquet(str(tmp_path / "lineitem.parquet"))
+    assert 0 < _ratings(spark, str(tmp_path)).count() < before
