@@ -18,7 +18,7 @@ _LOWER[65:91] += 32
 
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1B54A32D192ED03
-BLOCK_BYTES = 1 << 20  # numpy works on blocks of about this many text bytes
+BLOCK_BYTES = 1 << 19  # numpy works on blocks of about this many text bytes
 
 _pows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
