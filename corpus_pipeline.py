@@ -28,8 +28,8 @@ def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays, the one with the smallest id:
-    five-word shingles, similarity 0.85 or more."""
-    return keep_one(docs, width=5)
+    five-word shingles, similarity 0.8 or more."""
+    return keep_one(docs, width=5, percent=80)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

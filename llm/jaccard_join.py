@@ -2,12 +2,13 @@
 
 1. A document is the set of its word shingles; equal sets collapse into a class.
 2. Candidate clusters. On the circle of hash values, two sets with a Jaccard
-   similarity of 85 % have at least 5.67 common elements for each other one, so
-   ``RUN`` successive elements of one set are successive in the other, too. Sets of
-   up to ``EVERY`` elements give all their runs (no link can be lost), larger ones
-   the runs after ``GRID`` points of the circle (a link at the threshold is lost with
-   probability (1 - 0.85^5)^48 < 1e-12, a closer one with less). Sets that share a
-   run are tied to the smallest of them; components of the ties are the clusters.
+   similarity of 85 % have at least 5.67 common elements for each other one (80 %: 4),
+   so a run of 5 (4) successive elements of one set is successive in the other, too.
+   Sets of up to ``EVERY`` elements give all their runs (no link can be lost), larger
+   ones the runs after so many points of the circle that a link at the threshold is
+   lost with probability (1 - 0.85^5)^48 < ``MISS``, a closer one with less
+   (``runs_for``). Sets that share a run are tied to the smallest of them; components
+   of the ties are the clusters.
 3. Inside a cluster a signature tree is built: the leaves hold the bitmap of a set's
    elements and its size, the nodes the OR of the bitmaps and the range of the sizes.
    A dual traversal of two trees drops a pair of nodes when no pair of sets below
@@ -22,6 +23,8 @@ Only links between classes are made, never all pairs of a group.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -34,9 +37,9 @@ from llm.components import components
 
 WIDTH = 4
 PERCENT = 85
-RUN = 5
+MAX_RUN = 5
 EVERY = 64
-GRID = 48
+MISS = 1e-12
 BLOCK_SETS = 1024
 BLOCK_BYTES = 8 << 20  # of compressed text
 BITS = 4096
@@ -55,26 +58,35 @@ def _sets(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
     return np.searchsorted(row[fresh], np.arange(block.n + 1)), h[fresh]
 
 
-def _keys(begin: np.ndarray, h: np.ndarray) -> list[np.ndarray]:
-    """Hashes of runs of RUN successive elements of every set, on the circle."""
+def runs_for(percent: int) -> tuple[int, int]:
+    """(length of a run, points of the circle) that find links of this threshold."""
+    percent = min(percent, 99)
+    run = min(MAX_RUN, percent // (100 - percent))
+    return run, math.ceil(math.log(MISS) / math.log(1 - (percent / 100) ** run))
+
+
+def _keys(begin: np.ndarray, h: np.ndarray, length: int, grid: int) -> list[np.ndarray]:
+    """Hashes of runs of ``length`` successive elements of every set, on the circle."""
     n = np.diff(begin)
     row = np.repeat(np.arange(len(n)), n)
     nth = np.arange(len(h)) - begin[row]
     run = np.zeros(len(h), dtype=U64)
-    for k in range(RUN):
+    for k in range(length):
         run = mix(run * U64(31) + h[begin[row] + (nth + k) % n[row]])
-    cell = (h // U64((1 << 64) // GRID + 1)).astype(np.int64)
-    below = np.zeros((len(n), GRID), dtype=np.int64)
-    counts = np.bincount(row * GRID + cell, minlength=len(n) * GRID).reshape(-1, GRID)
+    cell = (h // U64((1 << 64) // grid + 1)).astype(np.int64)
+    below = np.zeros((len(n), grid), dtype=np.int64)
+    counts = np.bincount(row * grid + cell, minlength=len(n) * grid).reshape(-1, grid)
     below[:, 1:] = np.cumsum(counts, 1)[:, :-1]
     out = []
     for i, size in enumerate(n.tolist()):
         own = run[begin[i]:begin[i + 1]]
-        out.append(np.unique(own[below[i] % size] if size > EVERY else own) if size >= RUN else own[:0])
+        out.append(np.unique(own[below[i] % size] if size > EVERY else own) if size >= length else own[:0])
     return out
 
 
-def _signatures(docs: DataFrame, width: int) -> DataFrame:
+def _signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
+    runs = runs_for(percent)
+
     def work(batches):
         for b in batches:
             for block in blocks(b.column(2)):
@@ -85,7 +97,7 @@ def _signatures(docs: DataFrame, width: int) -> DataFrame:
                     total = np.zeros(len(h) + 1, dtype=U64)
                     np.cumsum(mix(h ^ U64(seed)), out=total[1:])
                     whole.append(signed(mix(total[begin[1:]] - total[begin[:-1]])))
-                keys = [k.view(np.int64) for k in _keys(begin, h)]
+                keys = [k.view(np.int64) for k in _keys(begin, h, *runs)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[block.rows], b.column(1)[block.rows], pa.array(n), pa.array(whole[0]), pa.array(whole[1]),
                      pa.array(keys, pa.list_(pa.int64()))], ["_id", "_v", "n", "h1", "h2", "keys"])
@@ -226,13 +238,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     component. A row without an id links like any other, but its id never names a
     component (null if there is no other). Rows with one id are one document: what one
     of them links, all do. Ids must be below 2^62. An empty table gives an empty result;
-    other columns are ignored. ``percent`` below 84 would need shorter runs.
+    other columns are ignored. ``percent`` is at
+    least 50 (below, no run of elements needs to be common).
     """
-    if percent < 84:
-        raise ValueError("runs of 5 elements need a threshold of at least 84 %")
+    if not 50 <= percent <= 100:
+        raise ValueError("the threshold is a percentage from 50 to 100")
     ship(docs.sparkSession)
     rows = keyed(docs, id_col, text_col)
-    every = write_table(_signatures(rows, width).withColumn(
+    every = write_table(_signatures(rows, width, percent).withColumn(
         "_id", F.when(F.col("_id") != NO_ID, F.col("_id")).otherwise(F.lit(NO_ID) - F.pmod("_v", F.lit(1 << 61)))), "signatures")
     classes = write_table(every.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("_id", "_v", "keys")).alias("r"))
                           .select("h1", "h2", F.col("r._id").alias("rep"), F.col("r._v").alias("rep_v"), "r.keys"), "classes")

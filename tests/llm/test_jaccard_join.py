@@ -6,7 +6,7 @@ import pytest
 
 from llm.catalog import QUERIES
 from llm.components import components
-from llm.jaccard_join import SignatureTree, _leaf_pairs, keep_one, near_duplicates
+from llm.jaccard_join import SignatureTree, _keys, _leaf_pairs, keep_one, near_duplicates, runs_for
 
 
 def shingles(text, width=4):
@@ -68,13 +68,27 @@ def corpus(seed, n=150):
     return rows
 
 
-@pytest.mark.parametrize("seed,block", [(1, 1024), (2, 3)])
-def test_matches_brute_force(spark, seed, block):
+@pytest.mark.parametrize("seed,block,percent", [(1, 1024, 85), (2, 3, 85), (3, 64, 80)])
+def test_matches_brute_force(spark, seed, block, percent):
     rows = corpus(seed) + [(None, corpus(seed)[0][1]), (None, "only here w x y z"), (None, None), (900, None), (901, ""), (902, "a b c"),
                            (903, "A B c"), (904, "c b a"), (7, corpus(seed)[3][1]), (7, corpus(seed)[3][1])]
     df = spark.createDataFrame([(a, b, "x", 0) for a, b in rows], "doc_id long, text string, keys string, n int").repartition(3)
-    got = near_duplicates(df, block_sets=block)
-    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
+    got = near_duplicates(df, percent=percent, block_sets=block)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows, percent)
+
+
+@pytest.mark.parametrize("percent", [80, 85, 90])
+def test_links_at_the_threshold_share_a_run(percent):
+    rnd = np.random.default_rng(percent)
+    assert runs_for(85) == (5, 48) and runs_for(80) == (4, 53)
+    for own in [*range(1, 40), 200]:
+        common = -(-percent * own // (100 - percent))
+        for _ in range(50):
+            h = rnd.permutation(np.unique(rnd.integers(0, 1 << 63, common + own, dtype=np.uint64) * np.uint64(2)))
+            left = int(rnd.integers(0, own + 1))
+            a, b = np.sort(h[:common + left]), np.sort(np.concatenate([h[:common], h[common + left:]]))
+            keys = _keys(np.array([0, len(a), len(a) + len(b)]), np.concatenate([a, b]), *runs_for(percent))
+            assert len(np.intersect1d(*keys))
 
 
 def test_keep_one_of_each_group(spark):

@@ -69,7 +69,7 @@ def test_stages(spark):
     assert docs.columns == columns and sorted(ids) == sorted(want) and 9001 not in want
 
     docs, ids = after(1, docs)
-    part = groups([(i, rows[i].text) for i in want], 5, 85)
+    part = groups([(i, rows[i].text) for i in want], 5, 80)
     want = {i for i, g in part.items() if i == g}
     assert docs.columns == columns and sorted(ids) == sorted(want)
 
