@@ -103,8 +103,9 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     source = edges.groupBy("anchor", "edge").agg(F.min("_id").alias("low"))
     lows = (edges.join(source, ["anchor", "edge"]).groupBy("anchor", "content", "j").agg(F.min("low").alias("low"))
             .groupBy("anchor", "content").agg(F.array_sort(F.collect_list(F.struct("j", "low"))).alias("lows")))
-    known = contents.join(lows, ["anchor", "content"], "left").select(
-        "anchor", "content", F.col("_id").alias("src"), "lows").where("lows is not null or hi > src")
+    # written for the same reason: the occurrences of a hot path can be split
+    known = write_table(contents.join(lows, ["anchor", "content"], "left").select(
+        "anchor", "content", F.col("_id").alias("src"), "lows").where("lows is not null or hi > src"), "known-paths")
     mask = F.expr(
         "CASE WHEN lows IS NULL THEN IF(src < _id, shiftleft(1L, n) - 1, 0L) "
         "ELSE aggregate(lows, 0L, (m, e) -> m | IF(e.low < _id, shiftleft(1L, e.j), 0L)) END")
