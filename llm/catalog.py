@@ -15,6 +15,7 @@ from llm.decontaminate import OP10_SQL, contained_items
 from llm.jaccard_join import near_duplicates
 from llm.language_id import language_id
 from llm.mixing import OP9_SQL, mix
+from llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP4_SQL, OP7_SQL
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
 from llm.sharding import document_dims, shard
 from llm.substring_dedup import substring_dedup
@@ -99,7 +100,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_substring_dedup": OP1_SQL,
+    "op2_suffix_array_dedup": OP2_SQL,
+    "op3_secret_scan": OP3_SQL,
+    "op4_warc_archives": OP4_SQL,
     "op6_pivot_topk": OP6_SQL,
+    "op7_signature_tree_join": OP7_SQL,
     "op9_source_mixing": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
 }
