@@ -24,7 +24,7 @@ from kinship.operators.skew import SkewPolicy, plan_join
 from kinship.operators.stats import knn_bytes, multiplications_total, nonzero_bytes, summary_with_zeros
 from kinship.session import write_table_path
 from kinship.sources.files import ratings_profile
-from kinship.sources.tables import load_table, personal_from_parts, ratings_from_orders, split_ratings
+from kinship.sources.tables import load_table, personal_from_parts, ratings_from_orders, split_holding_out_items, split_ratings
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -270,6 +270,17 @@ def q_cold_items(spark, sf_dir):
     return cold_targets(targets).join(train.select("item"), "item", "left_anti").select("user", "item")
 
 
+def q_predict_held_out_items(spark, sf_dir):
+    train, targets = split_holding_out_items(_ratings(spark, sf_dir))
+    return _round(predict(train, targets, "cosine", 0), "prediction")
+
+
+def q_cold_items_held_out(spark, sf_dir):
+    """Targets of the item split whose item no train user rated."""
+    train, targets = split_holding_out_items(_ratings(spark, sf_dir))
+    return targets.join(train.select("item"), "item", "left_anti").select("user", "item")
+
+
 def _mae(metric):
     def run(spark, sf_dir):
         train, targets = _split(spark, sf_dir)
@@ -363,6 +374,8 @@ QUERIES: dict[str, Query] = {
     "predict_jaccard_k30": _predict("jaccard", PREDICT_K),
     "predict_cold_start": q_predict_cold_start,
     "cold_items": q_cold_items,
+    "predict_held_out_items": q_predict_held_out_items,
+    "cold_items_held_out": q_cold_items_held_out,
     "mae_cosine": _mae("cosine"),
     "mae_jaccard": _mae("jaccard"),
     "mae_deltas": q_mae_deltas,

@@ -25,6 +25,10 @@ PERSONAL = """personal AS (
   SELECT p_partkey AS item, p_name AS title,
          CASE WHEN p_partkey % 7 = 3 THEN CAST(1 + p_partkey % 5 AS DOUBLE) END AS rating
   FROM part)"""
+HELD_OUT_TRAIN = """train AS (
+  SELECT "user", item, rating FROM r_all WHERE ("user" * 7 + item * 13) % 5 <> 0 AND item % 37 <> 0)"""
+HELD_OUT_TARGETS = """targets AS (
+  SELECT "user", item, rating FROM r_all WHERE ("user" * 7 + item * 13) % 5 = 0 OR item % 37 = 0)"""
 COLD_TARGETS = """targets AS (
   SELECT "user", item, rating FROM base_targets
   UNION ALL SELECT -("user" + 2), item, rating FROM base_targets
@@ -243,6 +247,7 @@ def oracle_sql() -> dict[str, str]:
     split = split_ctes()
     kl = ", ".join(str(k) for k in KS)
     cold = [RATINGS, SPLIT_TRAIN, SPLIT_TARGETS.replace("targets AS", "base_targets AS"), COLD_TARGETS] + MODEL
+    held = [RATINGS, HELD_OUT_TRAIN, HELD_OUT_TARGETS] + MODEL
     return {
         "ratings": with_(base, 'SELECT "user", item, rating FROM r_all'),
         "ratings_profile": with_(base, """SELECT count(*) AS n_rows,
@@ -291,6 +296,9 @@ FROM (SELECT unnest([{kl}]) AS k) CROSS JOIN (SELECT count(*) AS n FROM users)""
         "predict_cold_start": with_(cold + prediction_ctes("cosine", 0),
                                     f'SELECT "user", item, rating, {r6("prediction")} AS prediction FROM pred'),
         "cold_items": with_(cold, 'SELECT "user", item FROM targets t WHERE NOT EXISTS (SELECT 1 FROM train r WHERE r.item = t.item)'),
+        "predict_held_out_items": with_(held + prediction_ctes("cosine", 0),
+                                        f'SELECT "user", item, rating, {r6("prediction")} AS prediction FROM pred'),
+        "cold_items_held_out": with_(held, 'SELECT "user", item FROM targets t WHERE NOT EXISTS (SELECT 1 FROM train r WHERE r.item = t.item)'),
         "mae_cosine": mae_sql("cosine"),
         "mae_jaccard": mae_sql("jaccard"),
         "mae_deltas": _mae_deltas(),

@@ -7,6 +7,7 @@ from kinship.sources.tables import (
     load_table,
     personal_from_parts,
     ratings_from_orders,
+    split_holding_out_items,
     split_ratings,
 )
 
@@ -19,6 +20,7 @@ __all__ = [
     "ratings_profile",
     "read_personal",
     "read_ratings",
+    "split_holding_out_items",
     "split_ratings",
     "write_report",
 ]

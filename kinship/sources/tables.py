@@ -16,6 +16,7 @@ PERSONAL_USER = -1          # id of the "new user" of the recommender (real ids
 SPLIT_USER_FACTOR = 7       # a rating is a target when (7*user + 13*item) % 5 == 0
 SPLIT_ITEM_FACTOR = 13
 SPLIT_MODULUS = 5
+HELD_OUT_MODULUS = 37       # the item split also makes targets of all ratings of items with item % 37 == 0
 PERSONAL_RATED_MODULUS = 7  # part rated by the personal user when p_partkey % 7 == 3,
 PERSONAL_RATED_REMAINDER = 3  # with rating 1 + p_partkey % 5
 PERSONAL_RATING_MODULUS = 5
@@ -47,6 +48,13 @@ def split_ratings(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
     return ratings.where(~is_target()), ratings.where(is_target())
 
 
+def split_holding_out_items(ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The train/target split with real cold items: besides the usual targets, every
+    rating of a held-out item is a target, so that train never sees those items."""
+    target = is_target() | (F.col("item") % HELD_OUT_MODULUS == 0)
+    return ratings.where(~target), ratings.where(target)
+
+
 def personal_from_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``personal(item LONG, title STRING, rating DOUBLE NULL)`` from ``part``."""
     part = load_table(spark, sf_dir, "part").select("p_partkey", "p_name")
