@@ -19,6 +19,7 @@ _LOWER[65:91] += 32
 BASE_A = 0x9E3779B97F4A7C15
 BASE_B = 0xD1B54A32D192ED03
 BLOCK_BYTES = 1 << 19  # numpy works on blocks of about this many text bytes
+POSITION_BITS = 24  # low bits of a key that hold its position in sliding_argmin
 
 _pows: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -150,18 +151,24 @@ def byte_values(block: Block) -> np.ndarray:
 
 def sliding_argmin(keys: np.ndarray, width: int) -> np.ndarray:
     """Position of the smallest of every ``width`` consecutive keys (leftmost of
-    equals on their upper 40 bits; at most 2^24 keys)."""
+    equals on the bits above ``POSITION_BITS``). More keys than these bits can number
+    are taken in segments that overlap by ``width - 1`` keys: same answer."""
     n = len(keys) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.int64)
-    m = (keys & U64(0xFFFFFFFFFF000000)) | np.arange(len(keys), dtype=U64)
+    most = 1 << POSITION_BITS
+    if len(keys) > most:
+        step = most - width + 1
+        return np.concatenate([sliding_argmin(keys[s:s + most], width) + s for s in range(0, n, step)])
+    low = U64(most - 1)
+    m = (keys & ~low) | np.arange(len(keys), dtype=U64)
     size = 1
     while size * 2 <= width:
         m = np.minimum(m[:-size], m[size:])
         size *= 2
     if size < width:
         m = np.minimum(m[:n], m[width - size:width - size + n])
-    return (m[:n] & U64(0xFFFFFF)).astype(np.int64)
+    return (m[:n] & low).astype(np.int64)
 
 
 class Runs:
