@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.session import write_table
-from llm._spark import NO_ID, keyed, pack, ship, small_batches, unpack
+from llm._spark import pack, ship, small_batches, unpack
 from llm._symbols import U64, Block, Words, blocks, mix, signed
 from llm.components import components
 
@@ -45,7 +45,6 @@ BLOCK_BYTES = 8 << 20  # of compressed text
 BITS = 4096
 FANOUT = 8
 PAIRS = 8192  # node pairs looked at together
-_NO_ID = 1 << 62  # nodes from here on stand for rows without an id
 
 
 def _sets(block: Block, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -227,6 +226,13 @@ def _links(cells: DataFrame, width: int, percent: int) -> DataFrame:
     return rows.mapInArrow(work, "a long, b long")
 
 
+def _versions(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(_id, _v, _text)`` as ``keyed`` gives them, but a null id stays null."""
+    text, given = docs[text_col].cast("string"), docs[id_col].cast("long")
+    version = F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text))
+    return docs.select(given.alias("_id"), F.coalesce(version, F.lit(-1)).alias("_v"), text.alias("_text"))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH,
                     percent: int = PERCENT, block_sets: int = BLOCK_SETS, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(<id_col>, _v, n_shingles, component_id)`` for every row: the smallest id that
@@ -235,37 +241,38 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     sequence is one shingle. ``_v`` is a checksum of the text.
 
     Documents without words or with null text have an empty set and are their own
-    component. A row without an id links like any other, but its id never names a
-    component (null if there is no other). Rows with one id are one document: what one
-    of them links, all do. Ids must be below 2^62. An empty table gives an empty result;
-    other columns are ignored. ``percent`` is at
-    least 50 (below, no run of elements needs to be common).
+    component. A row without an id links like any other, but never names a component
+    (null if there is no other). Every long is an id. Rows with one id are one document:
+    what one of them links, all do. An empty table gives an empty result; other columns
+    are ignored. ``percent`` is at least 50 (below, no run of elements needs to be common).
     """
     if not 50 <= percent <= 100:
         raise ValueError("the threshold is a percentage from 50 to 100")
     ship(docs.sparkSession)
-    rows = keyed(docs, id_col, text_col)
-    every = write_table(_signatures(rows, width, percent).withColumn(
-        "_id", F.when(F.col("_id") != NO_ID, F.col("_id")).otherwise(F.lit(NO_ID) - F.pmod("_v", F.lit(1 << 61)))), "signatures")
-    classes = write_table(every.where("n > 0").groupBy("h1", "h2").agg(F.min(F.struct("_id", "_v", "keys")).alias("r"))
-                          .select("h1", "h2", F.col("r._id").alias("rep"), F.col("r._v").alias("rep_v"), "r.keys"), "classes")
+    rows = _versions(docs, id_col, text_col)
+    every = write_table(_signatures(rows, width, percent), "signatures")
+    # links are between the numbers of classes, so that an id may be any long or null
+    first = F.min(F.struct(F.col("_id").isNull().alias("none"), "_id", "_v", "keys")).alias("r")
+    classes = write_table(every.where("n > 0").groupBy("h1", "h2").agg(first).select(
+        "h1", "h2", F.monotonically_increasing_id().alias("node"), F.col("r._id").alias("rep"), F.col("r._v").alias("rep_v"), "r.keys"), "classes")
     # rows with one id and different sets
-    member = every.where("n > 0").select("_id", "h1", "h2").join(classes.select("h1", "h2", "rep"), ["h1", "h2"]).select("_id", "rep")
-    several = member.groupBy("_id").agg(F.min("rep").alias("x"), F.max("rep").alias("y")).where("x <> y").select("_id")
-    same_id = write_table(member.join(several, "_id").select(F.col("_id").alias("a"), F.col("rep").alias("b")), "same-id")
+    member = every.where("n > 0 and _id is not null").select("_id", "h1", "h2").join(classes.select("h1", "h2", "node"), ["h1", "h2"]).select("_id", "node")
+    several = member.groupBy("_id").agg(F.min("node").alias("x"), F.max("node").alias("y")).where("x <> y").select("_id", "x")
+    same_id = write_table(member.join(several, "_id").where("node <> x").select(F.col("node").alias("a"), F.col("x").alias("b")), "same-id")
 
-    runs = classes.select("rep", F.explode("keys").alias("key"))
-    shared = write_table(runs.groupBy("key").agg(F.min("rep").alias("low"), F.max("rep").alias("high")).where("low < high")
+    runs = classes.select("node", F.explode("keys").alias("key"))
+    shared = write_table(runs.groupBy("key").agg(F.min("node").alias("low"), F.max("node").alias("high")).where("low < high")
                          .select("key", "low"), "shared-runs")
-    ties = runs.join(shared, "key").where("rep <> low").select(F.col("rep").alias("a"), F.col("low").alias("b"))
-    clusters = components(ties).select(F.col("id").alias("rep"), F.col("component").alias("cluster"))
-    chosen = classes.select("rep", F.col("rep_v").alias("_v")).join(clusters, "rep").select(F.col("rep").alias("_id"), "_v", "cluster")
-    packed = pack(rows.withColumn("_id", F.when(F.col("_id") != NO_ID, F.col("_id")).otherwise(F.lit(NO_ID) - F.pmod("_v", F.lit(1 << 61)))))
-    texts = write_table(packed.join(chosen, ["_id", "_v"]).dropDuplicates(["_id", "_v"]), "cluster-texts")
+    ties = runs.join(shared, "key").where("node <> low").select(F.col("node").alias("a"), F.col("low").alias("b"))
+    clusters = components(ties).select(F.col("id").alias("node"), F.col("component").alias("cluster"))
+    chosen = classes.select("node", F.col("rep").alias("c_id"), F.col("rep_v").alias("c_v")).join(clusters, "node")
+    packed = pack(rows)
+    texts = write_table(packed.join(chosen, packed["_id"].eqNullSafe(chosen["c_id"]) & (packed["_v"] == chosen["c_v"]))
+                        .select("node", "cluster", "_z").dropDuplicates(["node"]), "cluster-texts")
     sizes = texts.groupBy("cluster").agg(F.greatest(
         F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.octet_length("_z")) / block_bytes)).alias("blocks"))
     placed = write_table(texts.join(sizes, "cluster").select(
-        "cluster", "blocks", F.pmod(F.xxhash64("_id", "_v"), "blocks").alias("block"), F.col("_id").alias("id"), F.col("_z").alias("z")), "placed")
+        "cluster", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.col("node").alias("id"), F.col("_z").alias("z")), "placed")
     cell = lambda *parts: F.concat_ws("-", "cluster", *parts)
     links = write_table(_links(placed.select(cell("block").alias("cell"), F.lit(0).alias("side"), "id", F.col("id").alias("label"), "z"),
                                width, percent).union(same_id), "near-links")
@@ -285,12 +292,16 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                      .select("cell", "side", "id", "label", "z"))
             links = write_table(links.union(_links(cells, width, percent)), "near-links")
     final = components(links)
-    named = classes.select("h1", "h2", "rep").join(final, F.col("rep") == F.col("id"), "left").select(
-        "h1", "h2", F.coalesce("component", "rep").alias("component"))
+    # written, so that the classes of a large component can be split
+    linked = write_table(classes.select("h1", "h2", "node", "rep").join(final, F.col("node") == F.col("id")).select(
+        "h1", "h2", "rep", F.col("component").alias("group")), "linked")
+    names = write_table(linked.groupBy("group").agg(F.min("rep").alias("name")), "names")
+    renamed = linked.join(names, "group").select("h1", "h2", "name")
+    named = classes.select("h1", "h2", "rep").join(renamed, ["h1", "h2"], "left").select(
+        "h1", "h2", F.coalesce("name", "rep").alias("component"))
     out = every.select("_id", "_v", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id"))
-    public = lambda c: F.when(c < _NO_ID, c)
-    return out.select(public(F.col("_id")).alias(id_col), "_v", F.col("n").alias("n_shingles"), public(component).alias("component_id"))
+    return out.select(F.col("_id").alias(id_col), "_v", F.col("n").alias("n_shingles"), component.alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
@@ -299,9 +310,9 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **
     does each text without an id that links with no document that has one."""
     found = near_duplicates(docs, id_col, text_col, **options)
     stay = (found.where(F.col(id_col).eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
-            .select(F.coalesce(id_col, F.lit(NO_ID)).alias("_kid"), F.col("_v").alias("_kv")).distinct())
+            .select(F.col(id_col).alias("_kid"), F.col("_v").alias("_kv")).distinct())
     given, text = docs[id_col].cast("long"), docs[text_col].cast("string")
-    marked = docs.withColumn("_rid", F.coalesce(given, F.lit(NO_ID))).withColumn(
+    marked = docs.withColumn("_rid", given).withColumn(
         "_rv", F.coalesce(F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text)), F.lit(-1)))
-    kept = marked.join(stay, (F.col("_rid") == F.col("_kid")) & (F.col("_rv") == F.col("_kv")), "left_semi")
+    kept = marked.join(stay, F.col("_rid").eqNullSafe(F.col("_kid")) & (F.col("_rv") == F.col("_kv")), "left_semi")
     return kept.dropDuplicates(["_rid", "_rv"]).drop("_rid", "_rv")

@@ -99,6 +99,19 @@ def test_keep_one_of_each_group(spark):
     assert sorted(r.doc_id for r in kept.collect()) == sorted({c for _, _, c in brute(rows)})
 
 
+def test_every_long_is_an_id(spark):
+    wide = [1 << 62, (1 << 62) + 1, (1 << 63) - 2, (1 << 63) - 1, -(1 << 63), -5, 0]
+    near = lambda k: " ".join(f"{w}{k}" for w in range(40))
+    rows = [(i, f"only {i} and no other text") for i in wide] + [((1 << 62) + 7, near(1)), ((1 << 63) - 9, near(1) + " end"), (None, near(1) + " End"),
+            (None, near(2)), (None, near(2) + " end"), ((1 << 63) - 1, near(3)), (None, near(3) + " end"), ((1 << 62) + 9, None), (None, "")]
+    df = spark.createDataFrame([(a, b, "x") for a, b in rows], "doc_id long, text string, rep string")
+    got = near_duplicates(df)
+    assert sorted(((r.doc_id, r.n_shingles, r.component_id) for r in got.collect()), key=str) == brute(rows)
+    kept = sorted((r.doc_id for r in keep_one(df).collect()), key=str)
+    # both texts near(2) have no id to choose by; a row without words stays
+    assert kept == sorted([*wide, (1 << 62) + 7, (1 << 63) - 1, (1 << 62) + 9, None, None, None], key=str)
+
+
 def test_tree_never_drops_a_similar_pair():
     rnd = np.random.default_rng(0)
     base = [np.unique(rnd.integers(0, 1 << 63, n, dtype=np.uint64)) for n in rnd.integers(1, 900, 60)]
