@@ -41,7 +41,8 @@ UNKNOWN = "und"
 DIM = 4096
 GRAMS = (1, 2, 3, 4)
 SAMPLE_PER_LANG = 300  # bound of the training sample, rows a language
-MAX_LANGS = 64
+FULL_LANGS = 64  # with more languages, all of them share the rows of this many ...
+LEAST_PER_LANG = 20  # ... but none gets fewer than this many rows
 ROWS_AT_ONCE = 256
 _KEEP = np.ones(256, dtype=bool)  # letters and all bytes beyond ASCII
 _KEEP[:128] = [chr(c).isalpha() for c in range(128)]
@@ -134,22 +135,21 @@ class LanguageModel:
 
 def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel | None:
     """Fit on at most ``per_lang`` rows of each language (those with the smallest
-    hash of the id; of equal ids one), and of the MAX_LANGS most frequent languages.
-    None without labelled text."""
+    hash of the id; of equal ids one). Every label value is a language. Beyond
+    FULL_LANGS of them the sample stays at ``FULL_LANGS * per_lang`` rows in total, dealt
+    out evenly, but no language gives fewer than LEAST_PER_LANG rows for it. None
+    without labelled text."""
     ship(labelled.sparkSession)
     rows = labelled.select(labelled[lang_col].cast("string").alias("l"),
                            F.md5(F.coalesce(labelled[id_col].cast("string"), F.lit(""))).alias("k"),
                            labelled[text_col].cast("string").alias("t")).where("l is not null and t is not null")
+    n_langs = rows.select("l").distinct().count()
+    if not n_langs:
+        return None
+    per_lang = min(per_lang, max(LEAST_PER_LANG, FULL_LANGS * per_lang // n_langs))
     # the cut is found on narrow rows: each task passes on at most per_lang rows a language
     nth = F.row_number().over(Window.partitionBy("l").orderBy("k"))
     cut = rows.select("l", "k", nth.alias("nth")).where(F.col("nth") <= per_lang).groupBy("l").agg(F.max("k").alias("cut"))
-    often = rows.groupBy("l").agg(F.count("*").alias("n"))
-    cuts = cut.join(often, "l").orderBy(F.desc("n"), "l").limit(MAX_LANGS).collect()
-    if not cuts:
-        return None
-    wanted = F.lit(False)
-    for c in cuts:
-        wanted = wanted | ((F.col("l") == c.l) & (F.col("k") <= c.cut))
 
     def work(batches):
         for b in batches:
@@ -157,7 +157,8 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang
                 part = [v.astype(np.float16).tobytes() for v in x]
                 yield pa.RecordBatch.from_arrays([b.column(0)[rows], pa.array(part, pa.binary())], ["l", "x"])
 
-    sample = rows.where(wanted).groupBy("l", "k").agg(F.min("t").alias("t"))
+    # one narrow row a language
+    sample = rows.join(F.broadcast(cut), "l").where("k <= cut").groupBy("l", "k").agg(F.min("t").alias("t"))
     got = sorted((r.l, bytes(r.x)) for r in sample.select("l", "t").mapInArrow(work, "l string, x binary").collect())
     x = np.stack([np.frombuffer(v, np.float16) for _, v in got]).astype(np.float32)
     langs = sorted({lang for lang, _ in got})

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import pytest
@@ -35,6 +36,17 @@ def test_without_labels_or_rows(spark):
     assert predict(one, fit(one, "text", "lang", "doc_id")).first().lang_pred == "en"
 
 
+def test_every_label_value_is_learned(spark):
+    rnd = random.Random(7)
+    labels = ["en", "en-US", "EN", *(f"q{i:02d}" for i in range(70))]
+    texts = {k: " ".join("".join(rnd.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(7)) for _ in range(8)) for k in labels}
+    rows = [(100 * n + i, " ".join([t] * (1 + i)), k, "") for n, (k, t) in enumerate(texts.items()) for i in range(2 + (n < 40))]
+    df = spark.createDataFrame(rows, SCHEMA)
+    model = fit(df, "text", "lang", "doc_id")
+    assert model.langs == sorted(labels)
+    assert all(r.lang_pred == r.lang for r in predict(df, model).collect())
+
+
 def test_no_prediction_sees_label_or_id(spark):
     rows = [(i, ("the and of " if i % 2 else "der und die ") * 5, "en" if i % 2 else "de", "") for i in range(100)]
     df = spark.createDataFrame(rows, SCHEMA)
