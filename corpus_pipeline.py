@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from kinship.session import write_table
 from llm import decontaminate as bench
 from llm.jaccard_join import keep_one
-from llm.language_id import UNKNOWN, fit, held_out, predict
+from llm.language_id import UNKNOWN, fit, has_letter, held_out, predict
 from llm.mixing import mix
 from llm.sharding import document_dims, shard
 
@@ -21,9 +21,12 @@ from llm.sharding import document_dims, shard
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without a language: null texts and texts without a letter.
     What the classifier finds but is unsure of stays, since a short or noisy text of a
-    known language scores low, too."""
+    known language scores low, too; so does any text with a letter when no label could
+    be learned. Other columns of ``docs`` may have any name."""
     model = fit(docs.where(~held_out(docs["doc_id"])), "text", "lang", "doc_id")
-    return predict(docs, model).where(F.col("lang_pred") != UNKNOWN).select(*docs.columns)
+    free = "_" * (1 + max(map(len, docs.columns)))  # longer than every name
+    found = predict(docs, model, names=(f"{free}lang", f"{free}score"))
+    return found.where((F.col(f"{free}lang") != UNKNOWN) | has_letter(F.col("text"))).select(*docs.columns)
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -172,15 +172,20 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang
     return LanguageModel(langs, families, as_matrix(family_w), pairs, as_matrix(pair_w))
 
 
-def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text") -> DataFrame:
+def has_letter(text: Column) -> Column:
+    return F.coalesce(text.rlike(_LETTER), F.lit(False))
+
+
+def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text",
+            names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
     """All columns of ``docs`` plus ``lang_pred`` and ``score`` (0 to 1), from the whole text alone.
 
     A null text or one without a letter, and every text without a model, is ``und``
     with score 0. Works row by row: repeated rows get equal answers, an empty table
-    stays empty. ``docs`` must not have columns of these two names.
+    stays empty. ``docs`` must not have columns of these two names; ``names`` gives others.
     """
     ship(docs.sparkSession)
-    taken = {"lang_pred", "score"} & {c.lower() for c in docs.columns}
+    taken = {n.lower() for n in names} & {c.lower() for c in docs.columns}
     if taken:
         raise ValueError(f"columns in the way: {sorted(taken)}")
     at = docs.columns.index(text_col)
@@ -193,11 +198,11 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
                     got, sure = model.predict(x)
                     lang[rows] = np.where(letter, got, -1)
                     score[rows] = np.where(letter, sure, 0.0)
-            names = np.array([*(model.langs if model else ()), UNKNOWN], dtype=object)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(names[lang], pa.string()), pa.array(score, pa.float64())],
-                                             [*b.schema.names, "lang_pred", "score"])
+            langs = np.array([*(model.langs if model else ()), UNKNOWN], dtype=object)
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[lang], pa.string()), pa.array(score, pa.float64())],
+                                             [*b.schema.names, *names])
 
-    schema = StructType([*docs.schema.fields, StructField("lang_pred", StringType()), StructField("score", DoubleType())])
+    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
     return docs.mapInArrow(work, schema)
 
 

@@ -5,6 +5,8 @@ import hashlib
 import re
 import zlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as pipe
 from kinship.session import write_table
 
@@ -94,6 +96,15 @@ def test_stages(spark):
     assert [n for n, _ in pipe.STAGES] == ["language_id", "near_duplicates", "decontamination", "mixing", "sharding"]
 
 
+def test_language_stage_without_labels_and_with_clashing_columns(spark):
+    rows = [(1, "some words", None, 0.5, "a", 1), (2, None, None, 1.0, "b", 2), (3, "12 -- 34", None, 2.0, "c", 3), (4, "ß 1", None, 3.0, None, 4), (5, "", None, 4.0, "", 5)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, score double, lang_pred string, _score int")
+    out = pipe.language_stage(spark, docs, SF)
+    assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == [rows[0], rows[3]]
+    named = docs.withColumn("lang", F.lit("und"))  # a label like any other
+    assert sorted(r.doc_id for r in pipe.language_stage(spark, named, SF).collect()) == [1, 4]
+
+
 def test_run_and_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
