@@ -83,7 +83,7 @@ def _order(strings: list[bytes], family: np.ndarray, width: int) -> tuple[np.nda
     n = len(strings)
     text = np.array(strings, dtype=f"S{width}")
     length = np.array([len(s) for s in strings])
-    order = np.lexsort((-length, text, family))
+    order = np.lexsort((length, text, family))  # numpy pads with NUL: by length, an end sorts before a NUL
     grid = text.view(np.uint8).reshape(n, width)[order]
     same = np.ones((n, width + 1), dtype=bool)
     same[1:, :width] = grid[1:] == grid[:-1]

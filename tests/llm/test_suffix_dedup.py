@@ -2,10 +2,11 @@ import hashlib
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 
 from llm.catalog import QUERIES
-from llm.suffix_dedup import suffix_dedup
+from llm.suffix_dedup import _classes, repeated_in_families, suffix_dedup
 
 
 def brute(rows, window):
@@ -57,6 +58,14 @@ def test_matches_brute_force(spark, seed, family):
     assert out == brute(rows, 24)
 
 
+def test_an_end_is_not_a_nul(spark):
+    got = _classes([b"ab\0\0", b"ab", b"ab\0\0z"], np.zeros(3, np.int64), np.arange(1, 6))
+    equal = [(c[0] == c[1], c[0] == c[2], c[1] == c[2]) for c in got.tolist()]
+    assert equal == [(True,) * 3] * 2 + [(False, True, False)] * 2 + [(False,) * 3]
+    rows = [(1, False, 0, 1, 2, b"xxab\0\0"), (1, False, 0, 1, 4, b"yyxxab"), (1, False, 0, 2, 2, b"xxab\0\0z")]
+    assert [n.tolist() for n in repeated_in_families(rows, 6)] == [[0], [], [0]]
+
+
 def test_empty_table(spark):
     assert suffix_dedup(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 
