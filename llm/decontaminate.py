@@ -148,12 +148,15 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     return result
 
 
-def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The documents that hold no item, with all their columns. A row goes by its id and text."""
+def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
+                  item_col: str = "item_id", item_text_col: str = "text", **options) -> DataFrame:
+    """The documents that hold no item, with all their columns. A row goes by its id and
+    text. Items need no id: ``item_col`` plays no part."""
     text = docs[text_col].cast("string")
     marked = docs.withColumn("_mark", F.xxhash64(docs[id_col], text))
     keyed = marked.select(marked["_mark"].alias("_mark_id"), marked[text_col].alias("_mark_text"))
-    hits = contained_items(keyed, items, "_mark_id", "_mark_text", **options).select(F.col("_mark_id").alias("_bad")).distinct()
+    texts = items.select(F.xxhash64(items[item_text_col].cast("string")).alias("_item"), items[item_text_col].alias("_item_text"))
+    hits = contained_items(keyed, texts, "_mark_id", "_mark_text", "_item", "_item_text", **options).select(F.col("_mark_id").alias("_bad")).distinct()
     return marked.join(hits, F.col("_mark") == F.col("_bad"), "left_anti").drop("_mark")
 
 

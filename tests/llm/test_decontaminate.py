@@ -54,6 +54,13 @@ def test_matches_brute_force(spark, block):
     assert sorted((r.doc_id for r in kept.collect()), key=str) == sorted((r[0] for r in docs if r[0] not in bad), key=str)
 
 
+def test_items_without_an_id_remove_documents(spark):
+    d = spark.createDataFrame([(1, "x a b c d e f y", 0), (2, "a b c", 0), (3, "k l m n o p", 0)], DOCS)
+    b = spark.createDataFrame([(None, "a B c d e f", 0), (7, "k l m n o", 0), (None, None, 0)], ITEMS)
+    assert [r.doc_id for r in decontaminate(d, b).collect()] == [2]
+    assert [(r.doc_id, r.item_id) for r in contained_items(d, b).collect()] == [(3, 7)]
+
+
 def test_empty_tables(spark):
     d, b = spark.createDataFrame([(1, "a b c d e", 0)], DOCS), spark.createDataFrame([(1, "a b c d e", 0)], ITEMS)
     assert contained_items(d.limit(0), b).collect() == [] and contained_items(d, b.limit(0)).collect() == []
