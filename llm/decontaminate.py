@@ -8,8 +8,9 @@ them, so no match is lost. Each document looks its shingles up in the sketch ind
 of every size partition that its own size allows, and each candidate is verified by
 exact containment of the whole item in the same pass, with no shuffle of documents.
 
-The index goes to the workers in blocks of at most ``BLOCK_SHINGLES`` shingles;
-a larger benchmark takes more blocks, each a pass over the documents.
+The index of a benchmark of at most ``BLOCK_SHINGLES`` shingles goes to the workers as
+one broadcast. A larger one stays in tables: sketches and the documents' distinct
+shingles meet in a join, and each candidate is counted exactly in a second one.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kinship.session import write_table
 from llm._spark import ship
 from llm._symbols import BASE_B, U64, Rolling, Words, blocks, mix
 
@@ -38,6 +40,16 @@ def _row_shingles(words: Words, width: int, salt: int) -> tuple[np.ndarray, np.n
     return row[ok], hashes[ok]
 
 
+def _distinct(words: Words, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """(row, hash): the distinct shingles of every row, ascending."""
+    row, h = _row_shingles(words, width, width)
+    order = np.lexsort((h, row))
+    row, h = row[order], h[order]
+    fresh = np.ones(len(h), bool)
+    fresh[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
+    return row[fresh], h[fresh]
+
+
 def _item_sets(items: DataFrame, id_col: str, text_col: str, width: int) -> DataFrame:
     def work(batches):
         for b in batches:
@@ -59,7 +71,7 @@ def _item_sets(items: DataFrame, id_col: str, text_col: str, width: int) -> Data
 
 
 class _Index:
-    """A block of items: per size partition, the sorted sketch hashes and their items."""
+    """The items: per size partition, the sorted sketch hashes and their items."""
 
     def __init__(self, rows: list[tuple[int, int, np.ndarray]], threshold: float):
         self.items = [r[0] for r in rows]
@@ -80,12 +92,7 @@ class _Index:
     def search(self, words: Words):
         """(row, item, size, shared) of every contained item of a block of documents."""
         for width in self.widths:
-            row, h = _row_shingles(words, width, width)
-            order = np.lexsort((h, row))
-            row, h = row[order], h[order]
-            fresh = np.ones(len(h), bool)
-            fresh[1:] = (row[1:] != row[:-1]) | (h[1:] != h[:-1])
-            row, h = row[fresh], h[fresh]
+            row, h = _distinct(words, width)
             begin = np.searchsorted(row, np.arange(len(words.offsets)))
             size = np.diff(begin)
             for own, least, hashes, who in self.parts:
@@ -102,6 +109,42 @@ class _Index:
                         yield r, self.items[k], len(item), shared
 
 
+def _doc_shingles(texts: DataFrame, widths: list[int]) -> DataFrame:
+    """(_id, doc, width, hash, n): the distinct shingles of every document, and their number."""
+
+    def work(batches):
+        for b in batches:
+            ids, doc = b.column(0), b.column(1).to_numpy()
+            for block in blocks(b.column(2)):
+                words = Words(block, lower=True)
+                for width in widths:
+                    row, h = _distinct(words, width)
+                    at = block.rows.start + row
+                    yield pa.RecordBatch.from_arrays(
+                        [ids.take(pa.array(at)), pa.array(doc[at]), pa.array(np.full(len(row), width, np.int32)), pa.array(h.view(np.int64)),
+                         pa.array(np.bincount(row, minlength=block.n)[row])], ["_id", "doc", "width", "hash", "n"])
+
+    numbered = texts.select("_id", F.monotonically_increasing_id().alias("doc"), "_text")
+    return numbered.mapInArrow(work, "_id long, doc long, width int, hash long, n long")
+
+
+def _join_tables(texts: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """(_id, item, size, shared) by joins alone; a row of ``sets`` is an item."""
+    need = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.size("shingles") - F.lit(1e-9)))
+    items = write_table(sets.select(F.monotonically_increasing_id().alias("nth"), "item", "width", "shingles",
+                                    F.size("shingles").cast("long").alias("size"), need.cast("long").alias("need")), "items")
+    widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most as many as a shingle has words
+    docs = write_table(_doc_shingles(texts, widths), "doc-shingles")
+    # any size - need + 1 shingles will do as a sketch: a match lacks size - need of them at most
+    sketch = items.select("nth", "width", "need", F.explode(F.expr(
+        "slice(array_sort(shingles), 1, cast(size - need + 1 AS int))")).alias("hash"))
+    pairs = write_table(docs.join(sketch, ["width", "hash"]).where("n >= need").select("_id", "doc", "nth").distinct(), "candidates")
+    wanted = pairs.join(items, "nth").select("_id", "doc", "nth", "item", "width", "size", "need", F.explode("shingles").alias("hash"))
+    found = wanted.join(docs.select("doc", "width", "hash"), ["doc", "width", "hash"])
+    return (found.groupBy("_id", "doc", "nth", "item", "size", "need").agg(F.count("*").alias("shared"))
+            .where("shared >= need").select("_id", "item", "size", "shared"))
+
+
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
                     item_text_col: str = "text", width: int = WIDTH, threshold: float = THRESHOLD,
                     block_shingles: int = BLOCK_SHINGLES) -> DataFrame:
@@ -118,34 +161,27 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
     texts = docs.select(docs[id_col].cast("long").alias("_id"), docs[text_col].cast("string").alias("_text"))
     schema = f"`{id_col}` long, `{item_col}` long, n_item_shingles long, n_shared long, containment double"
 
-    def one_pass(part):
-        index = spark.sparkContext.broadcast(_Index(part, threshold))
-
-        def work(batches):
-            for b in batches:
-                ids = b.column(0)
-                for block in blocks(b.column(1)):
-                    out = [(ids[block.rows.start + r].as_py(), i, n, s, s / n) for r, i, n, s in index.value.search(Words(block, lower=True))]
-                    if out:
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [pa.float64()])],
-                            [id_col, item_col, "n_item_shingles", "n_shared", "containment"])
-
-        return texts.mapInArrow(work, schema)
-
-    result, part, size = spark.createDataFrame([], schema), [], 0
-    passes = []
-    for r in _item_sets(items, item_col, item_text_col, width).toLocalIterator():
-        part.append((r.item, r.width, r.shingles))
-        size += len(r.shingles)
-        if size >= block_shingles:
-            passes.append(one_pass(part))
-            part, size = [], 0
-    if part:
-        passes.append(one_pass(part))
-    for p in passes:
-        result = result.union(p) if len(passes) > 1 else p
-    return result
+    sets = write_table(_item_sets(items, item_col, item_text_col, width), "item-sets")
+    if (sets.agg(F.sum(F.size("shingles"))).first()[0] or 0) > block_shingles:
+        found = _join_tables(texts, sets, threshold)
+        return found.select(F.col("_id").alias(id_col), F.col("item").alias(item_col), F.col("size").alias("n_item_shingles"),
+                            F.col("shared").alias("n_shared"), (F.col("shared") / F.col("size")).alias("containment"))
+    part = [(r.item, r.width, r.shingles) for r in sets.toLocalIterator()]
+    if not part:
+        return spark.createDataFrame([], schema)
+    index = spark.sparkContext.broadcast(_Index(part, threshold))
+
+    def work(batches):
+        for b in batches:
+            ids = b.column(0)
+            for block in blocks(b.column(1)):
+                out = [(ids[block.rows.start + r].as_py(), i, n, s, s / n) for r, i, n, s in index.value.search(Words(block, lower=True))]
+                if out:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(c, t) for c, t in zip(zip(*out), [pa.int64()] * 4 + [pa.float64()])],
+                        [id_col, item_col, "n_item_shingles", "n_shared", "containment"])
+
+    return texts.mapInArrow(work, schema)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",

@@ -61,6 +61,21 @@ def test_items_without_an_id_remove_documents(spark):
     assert [(r.doc_id, r.item_id) for r in contained_items(d, b).collect()] == [(3, 7)]
 
 
+def test_a_large_benchmark_stays_out_of_the_driver(spark, monkeypatch):
+    def refuse(*args):
+        raise AssertionError("an index on the driver")
+
+    text = lambda k: " ".join(f"w{k}x{j}" for j in range(30))
+    d = spark.createDataFrame([(i, f"the {text(i)} end", 0) for i in range(50)] + [(None, text(3), 0)], DOCS).repartition(3)
+    b = spark.createDataFrame([(i, text(i), 0) for i in range(0, 50, 2)] + [(7, text(3), 0)], ITEMS)
+    want = sorted((tuple(r) for r in contained_items(d, b).collect()), key=str)
+    assert len(want) == 27
+    monkeypatch.setattr("llm.decontaminate._Index", refuse)
+    joined = contained_items(d, b, block_shingles=100)
+    assert joined.columns == ["doc_id", "item_id", "n_item_shingles", "n_shared", "containment"]
+    assert sorted((tuple(r) for r in joined.collect()), key=str) == want
+
+
 def test_empty_tables(spark):
     d, b = spark.createDataFrame([(1, "a b c d e", 0)], DOCS), spark.createDataFrame([(1, "a b c d e", 0)], ITEMS)
     assert contained_items(d.limit(0), b).collect() == [] and contained_items(d, b.limit(0)).collect() == []
