@@ -6,7 +6,7 @@ import math
 import duckdb
 import pytest
 
-from conftest import SF_SMALL
+from tiny_data import SF_SMALL
 from kinship import predict
 from kinship.sources.tables import ratings_from_orders, split_ratings
 

@@ -6,7 +6,7 @@ import tempfile
 
 import pytest
 
-from conftest import TINY_TARGETS, TINY_TRAIN
+from tiny_data import TINY_TARGETS, TINY_TRAIN
 from kinship.plans.jobs import knn_job, recommend_job, similarity_job
 
 

@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import SF_SMALL
+from tiny_data import SF_SMALL
 from kinship import directed, predict, preprocess, similarity
 from kinship.operators.features import user_count
 from kinship.operators.skew import SkewPolicy

@@ -112,7 +112,7 @@ def test_short_rating_line_fails(spark):
 
 
 def test_rewritten_input_is_read_again(spark, tmp_path):
-    from conftest import SF_SMALL
+    from tiny_data import SF_SMALL
     from kinship.plans.catalog import _ratings
 
     for name in ("orders", "lineitem"):
