@@ -11,11 +11,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from llm.conversation_repair import damage, repair_report
 from llm.decontaminate import OP10_SQL, contained_items
 from llm.jaccard_join import near_duplicates
 from llm.language_id import language_id
+from llm.merkle import merkle_proofs, tampered
 from llm.mixing import OP9_SQL, mix
-from llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP4_SQL, OP7_SQL
+from llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP4_SQL, OP7_SQL, OP11_SQL, OP12_SQL
+from llm.pii import OP13_SQL, base_spans, count_of, find_pii, labels
+from llm.pii import BASE_KINDS as PII_KINDS
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
 from llm.sharding import document_dims, shard
 from llm.substring_dedup import substring_dedup
@@ -86,6 +90,22 @@ def op10_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFram
     return contained_items(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return merkle_proofs(docs, claims=tampered(docs))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_report(damage(_table(spark, sf_dir, "conversations"))).withColumnRenamed("conv", "conv_id")
+
+
+def op13_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(_table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id", *[count_of(found["spans"], kind).alias(f"n_{kind}") for kind in PII_KINDS],
+        F.sha2(labels(base_spans(found["spans"])), 256).alias("base_sha256"), labels(found["spans"]).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_suffix_array_dedup": op2_suffix_array_dedup,
@@ -97,6 +117,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_hilbert_sharding": op8_hilbert_sharding,
     "op9_source_mixing": op9_source_mixing,
     "op10_benchmark_decontamination": op10_benchmark_decontamination,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_pii_anchors": op13_pii_anchors,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -108,4 +131,7 @@ ORACLE_SQL: dict[str, str] = {
     "op7_signature_tree_join": OP7_SQL,
     "op9_source_mixing": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
+    "op11_merkle_manifest": OP11_SQL,
+    "op12_conversation_repair": OP12_SQL,
+    "op13_pii_anchors": OP13_SQL,
 }

@@ -101,3 +101,100 @@ m AS (SELECT doc_id, min(low) AS low FROM r GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, m.low AS component_id
 FROM d LEFT JOIN n ON n.doc_id = d.doc_id JOIN m ON m.doc_id = d.doc_id
 """
+
+# Fixed value: the reversed polynomial of the checksum; its table and the checksum of an ASCII string ``k``.
+_CRC = """list_reduce(list_concat([4294967295], list_transform(string_split(k, ''), lambda ch: ascii(ch)::BIGINT)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1]))"""
+_CRC_TABLE = """SELECT list_transform(range(0, 256), lambda n: list_reduce([n, 0, 0, 0, 0, 0, 0, 0, 0],
+        lambda c, x: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS crc"""
+
+
+def _field(name: str) -> str:
+    return f"coalesce(octet_length(encode({name}::VARCHAR))::VARCHAR || ':' || {name}::VARCHAR, '-')"
+
+
+def _leaf(count: str) -> str:
+    return f"sha256({_field('doc_id')} || {_field('source')} || {_field('lang')} || {_field(count)} || {_field('text')})"
+
+
+# t: nodes of the trees of the groups by level, r: of the tree over their roots; s: siblings with their side;
+# f: the claimed leaf folded along them.
+OP11_SQL = f"""
+WITH RECURSIVE x AS ({_CRC_TABLE}),
+m AS (SELECT *, xor({_CRC}, 4294967295) % 7 = 0 AS bad FROM (SELECT *, doc_id::VARCHAR AS k FROM documents), x),
+d AS (SELECT doc_id, lang, {_leaf('n_chars')} AS leaf, {_leaf('changed')} AS claim,
+             row_number() OVER (PARTITION BY lang ORDER BY doc_id) - 1 AS i
+      FROM (SELECT *, CASE WHEN bad THEN n_chars + 1 ELSE n_chars END AS changed FROM m)),
+t(lang, level, i, h, n) AS (
+  SELECT lang, 0, i, leaf, count(*) OVER (PARTITION BY lang) FROM d
+  UNION ALL
+  SELECT lang, max(level) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 1) // 2 FROM t WHERE n > 1 GROUP BY lang, i // 2),
+g AS (SELECT lang, level AS high, h AS subroot, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS i FROM t WHERE n = 1),
+r(level, i, h, n) AS (
+  SELECT 0, i, subroot, count(*) OVER () FROM g
+  UNION ALL
+  SELECT max(level) + 1, i // 2, sha256(string_agg(h, '' ORDER BY i)), (max(n) + 1) // 2 FROM r WHERE n > 1 GROUP BY i // 2),
+e AS (SELECT level AS high, h AS root FROM r WHERE n = 1),
+a AS (SELECT d.doc_id, d.lang, t.level AS up, (t.i % 2) AS side, o.h FROM d JOIN t ON t.lang IS NOT DISTINCT FROM d.lang AND t.n > 1 AND t.i = d.i >> t.level
+      LEFT JOIN t o ON o.lang IS NOT DISTINCT FROM t.lang AND o.level = t.level AND o.i = xor(t.i, 1)
+      UNION ALL
+      SELECT d.doc_id, d.lang, g.high + r.level, (r.i % 2), o.h FROM d JOIN g ON g.lang IS NOT DISTINCT FROM d.lang
+      JOIN r ON r.n > 1 AND r.i = g.i >> r.level LEFT JOIN r o ON o.level = r.level AND o.i = xor(r.i, 1)),
+p AS (SELECT doc_id, sha256(coalesce(string_agg(h, '' ORDER BY up), '')) AS proof_sha256, max(up) + 1 AS steps FROM a GROUP BY doc_id),
+f(doc_id, up, h) AS (
+  SELECT doc_id, 0, claim FROM d
+  UNION ALL
+  SELECT f.doc_id, f.up + 1, sha256(CASE WHEN a.h IS NULL THEN f.h WHEN a.side = 1 THEN a.h || f.h ELSE f.h || a.h END)
+  FROM f JOIN a ON a.doc_id = f.doc_id AND a.up = f.up)
+SELECT d.doc_id, d.leaf, g.subroot, e.root, coalesce(p.proof_sha256, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = e.root AS verified
+FROM d JOIN g ON g.lang IS NOT DISTINCT FROM d.lang CROSS JOIN e LEFT JOIN p ON p.doc_id = d.doc_id
+JOIN f ON f.doc_id = d.doc_id AND f.up = coalesce(p.steps, 0)
+"""
+
+# b: cheapest way to every state after i rows, with its edits; an inserted row (i stays) is
+# tried before every row and at the end. State 0: nothing read, 1: system, 2: user, 3: assistant.
+_INSERTED = """SELECT conv, i, CASE WHEN q = 2 THEN 3 ELSE 2 END AS q, cost + 5 AS cost, audit || 'I' AS audit,
+               done || [CASE WHEN q = 2 THEN 'assistant:' ELSE 'user:' END] AS done"""
+_BEST = """SELECT conv, i, q, min(struct_pack(cost := cost, audit := audit, done := done)) AS b"""
+OP12_SQL = f"""
+WITH RECURSIVE x AS ({_CRC_TABLE}),
+c AS (SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text, coalesce(conv_id::VARCHAR, ' ') || ':' || coalesce(turn::VARCHAR, ' ') AS k
+      FROM conversations),
+m AS (SELECT *, xor({_CRC}, 4294967295) % 20 AS mode FROM c, x),
+g AS (SELECT conv_id, turn, CASE WHEN mode = 4 THEN 'user' ELSE role END AS role,
+             CASE mode WHEN 1 THEN '' WHEN 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+             unnest(CASE WHEN mode = 3 THEN [1, 2] ELSE [1] END) AS copy FROM m WHERE mode <> 0),
+o AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text, copy) AS i,
+             row_number() OVER (PARTITION BY conv_id, role, text ORDER BY turn NULLS FIRST, copy) AS nth,
+             substr(role, 1, 1) AS one, rtrim(text, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS body FROM g),
+f AS (SELECT *, CASE WHEN body = '' THEN 'blank' WHEN nth > 1 THEN 'duplicate' WHEN body[-1] NOT IN ('.', '!', '?') THEN 'truncated' ELSE 'fine' END AS fault,
+             lag(one) OVER (PARTITION BY conv_id ORDER BY i) || one AS pair FROM o),
+s AS (SELECT conv_id, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (WHERE fault = 'blank') AS blank,
+             count(*) FILTER (WHERE fault = 'duplicate') AS duplicate, count(*) FILTER (WHERE fault = 'truncated') AS truncated,
+             count(*) FILTER (WHERE pair NOT IN ('su', 'ua', 'au')) AS illegal, max(i) AS n FROM f GROUP BY conv_id),
+w AS (SELECT conv_id AS conv, i, one, role || ':' || text AS line, ':' || text AS rest, fault IN ('blank', 'duplicate') AS dead,
+             CASE WHEN fault = 'truncated' THEN 5 ELSE 0 END AS more FROM f),
+v(conv, i, q, b) AS (
+  SELECT conv_id, 0, 0, struct_pack(cost := 0, audit := '', done := []::VARCHAR[]) FROM s
+  UNION ALL
+  ({_BEST} FROM (
+    SELECT p.conv, p.i + 1 AS i, u.q, p.cost + u.cost AS cost, p.audit || u.edit AS audit, p.done || u.line AS done
+    FROM (SELECT conv, i, q, b.cost AS cost, b.audit AS audit, b.done AS done FROM v
+          UNION ALL {_INSERTED} FROM (SELECT conv, i, q, b.cost AS cost, b.audit AS audit, b.done AS done FROM v)) p
+    JOIN w ON w.conv IS NOT DISTINCT FROM p.conv AND w.i = p.i + 1,
+    LATERAL (SELECT unnest(list_filter([
+        {{'ok': true, 'q': p.q, 'cost': 2, 'edit': 'D', 'line': []::VARCHAR[]}},
+        {{'ok': NOT w.dead AND CASE w.one WHEN 's' THEN p.q = 0 WHEN 'u' THEN p.q <> 2 WHEN 'a' THEN p.q = 2 ELSE false END,
+          'q': CASE w.one WHEN 's' THEN 1 WHEN 'u' THEN 2 ELSE 3 END, 'cost': w.more, 'edit': 'K', 'line': [w.line]}},
+        {{'ok': NOT w.dead, 'q': CASE WHEN p.q = 2 THEN 3 ELSE 2 END, 'cost': 1 + w.more, 'edit': 'R',
+          'line': [CASE WHEN p.q = 2 THEN 'assistant' ELSE 'user' END || w.rest]}}], lambda y: y.ok), recursive := true)) u)
+   GROUP BY conv, i, q)),
+z AS (SELECT v.conv, v.q, b.cost AS cost, b.audit AS audit, b.done AS done FROM v JOIN s ON s.conv_id IS NOT DISTINCT FROM v.conv AND s.n = v.i),
+y AS (SELECT conv, min(struct_pack(cost := cost, audit := audit, done := done)) AS b
+      FROM (SELECT * FROM z UNION ALL SELECT conv, q, cost, audit, done FROM ({_INSERTED.replace(' i, ', ' ')} FROM z)) WHERE q IN (0, 3) GROUP BY conv)
+SELECT a.conv_id, coalesce(gaps, 0)::BIGINT AS gaps, coalesce(blank, 0)::BIGINT AS blank, coalesce(duplicate, 0)::BIGINT AS duplicate,
+       coalesce(truncated, 0)::BIGINT AS truncated, coalesce(illegal, 0)::BIGINT AS illegal, coalesce(b.cost, 0)::BIGINT AS cost,
+       coalesce(b.audit, '') AS audit, sha256(coalesce(array_to_string(b.done, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) a LEFT JOIN s ON s.conv_id IS NOT DISTINCT FROM a.conv_id
+LEFT JOIN y ON y.conv IS NOT DISTINCT FROM a.conv_id
+"""
