@@ -7,15 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, rescale, safe_ratio
-from kinship.operators.features import (
-    global_avg_value,
-    normalized_deviation,
-    user_avg,
-    user_count_value,
-)
+from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale
+from kinship.operators.features import known_users, normalized_deviation, user_table
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.predict import attach_similarity, candidates, finish, similar_users, weighted_deviation
+from kinship.operators.predict import finish, finish_per_k, positive, ranked_candidates, similar_users, weighted_deviation
+from kinship.operators.similarity import needs_norms
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 from kinship.session import write_table
 
@@ -45,11 +41,10 @@ def k_sweep(
 
     Neighbours are ranked once, up to the largest ``k``; the candidate rows of
     every target are joined with that ranked table once and summed with one
-    conditional sum per ``k``, so the cost does not grow with ``len(ks)``.
+    conditional sum per ``k``, so the cost does not grow with ``len(ks)``. An item with
+    more raters than the largest ``k`` is reached through the ranked neighbours of its
+    targets' users, so no item costs more than ``k`` rows a target.
     """
-    ks = sorted({int(k) for k in ks})
-    if not ks or ks[0] <= 0:
-        raise ValueError("k_sweep needs positive k values")
     return sweep_and_baseline(train, targets, ks, metric, bounds, skew)[0]
 
 
@@ -62,32 +57,17 @@ def sweep_and_baseline(
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
     """``k_sweep`` and the all-users predictions, from one written triangle of pairs."""
-    ks = sorted({int(k) for k in ks})
-    dev = normalized_deviation(train, bounds)
-    hot = plan_join(targets, train, "item", skew)
-    sims = write_table(similar_users(train, metric, bounds, skew), f"similarity-{metric}")
-    baseline = finish(targets, train, weighted_deviation(targets, dev, sims, hot, lower=True), bounds)
-    ranked = neighbors(directed(sims), ks[-1], user_count_value(train))
-    weighted = attach_similarity(candidates(targets, dev, hot), ranked, lower=False)
-    sums = []
-    for k in ks:
-        inside = F.col("rank") <= k
-        sums.append(F.sum(F.when(inside, F.col("dev") * F.col("sim"))).alias(f"num_{k}"))
-        sums.append(F.sum(F.when(inside, F.abs(F.col("sim")))).alias(f"den_{k}"))
-    per_target = weighted.groupBy("user", "item").agg(*sums)
-    means = user_avg(train).select("user", "avg_rating")
-    rows = (
-        targets.select("user", "item", "rating")
-        .join(per_target, ["user", "item"], "left")
-        .join(means, "user", "left")
-    )
-    per_k = F.explode(
-        F.array(*[F.struct(F.lit(k).alias("k"), safe_ratio(f"num_{k}", f"den_{k}").alias("w")) for k in ks])
-    )
-    g = global_avg_value(train)
-    exploded = rows.select("rating", "avg_rating", per_k.alias("s"))
-    pred = F.when(F.col("avg_rating").isNull(), g).otherwise(rescale("avg_rating", F.col("s.w"), bounds))
-    return exploded.groupBy(F.col("s.k").alias("k")).agg(F.avg(F.abs(F.col("rating") - pred)).alias("mae")), baseline
+    ks = positive(ks)
+    users = user_table(train, needs_norms(metric), bounds)
+    dev = normalized_deviation(train, bounds, users)
+    hot = plan_join(targets, train, "item", skew, wide=ks[-1])
+    sims = write_table(similar_users(train, metric, bounds, skew, users=users), f"similarity-{metric}")
+    baseline = finish(targets, users, weighted_deviation(targets, dev, sims, hot, lower=True), bounds)
+    ranked = neighbors(directed(sims), ks[-1], known_users(users))
+    if hot.wide is not None:  # read by both ways to the candidates
+        ranked = write_table(ranked, f"ranked-{metric}")
+    preds = finish_per_k(targets, users, ranked_candidates(targets, dev, ranked, hot), ks, bounds)
+    return preds.groupBy("k").agg(F.avg(F.abs(F.col("rating") - F.col("prediction"))).alias("mae")), baseline
 
 
 def lowest_k(sweep: DataFrame, baseline: Column | float) -> DataFrame:

@@ -2,10 +2,11 @@
 
 Per-user values are computed with grouped aggregates (partial aggregation on
 the map side, so a user with a huge number of ratings costs one partial row
-per map task) and joined back on ``user``. Spark broadcasts the per-user table
-when its measured size is under the broadcast threshold and shuffles both
-sides otherwise; AQE splits a skewed user on the ratings side. A window over
-``user`` would instead put all rows of one user into one task.
+per map task), written once as the user table and joined back on ``user``. Spark
+broadcasts that table when its file size is under the broadcast threshold and
+shuffles both sides otherwise. Both sides are then plain shuffles, which AQE can
+split where one user has very many ratings; it cannot split a side that is itself
+an aggregate, and a window over ``user`` would put all rows of one user into one task.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, deviation, safe_ratio
+from kinship.session import write_table
 
 
 def feature_avg(ratings: DataFrame, key: str) -> DataFrame:
@@ -65,10 +67,37 @@ def half_square(col: str) -> Column:
     return F.expr(f"if({n} % 2 = 0, ({n} div 2) * ({n} - 1), {n} * (({n} - 1) div 2))")
 
 
-def normalized_deviation(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+def user_table(ratings: DataFrame, norms: bool = True, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+    """``(user, n_ratings, sum_rating, avg_rating[, norm])``, written once; every branch of a
+    plan that needs a user's values reads it. Runs one job, two with ``norms`` (the L2 norm
+    of a user's deviations needs the mean first). Equal ratings of a user are counted
+    before they move, so a user costs as many rows as there are steps on the scale."""
+    counted = ratings.groupBy("user", "rating").agg(F.count(F.lit(1)).alias("times"))
+    sums = counted.groupBy("user").agg(F.sum("times").alias("n_ratings"), F.sum(F.col("rating") * F.col("times")).alias("sum_rating"))
+    means = write_table(sums.withColumn("avg_rating", F.col("sum_rating") / F.col("n_ratings")), "user-means")
+    if not norms:
+        return means
+    dev = counted.join(means, "user").withColumn("dev", deviation("rating", "avg_rating", bounds))
+    norm = F.sqrt(F.sum(F.col("times") * F.col("dev") * F.col("dev")))
+    return write_table(dev.groupBy(*means.columns).agg(norm.alias("norm")), "users")
+
+
+def known_users(users: DataFrame) -> Column:
+    """The number of users of a user table, as a scalar-subquery column."""
+    return users.agg(F.count("user").alias("n_users")).scalar()
+
+
+def overall_mean(users: DataFrame) -> Column:
+    """The global mean rating from a user table, as a scalar-subquery column."""
+    return users.agg(F.try_divide(F.sum("sum_rating"), F.sum("n_ratings")).alias("global_avg")).scalar()
+
+
+def normalized_deviation(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE, users: DataFrame | None = None) -> DataFrame:
     """``(user, item, rating, avg_rating, n_ratings, dev)``: each rating as a
-    scale-normalised deviation from its user's mean."""
-    return ratings.join(user_avg(ratings), "user").withColumn(
+    scale-normalised deviation from its user's mean. ``users``: the user table, if it
+    is already there."""
+    users = user_table(ratings, False) if users is None else users
+    return ratings.select("user", "item", "rating").join(users.select("user", "avg_rating", "n_ratings"), "user").withColumn(
         "dev", deviation("rating", "avg_rating", bounds)
     )
 
@@ -78,12 +107,14 @@ def user_norm(deviations: DataFrame) -> DataFrame:
     return deviations.groupBy("user").agg(F.sqrt(F.sum(F.col("dev") * F.col("dev"))).alias("norm"))
 
 
-def preprocess(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE, deviations: DataFrame | None = None) -> DataFrame:
+def preprocess(ratings: DataFrame, bounds: RatingScale = DEFAULT_SCALE, users: DataFrame | None = None) -> DataFrame:
     """``(user, item, rating, avg_rating, n_ratings, dev, ndev)``.
 
     ``ndev`` is ``dev`` divided by the user's norm; a user whose ratings are all
     equal has norm 0 and gets ``ndev = 0`` (so similarity 0 with everyone).
-    Pass ``deviations`` (from ``normalized_deviation``) to share that plan.
+    ``users``: the user table with norms, if it is already there. One join.
     """
-    dev = deviations if deviations is not None else normalized_deviation(ratings, bounds)
-    return dev.join(user_norm(dev), "user").withColumn("ndev", safe_ratio("dev", "norm")).drop("norm")
+    users = user_table(ratings, True, bounds) if users is None else users
+    known = ratings.select("user", "item", "rating").join(users.select("user", "avg_rating", "n_ratings", "norm"), "user")
+    return known.withColumn("dev", deviation("rating", "avg_rating", bounds)).withColumn(
+        "ndev", safe_ratio("dev", "norm")).drop("norm")

@@ -9,24 +9,21 @@ other users ``v`` (join on ``item``); each candidate is weighted by ``s(u, v)``
 
 Pairs with similarity 0 add nothing to either sum, so only non-zero
 similarities are joined. With ``k > 0`` the pair table holds each user's ``k``
-nearest neighbours only.
+nearest neighbours only, and several ``k`` share one ranking: a conditional sum for
+each of them.
 """
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
-from kinship.operators.features import (
-    global_avg_value,
-    normalized_deviation,
-    preprocess,
-    user_avg,
-    user_count_value,
-)
+from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
 from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.similarity import co_ratings, pair_input, similarity, similarity_from_pairs
+from kinship.operators.similarity import co_ratings, needs_norms, pair_input, similarity, similarity_from_pairs
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
@@ -75,49 +72,89 @@ def weighted_deviation(
 
 
 def similar_users(train: DataFrame, metric: str, bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
-                  for_users: DataFrame | None = None) -> DataFrame:
+                  for_users: DataFrame | None = None, users: DataFrame | None = None) -> DataFrame:
     """The non-zero similarities a prediction needs: the triangle, or for ``for_users``
     ordered pairs. Only the side that is asked for counts as the left of the join."""
-    pre = pair_input(train, metric, bounds)
+    pre = pair_input(train, metric, bounds, users)
     own = train if for_users is None else train.join(for_users.select("user").distinct(), "user", "left_semi")
     return similarity(pre, metric, plan_join(own, train, "item", skew), for_users)
 
 
-def nearest(train: DataFrame, sims: DataFrame, metric: str, k: int, ordered: bool) -> DataFrame:
+def nearest(sims: DataFrame, users: DataFrame, metric: str, k: int, ordered: bool) -> DataFrame:
     """The ``k`` nearest neighbours of each user. Cosine has negative values, which
     makes two consumers of the pairs (the ranks and a count per user), so those are
     written once to the shared folder; this runs a job while the plan is built."""
     if metric != "jaccard":
         sims = write_table(sims, f"similarity-{metric}")
-    return neighbors(sims if ordered else directed(sims), k, user_count_value(train))
+    return neighbors(sims if ordered else directed(sims), k, known_users(users))
 
 
-def deviation_of_nearest(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> DataFrame:
-    """``weighted_deviation`` for ranked neighbours: targets meet their user's ``k``
-    neighbours first and then the neighbours' ratings, so the rows are ``targets * k``
+def neighbour_first(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> DataFrame:
+    """``(user, item, neighbour, dev, sim, rank)``: targets meet their user's ranked neighbours
+    first and then the neighbours' ratings, so the rows in between are ``targets * k``
     however many raters an item has."""
-    wanted = targets.select("user", "item").distinct().join(ranked.select("user", "neighbour", "sim"), "user")
+    wanted = targets.select("user", "item").distinct().join(ranked.select("user", "neighbour", "sim", "rank"), "user")
     raters = dev.select(F.col("user").alias("neighbour"), "item", "dev")
-    return wanted.join(raters, ["neighbour", "item"]).groupBy("user", "item").agg(
-        F.sum(F.col("dev") * F.col("sim")).alias("num"), F.sum(F.abs(F.col("sim"))).alias("den"),
-    ).withColumn("w", safe_ratio("num", "den"))
+    return wanted.join(raters, ["neighbour", "item"]).select("user", "item", "neighbour", "dev", "sim", "rank")
+
+
+def ranked_candidates(targets: DataFrame, dev: DataFrame, ranked: DataFrame, hot: JoinPlan | None = None) -> DataFrame:
+    """The rows of ``neighbour_first``, by the cheaper way for every item: an item with
+    ``t`` targets and ``n`` raters costs ``t * n`` rows rater first and ``t * k`` neighbour first,
+    so the items with more than ``k`` raters (``hot.wide``, planned with ``wide=k``) go
+    neighbour first and the others rater first."""
+    slim = ranked.select("user", "neighbour", "sim", "rank")
+    by_rater = lambda t, d: attach_similarity(candidates(t, d, hot), slim, lower=False).select(
+        "user", "item", "neighbour", "dev", "sim", "rank")
+    if hot is None or hot.wide is None:
+        return by_rater(targets, dev)
+    part = lambda df, how: df.join(hot.wide, "item", how)
+    return by_rater(part(targets, "left_anti"), part(dev, "left_anti")).unionByName(
+        neighbour_first(part(targets, "left_semi"), part(dev, "left_semi"), slim))
 
 
-def finish(targets: DataFrame, train: DataFrame, w: DataFrame, bounds: RatingScale) -> DataFrame:
+def finish(targets: DataFrame, users: DataFrame, w: DataFrame, bounds: RatingScale) -> DataFrame:
     """Attach user means and the global mean; one output row per target row."""
-    means = user_avg(train).select("user", "avg_rating")
-    g = global_avg_value(train)
-    pred = F.when(F.col("avg_rating").isNull(), g).otherwise(
+    pred = F.when(F.col("avg_rating").isNull(), overall_mean(users)).otherwise(
         rescale("avg_rating", F.coalesce(F.col("w"), F.lit(0.0)), bounds)
     )
     return (
         targets.select("user", "item", "rating")
         .join(w.select("user", "item", "w"), ["user", "item"], "left")
-        .join(means, "user", "left")
+        .join(users.select("user", "avg_rating"), "user", "left")
         .select("user", "item", "rating", pred.alias("prediction"))
     )
 
 
+def finish_per_k(targets: DataFrame, users: DataFrame, weighted: DataFrame, ks: Sequence[int], bounds: RatingScale) -> DataFrame:
+    """``(k, user, item, rating, prediction)``, one row per target row and ``k``, from the ranked
+    rows of all targets: one grouping with a conditional sum per ``k``."""
+    sums = []
+    for k in ks:
+        inside = F.col("rank") <= k
+        sums.append(F.sum(F.when(inside, F.col("dev") * F.col("sim"))).alias(f"num_{k}"))
+        sums.append(F.sum(F.when(inside, F.abs(F.col("sim")))).alias(f"den_{k}"))
+    rows = (
+        targets.select("user", "item", "rating")
+        .join(weighted.groupBy("user", "item").agg(*sums), ["user", "item"], "left")
+        .join(users.select("user", "avg_rating"), "user", "left")
+    )
+    per_k = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("k"), safe_ratio(f"num_{k}", f"den_{k}").alias("w")) for k in ks]))
+    pred = F.when(F.col("avg_rating").isNull(), overall_mean(users)).otherwise(rescale("avg_rating", F.col("s.w"), bounds))
+    return rows.select("user", "item", "rating", "avg_rating", per_k.alias("s")).select(
+        F.col("s.k").alias("k"), "user", "item", "rating", pred.alias("prediction"))
+
+
+def _nearest_rows(train: DataFrame, targets: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
+                  only_target_users: bool) -> tuple[DataFrame, DataFrame]:
+    """The user table, and the rows of ``neighbour_first`` for the ``k`` nearest."""
+    users = user_table(train, needs_norms(metric), bounds)
+    sims = similar_users(train, metric, bounds, skew, targets.select("user") if only_target_users else None, users)
+    ranked = nearest(sims, users, metric, k, only_target_users)
+    return users, neighbour_first(targets, normalized_deviation(train, bounds, users), ranked)
+
+
 def predict(
     train: DataFrame,
     targets: DataFrame,
@@ -134,14 +171,36 @@ def predict(
     (ordered pairs) instead of the whole triangle; worth it when few users are
     asked for, as in a recommendation for one user.
     """
-    dev = normalized_deviation(train, bounds)
-    target_users = targets.select("user") if only_target_users else None
-    sims = similar_users(train, metric, bounds, skew, target_users)
     if k > 0:
-        w = deviation_of_nearest(targets, dev, nearest(train, sims, metric, k, only_target_users))
-    else:
-        w = weighted_deviation(targets, dev, sims, plan_join(targets, train, "item", skew), lower=not only_target_users)
-    return finish(targets, train, w, bounds)
+        return predict_per_k(train, targets, (k,), metric, bounds, skew, only_target_users).drop("k")
+    users = user_table(train, needs_norms(metric), bounds)
+    sims = similar_users(train, metric, bounds, skew, targets.select("user") if only_target_users else None, users)
+    hot = plan_join(targets, train, "item", skew)
+    w = weighted_deviation(targets, normalized_deviation(train, bounds, users), sims, hot, lower=not only_target_users)
+    return finish(targets, users, w, bounds)
+
+
+def predict_per_k(
+    train: DataFrame,
+    targets: DataFrame,
+    ks: Sequence[int],
+    metric: str = "cosine",
+    bounds: RatingScale = DEFAULT_SCALE,
+    skew: SkewPolicy = DEFAULT_SKEW,
+    only_target_users: bool = False,
+) -> DataFrame:
+    """``(k, user, item, rating, prediction)`` for every target row and every ``k`` (all > 0):
+    similarities and ranks are computed once, up to the largest ``k``."""
+    ks = positive(ks)
+    users, weighted = _nearest_rows(train, targets, metric, ks[-1], bounds, skew, only_target_users)
+    return finish_per_k(targets, users, weighted, ks, bounds)
+
+
+def positive(ks: Sequence[int]) -> list[int]:
+    ks = sorted({int(k) for k in ks})
+    if not ks or ks[0] <= 0:
+        raise ValueError("numbers of neighbours must be positive")
+    return ks
 
 
 def predict_both_metrics(
@@ -157,12 +216,13 @@ def predict_both_metrics(
     self-join runs once and its result is written to the checkpoint folder.
     Returns ``({"cosine": ..., "jaccard": ...}, co_ratings)``.
     """
-    dev = normalized_deviation(train, bounds)
-    pre = preprocess(train, bounds, dev)
+    users = user_table(train, True, bounds)
+    dev = normalized_deviation(train, bounds, users)
+    pre = preprocess(train, bounds, users)
     co = write_table(co_ratings(pre, plan_join(train, train, "item", skew)), "co-ratings")
     hot = plan_join(targets, train, "item", skew)
     preds = {}
     for metric in ("cosine", "jaccard"):
         pairs = similarity_from_pairs(co, metric)
-        preds[metric] = finish(targets, train, weighted_deviation(targets, dev, pairs, hot, lower=True), bounds)
+        preds[metric] = finish(targets, users, weighted_deviation(targets, dev, pairs, hot, lower=True), bounds)
     return preds, co

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, PRED_DIGITS, RatingScale, tidy
-from kinship.operators.predict import predict
+from kinship.operators.predict import predict, predict_per_k
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy
 from kinship.sources.tables import PERSONAL_USER
 
@@ -59,3 +61,23 @@ def recommend(
     targets = personal_targets(personal, user)
     preds = predict(train, targets, metric, k, bounds, skew, only_target_users=True)
     return top_n(preds, personal, n)
+
+
+def recommend_per_k(
+    ratings: DataFrame,
+    personal: DataFrame,
+    ks: Sequence[int],
+    n: int = 5,
+    user: int = PERSONAL_USER,
+    metric: str = "cosine",
+    bounds: RatingScale = DEFAULT_SCALE,
+    skew: SkewPolicy = DEFAULT_SKEW,
+) -> DataFrame:
+    """``(k, position, item, title, prediction)``: what ``recommend`` gives for every ``k`` (all > 0),
+    from one ranking of the neighbours up to the largest ``k``. Each task passes on at
+    most ``n`` rows a ``k``."""
+    train = train_with_personal(ratings, personal, user)
+    preds = predict_per_k(train, personal_targets(personal, user), ks, metric, bounds, skew, only_target_users=True)
+    titled = preds.select("k", "item", tidy("prediction", PRED_DIGITS).alias("prediction")).join(personal.select("item", "title"), "item")
+    position = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("prediction"), F.asc("item")))
+    return titled.withColumn("position", position).where(F.col("position") <= n).select("k", "position", "item", "title", "prediction")

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio, tidy
-from kinship.operators.features import preprocess
+from kinship.operators.features import preprocess, user_table
 from kinship.operators.skew import JoinPlan, salted_join
 
 METRICS = ("cosine", "jaccard")
@@ -29,15 +29,21 @@ def _check_metric(metric: str) -> str:
     return m
 
 
-def pair_input(ratings: DataFrame, metric: str | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+def pair_input(ratings: DataFrame, metric: str | None = None, bounds: RatingScale = DEFAULT_SCALE,
+               users: DataFrame | None = None) -> DataFrame:
     """The least that pairs of users need: ``(user, item)`` for overlaps, with
-    ``n_ratings`` for Jaccard (one count per user), with ``ndev`` for cosine."""
+    ``n_ratings`` for Jaccard, with ``ndev`` for cosine. ``users``: the user table, if it
+    is already there."""
     if metric is None:
         return ratings.select("user", "item")
     if _check_metric(metric) == "jaccard":
-        counts = ratings.groupBy("user").agg(F.count(F.lit(1)).alias("n_ratings"))
-        return ratings.select("user", "item").join(counts, "user")
-    return preprocess(ratings, bounds).select("user", "item", "ndev")
+        users = user_table(ratings, False) if users is None else users
+        return ratings.select("user", "item").join(users.select("user", "n_ratings"), "user")
+    return preprocess(ratings, bounds, users).select("user", "item", "ndev")
+
+
+def needs_norms(metric: str) -> bool:
+    return _check_metric(metric) == "cosine"
 
 
 def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame | None = None) -> DataFrame:

@@ -12,6 +12,10 @@ bound the pairs of a task:
 * a join of more than ``pairs_per_task`` pairs per default partition gets a partition
   count from the number of pairs, and both sides are dealt out by cell, so that
   partitions are not merged by their (few) bytes.
+
+The bucket counts are written once, by the one job that counts both sides. Where they
+are too many to broadcast, rows and counts meet in a join of two plain shuffles, and
+AQE cuts the rows of a hot key before they are given their buckets.
 """
 
 from __future__ import annotations
@@ -19,9 +23,11 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from kinship.session import write_table
+
 _A = "_salt_a"  # bucket of the left row
 _B = "_salt_b"  # bucket of the right row
 
@@ -29,10 +35,13 @@ _B = "_salt_b"  # bucket of the right row
 @dataclass(frozen=True)
 class SkewPolicy:
     """``bucket_rows``: most rows of one key and side in a bucket (None: no buckets).
-    ``pairs_per_task``: pairs that one task may emit before partitions are added."""
+    ``pairs_per_task``: pairs that one task may emit before partitions are added.
+    ``max_partitions``: no join gets more of them (each costs the driver memory); past it a
+    task emits more pairs, which stream into a partial aggregate."""
 
     bucket_rows: int | None = 2_000
     pairs_per_task: int = 20_000_000
+    max_partitions: int = 50_000
 
 
 DEFAULT_SKEW = SkewPolicy()
@@ -41,30 +50,42 @@ DEFAULT_SKEW = SkewPolicy()
 @dataclass(frozen=True)
 class JoinPlan:
     """``buckets``: (key, _left, _right) bucket counts of the keys that are cut, or None.
-    ``partitions``: partitions of the join, or None for Spark's own."""
+    ``partitions``: partitions of the join, or None for Spark's own.
+    ``wide``: (key) the keys with more right rows than asked for, or None if there are none."""
 
     buckets: DataFrame | None
     partitions: int | None
+    wide: DataFrame | None = None
 
 
-def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW) -> JoinPlan:
-    """Counts both sides per key in one job; two numbers reach the driver. The bucket
-    table is joined by whatever Spark's measured sizes allow: nothing forces a broadcast."""
-    if policy.bucket_rows is None:
+def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW, wide: int | None = None) -> JoinPlan:
+    """Counts both sides per key in one job, which also writes the keys that are cut and
+    those with more than ``wide`` right rows; three numbers reach the driver. Nothing
+    forces a broadcast: the written tables are joined by whatever their sizes allow."""
+    if policy.bucket_rows is None and wide is None:
         return JoinPlan(None, None)
-    limit = int(policy.bucket_rows)
     count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
     if left is right:
         n = count(left, "_n").select(key, "_n", F.col("_n").alias("_m"))
     else:
         n = count(left, "_n").join(count(right, "_m"), key)
-    hot = (F.col("_n") > limit) | (F.col("_m") > limit)
-    found = n.agg(F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"), F.sum(F.when(hot, 1).otherwise(0)).alias("hot")).first()
-    cells = lambda c: F.ceil(F.col(c) / F.lit(limit)).cast("int")
-    buckets = n.where(hot).select(key, cells("_n").alias("_left"), cells("_m").alias("_right")) if found["hot"] else None
-    wanted = math.ceil((found["pairs"] or 0) / policy.pairs_per_task)
+    limit = int(policy.bucket_rows or 0)
+    hot = (F.col("_n") > limit) | (F.col("_m") > limit) if limit else F.lit(False)
+    broad = F.col("_m") > wide if wide is not None else F.lit(False)
+    cells = lambda c: F.ceil(F.col(c) / F.lit(limit or 1)).cast("int")
+    seen = Observation()
+    watched = n.withColumn("_hot", hot).withColumn("_wide", broad).observe(
+        seen, F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"),
+        F.count_if("_hot").alias("hot"), F.count_if("_wide").alias("wide"))
+    noted = write_table(watched.where("_hot or _wide").select(
+        key, cells("_n").alias("_left"), cells("_m").alias("_right"), "_hot", "_wide"), "key-counts")
+    found = seen.get
+    wanted = min(math.ceil((found.get("pairs") or 0) / policy.pairs_per_task), policy.max_partitions)
     usual = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return JoinPlan(buckets, wanted if wanted > usual else None)
+    return JoinPlan(
+        noted.where("_hot").select(key, "_left", "_right") if found.get("hot") else None,
+        wanted if limit and wanted > usual else None,
+        noted.where("_wide").select(key) if found.get("wide") else None)
 
 
 def _cut(df: DataFrame, key: str, plan: JoinPlan, salt_col: str, own: str, other: str, own_n: str, other_n: str) -> DataFrame:

@@ -1,8 +1,10 @@
 """Statistics over all user pairs, with the zero pairs added arithmetically.
 
-The pair tables hold non-zero rows only. For ``P`` pairs in total of which the
-table holds ``n``: ``mean = sum / P``, population variance ``sumsq / P - mean^2``,
-and 0 joins the min/max whenever ``n < P``.
+The pair tables hold non-zero rows only. Of ``P`` pairs in total the table holds
+``n``, with mean ``m`` and centred sum of squares ``M`` (merged from the partitions
+as they are, never as a difference of large sums). The ``P - n`` zeros are one more
+part with mean 0 and no spread: ``mean = n m / P`` and, by the rule that merges two
+parts, variance ``(M + m^2 n (P - n) / P) / P``; 0 joins the min/max whenever ``n < P``.
 """
 
 from __future__ import annotations
@@ -24,15 +26,19 @@ def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFram
     over ``n_total`` values, of which the rows of ``values`` are the non-zero ones."""
     x = F.col(col).cast("double")
     agg = values.agg(
-        F.count(F.lit(1)).alias("_n"),
-        F.sum(x).alias("_s"),
-        F.sum(x * x).alias("_ss"),
+        F.count(x).alias("_n"),
+        F.avg(x).alias("_m"),
+        F.var_pop(x).alias("_v"),
         F.min(x).alias("_mn"),
         F.max(x).alias("_mx"),
     )
     p = n_total.cast("long")
-    mean = safe_ratio(F.coalesce(F.col("_s"), F.lit(0.0)), p.cast("double"))
-    var = safe_ratio(F.coalesce(F.col("_ss"), F.lit(0.0)), p.cast("double")) - mean * mean
+    n, total = F.col("_n").cast("double"), p.cast("double")
+    m = F.coalesce(F.col("_m"), F.lit(0.0))
+    share = safe_ratio(n, total)
+    mean = share * m
+    # n / P times the variance of the rows, plus the spread between the rows and the zeros
+    var = share * F.coalesce(F.col("_v"), F.lit(0.0)) + share * (F.lit(1.0) - share) * m * m
     has_zero = F.col("_n") < p
     return agg.select(
         p.alias("n_total"),
@@ -40,7 +46,7 @@ def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFram
         F.when(has_zero, F.least(F.col("_mn"), F.lit(0.0))).otherwise(F.col("_mn")).alias("min_value"),
         F.when(has_zero, F.greatest(F.col("_mx"), F.lit(0.0))).otherwise(F.col("_mx")).alias("max_value"),
         mean.alias("mean_value"),
-        F.sqrt(F.greatest(var, F.lit(0.0))).alias("stddev_value"),
+        F.sqrt(var).alias("stddev_value"),
     )
 
 

@@ -146,7 +146,7 @@ def q_pair_count(spark, sf_dir):
 def q_user_items(spark, sf_dir):
     """Item set per user in relational form: one row per (user, item) plus the set size."""
     train = _split(spark, sf_dir)[0]
-    sizes = train.groupBy("user").agg(F.count(F.lit(1)).alias("n_items"))
+    sizes = feat.user_table(train, False).select("user", F.col("n_ratings").alias("n_items"))
     return train.select("user", "item").join(sizes, "user")
 
 

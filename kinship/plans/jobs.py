@@ -1,7 +1,7 @@
 """The three end-to-end jobs: similarity answers, k-NN answers, recommendations.
 
-Each reads its inputs from files, checks them, computes its answers as a small
-DataFrame and optionally writes them as JSON. Row-count expectations are
+Each reads its input files once, into checked tables bucketed by item in the shared
+folder, computes its answers from those as a small DataFrame and optionally writes them as JSON. Row-count expectations are
 parameters (the 100k MovieLens split has 80,000 / 20,000 / 100,000 / 1,682).
 """
 
@@ -9,13 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS
-from kinship.operators.recommend import recommend
+from kinship.operators.recommend import recommend_per_k
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.sources.files import expect_personal, expect_ratings, read_personal, read_ratings
+from kinship.sources.files import ingest_personal, ingest_ratings
 from kinship.sources.sinks import write_report
 
 # Fixed values of the jobs' defaults.
@@ -35,8 +35,8 @@ def similarity_job(
 ) -> DataFrame:
     """MAE of both metrics with all users, their differences, pair counts,
     overlap statistics and non-zero similarity bytes."""
-    train = expect_ratings(read_ratings(spark, train_path), train_rows)
-    test = expect_ratings(read_ratings(spark, test_path), test_rows)
+    train = ingest_ratings(spark, train_path, train_rows)
+    test = ingest_ratings(spark, test_path, test_rows)
     report = similarity_report(train, test, baseline)
     if json_path:
         write_report(report, json_path)
@@ -53,8 +53,8 @@ def knn_job(
     test_rows: int | None = None,
 ) -> DataFrame:
     """MAE for every k, the lowest k beating the all-users MAE, table bytes per k."""
-    train = expect_ratings(read_ratings(spark, train_path), train_rows)
-    test = expect_ratings(read_ratings(spark, test_path), test_rows)
+    train = ingest_ratings(spark, train_path, train_rows)
+    test = ingest_ratings(spark, test_path, test_rows)
     report = knn_report(train, test, ks)
     if json_path:
         write_report(report, json_path)
@@ -73,18 +73,12 @@ def recommend_job(
     personal_rows: int | None = None,
 ) -> DataFrame:
     """``(k, position, item, title, prediction)``: the top ``n`` unrated personal
-    items for every ``k``."""
-    ratings = expect_ratings(read_ratings(spark, data_path), data_rows)
+    items for every ``k``, from one ranking of the personal user's neighbours."""
+    ratings = ingest_ratings(spark, data_path, data_rows)
     if not ratings.where(F.col("user") == user).isEmpty():
         raise ValueError(f"user {user} already has ratings: choose a new id for the personal list")
-    personal = expect_personal(read_personal(spark, personal_path), personal_rows)
-    parts = [recommend(ratings, personal, k, n, user).select(F.lit(int(k)).alias("k"), "*") for k in ks]
-    tops = parts[0]
-    for part in parts[1:]:
-        tops = tops.unionByName(part)
-    # at most n rows per k
-    position = F.row_number().over(Window.partitionBy("k").orderBy(F.desc("prediction"), F.asc("item")))
-    out = tops.select("k", position.alias("position"), "item", "title", "prediction")
+    personal = ingest_personal(spark, personal_path, personal_rows)
+    out = recommend_per_k(ratings, personal, ks, n, user)
     if json_path:
         entry = F.struct("position", "item", "title", "prediction")
         (

@@ -71,6 +71,8 @@ def cleanup(spark: SparkSession) -> None:
     """Delete every intermediate table this application has written. Results
     that were not yet written read those tables, so call it after the last action."""
     sc = spark.sparkContext
+    for name in _BUCKETED.pop(sc.applicationId, []):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
     folder = sc._jvm.org.apache.hadoop.fs.Path(shared_folder(spark))
     folder.getFileSystem(sc._jsc.hadoopConfiguration()).delete(folder, True)
 
@@ -86,6 +88,29 @@ def write_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(write_table_path(df, name))
 
 
+#: application id -> names of its bucketed tables in the session catalog
+_BUCKETED: dict[str, list[str]] = {}
+
+
+def write_bucketed(df: DataFrame, name: str, key: str) -> DataFrame:
+    """``write_table`` with the rows bucketed by ``key`` into as many buckets as there are
+    shuffle partitions, one file each if ``df`` comes from ``dealt``: joins and groupings on ``key`` then
+    need no shuffle."""
+    spark = df.sparkSession
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    table = f"{name}_{uuid.uuid4().hex}".replace("-", "_")
+    path = f"{shared_folder(spark)}/{table}"
+    _BUCKETED.setdefault(spark.sparkContext.applicationId, []).append(table)
+    df.write.bucketBy(buckets, key).option("path", path).saveAsTable(table)
+    return spark.table(table)
+
+
+def dealt(df: DataFrame, key: str) -> DataFrame:
+    """``df`` dealt out as ``write_bucketed`` files it. Metrics observed on the result are
+    collected in the tasks that write, where a retry never counts twice."""
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def write_table_path(df: DataFrame, name: str) -> str:
     """Write ``df`` as parquet under the application's shared folder; return the path."""
     path = f"{shared_folder(df.sparkSession)}/{name}-{uuid.uuid4().hex}"

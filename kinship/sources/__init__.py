@@ -1,6 +1,6 @@
 """Sources and sinks: rating files, the personal list, the driver's tables, JSON reports."""
 
-from kinship.sources.files import expect_ratings, ratings_profile, read_personal, read_ratings
+from kinship.sources.files import expect_ratings, ingest_personal, ingest_ratings, ratings_profile, read_personal, read_ratings
 from kinship.sources.sinks import write_report
 from kinship.sources.tables import (
     PERSONAL_USER,
@@ -14,6 +14,8 @@ from kinship.sources.tables import (
 __all__ = [
     "PERSONAL_USER",
     "expect_ratings",
+    "ingest_personal",
+    "ingest_ratings",
     "load_table",
     "personal_from_parts",
     "ratings_from_orders",

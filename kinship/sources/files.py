@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
+from kinship.session import dealt, write_bucketed
 
 # A rating line is "user<TAB>item<TAB>rating[<TAB>timestamp]"; only the first
 # three fields are used. The fourth is declared so that FAILFAST accepts it.
@@ -89,22 +90,66 @@ def expect_ratings(ratings: DataFrame, rows: int | None = None, bounds: RatingSc
     Runs one aggregate job; only its single summary row reaches the driver.
     """
     p = ratings_profile(ratings).first()
+    problems = _rating_problems(p.asDict(), rows, bounds)
+    if p["n_pairs"] != p["n_rows"] - (p["n_null"] or 0):
+        problems.append(DUPLICATES)
+    _fail_on("ratings", problems)
+    return ratings
+
+
+DUPLICATES = "duplicate (user, item) pairs"
+
+
+def _rating_problems(p: dict, rows: int | None, bounds: RatingScale) -> list[str]:
     problems = []
-    if rows is not None and p["n_rows"] != rows:
-        problems.append(f"expected {rows} rows, found {p['n_rows']}")
+    if rows is not None and (p["n_rows"] or 0) != rows:
+        problems.append(f"expected {rows} rows, found {p['n_rows'] or 0}")
     if p["n_null"]:
         problems.append(f"{p['n_null']} rows with NULL fields")
     if p["n_nan"]:
         problems.append(f"{p['n_nan']} NaN ratings")
-    if p["n_pairs"] != p["n_rows"] - (p["n_null"] or 0):
-        problems.append("duplicate (user, item) pairs")
-    if p["n_rows"] and p["min_rating"] is not None and (
-        p["min_rating"] < bounds.lo or p["max_rating"] > bounds.hi
-    ):
+    if p["min_rating"] is not None and (p["min_rating"] < bounds.lo or p["max_rating"] > bounds.hi):
         problems.append(f"ratings outside [{bounds.lo}, {bounds.hi}]")
+    return problems
+
+
+def _fail_on(what: str, problems: list[str]) -> None:
     if problems:
-        raise ValueError("invalid ratings: " + "; ".join(problems))
-    return ratings
+        raise ValueError(f"invalid {what}: " + "; ".join(problems))
+
+
+def ingest_ratings(spark: SparkSession, path: str, rows: int | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+    """Read tab-separated ratings once: parsed, checked and written to the shared folder
+    bucketed by item, so that every later join or grouping by item reads them in place.
+
+    Fails on what ``expect_ratings`` fails on. Rows, nulls, NaN and bounds are counted by
+    the tasks that write; only uniqueness is asked of the written table, where the rows of
+    an item stand together already."""
+    seen, r = Observation(), F.col("rating")
+    watched = dealt(read_ratings(spark, path), "item").observe(
+        seen, F.count(F.lit(1)).alias("n_rows"), F.min(r).alias("min_rating"), F.max(r).alias("max_rating"),
+        F.count_if(F.col("user").isNull() | F.col("item").isNull() | r.isNull()).alias("n_null"), F.count_if(F.isnan(r)).alias("n_nan"))
+    table = write_bucketed(watched, "ratings", "item")
+    problems = _rating_problems(seen.get, rows, bounds)
+    if not problems and not table.groupBy("item", "user").count().where("count > 1").isEmpty():
+        problems.append(DUPLICATES)
+    _fail_on("ratings", problems)
+    return table
+
+
+def ingest_personal(spark: SparkSession, path: str, rows: int | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
+    """The personal list, read, checked (as ``expect_personal`` does) and written once, as
+    ``ingest_ratings`` does it."""
+    seen, r = Observation(), F.col("rating")
+    watched = dealt(read_personal(spark, path), "item").observe(
+        seen, F.count(F.lit(1)).alias("rows"), F.count_if(F.col("item").isNull()).alias("null"),
+        F.count_if((r < bounds.lo) | (r > bounds.hi) | F.isnan(r)).alias("out"))
+    table = write_bucketed(watched, "personal", "item")
+    p = dict(seen.get, most=0)
+    if not table.groupBy("item").count().where("count > 1").isEmpty():
+        p["most"] = 2
+    _fail_on("personal list", _personal_problems(p, rows, bounds))
+    return table
 
 
 def expect_personal(personal: DataFrame, rows: int | None = None, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
@@ -115,6 +160,11 @@ def expect_personal(personal: DataFrame, rows: int | None = None, bounds: Rating
         F.count(F.lit(1)).alias("n"), F.sum(F.when((r < bounds.lo) | (r > bounds.hi) | F.isnan(r), 1).otherwise(0)).alias("out"),
     ).agg(F.sum("n").alias("rows"), F.max("n").alias("most"), F.sum(F.when(F.col("item").isNull(), 1).otherwise(0)).alias("null"),
           F.sum("out").alias("out")).first()
+    _fail_on("personal list", _personal_problems(p.asDict(), rows, bounds))
+    return personal
+
+
+def _personal_problems(p: dict, rows: int | None, bounds: RatingScale) -> list[str]:
     problems = []
     if rows is not None and (p["rows"] or 0) != rows:
         problems.append(f"expected {rows} rows, found {p['rows'] or 0}")
@@ -124,6 +174,4 @@ def expect_personal(personal: DataFrame, rows: int | None = None, bounds: Rating
         problems.append("repeated items")
     if p["out"]:
         problems.append(f"ratings outside [{bounds.lo}, {bounds.hi}]")
-    if problems:
-        raise ValueError("invalid personal list: " + "; ".join(problems))
-    return personal
+    return problems
