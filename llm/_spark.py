@@ -9,7 +9,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: stands for a null id inside an operator: larger than every other id
+#: the largest long: a null id ranks with it inside an operator
 NO_ID = (1 << 63) - 1
 
 
@@ -23,20 +23,21 @@ def ship(spark: SparkSession) -> None:
 
 
 def keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(_id, _v, _text)``: the id with null as NO_ID, and a checksum of the text
-    that tells rows with one id and different texts apart (64 bits where there is no
-    id). Other columns, whatever their names, play no part."""
+    """``(_id, _v, _text)``: the id, with null as NO_ID, and a checksum of the text that tells
+    rows with one id and different texts apart: 32 bits, -1 for a null text. Where there
+    is no id, ``_v`` holds 62 bits of a hash beyond that range (-2 for a null text), so
+    that such a row is never taken for one with the largest id. Other columns,
+    whatever their names, play no part."""
     text = docs[text_col].cast("string")
     given = docs[id_col].cast("long")
-    return docs.select(
-        F.coalesce(given, F.lit(NO_ID)).alias("_id"),
-        F.coalesce(F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text)), F.lit(-1)).alias("_v"),
-        text.alias("_text"),
-    )
+    nameless = F.xxhash64(text).bitwiseAND(F.lit(-2)).bitwiseOR(F.lit(1 << 33))
+    version = F.when(given.isNull(), F.when(text.isNull(), F.lit(-2)).otherwise(nameless)).otherwise(F.coalesce(F.crc32(text), F.lit(-1)))
+    return docs.select(F.coalesce(given, F.lit(NO_ID)).alias("_id"), version.cast("long").alias("_v"), text.alias("_text"))
 
 
-def public_id(col: Column) -> Column:
-    return F.when(col != F.lit(NO_ID), col)
+def public_id(key: Column, version: Column) -> Column:
+    """The id of a ``keyed`` row."""
+    return F.when((key != F.lit(NO_ID)) | version.between(-1, (1 << 32) - 1), key)
 
 
 def pack(keyed_docs: DataFrame) -> DataFrame:

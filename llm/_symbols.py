@@ -6,6 +6,7 @@ does the partitioning, the shuffles and the joins.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -106,8 +107,33 @@ def blocks(column: pa.Array, max_bytes: int = BLOCK_BYTES) -> Iterator[Block]:
         i = j
 
 
+SHORT = 15  # bytes of a word that its code holds as they are
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=U64)
+
+
+def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """128 bits of every word, as two arrays. Words of up to ``SHORT`` bytes have different
+    codes exactly where they differ (the bytes and their number, through a bijection of
+    128 bits); a longer word is known by 120 bits of its BLAKE2b digest."""
+    size = end - start
+    padded = np.concatenate([data, np.zeros(16, np.uint8)])
+    eight = np.ndarray((len(data) + 9,), dtype="<u8", buffer=padded, strides=(1,))  # the 8 bytes from every byte on
+    low = eight[start] & _LOW_BYTES[np.minimum(size, 8)]
+    high = eight[start + 8] & _LOW_BYTES[np.clip(size - 8, 0, 7)]
+    high |= np.minimum(size, 255).astype(U64) << U64(56)
+    long = np.flatnonzero(size > SHORT)
+    if len(long):
+        raw = data.tobytes()
+        digests = b"".join(blake2b(raw[s:e], digest_size=16).digest() for s, e in zip(start[long].tolist(), end[long].tolist()))
+        halves = np.frombuffer(digests, dtype="<u8").reshape(-1, 2)
+        low[long] = halves[:, 0]
+        high[long] = (halves[:, 1] & _LOW_BYTES[7]) | U64(255 << 56)
+    a = mix(low ^ mix(high))
+    return a, mix(high ^ mix(a ^ U64(BASE_B)))
+
+
 class Words:
-    """The words (maximal runs of non-separator bytes) of a block."""
+    """The words (maximal runs of non-separator bytes) of a block, and their codes."""
 
     def __init__(self, block: Block, lower: bool = False):
         data = _LOWER[block.data] if lower else block.data
@@ -121,24 +147,38 @@ class Words:
         ends = inside[:-1] & (~inside[1:] | first[1:])
         self.start = np.flatnonzero(begin)
         self.end = np.flatnonzero(ends) + 1
-        roll = Rolling(_BYTE_VALUES[data])
-        self.hash = mix(roll(self.start, self.end) + (self.end - self.start).astype(U64))
+        self.hash, self.hash2 = word_codes(data, self.start, self.end)
         #: word index where each row begins, and one past the last row
         self.offsets = np.searchsorted(self.start, block.offsets)
 
+    def digests(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """128 bits that name the words from ``start`` to ``end``: a BLAKE2b digest of their codes."""
+        codes = memoryview(np.stack([self.hash, self.hash2], 1).tobytes())
+        out = b"".join(blake2b(codes[16 * s:16 * e], digest_size=16).digest() for s, e in zip(start.tolist(), end.tolist()))
+        halves = np.frombuffer(out, dtype="<i8").reshape(-1, 2)
+        return halves[:, 0], halves[:, 1]
+
+    def _rolls(self) -> tuple[Rolling, Rolling]:
+        return Rolling(self.hash, BASE_B), Rolling(self.hash2, BASE_A)
+
+    def windows(self, width: int) -> np.ndarray:
+        """A hash of the ``width`` words from every word on, across row ends as well."""
+        a, b = (roll.all(width) for roll in self._rolls())
+        return mix(a ^ mix(b))
+
     def shingles(self, width: int) -> tuple[np.ndarray, np.ndarray]:
         """(row, hash) of every run of ``width`` words, rows in order. A row with
         fewer words gives its whole sequence as one shingle, an empty row none."""
         counts = np.diff(self.offsets)
-        roll = Rolling(self.hash, BASE_B)
-        hashes = mix(roll.all(width))
+        hashes = self.windows(width)
         row_of = np.repeat(np.arange(len(counts)), counts)
         pos = np.arange(len(row_of))
         ok = pos + width <= self.offsets[1:][row_of]
         rows, values = row_of[ok], hashes[np.flatnonzero(ok)]
         short = np.flatnonzero((counts > 0) & (counts < width))
         if len(short):
-            whole = mix(roll(self.offsets[:-1][short], self.offsets[1:][short]) + counts[short].astype(U64) * U64(BASE_A))
+            a, b = (roll(self.offsets[:-1][short], self.offsets[1:][short]) for roll in self._rolls())
+            whole = mix(a ^ mix(b + counts[short].astype(U64) * U64(BASE_A)))
             rows, values = np.concatenate([rows, short]), np.concatenate([values, whole])
             order = np.argsort(rows, kind="stable")
             rows, values = rows[order], values[order]

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from kinship.session import write_table
 from llm._spark import ship
-from llm._symbols import BASE_B, U64, Rolling, Words, blocks, mix
+from llm._symbols import U64, Words, blocks
 
 WIDTH = 5
 THRESHOLD = 0.8
@@ -34,7 +34,7 @@ BLOCK_SHINGLES = 4_000_000  # 32 MB of hashes
 def _row_shingles(words: Words, width: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
     """(row, hash) of every run of ``width`` words inside a row, rows in order."""
     counts = np.diff(words.offsets)
-    hashes = mix(Rolling(words.hash, BASE_B).all(width)) ^ U64(salt)
+    hashes = words.windows(width) ^ U64(salt)
     row = np.repeat(np.arange(len(counts)), counts)[:len(hashes)]
     ok = np.arange(len(hashes)) + width <= words.offsets[1:][row]
     return row[ok], hashes[ok]

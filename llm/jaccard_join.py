@@ -24,6 +24,7 @@ Only links between classes are made, never all pairs of a group.
 from __future__ import annotations
 
 import math
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -32,7 +33,7 @@ from pyspark.sql import functions as F
 
 from kinship.session import write_table
 from llm._spark import pack, ship, small_batches, unpack
-from llm._symbols import U64, Block, Words, blocks, mix, signed
+from llm._symbols import U64, Block, Words, blocks, mix
 from llm.components import components
 
 WIDTH = 4
@@ -91,11 +92,9 @@ def _signatures(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for block in blocks(b.column(2)):
                 begin, h = _sets(block, width)
                 n = np.diff(begin)
-                whole = []
-                for seed in (0, 0x5851F42D4C957F2D):  # two sums over the elements name a set
-                    total = np.zeros(len(h) + 1, dtype=U64)
-                    np.cumsum(mix(h ^ U64(seed)), out=total[1:])
-                    whole.append(signed(mix(total[begin[1:]] - total[begin[:-1]])))
+                # a digest of its elements in order names a set
+                names = b"".join(blake2b(h[x:y].tobytes(), digest_size=16).digest() for x, y in zip(begin[:-1].tolist(), begin[1:].tolist()))
+                whole = np.frombuffer(names, dtype="<i8").reshape(-1, 2).T
                 keys = [k.view(np.int64) for k in _keys(begin, h, *runs)]
                 yield pa.RecordBatch.from_arrays(
                     [b.column(0)[block.rows], b.column(1)[block.rows], pa.array(n), pa.array(whole[0]), pa.array(whole[1]),
@@ -269,8 +268,9 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     packed = pack(rows)
     texts = write_table(packed.join(chosen, packed["_id"].eqNullSafe(chosen["c_id"]) & (packed["_v"] == chosen["c_v"]))
                         .select("node", "cluster", "_z").dropDuplicates(["node"]), "cluster-texts")
-    sizes = texts.groupBy("cluster").agg(F.greatest(
-        F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.octet_length("_z")) / block_bytes)).alias("blocks"))
+    # written, so that the texts of a large cluster can be split
+    sizes = write_table(texts.groupBy("cluster").agg(F.greatest(
+        F.ceil(F.count("*") / block_sets), F.ceil(F.sum(F.octet_length("_z")) / block_bytes)).alias("blocks")), "cluster-sizes")
     placed = write_table(texts.join(sizes, "cluster").select(
         "cluster", "blocks", F.pmod(F.xxhash64("node"), "blocks").alias("block"), F.col("node").alias("id"), F.col("_z").alias("z")), "placed")
     cell = lambda *parts: F.concat_ws("-", "cluster", *parts)
@@ -297,11 +297,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         "h1", "h2", "rep", F.col("component").alias("group")), "linked")
     names = write_table(linked.groupBy("group").agg(F.min("rep").alias("name")), "names")
     renamed = linked.join(names, "group").select("h1", "h2", "name")
-    named = classes.select("h1", "h2", "rep").join(renamed, ["h1", "h2"], "left").select(
-        "h1", "h2", F.coalesce("name", "rep").alias("component"))
-    out = every.select("_id", "_v", "n", "h1", "h2").join(named, ["h1", "h2"], "left")
-    component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("_id"))
-    return out.select(F.col("_id").alias(id_col), "_v", F.col("n").alias("n_shingles"), component.alias("component_id"))
+    named = write_table(classes.select("h1", "h2", "rep").join(renamed, ["h1", "h2"], "left").select(
+        "h1", "h2", F.coalesce("name", "rep").alias("component")), "named")
+    # documents without words have no class and stay out of the join
+    out = every.where("n > 0").select("_id", "_v", "n", "h1", "h2").join(named, ["h1", "h2"]).select("_id", "_v", "n", "component")
+    alone = every.where("n = 0").select("_id", "_v", "n", F.col("_id").alias("component"))
+    return out.union(alone).select(F.col("_id").alias(id_col), "_v", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
 
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:

@@ -15,10 +15,10 @@ path row (``Runs``), about one row per twenty words. Then, by joins:
 4. each occurrence of a path is compared with its edges' sources, and the words
    under repeated edges are removed.
 
-Edges are told apart by 128 hash bits, computed again from the source text for
-every branching path. Work and rows grow with the words; a hot edge or path is
-aggregated before it is shuffled and meets its occurrences in a join that the
-adaptive planner may split.
+Paths and edges are told apart by 128-bit BLAKE2b digests of their words, those of edges
+taken from the source text again. Work and rows grow with the words; a hot edge or path
+is aggregated before it is shuffled, and the aggregate is written, so that it meets its
+occurrences in a join of two plain shuffles, which the adaptive planner may split.
 """
 
 from __future__ import annotations
@@ -30,13 +30,14 @@ from pyspark.sql import functions as F
 
 from kinship.session import write_table
 from llm._spark import keyed, pack, public_id, ship, small_batches, unpack
-from llm._symbols import BASE_A, Rolling, Runs, Words, blocks, mix, signed
+from llm._symbols import Runs, Words, blocks, signed
 
 WINDOW = 50
 ANCHOR = 10
 
-_PATHS = "_id long, _v long, first int, n int, anchor long, content long"
-_EDGES = "anchor long, content long, j int, edge long, _id long"
+_PATHS = "_id long, _v long, first int, n int, anchor long, c1 long, c2 long"
+_EDGES = "path long, j int, e1 long, e2 long, _id long"
+_CONTENT = ("anchor", "c1", "c2")
 
 
 def _paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
@@ -46,35 +47,35 @@ def _paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
             for block in blocks(b.column(2)):
                 words = Words(block)
                 r = Runs(words.hash, words.offsets, window, anchor)
+                c1, c2 = words.digests(r.start, r.start + r.n - 1 + window)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(x) for x in (ids[block.rows][r.row], vs[block.rows][r.row], r.first.astype(np.int32),
-                                           r.n.astype(np.int32), signed(r.anchor), signed(r.content))],
-                    ["_id", "_v", "first", "n", "anchor", "content"])
+                                           r.n.astype(np.int32), signed(r.anchor), c1, c2)],
+                    ["_id", "_v", "first", "n", "anchor", "c1", "c2"])
 
     return docs.mapInArrow(work, _PATHS)
 
 
 def _cut(packed: DataFrame, paths: DataFrame, window: int) -> DataFrame:
     """The edges of branching paths, from the source document's text. ``paths``:
-    (_id, _v, first, n, anchor, content), one row per content."""
-    lists = paths.groupBy("_id", "_v").agg(F.collect_list(F.struct("first", "n", "anchor", "content")).alias("parts"))
+    (_id, _v, first, n, path), one row per content."""
+    lists = paths.groupBy("_id", "_v").agg(F.collect_list(F.struct("first", "n", "path")).alias("parts"))
 
     def work(batches):
         for whole in batches:
             for b in small_batches(whole):
                 for i, text in enumerate(unpack(b.column(1))):
-                    parts = b.column(2)[i].values.flatten()
-                    first, n, anchors, contents = (p.to_numpy().astype(np.int64) for p in parts)
-                    block = next(blocks(pa.array([text], pa.binary())))
-                    roll = Rolling(Words(block).hash, BASE_A)
+                    first, n, path = (p.to_numpy().astype(np.int64) for p in b.column(2)[i].values.flatten())
+                    words = Words(next(blocks(pa.array([text], pa.binary()))))
                     part = np.repeat(np.arange(len(n)), n)
                     j = np.arange(len(part)) - np.repeat(np.cumsum(n) - n, n)
                     start = first[part] + j
-                    edges = mix(roll(start, start + window))
+                    # two paths of one text may share edges
+                    own, back = np.unique(start, return_inverse=True)
+                    e1, e2 = (e[back] for e in words.digests(own, own + window))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (anchors[part], contents[part], j.astype(np.int32), signed(edges),
-                                               np.full(len(part), b.column(0)[i].as_py(), np.int64))],
-                        ["anchor", "content", "j", "edge", "_id"])
+                        [pa.array(x) for x in (path[part], j.astype(np.int32), e1, e2, np.full(len(part), b.column(0)[i].as_py(), np.int64))],
+                        ["path", "j", "e1", "e2", "_id"])
 
     joined = packed.join(lists, ["_id", "_v"]).select("_id", "_z", "parts")
     # a repeated row with the same id and text would give the same edges again, which min() absorbs
@@ -87,29 +88,29 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     if not 0 <= window - anchor <= 62:
         raise ValueError("a path holds at most 63 edges: choose anchor >= window - 62")
     paths = _paths(docs, window, anchor)
-    # written, so that the join below has a plain shuffle on both sides and a hot anchor can be split
+    # every aggregate that meets its own rows again is written first: both sides of the join
+    # are then plain shuffles, and a hot key can be split
     more = write_table(paths.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
                        .where("lo < hi").select("anchor"), "anchors")
-    paths = write_table(paths.join(more, "anchor").select("_id", "_v", "first", "n", "anchor", "content"), "paths")
+    paths = write_table(paths.join(more, "anchor").select("_id", "_v", "first", "n", *_CONTENT), "paths")
 
     contents = write_table(
-        paths.groupBy("anchor", "content")
-        .agg(F.min(F.struct("_id", "_v", "first", "n")).alias("src"), F.max("_id").alias("hi"))
-        .select("anchor", "content", "src.*", "hi"), "contents")
-    branching = (contents.groupBy("anchor").agg(F.min("content").alias("c0"), F.max("content").alias("c1"))
-                 .where("c0 <> c1").select("anchor"))
-    cut = _cut(pack(docs), contents.join(branching, "anchor").select("_id", "_v", "first", "n", "anchor", "content"), window)
+        paths.groupBy(*_CONTENT).agg(F.min(F.struct("_id", "_v", "first", "n")).alias("src"), F.max("_id").alias("hi"))
+        .select(*_CONTENT, "src.*", "hi", F.monotonically_increasing_id().alias("path")), "contents")
+    branching = write_table(contents.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor"), "branching")
+    cut = _cut(pack(docs), contents.join(branching, "anchor").select("_id", "_v", "first", "n", "path"), window)
     edges = write_table(cut, "edges")
-    source = edges.groupBy("anchor", "edge").agg(F.min("_id").alias("low"))
-    lows = (edges.join(source, ["anchor", "edge"]).groupBy("anchor", "content", "j").agg(F.min("low").alias("low"))
-            .groupBy("anchor", "content").agg(F.array_sort(F.collect_list(F.struct("j", "low"))).alias("lows")))
-    # written for the same reason: the occurrences of a hot path can be split
-    known = write_table(contents.join(lows, ["anchor", "content"], "left").select(
-        "anchor", "content", F.col("_id").alias("src"), "lows").where("lows is not null or hi > src"), "known-paths")
+    source = write_table(edges.groupBy("e1", "e2").agg(F.min("_id").alias("low"), F.max("_id").alias("hi"))
+                         .where("low < hi").select("e1", "e2", "low"), "shared-edges")
+    # the edges of a path that a document before its source has
+    lows = (edges.join(source, ["e1", "e2"]).where("low < _id").groupBy("path", "j").agg(F.min("low").alias("low"))
+            .groupBy("path").agg(F.collect_list(F.struct("j", "low")).alias("lows")))
+    known = write_table(contents.join(lows, "path", "left").select(*_CONTENT, F.col("_id").alias("src"), "hi", "lows")
+                        .where("lows is not null or hi > src").drop("hi"), "known-paths")
     mask = F.expr(
-        "CASE WHEN lows IS NULL THEN IF(src < _id, shiftleft(1L, n) - 1, 0L) "
-        "ELSE aggregate(lows, 0L, (m, e) -> m | IF(e.low < _id, shiftleft(1L, e.j), 0L)) END")
-    return (paths.join(known, ["anchor", "content"]).select("_id", "_v", "first", mask.alias("mask"))
+        "IF(src < _id, shiftleft(1L, n) - 1, "
+        "aggregate(coalesce(lows, array()), 0L, (m, e) -> m | IF(e.low < _id, shiftleft(1L, e.j), 0L)))")
+    return (paths.join(known, list(_CONTENT)).select("_id", "_v", "first", mask.alias("mask"))
             .where("mask <> 0"))
 
 
@@ -122,8 +123,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     kept_text)``; ``spans`` are the removed word ranges ``(start, end)`` (maximal,
     end exclusive), ``kept_text`` the other words joined by one space.
 
-    Null text reads as empty (no words). A null id counts as larger than all
-    others. Rows with the same id never remove from each other. A document
+    Null text reads as empty (no words). A null id counts as the largest long, and
+    comes back as null. Rows with the same id never remove from each other. A document
     shorter than ``window`` words loses nothing. An empty table gives an empty
     result; other columns are ignored.
     """
@@ -159,11 +160,11 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                     out.append((n, int(dead.sum()), [{"start": int(s), "end": int(e)} for s, e in spans], kept.decode()))
                 cols = list(zip(*out)) if out else [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
+                    [b.column(0), b.column(3), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
                      pa.array(cols[2], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                      pa.array(cols[3], pa.string())],
-                    ["_id", "n_words", "n_removed", "spans", "kept_text"])
+                    ["_id", "_v", "n_words", "n_removed", "spans", "kept_text"])
 
-    joined = pack(rows).join(removed, ["_id", "_v"], "left").select("_id", "_z", "marks")
-    out = joined.mapInArrow(work, "_id long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string")
-    return out.select(public_id(F.col("_id")).alias(id_col), "n_words", "n_removed", "spans", "kept_text")
+    joined = pack(rows).join(removed, ["_id", "_v"], "left").select("_id", "_z", "marks", "_v")
+    out = joined.mapInArrow(work, "_id long, _v long, n_words long, n_removed long, spans array<struct<start:long,end:long>>, kept_text string")
+    return out.select(public_id(F.col("_id"), F.col("_v")).alias(id_col), "n_words", "n_removed", "spans", "kept_text")

@@ -176,8 +176,9 @@ def _count_windows(entries: DataFrame, window: int) -> DataFrame:
                     ["h1", "h2", "many", "_id", "_v", "first"])
 
     hot = entries.where("hot").select("n", "bytes", "many", "_id", "_v", "first")
-    windows = hot.mapInArrow(work, "h1 long, h2 long, many boolean, _id long, _v long, first long")
-    again = windows.groupBy("h1", "h2").agg(F.sum(F.col("many").cast("int") + 1).alias("c")).where("c > 1").select("h1", "h2")
+    windows = write_table(hot.mapInArrow(work, "h1 long, h2 long, many boolean, _id long, _v long, first long"), "hot-windows")
+    again = write_table(windows.groupBy("h1", "h2").agg(F.sum(F.col("many").cast("int") + 1).alias("c"))
+                        .where("c > 1").select("h1", "h2"), "hot-repeats")
     return windows.where("not many").join(again, ["h1", "h2"]).select("_id", "_v", "first", F.lit(1).cast("long").alias("n"))
 
 
@@ -191,7 +192,10 @@ def repeated_windows(docs: DataFrame, window: int = WINDOW, trigger: int = TRIGG
     rows = write_table(rows.join(more, "anchor").select("_id", "_v", "at", "anchor", "content"), "parse")
     words = write_table(rows.groupBy("anchor", "content").agg(F.count("*").alias("c"), F.min(F.struct("_id", "_v", "at")).alias("s"))
                         .select("anchor", "content", "s.*", (F.col("c") > 1).alias("many")), "dictionary")
-    families = words.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1").select("anchor", (F.col("c") > family).alias("hot"))
+    # aggregates that meet their own rows again are written first: both sides of the join are
+    # then plain shuffles, and a hot trigger, entry or window can be split
+    families = write_table(words.groupBy("anchor").agg(F.count("*").alias("c")).where("c > 1")
+                           .select("anchor", (F.col("c") > family).alias("hot")), "families")
     entries = write_table(_entries(pack(docs),
                                    words.join(families, "anchor").select("_id", "_v", "at", "anchor", "hot", "many"), window), "entries")
     whole = (rows.join(words.where("many").select("anchor", "content"), ["anchor", "content"])
@@ -236,9 +240,9 @@ def suffix_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                     out.append((len(raw), int(dead.sum()), [{"start": s, "end": e} for s, e in spans], kept))
                 cols = list(zip(*out)) if out else [(), (), (), ()]
                 yield pa.RecordBatch.from_arrays(
-                    [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], span), pa.array(cols[3], pa.binary())],
-                    ["_id", "n_bytes", "n_removed", "spans", "kept"])
+                    [b.column(0), b.column(3), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], span), pa.array(cols[3], pa.binary())],
+                    ["_id", "_v", "n_bytes", "n_removed", "spans", "kept"])
 
-    joined = pack(rows).join(removed, ["_id", "_v"], "left").select("_id", "_z", "marks")
-    out = joined.mapInArrow(work, "_id long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
-    return out.select(public_id(F.col("_id")).alias(id_col), "n_bytes", "n_removed", "spans", "kept")
+    joined = pack(rows).join(removed, ["_id", "_v"], "left").select("_id", "_z", "marks", "_v")
+    out = joined.mapInArrow(work, "_id long, _v long, n_bytes long, n_removed long, spans array<struct<start:long,end:long>>, kept binary")
+    return out.select(public_id(F.col("_id"), F.col("_v")).alias(id_col), "n_bytes", "n_removed", "spans", "kept")

@@ -85,3 +85,14 @@ def test_empty_tables(spark):
 def test_matches_sql_on_the_whole_small_table(spark):
     got = compare(spark, "/root/testdata/sf0.001", keys=["op10_benchmark_decontamination"], verbose=False)
     assert got["op10_benchmark_decontamination"][0] == "OK"
+
+
+@pytest.mark.parametrize("most", [0, 10**6])
+def test_words_that_differ_only_for_a_good_hash(spark, most):
+    from test_symbols import thue_morse
+
+    one, two = thue_morse(1024)
+    items = spark.createDataFrame([(1, one), (2, f"{one} a b c d")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"x {two} a b c d y"), (2, f"x {one} a b c d y")], "doc_id long, text string")
+    found = contained_items(docs, items, block_shingles=most).collect()
+    assert sorted((r.doc_id, r.item_id) for r in found) == [(2, 1), (2, 2)]

@@ -141,3 +141,12 @@ def test_registered_query_on_the_whole_table(spark):
     rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text").collect()]
     got = sorted((tuple(r) for r in QUERIES["op7_signature_tree_join"](spark, d).collect()), key=str)
     assert got == brute(rows) and any(i != c for i, _, c in got)
+
+
+def test_words_that_differ_only_for_a_good_hash(spark):
+    from test_symbols import thue_morse
+
+    one, two = thue_morse(1024)
+    rows = [(1, one), (2, two), (3, one.upper()), (4, f"{one} x y z"), (5, f"{two} x y z")]
+    got = {r.doc_id: r.component_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1, 4: 4, 5: 5}

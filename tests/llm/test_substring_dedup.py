@@ -72,3 +72,24 @@ def test_registered_query_on_the_whole_small_table(spark):
     want = sorted((i, n, g, hashlib.sha256(k.encode()).hexdigest()) for i, n, g, k in brute(rows, 50))
     got = sorted(tuple(r) for r in QUERIES["op1_substring_dedup"](spark, d).collect())
     assert got == want and any(g[2] for g in got)
+
+
+def test_words_that_differ_only_for_a_good_hash(spark):
+    from test_symbols import thue_morse
+
+    one, two = thue_morse(1024)
+    rows = [(i, " ".join([w] + [f"w{k}" for k in range(49)])) for i, w in enumerate((one, two, one))]
+    rows += [(10 + i, " ".join([w] * 12)) for i, w in enumerate((one, two))]
+    got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert result(got) == sorted(brute(rows, 50), key=str)
+    assert {r[0]: r[2] for r in result(got)} == {0: 0, 1: 0, 2: 50, 10: 0, 11: 0}
+
+
+def test_every_long_is_an_id(spark):
+    top = (1 << 63) - 1
+    text = " ".join(f"w{k}" for k in range(20))
+    rows = [(top, text), (None, text), (-5, text + " x"), (top, None), (None, None), (None, "a b")]
+    got = substring_dedup(spark.createDataFrame(rows, "doc_id long, text string"), window=12, anchor=4)
+    assert result(got) == sorted(brute(rows, 12), key=str)
+    assert sorted((str(r[0]), r[1], r[2]) for r in result(got)) == sorted(
+        [(str(top), 20, 20), ("None", 20, 20), ("-5", 21, 0), (str(top), 0, 0), ("None", 0, 0), ("None", 2, 0)])

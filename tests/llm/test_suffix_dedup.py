@@ -76,3 +76,11 @@ def test_registered_query_on_the_whole_small_table(spark):
     want = sorted((i, n, g, s, hashlib.sha256(k).hexdigest()) for i, n, g, s, k in brute(rows, 200))
     got = sorted(tuple(r) for r in QUERIES["op2_suffix_array_dedup"](spark, d).collect())
     assert got == want and any(g[2] for g in got)
+
+
+def test_every_long_is_an_id(spark):
+    top = (1 << 63) - 1
+    rows = [(top, "0123456789" * 3), (None, "x" + "0123456789" * 3), (top, None), (None, None), (-(1 << 63), "ab")]
+    out = suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), window=20, trigger=5).collect()
+    assert sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in out) == sorted(
+        [(str(top), 30, 30), ("None", 31, 30), (str(top), 0, 0), ("None", 0, 0), (str(-(1 << 63)), 2, 0)])

@@ -30,3 +30,21 @@ def test_more_than_2_to_the_24_keys():
     got = sliding_argmin(keys, width)
     assert len(got) == n - width + 1
     assert got[at].tolist() == [s + int(np.argmin(keys[s:s + width] >> np.uint64(24))) for s in at.tolist()]
+
+
+def thue_morse(n, a="a", b="b"):
+    """Words that every polynomial hash modulo 2^64 takes for their complement."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join(a if x else b for x in bits), "".join(b if x else a for x in bits)
+
+
+def test_codes_tell_words_apart():
+    texts = [*thue_morse(1024), *thue_morse(2048), "a", "a\0", "\0a", "\0", "ab", "ba", "a" * 8, "a" * 9, "a" * 15, "a" * 16, "a" * 17, "b" + "a" * 15]
+    data = np.frombuffer("".join(texts).encode(), np.uint8)
+    size = np.array([len(t) for t in texts])
+    end = np.cumsum(size)
+    a, b = _symbols.word_codes(data, end - size, end)
+    assert len({(x, y) for x, y in zip(a.tolist(), b.tolist())}) == len(texts) == len(set(a.tolist()))
+    # the same wherever a word stands
+    other = _symbols.word_codes(np.concatenate([np.frombuffer(b"xyz ", np.uint8), data]), end - size + 4, end + 4)
+    assert (other[0] == a).all() and (other[1] == b).all()
