@@ -7,19 +7,24 @@ its own under the given folder and returns their manifest rows; only the manifes
 which Spark commits, says which archives count, so a task that is run again or
 twice leaves at most files that nobody lists. Writer and reader hold one record
 at a time (the writer also a bounded sample to train its dictionary).
+
+The reader also takes archives that others wrote: WARC/1.0 and 1.1, every record type,
+any record id, folded and repeated header lines, records with or without digests.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import struct
 import uuid
+from dataclasses import dataclass
 
 import pyarrow as pa
 import pyarrow.fs as pafs
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.taskcontext import TaskContext
 
@@ -41,20 +46,39 @@ DICT_SAMPLE_ROWS = 200
 DICT_SAMPLE_BYTES = 2 << 20
 READ_BYTES = 1 << 18
 
-_RECORD = "page_id long, record_type string, refers_to long, uri string, payload_digest string, payload_bytes long"
+_RECORD = ("page_id long, record_type string, refers_to long, uri string, payload_digest string, payload_bytes long, "
+           "record_id string, refers_to_id string")
+
+# The digest algorithms that are checked, as labels name them, and the versions read.
+ALGORITHMS = {"sha1": "sha1", "sha-1": "sha1", "sha256": "sha256", "sha-256": "sha256", "sha512": "sha512", "sha-512": "sha512", "md5": "md5"}
+VERSIONS = (b"WARC/1.0", b"WARC/1.1")
+NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
 
 def base32_sha1(payload: bytes) -> str:
     return base64.b32encode(hashlib.sha1(payload).digest()).decode()
 
 
+def qualified(spark: SparkSession, folder: str) -> str:
+    """The folder with the scheme and host of its file system, as Hadoop's settings on the
+    driver complete it: a folder without a scheme is on the default file system, wherever
+    that is, and never on an executor's own disk unless that is the default."""
+    sc = spark.sparkContext
+    path = sc._jvm.org.apache.hadoop.fs.Path(folder)
+    whole = path.getFileSystem(sc._jsc.hadoopConfiguration()).makeQualified(path)
+    return str(whole.toString())
+
+
 def _filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
-    if "://" not in uri and not uri.startswith("file:"):
+    """File system and path of a qualified folder. A scheme that pyarrow does not know is an
+    error; a path without any is a local file, which only ``read_archive`` may be given."""
+    if not re.match(r"[A-Za-z][A-Za-z0-9+.-]*:/", uri):
         return pafs.LocalFileSystem(), uri
     scheme, rest = uri.split(":", 1)
     scheme = {"s3a": "s3", "s3n": "s3"}.get(scheme, scheme)
-    rest = "//" + rest.lstrip("/") if scheme != "file" else "//" + "/" + rest.lstrip("/")
-    return pafs.FileSystem.from_uri(f"{scheme}:{rest}")
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + rest.lstrip("/")
+    return pafs.FileSystem.from_uri(f"{scheme}://{rest.lstrip('/')}")
 
 
 def encode_record(page_id, uri, payload: bytes, digest: str, response_id, is_response: bool) -> bytes:
@@ -73,33 +97,90 @@ def encode_record(page_id, uri, payload: bytes, digest: str, response_id, is_res
     return VERSION + b"\r\n" + head + b"\r\n" + block + b"\r\n\r\n"
 
 
-def decode_record(raw: bytes, where: str):
-    """(fields, payload) of one record; raises ValueError where version, header
-    lines, lengths or the payload digest do not hold."""
+@dataclass
+class Record:
+    """``fields``: lower-case name -> all its values in order; ``payload``: the block without its
+    HTTP head, where it has one."""
+
+    fields: dict[str, list[str]]
+    block: bytes
+    payload: bytes
+
+    def get(self, name: str) -> str | None:
+        return self.fields.get(name, [None])[0]
+
+
+def _fields(lines: list[bytes], where: str) -> dict[str, list[str]]:
+    out: dict[str, list[str]] = {}
+    last = None
+    for line in lines:
+        text = line.decode("utf-8", "replace")
+        if line[:1] in (b" ", b"\t") and last:  # a folded line goes on
+            out[last][-1] += " " + text.strip()
+            continue
+        name, colon, value = text.partition(":")
+        if not colon or not name.strip():
+            raise ValueError(f"{where}: bad header line {line!r}")
+        last = name.strip().lower()
+        out.setdefault(last, []).append(value.strip())
+    return out
+
+
+def _unchunked(body: bytes) -> bytes | None:
+    """An HTTP body without its chunk lines, or None where they do not fit."""
+    out, at = [], 0
+    while True:
+        line = body.find(b"\r\n", at)
+        size = re.match(rb"[0-9A-Fa-f]{1,15}", body[at:line]) if line >= 0 else None
+        if not size:
+            return None
+        n = int(size.group(), 16)
+        if not n:
+            return b"".join(out)
+        out.append(body[line + 2:line + 2 + n])
+        at = line + 2 + n + 2
+
+
+def _agrees(label: str | None, data: bytes) -> bool:
+    """Whether a ``algorithm:value`` label fits the data; an unknown algorithm cannot be told."""
+    name, _, value = (label or "").partition(":")
+    algorithm = ALGORITHMS.get(name.strip().lower())
+    if not algorithm:
+        return True
+    found, value = hashlib.new(algorithm, data).digest(), value.strip()
+    return value.lower() == found.hex() or value.upper().rstrip("=") == base64.b32encode(found).decode().rstrip("=")
+
+
+def decode_record(raw: bytes, where: str) -> Record:
+    """One record; raises ValueError where version, header lines, length or a digest of a
+    known algorithm do not hold. A truncated record's payload digest is not checked, and that
+    of a chunked body may be of the body with or without its chunk lines."""
     head, sep, rest = raw.partition(b"\r\n\r\n")
     lines = head.split(b"\r\n")
-    if not sep or lines[0] != VERSION:
+    if not sep or lines[0].strip() not in VERSIONS:
         raise ValueError(f"{where}: no WARC header")
-    fields = {}
-    for line in lines[1:]:
-        k, colon, v = line.decode().partition(":")
-        if not colon or k.lower() in fields:
-            raise ValueError(f"{where}: bad header line {line!r}")
-        fields[k.lower()] = v.strip()
-    for k in ("warc-type", "warc-record-id", "warc-date", "content-length"):
+    fields = _fields(lines[1:], where)
+    for k in NEEDED:
         if k not in fields:
             raise ValueError(f"{where}: {k} is missing")
-    if not fields["content-length"].isdigit():
+    length = fields["content-length"][0]
+    if not length.isdecimal():
         raise ValueError(f"{where}: bad length")
-    n = int(fields["content-length"])
+    n = int(length)
     if len(rest) != n + 4 or rest[n:] != b"\r\n\r\n":
         raise ValueError(f"{where}: the record has {len(rest) - 4} bytes, its header says {n}")
-    http, sep, payload = rest[:n].partition(b"\r\n\r\n")
-    if not sep or not http.startswith(b"HTTP/"):
-        raise ValueError(f"{where}: no HTTP head")
-    if fields["warc-type"] == "response" and fields.get("warc-payload-digest") != f"sha1:{base32_sha1(payload)}":
-        raise ValueError(f"{where}: payload and digest differ")
-    return fields, payload
+    record = Record(fields, rest[:n], rest[:n])
+    kind = record.get("warc-type").lower()
+    http, sep, body = record.block.partition(b"\r\n\r\n")
+    if kind in ("response", "request", "revisit") and sep and (record.get("content-type") or "application/http").lower().startswith("application/http"):
+        record.payload = body
+    if not _agrees(record.get("warc-block-digest"), record.block):
+        raise ValueError(f"{where}: block and digest differ")
+    if kind in ("response", "resource") and "warc-truncated" not in fields and not _agrees(record.get("warc-payload-digest"), record.payload):
+        plain = _unchunked(record.payload) if b"chunked" in http.lower() else None
+        if plain is None or not _agrees(record.get("warc-payload-digest"), plain):
+            raise ValueError(f"{where}: payload and digest differ")
+    return record
 
 
 class _Archive:
@@ -132,7 +213,12 @@ def _train(samples: list[bytes]) -> bytes | None:
 
 def write_archives(records: DataFrame, folder: str) -> DataFrame:
     """Write ``(page_id, uri, payload, digest, response_id, is_response)`` rows as
-    archives; returns the committed manifest ``(path, records, bytes)``."""
+    archives; returns the committed manifest ``(path, records, bytes)``. ``digest``: the SHA-1
+    of the full payload, in hexadecimal or base32."""
+    given, folder = folder, qualified(records.sparkSession, folder)
+    # the manifest names a local file as the caller named its folder
+    scheme = "" if given.startswith("/") and folder.startswith("file:") else folder.partition(":")[0] + "://"
+    base32 = lambda d: base64.b32encode(bytes.fromhex(d)).decode() if len(d) == 40 else d
 
     def work(batches):
         fs, base = _filesystem(folder)
@@ -159,6 +245,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         for b in batches:
             for i in range(b.num_rows):
                 row = [c[i].as_py() for c in b.columns]
+                row[3] = base32(row[3])
                 waiting.append(encode_record(*row))
                 held += len(waiting[-1])
                 if trained or len(waiting) >= DICT_SAMPLE_ROWS or held >= DICT_SAMPLE_BYTES:
@@ -167,7 +254,6 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
         if current is not None:
             current.out.close()
             done.append(current)
-        scheme = folder[:len(folder) - len(base)] if folder.endswith(base) else ""
         yield pa.RecordBatch.from_arrays(
             [pa.array([scheme + a.path for a in done], pa.string()), pa.array([a.records for a in done], pa.int64()),
              pa.array([a.size for a in done], pa.int64())], ["path", "records", "bytes"])
@@ -177,7 +263,7 @@ def write_archives(records: DataFrame, folder: str) -> DataFrame:
 
 
 def read_archive(path: str):
-    """(fields, payload) of every record of one archive, in order."""
+    """Every ``Record`` of one archive, in order. Skippable frames between records are passed over."""
     fs, local = _filesystem(path)
     with fs.open_input_stream(local, compression=None) as stream:
         buffer = stream.read(8)
@@ -208,34 +294,43 @@ def read_archive(path: str):
                 buffer = stream.read(READ_BYTES)
                 if not buffer:
                     raise ValueError(f"{path}, frame {nth}: cut off")
-            yield decode_record(b"".join(parts), f"{path}, frame {nth}")
+            raw = b"".join(parts)
+            if raw:  # a skippable frame gives nothing
+                yield decode_record(raw, f"{path}, frame {nth}")
             nth += 1
 
 
 def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
-    """Read and validate every archive of a manifest: one row per record, for a
-    revisit without ``payload_bytes``; with the payload itself if asked for."""
+    """Read and validate every archive of a manifest ``(path, records)``: one row per record, for a
+    revisit without ``payload_bytes``; with the payload itself if asked for. ``records`` may be
+    null where it is not known. ``page_id`` and ``refers_to`` are the numbers that this writer
+    gives; the ids of other writers stand in ``record_id`` and ``refers_to_id`` alone."""
+    spark = manifest.sparkSession
+    root = qualified(spark, "/").rstrip("/")
 
-    def number(x: str):
-        x = x.removeprefix(f"<{ID_PREFIX}").removesuffix(">")
-        return int(x) if x else None
+    def number(x: str | None):
+        own = re.fullmatch(rf"<{ID_PREFIX}(-?[0-9]+)>", x or "")
+        return int(own.group(1)) if own else None
 
     def rows(path, want):
         found = 0
-        for fields, payload in read_archive(path):
+        for record in read_archive(path):
             found += 1
-            kind = fields["warc-type"]
+            kind = record.get("warc-type").lower()
             revisit = kind == "revisit"
-            yield (number(fields["warc-record-id"]), kind, number(fields["warc-refers-to"]) if revisit else None,
-                   fields.get("warc-target-uri"), fields.get("warc-payload-digest", "").removeprefix("sha1:"),
-                   None if revisit else len(payload), payload if payloads and not revisit else None)
-        if found != want:
+            digest = record.get("warc-payload-digest")
+            yield (number(record.get("warc-record-id")), kind, number(record.get("warc-refers-to")) if revisit else None,
+                   record.get("warc-target-uri"), digest and digest.removeprefix("sha1:"),
+                   None if revisit else len(record.payload), record.get("warc-record-id"), record.get("warc-refers-to"),
+                   record.payload if payloads and not revisit else None)[:9 if payloads else 8]
+        if want is not None and found != want:
             raise ValueError(f"{path}: {found} records, the manifest says {want}")
 
     schema = pa.schema([("page_id", pa.int64()), ("record_type", pa.string()), ("refers_to", pa.int64()), ("uri", pa.string()),
-                        ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("payload", pa.binary())])
+                        ("payload_digest", pa.string()), ("payload_bytes", pa.int64()), ("record_id", pa.string()),
+                        ("refers_to_id", pa.string()), ("payload", pa.binary())])
     if not payloads:
-        schema = schema.remove(6)
+        schema = schema.remove(8)
 
     def work(batches):
         for b in batches:
@@ -243,14 +338,15 @@ def read_archives(manifest: DataFrame, payloads: bool = False) -> DataFrame:
                 part, size = [], 0
                 for row in rows(path, want):
                     part.append(row)
-                    size += 200 + len(row[6] or b"")
+                    size += 200 + len(row[8] or b"" if payloads else b"")
                     if size >= 4 << 20:
                         yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*part), schema)], schema=schema)
                         part, size = [], 0
                 if part:
                     yield pa.RecordBatch.from_arrays([pa.array(c, t.type) for c, t in zip(zip(*part), schema)], schema=schema)
 
-    paths = manifest.select("path", "records")
+    path = F.when(F.col("path").startswith("/"), F.concat(F.lit(root), "path")).otherwise(F.col("path"))
+    paths = manifest.select(path.alias("path"), "records")
     tasks = max(1, manifest.count())  # one archive a task
     return paths.repartition(tasks).mapInArrow(work, _RECORD + (", payload binary" if payloads else ""))
 
@@ -276,15 +372,15 @@ def warc_round_trip(pages: DataFrame, folder: str | None = None, id_col: str = "
     rows = pages.select(pages[id_col].cast("long").alias("_id"), pages[uri_col].cast("string").alias("_uri"),
                         F.coalesce(pages[payload_col].cast("string"), F.lit("")).cast("binary").alias("_payload"))
     rows = rows.withColumn("_sha", F.sha1("_payload"))
-    best = rows.groupBy("_sha").agg(F.max("_id").alias("_best"))
+    # narrow, and written: the payloads then meet it in a join that splits a hot payload
+    best = write_table(rows.groupBy("_sha").agg(F.max("_id").alias("_best")), "warc-responses")
     chosen = rows.join(best, "_sha").withColumn(
         "_first", F.col("_id").eqNullSafe(F.col("_best")) | (F.octet_length("_payload") < min_revisit_bytes))
-    digest = F.udf(lambda h: base64.b32encode(bytes.fromhex(h)).decode(), useArrow=True)
     records = chosen.select(
         F.col("_id").alias("page_id"), F.col("_uri").alias("uri"), F.when(F.col("_first"), F.col("_payload")).alias("payload"),
-        digest("_sha").alias("digest"), F.col("_best").alias("response_id"), F.col("_first").alias("is_response"))
+        F.col("_sha").alias("digest"), F.col("_best").alias("response_id"), F.col("_first").alias("is_response"))
     manifest = write_archives(records, folder)
-    back = read_archives(manifest)
+    back = read_archives(manifest).drop("record_id", "refers_to_id")
     response = (back.where("record_type = 'response'").groupBy(F.col("page_id").alias("_rid"))
                 .agg(F.max("payload_bytes").alias("_n")))
     full = (back.join(response, F.col("refers_to") == F.col("_rid"), "left")
