@@ -40,6 +40,20 @@ _EDGES = "path long, j int, e1 long, e2 long, _id long"
 _CONTENT = ("anchor", "c1", "c2")
 
 
+def _anchors(docs: DataFrame, window: int, anchor: int) -> DataFrame:
+    """(_id, anchor) of every path, without the digests that most paths never need."""
+
+    def work(batches):
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            for block in blocks(b.column(2)):
+                words = Words(block)
+                r = Runs(words.hash, words.offsets, window, anchor)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[block.rows][r.row]), pa.array(signed(r.anchor))], ["_id", "anchor"])
+
+    return docs.mapInArrow(work, "_id long, anchor long")
+
+
 def _paths(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     def work(batches):
         for b in batches:
@@ -87,12 +101,11 @@ def repeated_edges(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR)
     the ``window`` words from word ``first + j`` also start in a smaller ``_id``."""
     if not 0 <= window - anchor <= 62:
         raise ValueError("a path holds at most 63 edges: choose anchor >= window - 62")
-    paths = _paths(docs, window, anchor)
     # every aggregate that meets its own rows again is written first: both sides of the join
     # are then plain shuffles, and a hot key can be split
-    more = write_table(paths.groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
+    more = write_table(_anchors(docs, window, anchor).groupBy("anchor").agg(F.min("_id").alias("lo"), F.max("_id").alias("hi"))
                        .where("lo < hi").select("anchor"), "anchors")
-    paths = write_table(paths.join(more, "anchor").select("_id", "_v", "first", "n", *_CONTENT), "paths")
+    paths = write_table(_paths(docs, window, anchor).join(more, "anchor").select("_id", "_v", "first", "n", *_CONTENT), "paths")
 
     contents = write_table(
         paths.groupBy(*_CONTENT).agg(F.min(F.struct("_id", "_v", "first", "n")).alias("src"), F.max("_id").alias("hi"))
