@@ -61,8 +61,8 @@ s AS (SELECT doc_id, owner, kind, v, len(w) AS n, sum(len(pre) + len(w)) OVER (P
 f AS (SELECT doc_id, owner, kind, v, (stop - n)::BIGINT AS start, stop::BIGINT AS stop FROM s
       WHERE (kind = 0 AND len(v) >= 6) OR (kind = 1 AND len(v) >= 20) OR (kind = 2 AND len(v) >= 24)
          OR (kind = 3 AND len(v) >= 20 AND regexp_matches(v, '[0-9]') AND regexp_matches(v, '[A-Z]') AND regexp_matches(v, '[a-z]'))),
-o AS (SELECT v, count(DISTINCT owner) AS owners FROM f GROUP BY v),
-l AS (SELECT f.*, owners < 3 AS live FROM f JOIN o USING (v)),
+o AS (SELECT v, count(DISTINCT owner) AS owners, count(DISTINCT (owner, doc_id)) AS repos FROM f GROUP BY v),
+l AS (SELECT f.*, owners < 3 AND repos < 20 AS live FROM f JOIN o USING (v)),
 k AS (SELECT *, ['assign', 'access', 'hex', 'generic'][kind + 1] || ':' || start || ':' || stop AS label FROM l
       WHERE kind < 3 OR (live AND NOT EXISTS (
         SELECT 1 FROM l AS b WHERE b.doc_id = l.doc_id AND b.kind < 3 AND b.start < l.stop AND l.start < b.stop))),

@@ -3,8 +3,8 @@
 Candidates are found by regular expressions: the three base kinds and ``generic``,
 long mixed strings that no base pattern covers. The hash of every candidate value
 is aggregated over the whole corpus by distinct repositories and distinct owners.
-A value that many owners carry is a copied example; a value that stays with few
-owners looks live. Base spans are always reported, with their class; a generic
+A value that many owners or very many repositories carry is a copied example; a value
+that stays with few of both looks live. Base spans are always reported, with their class; a generic
 span is reported only where its value looks live.
 
 Positions without a UDF: ``split`` gives the text between the matches and
@@ -14,7 +14,7 @@ within the document gives every start.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinship.session import write_table
@@ -30,6 +30,8 @@ KINDS = (*BASE_KINDS, "generic")
 MIN_ASSIGN = 6
 #: a value carried by this many owners or more is a copied example
 WIDE_OWNERS = 3
+#: and so is one that stands in this many repositories or more, whoever owns them
+WIDE_REPOS = 20
 
 _HIT = "struct<kind:int,idx:int,pre:int,len:int,value:string>"
 
@@ -49,12 +51,8 @@ def _matches(docs: DataFrame, kind: int, regex: str, group: int) -> DataFrame:
     return docs.select(*[c for c in docs.columns if c not in arrays], F.transform(zipped, hit).alias(out))
 
 
-def _overlaps(base: Column, start: Column, end: Column) -> Column:
-    return F.exists(base, lambda b: (b["start"] < end) & (start < b["end"]))
-
-
 def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
-                repo_col: str | None = None, wide_owners: int = WIDE_OWNERS) -> DataFrame:
+                repo_col: str | None = None, wide_owners: int = WIDE_OWNERS, wide_repos: int = WIDE_REPOS) -> DataFrame:
     """Find secrets in every whole text and tell copied examples from live-looking values.
 
     Returns one row per input row: ``(<id_col>, spans)``, ``spans`` an array of
@@ -62,7 +60,8 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     then kind; ``kind`` indexes ``KINDS``; positions are code points, end
     exclusive; an ``assign`` span is the whole match, its value the second group.
     ``repo_col`` names the repository (default: each id is one); a null owner or
-    repository counts as one unknown owner or repository.
+    repository counts as one unknown owner or repository. A value looks live when fewer
+    than ``wide_owners`` owners and fewer than ``wide_repos`` repositories carry it.
 
     Null and empty texts have no spans. Repeated rows are scanned one by one and
     count as one repository. An empty table gives an empty result. Other columns
@@ -90,16 +89,22 @@ def secret_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("start", F.col("end") - F.col("len"))
              .where((F.col("kind") != 0) | (F.col("n") >= MIN_ASSIGN))
              .where((F.col("kind") < len(BASE_KINDS)) | F.col("mixed")))
-    spread = (found.groupBy("value_hash", "_owner", "_repo").agg(F.lit(1).alias("one"))
-              .groupBy("value_hash", "_owner").agg(F.count("*").alias("repos"))
-              .groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos")))
-    spans = (found.join(spread, "value_hash").groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
-        "start", "kind", "end", "value_hash", "n_owners", "n_repos",
-        (F.col("n_owners") < wide_owners).alias("looks_live")))).alias("all")))
-    base = F.filter("all", lambda s: s["kind"] < len(BASE_KINDS))
-    kept = F.filter("all", lambda s: (s["kind"] < len(BASE_KINDS)) | (
-        s["looks_live"] & ~_overlaps(F.col("base"), s["start"], s["end"])))
-    spans = spans.withColumn("base", base).select("_row", kept.alias("spans"))
+    # written, so that the rows of a value that stands everywhere can be split
+    spread = write_table(found.groupBy("value_hash", "_owner", "_repo").agg(F.lit(1).alias("one"))
+                         .groupBy("value_hash", "_owner").agg(F.count("*").alias("repos"))
+                         .groupBy("value_hash").agg(F.count("*").alias("n_owners"), F.sum("repos").alias("n_repos")), "secret-spread")
+    live = (F.col("n_owners") < wide_owners) & (F.col("n_repos") < wide_repos)
+    known = found.join(spread, "value_hash").withColumn("looks_live", live)
+    # a generic span overlaps a base span if one that starts before its end ends after its start:
+    # one pass over the spans of a text by these positions
+    base = F.col("kind") < len(BASE_KINDS)
+    position = F.when(base, F.col("start") * 2).otherwise(F.col("end") * 2 - 1)
+    before = Window.partitionBy("_row").orderBy("at").rowsBetween(Window.unboundedPreceding, -1)
+    reach = F.max(F.when(base, F.col("end"))).over(before)
+    kept = known.withColumn("at", position).withColumn("reach", F.coalesce(reach, F.lit(-1))).where(
+        base | (F.col("looks_live") & (F.col("reach") <= F.col("start"))))
+    spans = kept.groupBy("_row").agg(F.array_sort(F.collect_list(F.struct(
+        "start", "kind", "end", "value_hash", "n_owners", "n_repos", "looks_live"))).alias("spans"))
     every = flat.where("idx is null or (idx = 0)").groupBy("_row").agg(F.first("_id").alias("_id"))
     empty = F.array().cast(spans.schema["spans"].dataType)
     return every.join(spans, "_row", "left").select(F.col("_id").alias(id_col), F.coalesce("spans", empty).alias("spans"))
