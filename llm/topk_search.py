@@ -26,7 +26,8 @@ PIVOTS = 32
 QUERY_BLOCK = 2048
 CANDIDATE_BLOCK = 8192
 AT_ONCE = 64  # queries of a cell whose bounds are held at once
-STEP = 256  # candidates evaluated between two looks at the bound
+STEP = 256  # candidates evaluated before the first look at the bound; four times as many before each next
+_LONG = (-(1 << 63), (1 << 63) - 1)
 
 
 def _matrix(column: pa.Array) -> np.ndarray:
@@ -35,44 +36,63 @@ def _matrix(column: pa.Array) -> np.ndarray:
 
 
 def _distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
-    x = x.astype(np.float64)
-    return np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots.astype(np.float64)], 1) if len(pivots) else np.zeros((len(x), 0))
+    if not len(pivots):
+        return np.zeros((len(x), 0))
+    with np.errstate(over="ignore", invalid="ignore"):
+        return np.stack([np.sqrt(((x - p) ** 2).sum(1)) for p in pivots], 1)
 
 
 def _scores(q: np.ndarray, x: np.ndarray) -> np.ndarray:
-    """Exact integer inner products of one query with rows of x."""
-    if np.abs(q).max(initial=0).astype(float) * np.abs(x).max(initial=0) * max(1, len(q)) < 2.0 ** 52:
-        return (x.astype(np.float64) @ q.astype(np.float64)).astype(np.int64)
-    if np.abs(q).max().astype(float) * np.abs(x).max() * len(q) >= 2.0 ** 63:
-        raise OverflowError("a score does not fit 64 bits")
-    return (x * q).sum(1)
+    """Exact inner products of one query with rows of x, all of integral doubles: as int64
+    where doubles hold every sum exactly, else as Python integers."""
+    if np.abs(q).max(initial=0) * np.abs(x).max(initial=0) * max(1, len(q)) < 2.0 ** 53:
+        return (x @ q).astype(np.int64)
+    whole = [int(v) for v in q.tolist()]
+    return np.array([sum(a * int(b) for a, b in zip(whole, row) if a and b) for row in x.tolist()], dtype=object)
+
+
+def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
+    if scores.dtype == object:
+        return np.array(sorted(range(len(scores)), key=lambda r: (-scores[r], ids[r]))[:k], dtype=np.int64)
+    return np.lexsort((ids, -scores))[:k]
 
 
 def cell_top_k(q: np.ndarray, q_id: np.ndarray, q_dist: np.ndarray, x: np.ndarray, x_id: np.ndarray, x_dist: np.ndarray, k: int):
     """(query row, candidate row, score) of the k best candidates of every query in
     this cell, ties to the smaller id; a query's own id is no candidate."""
-    q_norm, x_norm = (q.astype(np.float64) ** 2).sum(1), (x.astype(np.float64) ** 2).sum(1)
+    with np.errstate(over="ignore", invalid="ignore"):
+        q_norm, x_norm = (q ** 2).sum(1), (x ** 2).sum(1)
     for start in range(0, len(q), AT_ONCE):
         part = slice(start, start + AT_ONCE)
         low = np.zeros((len(q_norm[part]), len(x)))
-        for p in range(x_dist.shape[1]):
-            np.maximum(low, np.abs(q_dist[part, p, None] - x_dist[None, :, p]), out=low)
-        bound = (q_norm[part, None] + x_norm[None, :] - low ** 2) / 2
-        bound += 1e-9 * (q_norm[part, None] + x_norm[None, :]) + 1e-6  # rounding never hides a candidate
+        with np.errstate(over="ignore", invalid="ignore"):
+            for p in range(x_dist.shape[1]):
+                np.fmax(low, np.abs(q_dist[part, p, None] - x_dist[None, :, p]), out=low)
+            both = q_norm[part, None] + x_norm[None, :]
+            bound = (both - low ** 2) / 2 + 1e-9 * both + 1e-6  # rounding never hides a candidate
+        bound[~np.isfinite(both)] = np.inf  # beyond doubles: no bound
+        bound[np.isnan(bound)] = np.inf
         order = np.argsort(-bound, axis=1)
         for r in range(len(bound)):
             best_s, best_i = np.empty(0, np.int64), np.empty(0, np.int64)
-            for at in range(0, len(x), STEP):
-                rows = order[r, at:at + STEP]
-                if len(best_s) >= k and bound[r, rows[0]] < best_s[-1]:
+            at, step = 0, STEP
+            while at < len(x):
+                rows = order[r, at:at + step]
+                if len(best_s) >= k and bound[r, rows[0]] < float(best_s[-1]):
                     break
+                at, step = at + step, step * 4
                 rows = rows[x_id[rows] != q_id[start + r]]
                 s, i = np.concatenate([best_s, _scores(q[start + r], x[rows])]), np.concatenate([best_i, rows])
-                top = np.lexsort((x_id[i], -s))[:k]
+                top = _best(s, x_id[i], k)
                 best_s, best_i = s[top], i[top]
             yield start + r, best_i, best_s
 
 
+def _floor(x: Column) -> Column:
+    """The floor as a double; doubles beyond 2^53 are whole numbers already."""
+    return F.when(F.abs(x) < F.lit(2.0 ** 53), F.floor(x).cast("double")).otherwise(x)
+
+
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
           scale: int = 1024, pivots: int = PIVOTS, query_block: int = QUERY_BLOCK,
           candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
@@ -84,14 +104,19 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
     take no part; vectors of different lengths do not meet. Rows that carry the
     query's id are its own. A repeated query row gets its answer once per row. An
     empty table gives an empty result. Other columns are ignored.
+
+    Sums are exact for components of every size; ``score`` is a long, so a sum outside
+    its range is ranked by its true value within a cell and between cells as the nearest
+    long, and comes back as that. A component whose ``scale`` multiple is beyond the largest
+    double takes its row out, as a non-finite one does.
     """
     spark = vectors.sparkSession
     ship(spark)
     vec = vectors[vec_col]
-    fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    fine = F.forall(vec, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x.cast("double") * scale) < F.lit(float("inf"))))
     rows = vectors.where(vectors[id_col].isNotNull() & vec.isNotNull() & fine).select(
         vectors[id_col].cast("long").alias("id"), F.coalesce(is_query, F.lit(False)).alias("asks"),
-        F.transform(vec, lambda x: F.floor(x.cast("double") * scale).cast("long")).alias("v"))
+        F.transform(vec, lambda x: _floor(x.cast("double") * scale)).alias("v"))
     rows = rows.withColumn("dim", F.size("v")).where("dim > 0")
     # pivots: the rows with the smallest hash, a fixed number for each length
     nth = F.row_number().over(Window.partitionBy("dim").orderBy(F.xxhash64("id"), "id"))
@@ -109,7 +134,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
                 yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(dist), pa.list_(pa.float64()))],
                                                  ["id", "asks", "v", "dim", "dist"])
 
-    rows = write_table(rows.mapInArrow(table, "id long, asks boolean, v array<long>, dim int, dist array<double>"), "pivot-table")
+    rows = write_table(rows.mapInArrow(table, "id long, asks boolean, v array<double>, dim int, dist array<double>"), "pivot-table")
     counts = rows.agg(F.count("*"), F.count_if("asks")).first()
     n_blocks, q_blocks = (max(1, -(-n // size)) for n, size in zip(counts, (candidate_block, query_block)))
     # copies of one row share an id, so the position in the table decides the block too
@@ -127,6 +152,7 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
             x, x_id, x_dist = read(right)
             nr = left["nr"].to_numpy()
             for r, i, s in cell_top_k(q, q_id, q_dist, x, x_id, x_dist, k):
+                s = np.array([min(max(int(v), _LONG[0]), _LONG[1]) for v in s], np.int64) if s.dtype == object else s
                 for c, v in zip(out, (np.full(len(i), nr[r]), np.full(len(i), q_id[r]), x_id[i], s)):
                     c.append(v)
         return pa.table([pa.array(np.concatenate(c) if c else np.empty(0), pa.int64()) for c in out], ["nr", "query_id", "id", "score"])

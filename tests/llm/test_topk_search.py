@@ -43,3 +43,23 @@ def test_few_or_no_candidates(spark):
 def test_matches_sql_on_the_whole_small_table(spark):
     got = compare(spark, "/root/testdata/sf0.001", keys=["op6_pivot_topk"], verbose=False)
     assert got["op6_pivot_topk"][0] == "OK"
+
+
+def test_large_finite_components(spark):
+    rnd = random.Random(9)
+    rows = [(i, [rnd.choice([1e30, -1e30, 3.0, 2.0 ** 40, 1e13, 0.1]) for _ in range(4)]) for i in range(60)]
+    rows += [(100, [1e306, 0.0, 0.0, 0.0]), (110, [2.0 ** 53, 1.0, 0.0, 0.0]), (111, [2.0 ** -10, -1.0, 0.0, 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted(tuple(r) for r in top_k(df, F.col("vec_id") % 10 == 0, k=7, pivots=5, query_block=100, candidate_block=1000).collect())
+    clip = lambda s: min(max(s, -(1 << 63)), (1 << 63) - 1)
+    want = []
+    whole = [(i, [int(x) * 1024 if abs(x) >= 2 ** 53 else math.floor(1024 * x) for x in v]) for i, v in rows if i != 100]  # 1024e306 is no double
+    for i, q in whole:
+        if i % 10 == 0:
+            best = sorted((-sum(a * b for a, b in zip(q, v)), j) for j, v in whole if j != i)[:7]
+            want.append([i, [(j, clip(-s)) for s, j in best]])
+    assert len(got) == 7 * len(want)
+    for i, best in want:
+        mine = [(j, s) for q, _, j, s in got if q == i]
+        assert [s for _, s in mine] == [s for _, s in best]
+        assert {(j, s) for j, s in mine if abs(s) < 2 ** 62} == {(j, s) for j, s in best if abs(s) < 2 ** 62}
