@@ -4,7 +4,10 @@ Several metadata dimensions are quantised to ``bits`` bits each; the Hilbert ind
 of the cell orders the rows, so that a cut run of the curve spans a small box in
 every dimension and readers can skip whole shards by any of them. Positions come
 from three levels of counts (cells, hash buckets inside a cell, rows inside a
-bucket): a cell with a third of all rows is spread over ``BUCKETS`` groups.
+bucket). The order inside a cell is that of a hash of id and text, and a bucket is a
+prefix of that hash, as long as the size of the table asks for: a cell with a third of
+all rows, or a third of all rows without an id, is spread over buckets of some
+``BUCKET_ROWS`` rows, and the order does not depend on their number.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from kinship.session import write_table
 
 SHARDS = 24  # fixed value of the contract
 BITS = 4
-BUCKETS = 1024
+BUCKET_ROWS = 100_000  # rows of one cell that a window sorts together, about
 ROW_BYTES = 8  # fixed value: added to the text bytes of every row
 
 
@@ -65,9 +68,9 @@ def shard(docs: DataFrame, dims: dict[str, Column], id_col: str = "doc_id", text
     row per input row: ``(<id_col>, size, text_crc32, curve, shard, slot)``; ``size``
     is the text's UTF-8 bytes plus 8, ``slot`` counts from 0 without gaps in a shard.
 
-    A null text counts as empty, a null dimension as 0. Ties on the curve order by a
-    hash of the id, then id, then text; a null id comes first. Repeated rows take one
-    slot each. Fewer rows than shards leave shards empty; an empty table gives an
+    A null text counts as empty, a null dimension as 0. Ties on the curve order by the MD5 of
+    ``id:checksum of the text`` (a null id: nothing before the colon), then id (null first),
+    checksum and size. Repeated rows take one slot each. Fewer rows than shards leave shards empty; an empty table gives an
     empty result. Other columns are ignored.
     """
     if bits * len(dims) > 14:
@@ -78,8 +81,12 @@ def shard(docs: DataFrame, dims: dict[str, Column], id_col: str = "doc_id", text
                        F.crc32(text.cast("binary")).alias("text_crc32"), F.array(*axes).alias("_axes"))
     rows = rows.select("_id", "size", "text_crc32",
                        hilbert_index([F.col("_axes")[k] for k in range(len(axes))], bits).alias("curve"),
-                       F.pmod(F.xxhash64("_id"), F.lit(BUCKETS)).cast("int").alias("_bucket"))
+                       F.md5(F.concat(F.coalesce(F.col("_id").cast("string"), F.lit("")), F.lit(":"), F.col("text_crc32").cast("string"))).alias("_key"))
     rows = write_table(rows, "shard-rows")
+    total, digits = rows.count(), 2
+    while 16 ** digits * BUCKET_ROWS < total and digits < 6:
+        digits += 1
+    rows = rows.withColumn("_bucket", F.substring("_key", 1, digits))
     buckets = rows.groupBy("curve", "_bucket").agg(F.count("*").alias("n"))
     cells = buckets.groupBy("curve").agg(F.sum("n").alias("n"))
     earlier = Window.orderBy("curve").rowsBetween(Window.unboundedPreceding, -1)
@@ -88,7 +95,7 @@ def shard(docs: DataFrame, dims: dict[str, Column], id_col: str = "doc_id", text
     in_cell = Window.partitionBy("curve").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (buckets.select("curve", "_bucket", F.coalesce(F.sum("n").over(in_cell), F.lit(0)).alias("_off"))
                .join(cells, "curve").select("curve", "_bucket", (F.col("_off") + F.col("_cell")).alias("_off"), "_all"))
-    in_bucket = Window.partitionBy("curve", "_bucket").orderBy("_id", "text_crc32", "size")
+    in_bucket = Window.partitionBy("curve", "_bucket").orderBy("_key", "_id", "text_crc32", "size")
     placed = (rows.withColumn("_nth", F.row_number().over(in_bucket) - 1).join(offsets, ["curve", "_bucket"])
               .withColumn("_pos", F.col("_off") + F.col("_nth"))
               .withColumn("shard", F.expr(f"_pos * {shards} div _all")))

@@ -1,3 +1,5 @@
+import hashlib
+import math
 import random
 import zlib
 
@@ -6,7 +8,8 @@ from pyspark.sql import functions as F
 
 from llm.catalog import QUERIES
 from llm.mixing import mix
-from llm.sharding import hilbert_index, shard
+import llm.sharding as sharding
+from llm.sharding import document_dims, hilbert_index, shard, write_shards
 from tools.compare import compare
 
 SCHEMA = "doc_id long, text string, source string, size string, target string, lang string"
@@ -103,3 +106,83 @@ def test_registered_sharding_on_the_whole_small_table(spark):
     assert len(got) == len(docs)
     for r in docs:
         assert (got[r.doc_id].size, got[r.doc_id].text_crc32) == (len(r.text.encode()) + 8, zlib.crc32(r.text.encode()))
+
+
+def curve(point, bits):
+    """Hilbert index from the definition: one quadrant (octant) after the other, with the
+    reflections and rotations of the Gray code undone from the highest bit down."""
+    x, n = list(point), len(point)
+    for b in range(bits - 1, 0, -1):
+        q = 1 << b
+        for i in range(n):
+            if x[i] & q:
+                x[0] ^= q - 1
+            else:
+                t = (x[0] ^ x[i]) & (q - 1)
+                x[0], x[i] = x[0] ^ t, x[i] ^ t
+    for i in range(1, n):
+        x[i] ^= x[i - 1]
+    t = 0
+    for b in range(bits - 1, 0, -1):
+        if x[n - 1] >> b & 1:
+            t ^= (1 << b) - 1
+    x = [v ^ t for v in x]
+    return int("".join(str(v >> b & 1) for b in range(bits - 1, -1, -1) for v in x), 2)
+
+
+def brute_shards(rows, shards):
+    """rows: (id, text, source, lang): the whole of the registered query."""
+    placed = []
+    for i, text, source, lang in rows:
+        raw = (text or "").encode()
+        name = lambda v: 0 if v is None else zlib.crc32(v.encode()) % 16
+        cell = curve([name(source), name(lang), min(15, int(math.log2(len(raw) + 1) * 16 / 24))], 4)
+        crc = zlib.crc32(raw)
+        key = hashlib.md5(f"{'' if i is None else i}:{crc}".encode()).hexdigest()
+        placed.append((cell, key, i is not None, i or 0, crc, len(raw) + 8))
+    placed.sort()
+    n, out = len(placed), []
+    for at, (_, _, known, i, crc, size) in enumerate(placed):
+        s = at * shards // n
+        out.append((i if known else None, size, crc, s, at - -(-s * n // shards)))
+    return sorted(out, key=str)
+
+
+def got_shards(placed):
+    return sorted(((r.doc_id, r.size, r.text_crc32, r.shard, r.slot) for r in placed.collect()), key=str)
+
+
+@pytest.mark.parametrize("bucket_rows", [1, 100_000])
+def test_whole_placement_against_brute_force(spark, monkeypatch, bucket_rows):
+    """On the given table, with nulls and repeated rows; the order does not depend on the buckets."""
+    monkeypatch.setattr(sharding, "BUCKET_ROWS", bucket_rows)
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text", "source", "lang")
+    more = [(None, "no id", "a", "en")] * 3 + [(None, None, None, None), (7, "x", "a", None), (7, "x", "a", None), (8, "", None, "é")]
+    docs = docs.union(spark.createDataFrame(more, docs.schema)).repartition(5)
+    rows = [tuple(r) for r in docs.collect()]
+    assert got_shards(shard(docs, document_dims(docs))) == brute_shards(rows, 24)
+
+
+def test_registered_sharding_against_brute_force(spark):
+    d = "/root/testdata/sf0.01"
+    rows = [tuple(r) for r in spark.read.parquet(f"{d}/documents.parquet").select("doc_id", "text", "source", "lang").collect()]
+    out = QUERIES["op8_hilbert_sharding"](spark, d)
+    assert got_shards(out) == brute_shards(rows, 24)
+    assert {(r.law, r.grown_shard) for r in out.collect()} == {("rows", None)}
+
+
+def test_written_shards_are_ordered_and_prunable(spark, tmp_path):
+    """A reader that wants one value of a dimension needs a few shards only."""
+    side = 16
+    grid = spark.range(side * side * 8).select(F.col("id").alias("doc_id"), F.lit("t").alias("text"), (F.col("id") % side).cast("int").alias("x"),
+                                               (F.floor(F.col("id") / side) % side).cast("int").alias("y"))
+    placed = shard(grid, {"x": F.col("x"), "y": F.col("y")}, shards=16)
+    write_shards(placed, str(tmp_path / "shards"), files=6)
+    back = spark.read.parquet(str(tmp_path / "shards"))
+    assert got_shards(back) == got_shards(placed)
+    whole = back.join(grid.select("doc_id", "x", "y"), "doc_id")
+    touched = {c: [r["n"] for r in whole.groupBy(c).agg(F.count_distinct("shard").alias("n")).collect()] for c in "xy"}
+    assert all(max(n) <= 4 for n in touched.values())  # of 16 shards, for every value of either dimension
+    for part in (tmp_path / "shards").glob("shard=*/*.parquet"):
+        slots = [r.slot for r in spark.read.parquet(str(part)).collect()]
+        assert slots == sorted(slots)
