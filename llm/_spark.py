@@ -40,6 +40,12 @@ def public_id(key: Column, version: Column) -> Column:
     return F.when((key != F.lit(NO_ID)) | version.between(-1, (1 << 32) - 1), key)
 
 
+def held(docs: DataFrame, **extra: Column) -> DataFrame:
+    """``docs`` with every row as one struct ``row`` beside the ``extra`` columns, so that names
+    used inside an operator meet no column of the same name; ``row.*`` gives it back."""
+    return docs.select(F.struct(*[docs[f"`{c}`"] for c in docs.columns]).alias("row"), *[c.alias(n) for n, c in extra.items()])
+
+
 def pack(keyed_docs: DataFrame) -> DataFrame:
     """``(_id, _v, _z)``: texts compressed one by one, so that a shuffle of whole
     texts moves and stores a third of the bytes. A null text stays null."""

@@ -3,8 +3,8 @@
 Features are hashed byte n-grams of the lower-cased text (letters only, other
 characters read as one space), counted over the whole text. A linear support
 vector machine per family (one against the rest) picks the family; inside it,
-one-versus-one machines vote for the language. The machines are fitted on a
-bounded sample of labelled rows, the only rows that reach the driver, as vectors.
+one-versus-one machines vote for the language. The machines are fitted, a task each, on
+a bounded sample of labelled rows, the only rows that reach the driver, as vectors.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from llm._spark import ship
+from llm._spark import held, ship
 from llm._symbols import U64, Block, blocks, mix
 
 # Families of common languages; any other language is a family of its own.
@@ -40,9 +40,9 @@ _FAMILY = {code: name for name, codes in FAMILIES.items() for code in codes.spli
 UNKNOWN = "und"
 DIM = 4096
 GRAMS = (1, 2, 3, 4)
-SAMPLE_PER_LANG = 300  # bound of the training sample, rows a language
-FULL_LANGS = 64  # with more languages, all of them share the rows of this many ...
-LEAST_PER_LANG = 20  # ... but none gets fewer than this many rows
+SAMPLE_PER_LANG = 300  # bound of the training sample, rows a language ...
+SAMPLE_ROWS = 19_200  # ... and in total (8 KB a row), which the languages share evenly ...
+LEAST_PER_LANG = 20  # ... with at least this many rows each: so 960 label values can be learned
 ROWS_AT_ONCE = 256
 _KEEP = np.ones(256, dtype=bool)  # letters and all bytes beyond ASCII
 _KEEP[:128] = [chr(c).isalpha() for c in range(128)]
@@ -133,23 +133,28 @@ class LanguageModel:
         return lang, score * np.where(np.isinf(least), 1.0, sigmoid(least))
 
 
-def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int = SAMPLE_PER_LANG) -> LanguageModel | None:
-    """Fit on at most ``per_lang`` rows of each language (those with the smallest
-    hash of the id; of equal ids one). Every label value is a language. Beyond
-    FULL_LANGS of them the sample stays at ``FULL_LANGS * per_lang`` rows in total, dealt
-    out evenly, but no language gives fewer than LEAST_PER_LANG rows for it. None
-    without labelled text."""
-    ship(labelled.sparkSession)
+def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang: int = SAMPLE_PER_LANG,
+        sample_rows: int = SAMPLE_ROWS) -> LanguageModel | None:
+    """Fit on at most ``per_lang`` rows of each language (those with the smallest hash of the
+    id; of equal ids one) and ``sample_rows`` in total, dealt out evenly. Every label value
+    is a language, up to ``sample_rows / LEAST_PER_LANG`` of them: of a column with more, those
+    with the most rows. None without labelled text. The sample is all that the driver
+    holds; each machine is fitted by a task of its own."""
+    spark = labelled.sparkSession
+    ship(spark)
     rows = labelled.select(labelled[lang_col].cast("string").alias("l"),
                            F.md5(F.coalesce(labelled[id_col].cast("string"), F.lit(""))).alias("k"),
                            labelled[text_col].cast("string").alias("t")).where("l is not null and t is not null")
-    n_langs = rows.select("l").distinct().count()
-    if not n_langs:
+    most = max(1, sample_rows // LEAST_PER_LANG)
+    labels = rows.groupBy("l").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l").limit(most)
+    learned = [r.l for r in labels.select("l").collect()]
+    if not learned:
         return None
-    per_lang = min(per_lang, max(LEAST_PER_LANG, FULL_LANGS * per_lang // n_langs))
+    per_lang = max(1, min(per_lang, sample_rows // len(learned)))
     # the cut is found on narrow rows: each task passes on at most per_lang rows a language
     nth = F.row_number().over(Window.partitionBy("l").orderBy("k"))
-    cut = rows.select("l", "k", nth.alias("nth")).where(F.col("nth") <= per_lang).groupBy("l").agg(F.max("k").alias("cut"))
+    cut = (rows.select("l", "k").join(F.broadcast(labels.select("l")), "l").withColumn("nth", nth).where(F.col("nth") <= per_lang)
+           .groupBy("l").agg(F.max("k").alias("cut")))
 
     def work(batches):
         for b in batches:
@@ -157,19 +162,37 @@ def fit(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_lang
                 part = [v.astype(np.float16).tobytes() for v in x]
                 yield pa.RecordBatch.from_arrays([b.column(0)[rows], pa.array(part, pa.binary())], ["l", "x"])
 
-    # one narrow row a language
+    # both broadcasts hold a narrow row for each of at most `most` languages
     sample = rows.join(F.broadcast(cut), "l").where("k <= cut").groupBy("l", "k").agg(F.min("t").alias("t"))
     got = sorted((r.l, bytes(r.x)) for r in sample.select("l", "t").mapInArrow(work, "l string, x binary").collect())
-    x = np.stack([np.frombuffer(v, np.float16) for _, v in got]).astype(np.float32)
+    x = np.stack([np.frombuffer(v, np.float16) for _, v in got])
     langs = sorted({lang for lang, _ in got})
-    y = np.array([langs.index(lang) for lang, _ in got])
+    number = {lang: i for i, lang in enumerate(langs)}
+    y = np.array([number[lang] for lang, _ in got])
     families = sorted({family_of(lang) for lang in langs})
     member = np.array([families.index(family_of(lang)) for lang in langs])
-    family_w = [fit_svm(x, np.where(member[y] == f, 1.0, -1.0)) for f in range(len(families))] if len(families) > 1 else []
+    # one family against the rest, or one language against another of its family
+    machines = [(f, -1) for f in range(len(families))] if len(families) > 1 else []
     pairs = [(a, b) for a, b in itertools.combinations(range(len(langs)), 2) if member[a] == member[b]]
-    pair_w = [fit_svm(x[(y == a) | (y == b)], np.where(y[(y == a) | (y == b)] == a, 1.0, -1.0)) for a, b in pairs]
-    as_matrix = lambda w: np.array(w, np.float32).reshape(-1, DIM + 1)
-    return LanguageModel(langs, families, as_matrix(family_w), pairs, as_matrix(pair_w))
+    data = spark.sparkContext.broadcast((x, y, member))
+
+    def fitted(batches):
+        x, y, member = data.value
+        for b in batches:
+            for nr, one, other in zip(*(c.to_pylist() for c in b.columns)):
+                rows = np.ones(len(y), bool) if other < 0 else (y == one) | (y == other)
+                own = member[y[rows]] if other < 0 else y[rows]
+                w = fit_svm(x[rows].astype(np.float32), np.where(own == one, 1.0, -1.0)).astype(np.float32)
+                yield pa.RecordBatch.from_arrays([pa.array([nr]), pa.array([w.tobytes()], pa.binary())], ["nr", "w"])
+
+    jobs = [(nr, a, b) for nr, (a, b) in enumerate(machines + pairs)]
+    weights = {}
+    if jobs:
+        table = spark.createDataFrame(jobs, "nr long, one int, other int").repartition(min(len(jobs), 10_000), "nr")
+        weights = {r.nr: np.frombuffer(bytes(r.w), np.float32) for r in table.mapInArrow(fitted, "nr long, w binary").collect()}
+    data.unpersist()
+    as_matrix = lambda part: np.array([weights[k] for k in part], np.float32).reshape(-1, DIM + 1)
+    return LanguageModel(langs, families, as_matrix(range(len(machines))), pairs, as_matrix(range(len(machines), len(jobs))))
 
 
 def has_letter(text: Column) -> Column:
@@ -189,21 +212,22 @@ def predict(docs: DataFrame, model: LanguageModel | None, text_col: str = "text"
     if taken:
         raise ValueError(f"columns in the way: {sorted(taken)}")
     at = docs.columns.index(text_col)
+    rows = held(docs)  # column names play no part in a task
 
     def work(batches):
         for b in batches:
             lang, score = np.full(b.num_rows, -1), np.zeros(b.num_rows)
             if model is not None:
-                for rows, letter, x in _vectors(b.column(at).cast(pa.large_string())):
+                for part, letter, x in _vectors(pc.struct_field(b.column(0), [at]).cast(pa.large_string())):
                     got, sure = model.predict(x)
-                    lang[rows] = np.where(letter, got, -1)
-                    score[rows] = np.where(letter, sure, 0.0)
+                    lang[part] = np.where(letter, got, -1)
+                    score[part] = np.where(letter, sure, 0.0)
             langs = np.array([*(model.langs if model else ()), UNKNOWN], dtype=object)
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(langs[lang], pa.string()), pa.array(score, pa.float64())],
-                                             [*b.schema.names, *names])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(langs[lang], pa.string()), pa.array(score, pa.float64())],
+                                             ["row", "lang", "score"])
 
-    schema = StructType([*docs.schema.fields, StructField(names[0], StringType()), StructField(names[1], DoubleType())])
-    return docs.mapInArrow(work, schema)
+    schema = StructType([rows.schema["row"], StructField("lang", StringType()), StructField("score", DoubleType())])
+    return rows.mapInArrow(work, schema).select("row.*", F.col("lang").alias(names[0]), F.col("score").alias(names[1]))
 
 
 def held_out(id_col: Column, folds: int = 5) -> Column:

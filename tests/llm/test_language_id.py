@@ -1,4 +1,6 @@
+import math
 import random
+import unicodedata
 import zlib
 
 import pytest
@@ -63,3 +65,58 @@ def test_held_out_accuracy_on_the_whole_table(spark, sf):
     assert len(out) == len(lang)
     held = [r for r in out if r.held_out]
     assert sum(r.lang_pred == lang[r.doc_id] for r in held) / len(held) >= 0.97
+
+
+def plain_prediction(model, text):
+    """The model's answer, one n-gram after the other."""
+    low = "".join(c.lower() if len(c.lower()) == 1 else c for c in text or "")
+    if not any(unicodedata.category(c).startswith("L") for c in low):
+        return "und"
+    data = [b if b >= 128 or chr(b).isalpha() else 32 for b in low.encode()]
+    mask, counts = (1 << 64) - 1, {}
+
+    def mixed(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & mask
+        return x ^ (x >> 31)
+
+    for k in (1, 2, 3, 4):
+        for at in range(len(data) - k + 1):
+            gram = 0
+            for b in data[at:at + k]:
+                gram = (gram * 257 + b + 1) & mask
+            cell = mixed(gram) >> 52
+            counts[cell] = counts.get(cell, 0) + 1
+    norm = math.sqrt(sum(math.log1p(c) ** 2 for c in counts.values()))
+    x = {cell: math.log1p(c) / norm for cell, c in counts.items()}
+    margin = lambda w: sum(float(w[cell]) * v for cell, v in x.items()) + float(w[-1])
+    family = model.families[0]
+    if len(model.families) > 1:
+        family = max(zip(map(margin, model.family_w), range(len(model.families)), model.families), key=lambda t: (t[0], -t[1]))[2]
+    votes = {i: [0, 0.0] for i, lang in enumerate(model.langs) if family_of(lang) == family}
+    for (a, b), w in zip(model.pairs, model.pair_w):
+        if a in votes:
+            m = margin(w)
+            for lang, own in ((a, m), (b, -m)):
+                votes[lang][0] += own > 0
+                votes[lang][1] += math.tanh(own)
+    return model.langs[max(votes, key=lambda i: (votes[i][0] + votes[i][1] / (4 * len(model.langs)), -i))]
+
+
+def test_every_prediction_of_the_small_table_by_plain_python(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    from llm.language_id import held_out
+
+    model = fit(docs.where(~held_out(docs["doc_id"])), "text", "lang", "doc_id")
+    got = QUERIES["op5_language_id"](spark, "/root/testdata/sf0.001").collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert len(got) == len(texts)
+    assert all(r.lang_pred == plain_prediction(model, texts[r.doc_id]) for r in got)
+
+
+def test_bounded_sample_with_very_many_label_values(spark):
+    rows = [(i, f"word{i} text", f"dirty{i}", "") for i in range(300)] + [(1000 + i, "the cat and the dog", "en", "") for i in range(30)]
+    model = fit(spark.createDataFrame(rows, SCHEMA), "text", "lang", "doc_id", sample_rows=200)
+    assert len(model.langs) == 10 and "en" in model.langs
