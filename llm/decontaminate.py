@@ -9,8 +9,10 @@ of every size partition that its own size allows, and each candidate is verified
 exact containment of the whole item in the same pass, with no shuffle of documents.
 
 The index of a benchmark of at most ``BLOCK_SHINGLES`` shingles goes to the workers as
-one broadcast. A larger one stays in tables: sketches and the documents' distinct
-shingles meet in a join, and each candidate is counted exactly in a second one.
+one broadcast. A larger one stays in tables: the documents' shingles that pass a filter
+of ``FILTER_WORDS`` words (a bit for every sketch hash, the same size for every benchmark)
+meet the sketches of the size partitions that the document's size allows in a join, and
+only the candidate documents are read again, to be counted exactly in a second join.
 """
 
 from __future__ import annotations
@@ -23,12 +25,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.session import write_table
-from llm._spark import ship
+from llm._spark import held, ship
 from llm._symbols import U64, Words, blocks
 
 WIDTH = 5
 THRESHOLD = 0.8
 BLOCK_SHINGLES = 4_000_000  # 32 MB of hashes
+FILTER_WORDS = 1 << 20  # 8 MB
 
 
 def _row_shingles(words: Words, width: int, salt: int) -> tuple[np.ndarray, np.ndarray]:
@@ -109,8 +112,10 @@ class _Index:
                         yield r, self.items[k], len(item), shared
 
 
-def _doc_shingles(texts: DataFrame, widths: list[int]) -> DataFrame:
-    """(_id, doc, width, hash, n): the distinct shingles of every document, and their number."""
+def _doc_shingles(texts: DataFrame, widths: list[int], bits: np.ndarray | None) -> DataFrame:
+    """(_id, doc, width, hash, n): the distinct shingles of every document that pass the
+    filter (None: all), and the number of all of them. ``texts``: (_id, doc, _text)."""
+    shared = texts.sparkSession.sparkContext.broadcast(bits) if bits is not None else None
 
     def work(batches):
         for b in batches:
@@ -119,30 +124,58 @@ def _doc_shingles(texts: DataFrame, widths: list[int]) -> DataFrame:
                 words = Words(block, lower=True)
                 for width in widths:
                     row, h = _distinct(words, width)
+                    n = np.bincount(row, minlength=block.n)[row]
+                    if shared is not None:
+                        known = shared.value
+                        word = known[((h >> U64(6)) % U64(len(known))).astype(np.int64)]
+                        pass_ = (word >> (h & U64(63))) & U64(1) == 1
+                        row, h, n = row[pass_], h[pass_], n[pass_]
                     at = block.rows.start + row
                     yield pa.RecordBatch.from_arrays(
                         [ids.take(pa.array(at)), pa.array(doc[at]), pa.array(np.full(len(row), width, np.int32)), pa.array(h.view(np.int64)),
-                         pa.array(np.bincount(row, minlength=block.n)[row])], ["_id", "doc", "width", "hash", "n"])
+                         pa.array(n)], ["_id", "doc", "width", "hash", "n"])
 
-    numbered = texts.select("_id", F.monotonically_increasing_id().alias("doc"), "_text")
-    return numbered.mapInArrow(work, "_id long, doc long, width int, hash long, n long")
+    return texts.mapInArrow(work, "_id long, doc long, width int, hash long, n long")
+
+
+def _filter_bits(sketch: DataFrame) -> np.ndarray:
+    """A bit for every sketch hash, in FILTER_WORDS words: all that reaches the driver."""
+    word = F.pmod(F.shiftrightunsigned("hash", 6), F.lit(FILTER_WORDS)).cast("int").alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.col("hash").bitwiseAND(F.lit(63)).cast("int"))
+    out = np.zeros(FILTER_WORDS, dtype=np.int64)
+    for r in sketch.groupBy(word).agg(F.bit_or(bit).alias("bits")).toLocalIterator():
+        out[r.word] = r.bits
+    return out.view(U64)
 
 
 def _join_tables(texts: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
     """(_id, item, size, shared) by joins alone; a row of ``sets`` is an item."""
     need = F.greatest(F.lit(1), F.ceil(F.lit(threshold) * F.size("shingles") - F.lit(1e-9)))
     items = write_table(sets.select(F.monotonically_increasing_id().alias("nth"), "item", "width", "shingles",
-                                    F.size("shingles").cast("long").alias("size"), need.cast("long").alias("need")), "items")
-    widths = sorted(r.width for r in items.select("width").distinct().collect())  # at most as many as a shingle has words
-    docs = write_table(_doc_shingles(texts, widths), "doc-shingles")
+                                    F.size("shingles").cast("long").alias("size"), need.cast("long").alias("need"))
+                        .withColumn("part", F.floor(F.log2("size")).cast("int")), "items")
+    # a few numbers: at most as many widths as a shingle has words, and 63 size partitions of each
+    parts = [(r.width, r.part, r.least) for r in items.groupBy("width", "part").agg(F.min("need").alias("least")).collect()]
+    if not parts:
+        return texts.sparkSession.createDataFrame([], "_id long, item long, size long, shared long")
     # any size - need + 1 shingles will do as a sketch: a match lacks size - need of them at most
-    sketch = items.select("nth", "width", "need", F.explode(F.expr(
-        "slice(array_sort(shingles), 1, cast(size - need + 1 AS int))")).alias("hash"))
-    pairs = write_table(docs.join(sketch, ["width", "hash"]).where("n >= need").select("_id", "doc", "nth").distinct(), "candidates")
-    wanted = pairs.join(items, "nth").select("_id", "doc", "nth", "item", "width", "size", "need", F.explode("shingles").alias("hash"))
-    found = wanted.join(docs.select("doc", "width", "hash"), ["doc", "width", "hash"])
-    return (found.groupBy("_id", "doc", "nth", "item", "size", "need").agg(F.count("*").alias("shared"))
-            .where("shared >= need").select("_id", "item", "size", "shared"))
+    sketch = write_table(items.select("nth", "width", "part", "need", F.explode(F.expr(
+        "slice(array_sort(shingles), 1, cast(size - need + 1 AS int))")).alias("hash")), "sketches")
+    widths = sorted({w for w, _, _ in parts})
+    # numbered by id and text, so that a second reading gives the same number
+    numbered = texts.select("_id", F.xxhash64(F.coalesce(F.col("_id"), F.lit(-1)), F.col("_id").isNull(), "_text").alias("doc"), "_text")
+    found = _doc_shingles(numbered, widths, _filter_bits(sketch))
+    allowed = F.filter(F.array(*[F.struct(F.lit(w).alias("w"), F.lit(p).alias("part"), F.lit(least).cast("long").alias("least")) for w, p, least in parts]),
+                       lambda s: (s["w"] == F.col("width")) & (s["least"] <= F.col("n")))
+    wide = write_table(found.select("doc", "width", "hash", "n", F.explode(allowed).alias("s")).select("doc", "width", "hash", "n", "s.part"), "doc-shingles")
+    pairs = write_table(wide.join(sketch, ["width", "part", "hash"]).where("n >= need").select("doc", "nth").distinct(), "candidates")
+    wanted = pairs.join(items, "nth").select("doc", "nth", "item", "width", "size", "need", F.explode("shingles").alias("hash"))
+    # a repeated row is counted once and given back as often as it stands
+    again = numbered.join(write_table(pairs.select("doc").distinct(), "candidate-docs"), "doc", "left_semi")
+    exact = _doc_shingles(again.dropDuplicates(["doc"]).select("_id", "doc", "_text"), widths, None).select("doc", "width", "hash")
+    counted = (wanted.join(exact, ["doc", "width", "hash"]).groupBy("doc", "nth", "item", "size", "need").agg(F.count("*").alias("shared"))
+               .where("shared >= need"))
+    return again.select("_id", "doc").join(counted, "doc").select("_id", "item", "size", "shared")
 
 
 def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
@@ -186,14 +219,14 @@ def contained_items(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", t
 
 def decontaminate(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                   item_col: str = "item_id", item_text_col: str = "text", **options) -> DataFrame:
-    """The documents that hold no item, with all their columns. A row goes by its id and
-    text. Items need no id: ``item_col`` plays no part."""
-    text = docs[text_col].cast("string")
-    marked = docs.withColumn("_mark", F.xxhash64(docs[id_col], text))
-    keyed = marked.select(marked["_mark"].alias("_mark_id"), marked[text_col].alias("_mark_text"))
-    texts = items.select(F.xxhash64(items[item_text_col].cast("string")).alias("_item"), items[item_text_col].alias("_item_text"))
-    hits = contained_items(keyed, texts, "_mark_id", "_mark_text", "_item", "_item_text", **options).select(F.col("_mark_id").alias("_bad")).distinct()
-    return marked.join(hits, F.col("_mark") == F.col("_bad"), "left_anti").drop("_mark")
+    """The documents that hold no item, with all their columns, whatever their names. A row goes
+    by its id and text, so repeated rows go or stay together. Items need no id: ``item_col``
+    plays no part. Null and empty texts hold nothing and stay; without items every row
+    stays; an empty table stays empty."""
+    rows = held(docs, mark=F.xxhash64(docs[id_col], docs[text_col].cast("string")), body=docs[text_col].cast("string"))
+    texts = items.select(F.xxhash64(items[item_text_col].cast("string")).alias("item"), items[item_text_col].cast("string").alias("item_text"))
+    hits = contained_items(rows.select("mark", "body"), texts, "mark", "body", "item", "item_text", **options)
+    return rows.join(hits.select("mark").distinct(), "mark", "left_anti").select("row.*")
 
 
 OP10_SQL = r"""

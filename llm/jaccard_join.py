@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.session import write_table
-from llm._spark import pack, ship, small_batches, unpack
+from llm._spark import held, pack, ship, small_batches, unpack
 from llm._symbols import U64, Block, Words, blocks, mix
 from llm.components import components
 
@@ -307,13 +307,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """One row of every near-duplicate group, the one with the smallest id, with all
-    its columns. Rows without words form no group and stay, a repeated row once; so
-    does each text without an id that links with no document that has one."""
+    its columns, whatever their names. Rows without words (empty or null text) form no
+    group and stay; so does each text without an id that links with no document that has
+    one. Of rows with one id and one text one stays. An empty table stays empty."""
     found = near_duplicates(docs, id_col, text_col, **options)
-    stay = (found.where(F.col(id_col).eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
-            .select(F.col(id_col).alias("_kid"), F.col("_v").alias("_kv")).distinct())
+    stay = write_table(found.where(F.col(id_col).eqNullSafe(F.col("component_id")) | (F.col("n_shingles") == 0))
+                       .select(F.col(id_col).alias("stay_id"), F.col("_v").alias("stay_v")).distinct(), "kept-rows")
     given, text = docs[id_col].cast("long"), docs[text_col].cast("string")
-    marked = docs.withColumn("_rid", given).withColumn(
-        "_rv", F.coalesce(F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text)), F.lit(-1)))
-    kept = marked.join(stay, F.col("_rid").eqNullSafe(F.col("_kid")) & (F.col("_rv") == F.col("_kv")), "left_semi")
-    return kept.dropDuplicates(["_rid", "_rv"]).drop("_rid", "_rv")
+    version = F.coalesce(F.when(given.isNull(), F.xxhash64(text)).otherwise(F.crc32(text)), F.lit(-1))
+    rows = held(docs, rid=given, rv=version)
+    kept = rows.join(stay, F.col("rid").eqNullSafe(F.col("stay_id")) & (F.col("rv") == F.col("stay_v")), "left_semi")
+    return kept.dropDuplicates(["rid", "rv"]).select("row.*")

@@ -109,3 +109,48 @@ def test_run_and_empty_table(spark, tmp_path):
     spark.read.parquet(f"{SF}/documents.parquet").limit(0).write.parquet(str(tmp_path / "documents.parquet"))
     spark.read.parquet(f"{SF}/benchmark.parquet").write.parquet(str(tmp_path / "benchmark.parquet"))
     assert pipe.run(spark, str(tmp_path)).collect() == []
+
+
+WORDS = {"en": "the quick and of that with", "de": "der schnelle und nicht eine über", "es": "el rápido y los niños años", "xx": "zqx kvv wjj"}
+
+
+def test_language_stage_keeps_the_stated_languages(spark):
+    rows = [(i, " ".join([WORDS[k]] * (1 + i % 7)), k) for i in range(60) for k in WORDS]
+    rows += [(500, WORDS["xx"], None), (501, WORDS["xx"], "en"), (502, WORDS["de"], None), (503, "12 - 3", "en"), (504, None, "de")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    kept = {(r.doc_id, r.text) for r in pipe.language_stage(spark, docs, SF).collect()}
+    assert kept == {(i, t) for i, t, _ in rows if t and t.split()[0] in ("the", "der", "el")}
+    german = pipe.language_stage(spark, docs, SF, keep=("de",)).collect()
+    assert {(r.doc_id, r.text) for r in german} == {(i, t) for i, t, _ in rows if t and t.startswith("der")}
+
+
+INSIDE = ("row", "id", "mark", "rid", "rv", "_rid", "_rv", "_mark", "_copies", "_copy", "copies", "copy", "plan_id", "plan_mark", "stay_id", "stay_v",
+          "body", "item", "size", "taken", "target", "_key", "_bucket", "curve", "_id", "_v", "_text", "lang_pred", "score", "a.b")
+
+
+def test_stages_keep_columns_of_every_name(spark):
+    """Every name that a stage uses inside, as an extra column."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    docs = write_table(docs.select("*", *[F.concat(F.lit(f"{n}:"), docs["doc_id"].cast("string")).alias(n) for n in INSIDE]), "pipeline-test")
+    plain = write_table(docs.select("doc_id", "text", "lang", "source", "n_chars"), "pipeline-test")
+    for name, stage in pipe.STAGES[:-1]:
+        docs, plain = (write_table(stage(spark, d, SF), "pipeline-test") for d in (docs, plain))
+        got = docs.collect()
+        assert set(INSIDE) < set(docs.columns), name
+        assert all(r[n] == f"{n}:{r.doc_id}" for r in got for n in INSIDE), name
+        assert sorted(r.doc_id for r in got) == sorted(r.doc_id for r in plain.collect()), name
+    last = pipe.STAGES[-1][1]
+    assert sorted(map(tuple, last(spark, docs, SF).collect())) == sorted(map(tuple, last(spark, plain, SF).collect()))
+
+
+def test_nulls_and_repeated_rows_in_every_stage(spark):
+    text = "alpha beta gamma delta epsilon zeta"
+    rows = [(1, text, "en", "s", 1), (1, text, "en", "s", 1), (2, text, "en", "s", 2), (3, None, None, None, None), (None, "lone words", "en", None, 3),
+            (None, None, None, None, None), (4, "", "en", "s", 4), (4, "", "en", "s", 4)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    ids = lambda frame: sorted((r.doc_id for r in frame.collect()), key=str)
+    assert ids(pipe.near_duplicate_stage(spark, docs, SF)) == sorted([1, 3, None, None, 4], key=str)
+    assert ids(pipe.decontamination_stage(spark, docs, SF)) == sorted([r[0] for r in rows], key=str)
+    mixed = collections.Counter(ids(pipe.mixing_stage(spark, docs, SF)))
+    assert set(mixed) <= {1, 2, None} and all(c <= 4 for c in mixed.values())
+    assert len(pipe.sharding_stage(spark, docs, SF).collect()) == len(rows)
