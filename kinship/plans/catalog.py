@@ -33,6 +33,7 @@ NEIGHBOUR_K = 10
 WIDE_K = 1400  # nearly all users of a small table, so that negative neighbours get ranks
 SALT_ROWS = 10  # buckets of co_ratings_salted: most items are cut
 PREDICT_K = 30
+SMALL_KS = (1, 3, 5, 10)  # fewer neighbours than most items have raters
 RECOMMEND_KS = (30, 300)
 TOP_N = 5
 
@@ -309,6 +310,12 @@ def q_knn_sweep(spark, sf_dir):
     return _round(k_sweep(train, targets, REFERENCE_KS), "mae")
 
 
+def q_knn_sweep_neighbour_first(spark, sf_dir):
+    """A sweep in which most items have more raters than the largest ``k``."""
+    train, targets = _split(spark, sf_dir)
+    return _round(k_sweep(train, targets, SMALL_KS), "mae")
+
+
 def q_knn_lowest_k(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
     sweep, everyone = sweep_and_baseline(train, targets, REFERENCE_KS)
@@ -325,6 +332,11 @@ def _recommend(k, n=TOP_N):
     return run
 
 
+def q_recommend_per_k(spark, sf_dir):
+    """The top lists for all ``k`` from one ranking of the personal user's neighbours."""
+    return rec.recommend_per_k(_ratings(spark, sf_dir), personal_from_parts(spark, sf_dir), RECOMMEND_KS, TOP_N)
+
+
 def q_report_similarity(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
     return _round(similarity_report(train, targets), "value")
@@ -380,10 +392,12 @@ QUERIES: dict[str, Query] = {
     "mae_jaccard": _mae("jaccard"),
     "mae_deltas": q_mae_deltas,
     "knn_sweep": q_knn_sweep,
+    "knn_sweep_neighbour_first": q_knn_sweep_neighbour_first,
     "knn_lowest_k": q_knn_lowest_k,
     "personal_predictions_k30": _recommend(RECOMMEND_KS[0], None),
     "recommend_k30": _recommend(RECOMMEND_KS[0]),
     "recommend_k300": _recommend(RECOMMEND_KS[1]),
+    "recommend_per_k": q_recommend_per_k,
     "report_similarity": q_report_similarity,
     "report_knn": q_report_knn,
 }

@@ -10,6 +10,7 @@ from __future__ import annotations
 
 # Fixed values shared with the queries.
 KS = (10, 30, 50, 100, 200, 300, 400, 800, 943)
+SMALL_KS = (1, 3, 5, 10)
 BASELINE = 0.7669
 D = "::DOUBLE"
 
@@ -195,6 +196,13 @@ FROM pred p JOIN personal pe ON pe.item = p.item
 {'' if n is None else f'ORDER BY prediction DESC, p.item ASC LIMIT {n}'}""")
 
 
+def _recommend_per_k() -> str:
+    parts = " UNION ALL ".join(
+        f"""SELECT {k} AS k, CAST(row_number() OVER (ORDER BY prediction DESC, item) AS INTEGER) AS position, item, title, prediction
+FROM ({recommend_sql(k)}) r{k}""" for k in (30, 300))
+    return f"SELECT k, position, item, title, prediction FROM ({parts}) r"
+
+
 def _sim_stats(metric: str) -> str:
     return with_(split_ctes(), summary_select(f"sim_{metric}", "sim"))
 
@@ -303,10 +311,12 @@ FROM (SELECT unnest([{kl}]) AS k) CROSS JOIN (SELECT count(*) AS n FROM users)""
         "mae_jaccard": mae_sql("jaccard"),
         "mae_deltas": _mae_deltas(),
         "knn_sweep": with_(split + sweep_ctes(), f"SELECT k, {r6('mae')} AS mae FROM sweep"),
+        "knn_sweep_neighbour_first": with_(split + sweep_ctes(SMALL_KS), f"SELECT k, {r6('mae')} AS mae FROM sweep"),
         "knn_lowest_k": with_(split + sweep_ctes() + baseline_ctes(), lowest_k_select()),
         "personal_predictions_k30": recommend_sql(30, None),
         "recommend_k30": recommend_sql(30),
         "recommend_k300": recommend_sql(300),
+        "recommend_per_k": _recommend_per_k(),
         "report_similarity": _report_similarity(),
         "report_knn": _report_knn(),
     }
