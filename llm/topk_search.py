@@ -9,7 +9,8 @@ k-th best score found, so the answer is exact.
 Queries and candidates meet in cells of a grid (blocks of queries times blocks of
 candidates), dealt out over the cluster; a cell returns its k best per query and
 one partial top-k merges the cells. Blocks are cut by row number hashes, so many
-copies of one vector spread evenly.
+copies of one vector spread evenly. Every block of one side is copied to every block of
+the other, so blocks grow with the tables, up to a size that a task holds easily.
 """
 
 from __future__ import annotations
@@ -23,9 +24,10 @@ from kinship.session import write_table
 from llm._spark import ship
 
 PIVOTS = 32
-QUERY_BLOCK = 2048
-CANDIDATE_BLOCK = 8192
-AT_ONCE = 64  # queries of a cell whose bounds are held at once
+QUERY_BLOCK = 16_384  # largest blocks: some 8 and 32 MB of 64 components
+CANDIDATE_BLOCK = 65_536
+SMALL_BLOCK = 4096  # a smaller table is still cut into blocks of this size, to occupy the cluster
+AT_ONCE = 1 << 19  # bounds held at once
 STEP = 256  # candidates evaluated before the first look at the bound; four times as many before each next
 _LONG = (-(1 << 63), (1 << 63) - 1)
 
@@ -62,8 +64,9 @@ def cell_top_k(q: np.ndarray, q_id: np.ndarray, q_dist: np.ndarray, x: np.ndarra
     this cell, ties to the smaller id; a query's own id is no candidate."""
     with np.errstate(over="ignore", invalid="ignore"):
         q_norm, x_norm = (q ** 2).sum(1), (x ** 2).sum(1)
-    for start in range(0, len(q), AT_ONCE):
-        part = slice(start, start + AT_ONCE)
+    at_once = max(1, AT_ONCE // max(1, len(x)))
+    for start in range(0, len(q), at_once):
+        part = slice(start, start + at_once)
         low = np.zeros((len(q_norm[part]), len(x)))
         with np.errstate(over="ignore", invalid="ignore"):
             for p in range(x_dist.shape[1]):
@@ -95,7 +98,7 @@ def _floor(x: Column) -> Column:
 
 def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col: str = "embedding", k: int = 10,
           scale: int = 1024, pivots: int = PIVOTS, query_block: int = QUERY_BLOCK,
-          candidate_block: int = CANDIDATE_BLOCK) -> DataFrame:
+          candidate_block: int = CANDIDATE_BLOCK, small_block: int = SMALL_BLOCK) -> DataFrame:
     """The ``k`` rows with the largest inner product for every query row.
 
     Components become ``floor(scale * x)``. Returns ``(query_id, rank, <id_col>,
@@ -137,6 +140,8 @@ def top_k(vectors: DataFrame, is_query: Column, id_col: str = "vec_id", vec_col:
     rows = write_table(rows.mapInArrow(table, "id long, asks boolean, v array<double>, dim int, dist array<double>"), "pivot-table")
     counts = rows.agg(F.count("*"), F.count_if("asks")).first()
     n_blocks, q_blocks = (max(1, -(-n // size)) for n, size in zip(counts, (candidate_block, query_block)))
+    enough = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n_blocks = max(n_blocks, min(-(-counts[0] // small_block), enough))
     # copies of one row share an id, so the position in the table decides the block too
     numbered = rows.withColumn("nr", F.monotonically_increasing_id())
     spread = lambda n, seed: F.pmod(F.xxhash64("nr", F.lit(seed)), F.lit(n)).cast("int")
