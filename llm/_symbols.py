@@ -132,6 +132,14 @@ def word_codes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np
     return a, mix(high ^ mix(a ^ U64(BASE_B)))
 
 
+def digests(symbols: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The two halves of a 128-bit BLAKE2b digest of every range of symbols (rows of an array)."""
+    raw, size = memoryview(symbols.tobytes()), symbols[:1].nbytes
+    out = b"".join(blake2b(raw[s:e], digest_size=16).digest() for s, e in zip((start * size).tolist(), (end * size).tolist()))
+    halves = np.frombuffer(out, dtype="<i8").reshape(-1, 2)
+    return halves[:, 0], halves[:, 1]
+
+
 class Words:
     """The words (maximal runs of non-separator bytes) of a block, and their codes."""
 
@@ -153,10 +161,7 @@ class Words:
 
     def digests(self, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """128 bits that name the words from ``start`` to ``end``: a BLAKE2b digest of their codes."""
-        codes = memoryview(np.stack([self.hash, self.hash2], 1).tobytes())
-        out = b"".join(blake2b(codes[16 * s:16 * e], digest_size=16).digest() for s, e in zip(start.tolist(), end.tolist()))
-        halves = np.frombuffer(out, dtype="<i8").reshape(-1, 2)
-        return halves[:, 0], halves[:, 1]
+        return digests(np.stack([self.hash, self.hash2], 1), start, end)
 
     def _rolls(self) -> tuple[Rolling, Rolling]:
         return Rolling(self.hash, BASE_B), Rolling(self.hash2, BASE_A)

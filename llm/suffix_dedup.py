@@ -16,7 +16,10 @@ row (``Runs``); rows with equal bytes are one dictionary entry with a count.
    and compared byte by byte.
 4. A family with more than ``family`` entries (a line of boilerplate in many
    documents) would be one large group; its windows are dealt out singly instead,
-   by a 128-bit hash of their bytes, and counted by a grouped sum. Same answer.
+   by a 128-bit BLAKE2b digest of their bytes, and counted by a grouped sum. Same answer.
+
+Rolling hashes only choose triggers and bring rows together. Entries are equal by a digest of
+their bytes (64 bits of BLAKE2b, within one trigger hash), windows by comparison or digest.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ from pyspark.sql import functions as F
 
 from kinship.session import write_table
 from llm._spark import keyed, pack, public_id, ship, small_batches, unpack
-from llm._symbols import BASE_A, BASE_B, Rolling, Runs, blocks, byte_values, mix, signed
+from llm._symbols import U64, Runs, blocks, byte_values, digests, mix, signed
 
 WINDOW = 200
 TRIGGER = 32
@@ -48,9 +51,11 @@ def _parse(docs: DataFrame, window: int, trigger: int) -> DataFrame:
             ids, vs = b.column(0).to_numpy(), b.column(1).to_numpy()
             for block in blocks(b.column(2)):
                 r = Runs(byte_values(block), block.offsets, window, trigger)
+                names, _ = digests(block.data, r.start, r.start + r.n - 1 + window)
+                content = signed(mix(names.view(U64) ^ mix((r.n.astype(U64) << U64(32)) | (r.pos - r.start).astype(U64))))
                 at = (r.first << 24) | (r.n << 12) | (r.pos - r.start)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (ids[block.rows][r.row], vs[block.rows][r.row], at, signed(r.anchor), signed(r.content))],
+                    [pa.array(x) for x in (ids[block.rows][r.row], vs[block.rows][r.row], at, signed(r.anchor), content)],
                     ["_id", "_v", "at", "anchor", "content"])
 
     return docs.mapInArrow(work, _PARSE)
@@ -165,14 +170,12 @@ def _count_windows(entries: DataFrame, window: int) -> DataFrame:
             n = b.column("n").to_numpy()
             for block in blocks(b.column("bytes")):
                 own = n[block.rows]
-                values = byte_values(block)
                 part = np.repeat(np.arange(len(own)), own)
                 j = np.arange(len(part)) - np.repeat(np.cumsum(own) - own, own)
                 start = block.offsets[:-1][part] + j
                 col = lambda k: b.column(k).to_numpy(zero_copy_only=False)[block.rows][part]
-                hashes = [signed(mix(Rolling(values, base)(start, start + window))) for base in (BASE_A, BASE_B)]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(x) for x in (*hashes, col("many"), col("_id"), col("_v"), col("first") + j)],
+                    [pa.array(x) for x in (*digests(block.data, start, start + window), col("many"), col("_id"), col("_v"), col("first") + j)],
                     ["h1", "h2", "many", "_id", "_v", "first"])
 
     hot = entries.where("hot").select("n", "bytes", "many", "_id", "_v", "first")

@@ -84,3 +84,16 @@ def test_every_long_is_an_id(spark):
     out = suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), window=20, trigger=5).collect()
     assert sorted((str(r.doc_id), r.n_bytes, r.n_removed) for r in out) == sorted(
         [(str(top), 30, 30), ("None", 31, 30), (str(top), 0, 0), ("None", 0, 0), (str(-(1 << 63)), 2, 0)])
+
+
+@pytest.mark.parametrize("family", [1, 8192])
+def test_strings_that_differ_only_for_a_good_hash(spark, family):
+    """Windows that hold 2,048 bytes and their complement: a polynomial hash modulo 2^64 takes
+    them for equal."""
+    from test_symbols import thue_morse
+
+    one, two = thue_morse(2048)
+    tail = "".join(f"{k:04d}" for k in range(40))
+    rows = [(1, one + tail), (2, two + tail), (3, "x" + two + tail)]
+    out = suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string"), window=2100, trigger=60, family=family).collect()
+    assert {r.doc_id: r.n_removed for r in out} == {1: 0, 2: len(two + tail), 3: len(two + tail)}
