@@ -17,7 +17,7 @@ from llm.jaccard_join import near_duplicates
 from llm.language_id import language_id
 from llm.merkle import merkle_proofs, tampered
 from llm.mixing import OP9_SQL, mix
-from llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP4_SQL, OP7_SQL, OP11_SQL, OP12_SQL
+from llm.oracle import OP1_SQL, OP2_SQL, OP3_SQL, OP4_SQL, OP7_SQL, OP8_SQL, OP11_SQL, OP12_SQL
 from llm.pii import OP13_SQL, base_spans, count_of, find_pii, labels
 from llm.pii import BASE_KINDS as PII_KINDS
 from llm.secret_scan import BASE_KINDS, KINDS, secret_scan
@@ -129,6 +129,7 @@ ORACLE_SQL: dict[str, str] = {
     "op4_warc_archives": OP4_SQL,
     "op6_pivot_topk": OP6_SQL,
     "op7_signature_tree_join": OP7_SQL,
+    "op8_hilbert_sharding": OP8_SQL,
     "op9_source_mixing": OP9_SQL,
     "op10_benchmark_decontamination": OP10_SQL,
     "op11_merkle_manifest": OP11_SQL,

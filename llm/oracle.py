@@ -151,6 +151,35 @@ FROM d JOIN g ON g.lang IS NOT DISTINCT FROM d.lang CROSS JOIN e LEFT JOIN p ON
 JOIN f ON f.doc_id = d.doc_id AND f.up = coalesce(p.steps, 0)
 """
 
+# u: every distinct text or name with its checksum, byte by byte; h: the curve on all cells of three
+# axes of four bits, the rotations undone from the highest bit down (nine steps), then Gray code;
+# the length's axis is the largest e up to 15 with 2 ** (1.5 e) <= bytes + 1.
+OP8_SQL = f"""
+WITH RECURSIVE x AS ({_CRC_TABLE}),
+w AS (SELECT coalesce(text, '') AS v FROM documents UNION SELECT source FROM documents UNION SELECT lang FROM documents),
+u AS (SELECT v, xor(list_reduce(list_concat([4294967295], list_transform(regexp_extract_all(hex(encode(v)), '..'), lambda y: ('0x' || y)::BIGINT)),
+        lambda c, b: xor(c >> 8, crc[(xor(c, b) & 255) + 1])), 4294967295) AS k FROM w, x WHERE v IS NOT NULL),
+h(s, a, b, c, x, y, z) AS (
+  SELECT 0, i // 256, i // 16 % 16, i % 16, i // 256, i // 16 % 16, i % 16 FROM range(0, 4096) r(i)
+  UNION ALL
+  SELECT s + 1, a, b, c, CASE WHEN (v & q) <> 0 THEN xor(x, q - 1) ELSE xor(x, t) END,
+         CASE WHEN s % 3 = 1 AND (v & q) = 0 THEN xor(y, t) ELSE y END, CASE WHEN s % 3 = 2 AND (v & q) = 0 THEN xor(z, t) ELSE z END
+  FROM (SELECT *, xor(x, v) & (q - 1) AS t FROM (SELECT *, 8 >> (s // 3) AS q, [x, y, z][s % 3 + 1] AS v FROM h WHERE s < 9))),
+g AS (SELECT a, b, c, [xor(x, f), xor(y, f), xor(z, f)] AS p FROM (
+        SELECT *, xor(xor(CASE WHEN (z & 8) <> 0 THEN 7 ELSE 0 END, CASE WHEN (z & 4) <> 0 THEN 3 ELSE 0 END), CASE WHEN (z & 2) <> 0 THEN 1 ELSE 0 END) AS f
+        FROM (SELECT a, b, c, x, xor(x, y) AS y, xor(xor(x, y), z) AS z FROM h WHERE s = 9))),
+o AS (SELECT a, b, c, list_sum(list_transform(range(0, 12), lambda i: ((p[i % 3 + 1] >> (3 - i // 3)) & 1) << (11 - i))) AS curve FROM g),
+d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) AS n, t.k AS crc, coalesce(m.k, 0) % 16 AS a, coalesce(l.k, 0) % 16 AS b
+      FROM documents JOIN u t ON t.v = coalesce(text, '') LEFT JOIN u m ON m.v = source LEFT JOIN u l ON l.v = lang),
+e AS (SELECT *, len(list_filter(range(1, 16), lambda j: (n + 1)::HUGEINT * (n + 1) >= 1::HUGEINT << (3 * j)::INT)) AS c FROM d),
+r AS (SELECT doc_id, n + 8 AS size, crc, row_number() OVER (
+        ORDER BY curve, md5(coalesce(doc_id::VARCHAR, '') || ':' || crc), doc_id NULLS FIRST, crc, n) - 1 AS pos, count(*) OVER () AS total
+      FROM e JOIN o USING (a, b, c))
+SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, (pos * 24 // total)::INT AS shard,
+       (pos - (pos * 24 // total * total + 23) // 24)::BIGINT AS slot, NULL::INT AS grown_shard
+FROM r
+"""
+
 # b: cheapest way to every state after i rows, with its edits; an inserted row (i stays) is
 # tried before every row and at the end. State 0: nothing read, 1: system, 2: user, 3: assistant.
 _INSERTED = """SELECT conv, i, CASE WHEN q = 2 THEN 3 ELSE 2 END AS q, cost + 5 AS cost, audit || 'I' AS audit,
