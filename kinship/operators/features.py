@@ -6,12 +6,12 @@ per map task), written once as the user table and joined back on ``user``. Spark
 broadcasts that table when its file size is under the broadcast threshold and
 shuffles both sides otherwise. Both sides are then plain shuffles, which AQE can
 split where one user has very many ratings; it cannot split a side that is itself
-an aggregate, and a window over ``user`` would put all rows of one user into one task.
+an aggregate, and a window over the ratings of ``user`` would put all of them into one task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, deviation, safe_ratio
@@ -68,18 +68,22 @@ def half_square(col: str) -> Column:
 
 
 def user_table(ratings: DataFrame, norms: bool = True, bounds: RatingScale = DEFAULT_SCALE) -> DataFrame:
-    """``(user, n_ratings, sum_rating, avg_rating[, norm])``, written once; every branch of a
-    plan that needs a user's values reads it. Runs one job, two with ``norms`` (the L2 norm
-    of a user's deviations needs the mean first). Equal ratings of a user are counted
-    before they move, so a user costs as many rows as there are steps on the scale."""
+    """``(user, n_ratings, sum_rating, avg_rating[, norm])``, written once by one job; every branch
+    of a plan that needs a user's values reads it. Equal ratings of a user are counted
+    before they move, so a user costs as many rows as there are steps on the scale: few
+    enough for a window over the user, which gives those rows the mean that the L2
+    norm of the deviations needs."""
     counted = ratings.groupBy("user", "rating").agg(F.count(F.lit(1)).alias("times"))
-    sums = counted.groupBy("user").agg(F.sum("times").alias("n_ratings"), F.sum(F.col("rating") * F.col("times")).alias("sum_rating"))
-    means = write_table(sums.withColumn("avg_rating", F.col("sum_rating") / F.col("n_ratings")), "user-means")
+    n, total = F.sum("times"), F.sum(F.col("rating") * F.col("times"))
+    mean = F.col("sum_rating") / F.col("n_ratings")
     if not norms:
-        return means
-    dev = counted.join(means, "user").withColumn("dev", deviation("rating", "avg_rating", bounds))
+        sums = counted.groupBy("user").agg(n.alias("n_ratings"), total.alias("sum_rating"))
+        return write_table(sums.withColumn("avg_rating", mean), "user-means")
+    own = Window.partitionBy("user")
+    rows = counted.select("user", "rating", "times", n.over(own).alias("n_ratings"), total.over(own).alias("sum_rating"))
+    dev = rows.withColumn("avg_rating", mean).withColumn("dev", deviation("rating", "avg_rating", bounds))
     norm = F.sqrt(F.sum(F.col("times") * F.col("dev") * F.col("dev")))
-    return write_table(dev.groupBy(*means.columns).agg(norm.alias("norm")), "users")
+    return write_table(dev.groupBy("user", "n_ratings", "sum_rating", "avg_rating").agg(norm.alias("norm")), "user-means")
 
 
 def known_users(users: DataFrame) -> Column:
