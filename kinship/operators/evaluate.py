@@ -7,11 +7,20 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale
+from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio
 from kinship.operators.features import known_users, normalized_deviation, user_table
-from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.predict import finish, finish_per_k, positive, ranked_candidates, similar_users, weighted_deviation
-from kinship.operators.similarity import needs_norms
+from kinship.operators.neighbors import ranked_all
+from kinship.operators.predict import (
+    attach_similarity,
+    candidates,
+    finish,
+    finish_per_k,
+    ordered_users,
+    positive,
+    predict_per_k,
+    sums_per_k,
+)
+from kinship.operators.similarity import METRICS, needs_norms
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 from kinship.session import write_table
 
@@ -22,7 +31,17 @@ BASELINE_MAE = 0.7669
 
 def mae(predictions: DataFrame) -> DataFrame:
     """One row: ``mae``, mean absolute error of ``prediction`` against ``rating``."""
-    return predictions.agg(F.avg(F.abs(F.col("rating") - F.col("prediction"))).alias("mae"))
+    return predictions.agg(mean_error("prediction").alias("mae"))
+
+
+def mean_error(prediction: str) -> Column:
+    """Mean absolute error of a column of predictions against ``rating``, as an aggregate."""
+    return F.avg(F.abs(F.col("rating") - F.col(prediction)))
+
+
+def mae_of_metrics(predictions: DataFrame) -> DataFrame:
+    """One row ``(cosine_mae, jaccard_mae)`` from the predictions of both metrics."""
+    return predictions.agg(*[mean_error(m).alias(f"{m}_mae") for m in METRICS])
 
 
 def mae_value(predictions: DataFrame) -> Column:
@@ -45,7 +64,12 @@ def k_sweep(
     more raters than the largest ``k`` is reached through the ranked neighbours of its
     targets' users, so no item costs more than ``k`` rows a target.
     """
-    return sweep_and_baseline(train, targets, ks, metric, bounds, skew)[0]
+    ks = positive(ks)
+    return _mae_per_k(predict_per_k(train, targets, ks, metric, bounds, skew))
+
+
+def _mae_per_k(preds: DataFrame) -> DataFrame:
+    return preds.groupBy("k").agg(mean_error("prediction").alias("mae"))
 
 
 def sweep_and_baseline(
@@ -56,18 +80,20 @@ def sweep_and_baseline(
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
-    """``k_sweep`` and the all-users predictions, from one written triangle of pairs."""
+    """``k_sweep`` and the all-users predictions, from one written row of sums per target.
+    The baseline weighs every candidate, so all of them meet the ranked pairs rater first."""
     ks = positive(ks)
     users = user_table(train, needs_norms(metric), bounds)
     dev = normalized_deviation(train, bounds, users)
-    hot = plan_join(targets, train, "item", skew, wide=ks[-1])
-    sims = write_table(similar_users(train, metric, bounds, skew, users=users), f"similarity-{metric}")
-    baseline = finish(targets, users, weighted_deviation(targets, dev, sims, hot, lower=True), bounds)
-    ranked = neighbors(directed(sims), ks[-1], known_users(users))
-    if hot.wide is not None:  # read by both ways to the candidates
-        ranked = write_table(ranked, f"ranked-{metric}")
-    preds = finish_per_k(targets, users, ranked_candidates(targets, dev, ranked, hot), ks, bounds)
-    return preds.groupBy("k").agg(F.avg(F.abs(F.col("rating") - F.col("prediction"))).alias("mae")), baseline
+    hot = plan_join(targets, train, "item", skew)
+    sims, plan = ordered_users(train, metric, bounds, skew, users)
+    ranked = ranked_all(sims, known_users(users))
+    if plan.partitions:
+        ranked = ranked.repartition(plan.partitions, "user", "neighbour")
+    weighted = attach_similarity(candidates(targets, dev, hot), ranked, lower=False)
+    sums = write_table(sums_per_k(weighted, ks), f"sums-{metric}")
+    everyone = sums.select("user", "item", safe_ratio("num", "den").alias("w"))
+    return _mae_per_k(finish_per_k(targets, users, sums, ks, bounds)), finish(targets, users, everyone, bounds)
 
 
 def lowest_k(sweep: DataFrame, baseline: Column | float) -> DataFrame:

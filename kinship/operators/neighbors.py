@@ -42,12 +42,25 @@ def directed(lower: DataFrame) -> DataFrame:
     )
 
 
-def neighbors(sims: DataFrame, k: int, n_users: Column) -> DataFrame:
+def ranked_all(sims: DataFrame, n_users: Column) -> DataFrame:
+    """``(user, neighbour, sim, rank)`` for every non-zero neighbour. With ``nz`` of them a
+    negative one ranks ``N - 1 - nz + row_number`` among all: the zero neighbours that it
+    follows are the ones not listed."""
+    own = Window.partitionBy("user")
+    place = F.row_number().over(own.orderBy(F.desc("sim"), F.asc("neighbour"))).cast("long")
+    zeros = n_users.cast("long") - F.lit(1) - F.col("_nz")
+    return sims.select("user", "neighbour", "sim", place.alias("_place"), F.count(F.lit(1)).over(own).alias("_nz")).select(
+        "user", "neighbour", "sim", (F.col("_place") + F.when(F.col("sim") < 0.0, zeros).otherwise(F.lit(0))).alias("rank"))
+
+
+def neighbors(sims: DataFrame, k: int, n_users: Column, spare: int | None = None) -> DataFrame:
     """``(user, neighbour, sim, rank)`` for the ``k`` nearest neighbours of each
     user; ``sims`` holds both orientations of the non-zero similarities.
 
     ``k <= 0`` keeps every non-zero neighbour (rank NULL). ``n_users`` is the
-    number of users ranked over (normally a scalar-subquery column).
+    number of users ranked over (normally a scalar-subquery column). ``spare``: zero
+    neighbours that every user is sure to have (``plan_join``); ``k`` of them leave no
+    rank to a negative neighbour.
     """
     if k <= 0:
         return sims.withColumn("rank", F.lit(None).cast("long"))
@@ -61,6 +74,8 @@ def neighbors(sims: DataFrame, k: int, n_users: Column) -> DataFrame:
         .where(F.col("_rn") <= k)
         .select("user", "neighbour", "sim", F.col("_rn").cast("long").alias("rank"))
     )
+    if spare is not None and spare >= k:
+        return positives
     negative = sims.where(F.col("sim") < 0.0).select("user", "neighbour", "sim")
     reaching = (
         negative.groupBy("user")

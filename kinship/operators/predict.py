@@ -17,13 +17,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
-from kinship.operators.neighbors import directed, neighbors
-from kinship.operators.similarity import co_ratings, needs_norms, pair_input, similarity, similarity_from_pairs
+from kinship.operators.neighbors import neighbors
+from kinship.operators.similarity import METRICS, co_ratings, needs_norms, pair_input, similarity, similarity_value
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
@@ -36,7 +36,7 @@ def candidates(targets: DataFrame, dev: DataFrame, hot: JoinPlan | None = None)
     raters = dev.select(F.col("user").alias("neighbour"), "item", "dev")
     return salted_join(wanted, raters, "item", hot, "user", "neighbour").where(
         F.col("user") != F.col("neighbour")
-    )
+    ).select("item", "user", "dev", "neighbour")
 
 
 def attach_similarity(cands: DataFrame, pairs: DataFrame, lower: bool) -> DataFrame:
@@ -80,13 +80,23 @@ def similar_users(train: DataFrame, metric: str, bounds: RatingScale = DEFAULT_S
     return similarity(pre, metric, plan_join(own, train, "item", skew), for_users)
 
 
-def nearest(sims: DataFrame, users: DataFrame, metric: str, k: int, ordered: bool) -> DataFrame:
-    """The ``k`` nearest neighbours of each user. Cosine has negative values, which
-    makes two consumers of the pairs (the ranks and a count per user), so those are
-    written once to the shared folder; this runs a job while the plan is built."""
-    if metric != "jaccard":
-        sims = write_table(sims, f"similarity-{metric}")
-    return neighbors(sims if ordered else directed(sims), k, known_users(users))
+def ordered_users(train: DataFrame, metric: str, bounds: RatingScale, skew: SkewPolicy, users: DataFrame) -> tuple[DataFrame, JoinPlan]:
+    """The non-zero similarities of all users in both orders, and the plan of their join."""
+    plan = plan_join(train, train, "item", skew, deal="user")
+    return similarity(pair_input(train, metric, bounds, users), metric, plan, ordered=True), plan
+
+
+def nearest(train: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
+            for_users: DataFrame | None = None) -> DataFrame:
+    """The ``k`` nearest neighbours of each user. All users' pairs are dealt out by the
+    user and ranked where they stand. Those of ``for_users`` are few; cosine has negative
+    values, which makes two consumers of the pairs (the ranks and a count per user), so
+    they are written once to the shared folder; this runs a job while the plan is built."""
+    if for_users is None:
+        sims, plan = ordered_users(train, metric, bounds, skew, users)
+        return neighbors(sims, k, known_users(users), plan.spare)
+    sims = similar_users(train, metric, bounds, skew, for_users, users)
+    return neighbors(sims if metric == "jaccard" else write_table(sims, f"similarity-{metric}"), k, known_users(users))
 
 
 def neighbour_first(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> DataFrame:
@@ -104,7 +114,8 @@ def ranked_candidates(targets: DataFrame, dev: DataFrame, ranked: DataFrame, hot
     so the items with more than ``k`` raters (``hot.wide``, planned with ``wide=k``) go
     neighbour first and the others rater first."""
     slim = ranked.select("user", "neighbour", "sim", "rank")
-    by_rater = lambda t, d: attach_similarity(candidates(t, d, hot), slim, lower=False).select(
+    dealt = lambda df: df.repartition(hot.partitions, "user", "neighbour") if hot and hot.partitions else df
+    by_rater = lambda t, d: attach_similarity(dealt(candidates(t, d, hot)), dealt(slim), lower=False).select(
         "user", "item", "neighbour", "dev", "sim", "rank")
     if hot is None or hot.wide is None:
         return by_rater(targets, dev)
@@ -113,11 +124,14 @@ def ranked_candidates(targets: DataFrame, dev: DataFrame, ranked: DataFrame, hot
         neighbour_first(part(targets, "left_semi"), part(dev, "left_semi"), slim))
 
 
+def prediction(users: DataFrame, w: Column, bounds: RatingScale) -> Column:
+    """The rating that ``w`` gives around ``avg_rating``; the global mean for an unknown user."""
+    return F.when(F.col("avg_rating").isNull(), overall_mean(users)).otherwise(rescale("avg_rating", w, bounds))
+
+
 def finish(targets: DataFrame, users: DataFrame, w: DataFrame, bounds: RatingScale) -> DataFrame:
     """Attach user means and the global mean; one output row per target row."""
-    pred = F.when(F.col("avg_rating").isNull(), overall_mean(users)).otherwise(
-        rescale("avg_rating", F.coalesce(F.col("w"), F.lit(0.0)), bounds)
-    )
+    pred = prediction(users, F.coalesce(F.col("w"), F.lit(0.0)), bounds)
     return (
         targets.select("user", "item", "rating")
         .join(w.select("user", "item", "w"), ["user", "item"], "left")
@@ -126,33 +140,46 @@ def finish(targets: DataFrame, users: DataFrame, w: DataFrame, bounds: RatingSca
     )
 
 
-def finish_per_k(targets: DataFrame, users: DataFrame, weighted: DataFrame, ks: Sequence[int], bounds: RatingScale) -> DataFrame:
-    """``(k, user, item, rating, prediction)``, one row per target row and ``k``, from the ranked
-    rows of all targets: one grouping with a conditional sum per ``k``."""
-    sums = []
+def sums_per_k(weighted: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """``(user, item, num, den, num_k, den_k, ...)`` from the ranked rows of all targets:
+    one grouping with a conditional sum per ``k``, and the sums over every row."""
+    num, den = F.col("dev") * F.col("sim"), F.abs(F.col("sim"))
+    sums = [F.sum(num).alias("num"), F.sum(den).alias("den")]
     for k in ks:
         inside = F.col("rank") <= k
-        sums.append(F.sum(F.when(inside, F.col("dev") * F.col("sim"))).alias(f"num_{k}"))
-        sums.append(F.sum(F.when(inside, F.abs(F.col("sim")))).alias(f"den_{k}"))
+        sums.append(F.sum(F.when(inside, num)).alias(f"num_{k}"))
+        sums.append(F.sum(F.when(inside, den)).alias(f"den_{k}"))
+    return weighted.groupBy("user", "item").agg(*sums)
+
+
+def finish_per_k(targets: DataFrame, users: DataFrame, sums: DataFrame, ks: Sequence[int], bounds: RatingScale) -> DataFrame:
+    """``(k, user, item, rating, prediction)``, one row per target row and ``k``, from the
+    targets' ``sums_per_k``."""
     rows = (
         targets.select("user", "item", "rating")
-        .join(weighted.groupBy("user", "item").agg(*sums), ["user", "item"], "left")
+        .join(sums, ["user", "item"], "left")
         .join(users.select("user", "avg_rating"), "user", "left")
     )
     per_k = F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), safe_ratio(f"num_{k}", f"den_{k}").alias("w")) for k in ks]))
-    pred = F.when(F.col("avg_rating").isNull(), overall_mean(users)).otherwise(rescale("avg_rating", F.col("s.w"), bounds))
+    pred = prediction(users, F.col("s.w"), bounds)
     return rows.select("user", "item", "rating", "avg_rating", per_k.alias("s")).select(
         F.col("s.k").alias("k"), "user", "item", "rating", pred.alias("prediction"))
 
 
 def _nearest_rows(train: DataFrame, targets: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
                   only_target_users: bool) -> tuple[DataFrame, DataFrame]:
-    """The user table, and the rows of ``neighbour_first`` for the ``k`` nearest."""
+    """The user table, and the rows of ``neighbour_first`` for the ``k`` nearest; for all
+    users by the cheaper way for every item."""
     users = user_table(train, needs_norms(metric), bounds)
-    sims = similar_users(train, metric, bounds, skew, targets.select("user") if only_target_users else None, users)
-    ranked = nearest(sims, users, metric, k, only_target_users)
-    return users, neighbour_first(targets, normalized_deviation(train, bounds, users), ranked)
+    dev = normalized_deviation(train, bounds, users)
+    if only_target_users:
+        return users, neighbour_first(targets, dev, nearest(train, users, metric, k, bounds, skew, targets.select("user")))
+    hot = plan_join(targets, train, "item", skew, wide=k)
+    ranked = nearest(train, users, metric, k, bounds, skew)
+    if hot.wide is not None:  # read by both ways to the candidates
+        ranked = write_table(ranked, f"ranked-{metric}")
+    return users, ranked_candidates(targets, dev, ranked, hot)
 
 
 def predict(
@@ -193,7 +220,7 @@ def predict_per_k(
     similarities and ranks are computed once, up to the largest ``k``."""
     ks = positive(ks)
     users, weighted = _nearest_rows(train, targets, metric, ks[-1], bounds, skew, only_target_users)
-    return finish_per_k(targets, users, weighted, ks, bounds)
+    return finish_per_k(targets, users, sums_per_k(weighted, ks), ks, bounds)
 
 
 def positive(ks: Sequence[int]) -> list[int]:
@@ -208,21 +235,29 @@ def predict_both_metrics(
     targets: DataFrame,
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
-) -> tuple[dict[str, DataFrame], DataFrame]:
-    """All-users (k = 0) predictions for both metrics from one co-rating table.
+) -> tuple[DataFrame, DataFrame]:
+    """All-users (k = 0) predictions for both metrics from one co-rating table:
+    ``(user, item, rating, cosine, jaccard)``, and that table.
 
     Cosine and Jaccard differ only in how a pair's similarity is computed from
-    the same co-rating row (dot product vs overlap and item counts), so the
-    self-join runs once and its result is written to the checkpoint folder.
-    Returns ``({"cosine": ..., "jaccard": ...}, co_ratings)``.
+    the same co-rating row (dot product vs overlap and item counts), so the pairs meet
+    the candidates once. A plan that also reads the table's ``overlap`` and both
+    similarities (``both_similarities``) shares its shuffle.
     """
     users = user_table(train, True, bounds)
     dev = normalized_deviation(train, bounds, users)
     pre = preprocess(train, bounds, users)
-    co = write_table(co_ratings(pre, plan_join(train, train, "item", skew)), "co-ratings")
+    co = co_ratings(pre, plan_join(train, train, "item", skew))
     hot = plan_join(targets, train, "item", skew)
-    preds = {}
-    for metric in ("cosine", "jaccard"):
-        pairs = similarity_from_pairs(co, metric)
-        preds[metric] = finish(targets, users, weighted_deviation(targets, dev, pairs, hot, lower=True), bounds)
-    return preds, co
+    weighted = attach_similarity(candidates(targets, dev, hot), both_similarities(co), lower=True)
+    sums = weighted.groupBy("user", "item").agg(*[
+        f for m in METRICS for f in (F.sum(F.col("dev") * F.col(m)).alias(f"num_{m}"), F.sum(F.abs(F.col(m))).alias(f"den_{m}"))])
+    rows = targets.select("user", "item", "rating").join(sums, ["user", "item"], "left").join(
+        users.select("user", "avg_rating"), "user", "left")
+    preds = [prediction(users, safe_ratio(f"num_{m}", f"den_{m}"), bounds).alias(m) for m in METRICS]
+    return rows.select("user", "item", "rating", *preds), co
+
+
+def both_similarities(co: DataFrame) -> DataFrame:
+    """``(user, neighbour, overlap, cosine, jaccard)`` of a table with all values of its pairs."""
+    return co.select("user", "neighbour", "overlap", *[similarity_value(m).alias(m) for m in METRICS])

@@ -13,12 +13,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale
-from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, lowest_k, mae, mae_value, sweep_and_baseline
+from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, lowest_k, mae_of_metrics, mae_value, sweep_and_baseline
 from kinship.operators.features import pair_count
-from kinship.operators.predict import predict_both_metrics
-from kinship.operators.similarity import similarity_from_pairs
+from kinship.operators.predict import both_similarities, predict_both_metrics
+from kinship.operators.similarity import METRICS
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy
-from kinship.operators.stats import knn_bytes, nonzero_bytes, summary_with_zeros
+from kinship.operators.stats import knn_bytes, nonzero_bytes_of, summary_with_zeros
 from kinship.session import write_table
 
 
@@ -43,21 +43,19 @@ def similarity_report(
     similarities of each metric.
 
     Everything derives from one co-rating table (dot product, overlap and both
-    item counts per pair), computed once and written to the checkpoint folder;
-    both metrics, both predictions and all statistics read it.
+    item counts per pair): its pairs are shuffled once, for one pass that predicts by
+    both metrics and one that takes all statistics.
     """
     preds, co = predict_both_metrics(train, targets, bounds, skew)
-    sims = {m: similarity_from_pairs(co, m) for m in ("cosine", "jaccard")}
-    cos = mae(preds["cosine"])
-    jac = mae_value(preds["jaccard"])
-    maes = cos.select(F.col("mae").alias("cosine_mae"), jac.alias("jaccard_mae")).select(
+    maes = mae_of_metrics(preds).select(
         "cosine_mae",
         "jaccard_mae",
         (F.col("cosine_mae") - F.lit(baseline)).alias("cosine_minus_baseline"),
         (F.col("jaccard_mae") - F.col("cosine_mae")).alias("jaccard_minus_cosine"),
     )
     pairs = pair_count(train)
-    overlap = summary_with_zeros(co, "overlap", pairs.select("n_pairs").scalar())
+    overlap = summary_with_zeros(both_similarities(co), "overlap", pairs.select("n_pairs").scalar(),
+                                 [(f"bytes_{m}", nonzero_bytes_of(m)) for m in METRICS])
     parts = [
         _rows(maes, [
             ("cosine.mae", "cosine_mae"),
@@ -71,9 +69,9 @@ def similarity_report(
             ("overlap.max", "max_value"),
             ("overlap.mean", "mean_value"),
             ("overlap.stddev", "stddev_value"),
+            ("bytes.nonzero_cosine", "bytes_cosine"),
+            ("bytes.nonzero_jaccard", "bytes_jaccard"),
         ]),
-        _rows(nonzero_bytes(sims["cosine"]), [("bytes.nonzero_cosine", "bytes")]),
-        _rows(nonzero_bytes(sims["jaccard"]), [("bytes.nonzero_jaccard", "bytes")]),
     ]
     out = parts[0]
     for part in parts[1:]:

@@ -10,6 +10,8 @@ arithmetically (see ``kinship.operators.stats``).
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,7 +48,7 @@ def needs_norms(metric: str) -> bool:
     return _check_metric(metric) == "cosine"
 
 
-def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame | None = None) -> DataFrame:
+def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """``(user, neighbour, overlap[, dot][, n_user, n_neighbour])`` for every pair of
     users with at least one common item; ``dot`` if ``pre`` has ``ndev``, the counts if
     it has ``n_ratings``.
@@ -55,22 +57,41 @@ def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame
     neighbour`` (lower triangle). With ``for_users`` (a DataFrame with a ``user``
     column) only those users are on the left and pairs are ordered: ``(u, v)``
     for every ``v != u``. ``dot`` sums ``ndev_u * ndev_v`` over common items.
+    ``ordered`` gives ordered pairs of all users.
+
+    A join that needs more than one task's pairs deals them out by its own partition count
+    before they are summed: unordered pairs by both users, ordered ones by the left user
+    (cut into ``hot.cells`` by the neighbour), whose ranks then need no further shuffle. A
+    sum on the map side would hold nearly one row per pair there and merge few of them.
     """
     extra = [c for c in ("ndev", "n_ratings") if c in pre.columns]
+    if for_users is None and hot is not None and hot.partitions and hot.buckets is None:
+        # both sides are dealt out alike, so one shuffle gives both
+        pre = pre.select("user", "item", *extra).repartition(hot.partitions, "item")
+        hot = replace(hot, dealt=True)
     left = pre.select("user", "item", *[F.col(c).alias(f"{c}_u") for c in extra])
     right = pre.select(F.col("user").alias("neighbour"), "item", *[F.col(c).alias(f"{c}_v") for c in extra])
     if for_users is not None:
         left = left.join(for_users.select("user").distinct(), "user", "left_semi")
-        keep = F.col("user") != F.col("neighbour")
-    else:
-        keep = F.col("user") > F.col("neighbour")
+    ordered = ordered or for_users is not None
+    keep = F.col("user") != F.col("neighbour") if ordered else F.col("user") > F.col("neighbour")
     pairs = salted_join(left, right, "item", hot, "user", "neighbour").where(keep)
-    sums = [F.count(F.lit(1)).alias("overlap")]
+    values, sums = [], [F.count(F.lit(1)).alias("overlap")]
     if "ndev" in extra:
-        sums.append(F.sum(F.col("ndev_u") * F.col("ndev_v")).alias("dot"))
+        values.append((F.col("ndev_u") * F.col("ndev_v")).alias("product"))
+        sums.append(F.sum("product").alias("dot"))
     if "n_ratings" in extra:
+        values += ["n_ratings_u", "n_ratings_v"]
         sums += [F.max("n_ratings_u").alias("n_user"), F.max("n_ratings_v").alias("n_neighbour")]
-    return pairs.groupBy("user", "neighbour").agg(*sums)
+    pairs = pairs.select("user", *values, "neighbour")  # a value before an id: the id's leading zeros join the next row's header when compressed
+    if hot is None or not hot.partitions:
+        return pairs.groupBy("user", "neighbour").agg(*sums)
+    if not ordered:
+        return pairs.repartition(hot.partitions, "user", "neighbour").groupBy("user", "neighbour").agg(*sums)
+    if hot.cells == 1:
+        return pairs.repartition(hot.partitions, "user").groupBy("user", "neighbour").agg(*sums)
+    cell = F.pmod(F.xxhash64("neighbour"), F.lit(hot.cells)).alias("_cell")
+    return pairs.select("*", cell).repartition(hot.partitions, "user", "_cell").groupBy("user", "_cell", "neighbour").agg(*sums).drop("_cell")
 
 
 def similarity_value(metric: str):
@@ -98,7 +119,8 @@ def similarity(
     hot: JoinPlan | None = None,
     for_users: DataFrame | None = None,
     keep_overlap: bool = False,
+    ordered: bool = False,
 ) -> DataFrame:
     """Non-zero similarities ``(user, neighbour, sim)``; lower triangle unless
-    ``for_users`` is given (see ``co_ratings``)."""
-    return similarity_from_pairs(co_ratings(pre, hot, for_users), metric, keep_overlap)
+    ``for_users`` or ``ordered`` is given (see ``co_ratings``)."""
+    return similarity_from_pairs(co_ratings(pre, hot, for_users, ordered), metric, keep_overlap)

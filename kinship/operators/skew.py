@@ -9,9 +9,10 @@ bound the pairs of a task:
   other side only, so a side that is small is never the reason to copy the large
   one. Every pair meets exactly once, in a cell of at most about
   ``bucket_rows ** 2`` pairs;
-* a join of more than ``pairs_per_task`` pairs per default partition gets a partition
-  count from the number of pairs, and both sides are dealt out by cell, so that
-  partitions are not merged by their (few) bytes.
+* a join of more than ``pairs_per_task`` pairs gets a partition count from the number
+  of pairs, and both sides are dealt out by cell, so that partitions are not merged by
+  their (few) bytes. ``co_ratings`` deals the pairs themselves into as many partitions,
+  so that neither side of that shuffle holds more of them than memory has room for.
 
 The bucket counts are written once, by the one job that counts both sides. Where they
 are too many to broadcast, rows and counts meet in a join of two plain shuffles, and
@@ -37,10 +38,10 @@ class SkewPolicy:
     """``bucket_rows``: most rows of one key and side in a bucket (None: no buckets).
     ``pairs_per_task``: pairs that one task may emit before partitions are added.
     ``max_partitions``: no join gets more of them (each costs the driver memory); past it a
-    task emits more pairs, which stream into a partial aggregate."""
+    task emits more pairs."""
 
     bucket_rows: int | None = 2_000
-    pairs_per_task: int = 20_000_000
+    pairs_per_task: int = 4_000_000
     max_partitions: int = 50_000
 
 
@@ -51,17 +52,26 @@ DEFAULT_SKEW = SkewPolicy()
 class JoinPlan:
     """``buckets``: (key, _left, _right) bucket counts of the keys that are cut, or None.
     ``partitions``: partitions of the join, or None for Spark's own.
-    ``wide``: (key) the keys with more right rows than asked for, or None if there are none."""
+    ``wide``: (key) the keys with more right rows than asked for, or None if there are none.
+    ``cells``: parts of one left user's pairs that keep each of them within a task's pairs.
+    ``spare``: users with whom any given user is sure to share no key (None: not known).
+    ``dealt``: both sides already stand in ``partitions`` by the key."""
 
     buckets: DataFrame | None
     partitions: int | None
     wide: DataFrame | None = None
+    cells: int = 1
+    spare: int | None = None
+    dealt: bool = False
 
 
-def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW, wide: int | None = None) -> JoinPlan:
+def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW, wide: int | None = None,
+              deal: str | None = None) -> JoinPlan:
     """Counts both sides per key in one job, which also writes the keys that are cut and
-    those with more than ``wide`` right rows; three numbers reach the driver. Nothing
-    forces a broadcast: the written tables are joined by whatever their sizes allow."""
+    those with more than ``wide`` right rows; a few numbers reach the driver. Nothing
+    forces a broadcast: the written tables are joined by whatever their sizes allow.
+    ``deal``: the left column by which the pairs are to be dealt out; its most frequent
+    value, times the right rows of the largest key, bounds the pairs of one value."""
     if policy.bucket_rows is None and wide is None:
         return JoinPlan(None, None)
     count = lambda df, name: df.groupBy(key).agg(F.count(F.lit(1)).alias(name))
@@ -72,20 +82,26 @@ def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy =
     limit = int(policy.bucket_rows or 0)
     hot = (F.col("_n") > limit) | (F.col("_m") > limit) if limit else F.lit(False)
     broad = F.col("_m") > wide if wide is not None else F.lit(False)
-    cells = lambda c: F.ceil(F.col(c) / F.lit(limit or 1)).cast("int")
+    buckets = lambda c: F.ceil(F.col(c) / F.lit(limit or 1)).cast("int")
     seen = Observation()
-    watched = n.withColumn("_hot", hot).withColumn("_wide", broad).observe(
-        seen, F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"),
-        F.count_if("_hot").alias("hot"), F.count_if("_wide").alias("wide"))
+    counted = n.withColumn("_hot", hot).withColumn("_wide", broad).withColumn("_own", F.lit(None).cast("long"))
+    if deal is not None:
+        own = left.where(F.col(deal).isNotNull()).groupBy(deal).agg(F.count(F.lit(1)).alias("_own")).select("_own")
+        counted = counted.unionByName(own, allowMissingColumns=True)
+    watched = counted.observe(
+        seen, F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"), F.max("_m").alias("most"),
+        F.max("_own").alias("own"), F.count("_own").alias("owners"), F.count_if("_hot").alias("hot"), F.count_if("_wide").alias("wide"))
     noted = write_table(watched.where("_hot or _wide").select(
-        key, cells("_n").alias("_left"), cells("_m").alias("_right"), "_hot", "_wide"), "key-counts")
+        key, buckets("_n").alias("_left"), buckets("_m").alias("_right"), "_hot", "_wide"), "key-counts")
     found = seen.get
     wanted = min(math.ceil((found.get("pairs") or 0) / policy.pairs_per_task), policy.max_partitions)
-    usual = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    reach = (found.get("own") or 0) * (found.get("most") or 0)
     return JoinPlan(
         noted.where("_hot").select(key, "_left", "_right") if found.get("hot") else None,
-        wanted if limit and wanted > usual else None,
-        noted.where("_wide").select(key) if found.get("wide") else None)
+        wanted if limit and wanted > 1 else None,
+        noted.where("_wide").select(key) if found.get("wide") else None,
+        max(1, min(math.ceil(reach / policy.pairs_per_task), wanted)),
+        found["owners"] - 1 - reach if deal is not None and left is right else None)
 
 
 def _cut(df: DataFrame, key: str, plan: JoinPlan, salt_col: str, own: str, other: str, own_n: str, other_n: str) -> DataFrame:
@@ -108,6 +124,6 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, plan: JoinPlan | No
     lhs = _cut(left, key, plan, left_salt, _A, _B, "_left", "_right")
     rhs = _cut(right, key, plan, right_salt, _B, _A, "_right", "_left")
     on = [key] if plan.buckets is None else [key, _A, _B]
-    if plan.partitions:
+    if plan.partitions and not plan.dealt:
         lhs, rhs = lhs.repartition(plan.partitions, *on), rhs.repartition(plan.partitions, *on)
     return lhs.join(rhs, on).drop(_A, _B)

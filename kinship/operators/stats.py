@@ -21,9 +21,10 @@ from kinship.operators.features import half_square
 BYTES_PER_SIMILARITY = 8
 
 
-def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFrame:
+def summary_with_zeros(values: DataFrame, col: str, n_total: Column, more: Sequence[tuple[str, Column]] = ()) -> DataFrame:
     """One row ``(n_total, n_nonzero, min_value, max_value, mean_value, stddev_value)``
-    over ``n_total`` values, of which the rows of ``values`` are the non-zero ones."""
+    over ``n_total`` values, of which the rows of ``values`` are the non-zero ones.
+    ``more``: further named aggregates of the same rows."""
     x = F.col(col).cast("double")
     agg = values.agg(
         F.count(x).alias("_n"),
@@ -31,6 +32,7 @@ def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFram
         F.var_pop(x).alias("_v"),
         F.min(x).alias("_mn"),
         F.max(x).alias("_mx"),
+        *[value.alias(name) for name, value in more],
     )
     p = n_total.cast("long")
     n, total = F.col("_n").cast("double"), p.cast("double")
@@ -47,6 +49,7 @@ def summary_with_zeros(values: DataFrame, col: str, n_total: Column) -> DataFram
         F.when(has_zero, F.greatest(F.col("_mx"), F.lit(0.0))).otherwise(F.col("_mx")).alias("max_value"),
         mean.alias("mean_value"),
         F.sqrt(var).alias("stddev_value"),
+        *[name for name, _ in more],
     )
 
 
@@ -65,6 +68,11 @@ def nonzero_bytes(sims: DataFrame) -> DataFrame:
     return sims.agg(n.alias("nonzero"), (n * F.lit(BYTES_PER_SIMILARITY)).alias("bytes"))
 
 
+def nonzero_bytes_of(col: str) -> Column:
+    """The ``bytes`` of ``nonzero_bytes`` for one of several similarities in a table, as an aggregate."""
+    return F.count_if(F.col(col) != 0.0) * F.lit(BYTES_PER_SIMILARITY)
+
+
 def knn_bytes(ratings: DataFrame, ks: Sequence[int]) -> DataFrame:
     """``(k, bytes)``: storage of a ``k``-nearest table, ``N * min(k, N - 1) * 8``
     bytes for ``N`` distinct users (LONG, no overflow)."""

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from kinship.functions.columns import PRED_DIGITS, tidy
 from kinship.operators import features as feat
 from kinship.operators import recommend as rec
-from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_value, sweep_and_baseline
-from kinship.operators.neighbors import directed, neighbors
+from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_of_metrics, mae_value, sweep_and_baseline
+from kinship.operators.neighbors import neighbors
 from kinship.operators.predict import predict, predict_both_metrics, similar_users, weighted_deviation
 from kinship.operators.reports import knn_report, similarity_report
 from kinship.operators.similarity import co_ratings, pair_input, similarity
@@ -163,9 +163,9 @@ def q_preprocessed(spark, sf_dir):
 
 # --- pairs, similarities and their statistics ----------------------------------
 
-def _pre_hot(spark, sf_dir, metric=None):
+def _pre_hot(spark, sf_dir, metric=None, deal=None):
     train = _split(spark, sf_dir)[0]
-    return train, pair_input(train, metric), plan_join(train, train, "item")
+    return train, pair_input(train, metric), plan_join(train, train, "item", deal=deal)
 
 
 def q_co_ratings(spark, sf_dir):
@@ -223,8 +223,8 @@ def q_knn_bytes(spark, sf_dir):
 
 def _neighbors(metric, k):
     def run(spark, sf_dir):
-        train, pre, hot = _pre_hot(spark, sf_dir, metric)
-        ranked = neighbors(directed(similarity(pre, metric, hot)), k, feat.user_count_value(train))
+        train, pre, hot = _pre_hot(spark, sf_dir, metric, deal="user")
+        ranked = neighbors(similarity(pre, metric, hot, ordered=True), k, feat.user_count_value(train), hot.spare)
         return _round(ranked, "sim")
 
     return run
@@ -293,11 +293,10 @@ def _mae(metric):
 def q_mae_deltas(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
     preds, _ = predict_both_metrics(train, targets)
-    cos = mae(preds["cosine"]).select(F.col("mae").alias("cosine_mae"))
-    jac = mae_value(preds["jaccard"])
-    out = cos.select(
+    jac = F.col("jaccard_mae")
+    out = mae_of_metrics(preds).select(
         "cosine_mae",
-        jac.alias("jaccard_mae"),
+        "jaccard_mae",
         (F.col("cosine_mae") - F.lit(BASELINE_MAE)).alias("cosine_minus_baseline"),
         (jac - F.lit(BASELINE_MAE)).alias("jaccard_minus_baseline"),
         (jac - F.col("cosine_mae")).alias("jaccard_minus_cosine"),
