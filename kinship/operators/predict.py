@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
+from kinship.operators.listed import listed_sums, rating_codes
 from kinship.operators.neighbors import neighbors
 from kinship.operators.similarity import METRICS, co_ratings, needs_norms, pair_input, similarity, similarity_value
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
@@ -71,6 +72,24 @@ def weighted_deviation(
     )
 
 
+def all_users_sums(train: DataFrame, targets: DataFrame, users: DataFrame, metrics: Sequence[str], bounds: RatingScale = DEFAULT_SCALE,
+                   skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
+    """``(user, item, num_<metric>, den_<metric>, ...)``: the sums of ``weighted_deviation`` over all
+    users, by lists of raters where the ratings have codes (``kinship.operators.listed``)."""
+    codes = rating_codes(train, targets)
+    if codes is not None:
+        return listed_sums(train, targets, users, metrics, codes, bounds, skew)
+    dev = normalized_deviation(train, bounds, users)
+    hot = plan_join(targets, train, "item", skew)
+    if len(metrics) == 1:
+        w = weighted_deviation(targets, dev, similar_users(train, metrics[0], bounds, skew, None, users), hot, lower=True)
+        return w.select("user", "item", F.col("num").alias(f"num_{metrics[0]}"), F.col("den").alias(f"den_{metrics[0]}"))
+    co = co_ratings(preprocess(train, bounds, users), plan_join(train, train, "item", skew))
+    weighted = attach_similarity(candidates(targets, dev, hot), both_similarities(co), lower=True)
+    return weighted.groupBy("user", "item").agg(*[
+        f for m in metrics for f in (F.sum(F.col("dev") * F.col(m)).alias(f"num_{m}"), F.sum(F.abs(F.col(m))).alias(f"den_{m}"))])
+
+
 def similar_users(train: DataFrame, metric: str, bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
                   for_users: DataFrame | None = None, users: DataFrame | None = None) -> DataFrame:
     """The non-zero similarities a prediction needs: the triangle, or for ``for_users``
@@ -201,9 +220,13 @@ def predict(
     if k > 0:
         return predict_per_k(train, targets, (k,), metric, bounds, skew, only_target_users).drop("k")
     users = user_table(train, needs_norms(metric), bounds)
-    sims = similar_users(train, metric, bounds, skew, targets.select("user") if only_target_users else None, users)
+    if not only_target_users:
+        m = "cosine" if needs_norms(metric) else "jaccard"
+        sums = all_users_sums(train, targets, users, (m,), bounds, skew)
+        return finish(targets, users, sums.select("user", "item", safe_ratio(f"num_{m}", f"den_{m}").alias("w")), bounds)
+    sims = similar_users(train, metric, bounds, skew, targets.select("user"), users)
     hot = plan_join(targets, train, "item", skew)
-    w = weighted_deviation(targets, normalized_deviation(train, bounds, users), sims, hot, lower=not only_target_users)
+    w = weighted_deviation(targets, normalized_deviation(train, bounds, users), sims, hot)
     return finish(targets, users, w, bounds)
 
 
@@ -236,26 +259,19 @@ def predict_both_metrics(
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
-    """All-users (k = 0) predictions for both metrics from one co-rating table:
-    ``(user, item, rating, cosine, jaccard)``, and that table.
+    """All-users (k = 0) predictions for both metrics, ``(user, item, rating, cosine, jaccard)``,
+    and the co-rating table with all values of its pairs (lazy: a plan that only predicts
+    never makes it).
 
-    Cosine and Jaccard differ only in how a pair's similarity is computed from
-    the same co-rating row (dot product vs overlap and item counts), so the pairs meet
-    the candidates once. A plan that also reads the table's ``overlap`` and both
-    similarities (``both_similarities``) shares its shuffle.
+    Cosine and Jaccard differ only in how a pair's similarity is computed from the same
+    common ratings, so the pairs meet the candidates once.
     """
     users = user_table(train, True, bounds)
-    dev = normalized_deviation(train, bounds, users)
-    pre = preprocess(train, bounds, users)
-    co = co_ratings(pre, plan_join(train, train, "item", skew))
-    hot = plan_join(targets, train, "item", skew)
-    weighted = attach_similarity(candidates(targets, dev, hot), both_similarities(co), lower=True)
-    sums = weighted.groupBy("user", "item").agg(*[
-        f for m in METRICS for f in (F.sum(F.col("dev") * F.col(m)).alias(f"num_{m}"), F.sum(F.abs(F.col(m))).alias(f"den_{m}"))])
+    sums = all_users_sums(train, targets, users, METRICS, bounds, skew)
     rows = targets.select("user", "item", "rating").join(sums, ["user", "item"], "left").join(
         users.select("user", "avg_rating"), "user", "left")
     preds = [prediction(users, safe_ratio(f"num_{m}", f"den_{m}"), bounds).alias(m) for m in METRICS]
-    return rows.select("user", "item", "rating", *preds), co
+    return rows.select("user", "item", "rating", *preds), co_ratings(preprocess(train, bounds, users), plan_join(train, train, "item", skew))
 
 
 def both_similarities(co: DataFrame) -> DataFrame:

@@ -22,9 +22,10 @@ AQE cuts the rows of a hot key before they are given their buckets.
 from __future__ import annotations
 
 import math
+from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from kinship.session import write_table
@@ -127,3 +128,19 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, plan: JoinPlan | No
     if plan.partitions and not plan.dealt:
         lhs, rhs = lhs.repartition(plan.partitions, *on), rhs.repartition(plan.partitions, *on)
     return lhs.join(rhs, on).drop(_A, _B)
+
+
+def listed_sides(left: DataFrame, right: DataFrame, key: str, plan: JoinPlan, salt: str) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Both sides cut and dealt out as ``salted_join`` would, and the columns of a cell."""
+    lhs = _cut(left, key, plan, salt, _A, _B, "_left", "_right")
+    rhs = _cut(right, key, plan, salt, _B, _A, "_right", "_left")
+    on = [key] if plan.buckets is None else [key, _A, _B]
+    if plan.partitions:
+        lhs, rhs = lhs.repartition(plan.partitions, *on), rhs.repartition(plan.partitions, *on)
+    return lhs, rhs, on
+
+
+def with_list(rows: DataFrame, others: DataFrame, on: Sequence[str], entry: Column) -> DataFrame:
+    """``rows``, each with the sorted ``entry`` values of the other side's rows in its cell: at most
+    about ``bucket_rows`` of them, which travel as one row where a join would make a row each."""
+    return rows.join(others.groupBy(*on).agg(F.sort_array(F.collect_list(entry)).alias("list")), list(on))

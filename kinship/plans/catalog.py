@@ -12,12 +12,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import PRED_DIGITS, tidy
+from kinship.functions.columns import PRED_DIGITS, safe_ratio, tidy
 from kinship.operators import features as feat
 from kinship.operators import recommend as rec
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_of_metrics, mae_value, sweep_and_baseline
 from kinship.operators.neighbors import neighbors
-from kinship.operators.predict import predict, predict_both_metrics, similar_users, weighted_deviation
+from kinship.operators.predict import all_users_sums, predict, predict_both_metrics
 from kinship.operators.reports import knn_report, similarity_report
 from kinship.operators.similarity import co_ratings, pair_input, similarity
 from kinship.operators.skew import SkewPolicy, plan_join
@@ -242,9 +242,8 @@ def _predict(metric, k):
 
 def q_weighted_deviation(spark, sf_dir):
     train, targets = _split(spark, sf_dir)
-    dev = feat.normalized_deviation(train)
-    w = weighted_deviation(targets, dev, similar_users(train, "cosine"), plan_join(targets, train, "item"), lower=True)
-    return _round(w.select("user", "item", "w"), "w")
+    sums = all_users_sums(train, targets, feat.user_table(train), ("cosine",))
+    return _round(sums.select("user", "item", safe_ratio("num_cosine", "den_cosine").alias("w")), "w")
 
 
 def cold_targets(targets: DataFrame) -> DataFrame:
