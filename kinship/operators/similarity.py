@@ -10,13 +10,15 @@ arithmetically (see ``kinship.operators.stats``).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import replace
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio, tidy
 from kinship.operators.features import preprocess, user_table
+from kinship.operators.packed import ordered_rows
 from kinship.operators.skew import JoinPlan, salted_join
 
 METRICS = ("cosine", "jaccard")
@@ -48,6 +50,16 @@ def needs_norms(metric: str) -> bool:
     return _check_metric(metric) == "cosine"
 
 
+def pair_sums(columns: Sequence[str], counted: Column | None = None) -> list[Column]:
+    """What ``co_ratings`` sums of the rows of a pair; ``counted``: 1 for the rows of a common item."""
+    sums = [(F.count(F.lit(1)) if counted is None else F.sum(counted)).alias("overlap")]
+    if "ndev" in columns:
+        sums.append(F.sum("product").alias("dot"))
+    if "n_ratings" in columns:
+        sums += [F.max("n_ratings_u").alias("n_user"), F.max("n_ratings_v").alias("n_neighbour")]
+    return sums
+
+
 def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame | None = None, ordered: bool = False) -> DataFrame:
     """``(user, neighbour, overlap[, dot][, n_user, n_neighbour])`` for every pair of
     users with at least one common item; ``dot`` if ``pre`` has ``ndev``, the counts if
@@ -60,10 +72,14 @@ def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame
     ``ordered`` gives ordered pairs of all users.
 
     A join that needs more than one task's pairs deals them out by its own partition count
-    before they are summed: unordered pairs by both users, ordered ones by the left user
-    (cut into ``hot.cells`` by the neighbour), whose ranks then need no further shuffle. A
-    sum on the map side would hold nearly one row per pair there and merge few of them.
+    before they are summed: unordered pairs by both users, ordered ones of all users by the left
+    user (cut into ``hot.cells`` by the neighbour), whose ranks then need no further shuffle; those
+    travel as lists (``kinship.operators.packed``). A sum on the map side would hold nearly
+    one row per pair there and merge few of them.
     """
+    if ordered and for_users is None and hot is not None and hot.partitions:
+        rows, pair = ordered_rows(pre, hot)
+        return rows.groupBy(*pair).agg(*pair_sums(pre.columns)).drop("_cell")
     extra = [c for c in ("ndev", "n_ratings") if c in pre.columns]
     if for_users is None and hot is not None and hot.partitions and hot.buckets is None:
         # both sides are dealt out alike, so one shuffle gives both
@@ -76,13 +92,11 @@ def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame
     ordered = ordered or for_users is not None
     keep = F.col("user") != F.col("neighbour") if ordered else F.col("user") > F.col("neighbour")
     pairs = salted_join(left, right, "item", hot, "user", "neighbour").where(keep)
-    values, sums = [], [F.count(F.lit(1)).alias("overlap")]
+    values, sums = [], pair_sums(extra)
     if "ndev" in extra:
         values.append((F.col("ndev_u") * F.col("ndev_v")).alias("product"))
-        sums.append(F.sum("product").alias("dot"))
     if "n_ratings" in extra:
         values += ["n_ratings_u", "n_ratings_v"]
-        sums += [F.max("n_ratings_u").alias("n_user"), F.max("n_ratings_v").alias("n_neighbour")]
     pairs = pairs.select("user", *values, "neighbour")  # a value before an id: the id's leading zeros join the next row's header when compressed
     if hot is None or not hot.partitions:
         return pairs.groupBy("user", "neighbour").agg(*sums)
@@ -105,9 +119,9 @@ def similarity_value(metric: str):
     return tidy(raw, SIM_DIGITS)
 
 
-def similarity_from_pairs(co: DataFrame, metric: str, keep_overlap: bool = False) -> DataFrame:
-    """Non-zero ``(user, neighbour, sim)`` from an existing ``co_ratings`` table."""
-    cols = ["user", "neighbour", similarity_value(metric).alias("sim")]
+def similarity_from_pairs(co: DataFrame, metric: str, keep_overlap: bool = False, also: Sequence[str] = ()) -> DataFrame:
+    """Non-zero ``(user, neighbour, sim)`` and the columns ``also`` from an existing ``co_ratings`` table."""
+    cols = ["user", "neighbour", similarity_value(metric).alias("sim"), *also]
     if keep_overlap:
         cols.append("overlap")
     return co.select(*cols).where(F.col("sim") != 0.0)
