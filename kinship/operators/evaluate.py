@@ -11,6 +11,7 @@ from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, sa
 from kinship.operators.features import known_users, normalized_deviation, user_table
 from kinship.operators.neighbors import ranked_all
 from kinship.operators.predict import (
+    WIDE_TIMES,
     attach_similarity,
     candidates,
     finish,
@@ -55,17 +56,18 @@ def k_sweep(
     metric: str = "cosine",
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
+    wide_times: int = WIDE_TIMES,
 ) -> DataFrame:
     """``(k, mae)`` for every ``k`` in ``ks`` (all > 0) in one pass.
 
     Neighbours are ranked once, up to the largest ``k``; the candidate rows of
-    every target are joined with that ranked table once and summed with one
+    every target meet those ranks once and are summed with one
     conditional sum per ``k``, so the cost does not grow with ``len(ks)``. An item with
-    more raters than the largest ``k`` is reached through the ranked neighbours of its
-    targets' users, so no item costs more than ``k`` rows a target.
+    more raters than ``wide_times`` the largest ``k`` is reached through the ranked neighbours of
+    its targets' users, so no item costs more than ``k`` rows a target.
     """
     ks = positive(ks)
-    return _mae_per_k(predict_per_k(train, targets, ks, metric, bounds, skew))
+    return _mae_per_k(predict_per_k(train, targets, ks, metric, bounds, skew, wide_times=wide_times))
 
 
 def _mae_per_k(preds: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ at most ``k`` rows per user, however many neighbours a user has.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -53,9 +55,9 @@ def ranked_all(sims: DataFrame, n_users: Column) -> DataFrame:
         "user", "neighbour", "sim", (F.col("_place") + F.when(F.col("sim") < 0.0, zeros).otherwise(F.lit(0))).alias("rank"))
 
 
-def neighbors(sims: DataFrame, k: int, n_users: Column, spare: int | None = None) -> DataFrame:
+def neighbors(sims: DataFrame, k: int, n_users: Column, spare: int | None = None, also: Sequence[str] = ()) -> DataFrame:
     """``(user, neighbour, sim, rank)`` for the ``k`` nearest neighbours of each
-    user; ``sims`` holds both orientations of the non-zero similarities.
+    user, with the columns ``also``; ``sims`` holds both orientations of the non-zero similarities.
 
     ``k <= 0`` keeps every non-zero neighbour (rank NULL). ``n_users`` is the
     number of users ranked over (normally a scalar-subquery column). ``spare``: zero
@@ -69,14 +71,14 @@ def neighbors(sims: DataFrame, k: int, n_users: Column, spare: int | None = None
     rn = F.row_number().over(order)
     positives = (
         sims.where(F.col("sim") > 0.0)
-        .select("user", "neighbour", "sim")
+        .select("user", "neighbour", "sim", *also)
         .withColumn("_rn", rn)
         .where(F.col("_rn") <= k)
-        .select("user", "neighbour", "sim", F.col("_rn").cast("long").alias("rank"))
+        .select("user", "neighbour", "sim", F.col("_rn").cast("long").alias("rank"), *also)
     )
     if spare is not None and spare >= k:
         return positives
-    negative = sims.where(F.col("sim") < 0.0).select("user", "neighbour", "sim")
+    negative = sims.where(F.col("sim") < 0.0).select("user", "neighbour", "sim", *also)
     reaching = (
         negative.groupBy("user")
         .agg(F.count(F.lit(1)).alias("_neg"))
@@ -86,7 +88,7 @@ def neighbors(sims: DataFrame, k: int, n_users: Column, spare: int | None = None
         negative.join(reaching, "user")
         .withColumn("_rn", rn)
         .where(F.col("_rn") <= k)
-        .select("user", "neighbour", "sim", (n - F.lit(1) - F.col("_neg") + F.col("_rn")).alias("rank"))
+        .select("user", "neighbour", "sim", (n - F.lit(1) - F.col("_neg") + F.col("_rn")).alias("rank"), *also)
         .where(F.col("rank") <= k)
     )
     return positives.unionByName(negatives)

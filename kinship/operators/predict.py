@@ -24,10 +24,15 @@ from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
 from kinship.operators.listed import listed_sums, rating_codes
 from kinship.operators.neighbors import neighbors
-from kinship.operators.similarity import METRICS, co_ratings, needs_norms, pair_input, similarity, similarity_value
+from kinship.operators.packed import ordered_rows
+from kinship.operators.similarity import (
+    METRICS, co_ratings, needs_norms, pair_input, pair_sums, similarity, similarity_from_pairs, similarity_value)
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
+# A candidate in a list takes about a fourth of the bytes of a row of ``neighbour_first``.
+WIDE_TIMES = 4
+
 
 def candidates(targets: DataFrame, dev: DataFrame, hot: JoinPlan | None = None) -> DataFrame:
     """``(user, item, neighbour, dev)``: train ratings of each target item by
@@ -127,6 +132,22 @@ def neighbour_first(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> Da
     return wanted.join(raters, ["neighbour", "item"]).select("user", "item", "neighbour", "dev", "sim", "rank")
 
 
+def ranked_lists(train: DataFrame, targets: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
+                 hot: JoinPlan | None = None) -> DataFrame:
+    """The rows of ``neighbour_first`` where no item is wide: pairs and candidates are sent to the
+    left user's task as lists of raters (``kinship.operators.packed``), where a pair gets its similarity,
+    its rank and the targets that it answers. No row of a pair or candidate is sent."""
+    plan = plan_join(train, train, "item", skew, deal="user")
+    pre = pair_input(train, metric, bounds, users)
+    rows, pair = ordered_rows(pre, plan, targets, normalized_deviation(train, bounds, users), hot)
+    met = rows.groupBy(*pair).agg(
+        *pair_sums(pre.columns, F.col("shared")), F.collect_list(F.when(F.col("shared") == 0, F.struct("item", "dev"))).alias("asked"))
+    sims = similarity_from_pairs(met.where(F.col("overlap") > 0), metric, also=["asked"])
+    ranked = neighbors(sims, k, known_users(users), plan.spare, also=["asked"])
+    return ranked.select("user", "neighbour", "sim", "rank", F.explode("asked").alias("a")).select(
+        "user", "a.item", "neighbour", "a.dev", "sim", "rank")
+
+
 def ranked_candidates(targets: DataFrame, dev: DataFrame, ranked: DataFrame, hot: JoinPlan | None = None) -> DataFrame:
     """The rows of ``neighbour_first``, by the cheaper way for every item: an item with
     ``t`` targets and ``n`` raters costs ``t * n`` rows rater first and ``t * k`` neighbour first,
@@ -187,17 +208,19 @@ def finish_per_k(targets: DataFrame, users: DataFrame, sums: DataFrame, ks: Sequ
 
 
 def _nearest_rows(train: DataFrame, targets: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
-                  only_target_users: bool) -> tuple[DataFrame, DataFrame]:
+                  only_target_users: bool, wide_times: int) -> tuple[DataFrame, DataFrame]:
     """The user table, and the rows of ``neighbour_first`` for the ``k`` nearest; for all
-    users by the cheaper way for every item."""
+    users by lists, or where an item has more than ``wide_times * k`` raters by the cheaper way
+    for every item."""
     users = user_table(train, needs_norms(metric), bounds)
     dev = normalized_deviation(train, bounds, users)
     if only_target_users:
         return users, neighbour_first(targets, dev, nearest(train, users, metric, k, bounds, skew, targets.select("user")))
-    hot = plan_join(targets, train, "item", skew, wide=k)
-    ranked = nearest(train, users, metric, k, bounds, skew)
-    if hot.wide is not None:  # read by both ways to the candidates
-        ranked = write_table(ranked, f"ranked-{metric}")
+    hot = plan_join(targets, train, "item", skew, wide=wide_times * k)
+    if hot.wide is None:
+        return users, ranked_lists(train, targets, users, metric, k, bounds, skew, hot)
+    # read by both ways to the candidates
+    ranked = write_table(nearest(train, users, metric, k, bounds, skew), f"ranked-{metric}")
     return users, ranked_candidates(targets, dev, ranked, hot)
 
 
@@ -238,11 +261,13 @@ def predict_per_k(
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
     only_target_users: bool = False,
+    wide_times: int = WIDE_TIMES,
 ) -> DataFrame:
     """``(k, user, item, rating, prediction)`` for every target row and every ``k`` (all > 0):
-    similarities and ranks are computed once, up to the largest ``k``."""
+    similarities and ranks are computed once, up to the largest ``k``. ``wide_times``: an item with more
+    raters than this times ``k`` goes neighbour first."""
     ks = positive(ks)
-    users, weighted = _nearest_rows(train, targets, metric, ks[-1], bounds, skew, only_target_users)
+    users, weighted = _nearest_rows(train, targets, metric, ks[-1], bounds, skew, only_target_users, wide_times)
     return finish_per_k(targets, users, sums_per_k(weighted, ks), ks, bounds)
 
 

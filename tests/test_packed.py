@@ -6,10 +6,12 @@ from pyspark.sql import functions as F
 from test_listed import exchanges
 from tiny_data import SCHEMA
 
+from kinship.operators import predict as predict_mod
+from kinship.operators.features import known_users, normalized_deviation, user_table
 from kinship.operators.neighbors import directed, neighbors
 from kinship.operators.packed import plane_value, planes
-from kinship.operators.skew import SkewPolicy, plan_join
 from kinship.operators.similarity import co_ratings, pair_input, similarity
+from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 
 SMALL = SkewPolicy(pairs_per_task=2_000)
 
@@ -57,6 +59,17 @@ def test_lists_give_the_pairs_of_the_plain_way(spark, rows, metric, skew):
     assert same(close(co_ratings(pre, plan, ordered=True).select(*cols)), close(directed(co_ratings(pre)).select(*cols)))
 
 
+@pytest.mark.parametrize("metric, k", [("cosine", 4), ("cosine", 58), ("jaccard", 20)])
+@pytest.mark.parametrize("skew", [DEFAULT_SKEW, SkewPolicy(pairs_per_task=300), SkewPolicy(bucket_rows=7, pairs_per_task=5_000)])
+def test_lists_give_the_ranked_candidates_of_the_plain_way(spark, rows, metric, k, skew):
+    train, targets = rows
+    users = user_table(train)
+    ranked = neighbors(directed(similarity(pair_input(train, metric), metric)), k, known_users(users))
+    want = predict_mod.ranked_candidates(targets, normalized_deviation(train, users=users), ranked)
+    got = predict_mod.ranked_lists(train, targets, users, metric, k, predict_mod.DEFAULT_SCALE, skew, plan_join(targets, train, "item", skew))
+    assert same(close(got), close(want.select(*got.columns)))
+
+
 @pytest.mark.parametrize("metric", ["cosine", "jaccard"])
 def test_no_shuffle_holds_a_row_per_ordered_pair(spark, rows, metric):
     train, targets = rows
@@ -64,3 +77,4 @@ def test_no_shuffle_holds_a_row_per_ordered_pair(spark, rows, metric):
     plan = plan_join(train, train, "item", SMALL, deal="user")
     ranks = neighbors(similarity(pair_input(train, metric), metric, plan, ordered=True), 3, F.lit(10**6), 10**5)
     assert max(exchanges(ranks.where("sim > 0"))) < pairs / 4
+    assert max(exchanges(predict_mod.predict(train, targets, metric, 5, skew=SMALL).where("prediction > 0"))) < pairs / 4
