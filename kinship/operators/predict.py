@@ -30,7 +30,7 @@ from kinship.operators.similarity import (
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
-# A candidate in a list takes about a fourth of the bytes of a row of ``neighbour_first``.
+# Estimated, not measured: a candidate in a list takes a fourth of the bytes of a row of ``neighbour_first``.
 WIDE_TIMES = 4
 
 
