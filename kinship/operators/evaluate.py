@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio
+from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale
 from kinship.operators.features import known_users, normalized_deviation, user_table
 from kinship.operators.neighbors import ranked_all
 from kinship.operators.predict import (
@@ -19,7 +19,7 @@ from kinship.operators.predict import (
     ordered_users,
     positive,
     predict_per_k,
-    sums_per_k,
+    ratios_per_k,
 )
 from kinship.operators.similarity import METRICS, needs_norms
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
@@ -82,20 +82,19 @@ def sweep_and_baseline(
     bounds: RatingScale = DEFAULT_SCALE,
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
-    """``k_sweep`` and the all-users predictions, from one written row of sums per target.
+    """``k_sweep`` and the all-users predictions, from one written row of weighted deviations per target.
     The baseline weighs every candidate, so all of them meet the ranked pairs rater first."""
     ks = positive(ks)
     users = user_table(train, needs_norms(metric), bounds)
+    plan = plan_join(train, train, "item", skew, deal="user")
     dev = normalized_deviation(train, bounds, users)
     hot = plan_join(targets, train, "item", skew)
-    sims, plan = ordered_users(train, metric, bounds, skew, users)
-    ranked = ranked_all(sims, known_users(users))
+    ranked = ranked_all(ordered_users(train, metric, bounds, plan, users), known_users(users))
     if plan.partitions:
         ranked = ranked.repartition(plan.partitions, "user", "neighbour")
-    weighted = attach_similarity(candidates(targets, dev, hot), ranked, lower=False)
-    sums = write_table(sums_per_k(weighted, ks), f"sums-{metric}")
-    everyone = sums.select("user", "item", safe_ratio("num", "den").alias("w"))
-    return _mae_per_k(finish_per_k(targets, users, sums, ks, bounds)), finish(targets, users, everyone, bounds)
+    ratios = ratios_per_k(attach_similarity(candidates(targets, dev, hot), ranked, lower=False), ks)
+    written = write_table(ratios, f"ratios-{metric}")
+    return _mae_per_k(finish_per_k(targets, users, written, ks, bounds)), finish(targets, users, written, bounds)
 
 
 def lowest_k(sweep: DataFrame, baseline: Column | float) -> DataFrame:

@@ -52,11 +52,12 @@ class Codes:
         return F.call_function("div", packed - self.code(packed), F.lit(len(self.levels)).cast("long"))
 
 
-def rating_codes(train: DataFrame, targets: DataFrame) -> Codes | None:
+def rating_codes(train: DataFrame, targets: DataFrame | None = None) -> Codes | None:
     """The codes of the train set's ratings, or None if they are too many or an id of a user is too
     large. One job; at most ``MAX_STEPS`` + 2 rows reach the driver."""
-    ids = train.select("user", "rating", F.lit(True).alias("_own")).unionByName(
-        targets.select("user", F.lit(None).cast("double").alias("rating"), F.lit(False).alias("_own")))
+    ids = train.select("user", "rating", F.lit(True).alias("_own"))
+    if targets is not None:
+        ids = ids.unionByName(targets.select("user", F.lit(None).cast("double").alias("rating"), F.lit(False).alias("_own")))
     steps = ids.groupBy("_own", "rating").agg(F.min("user").alias("low"), F.max("user").alias("high")).limit(MAX_STEPS + 2).collect()
     levels = sorted((r.rating for r in steps if r._own), key=lambda v: (v is not None, v))
     largest = max((max(abs(r.low or 0), abs(r.high or 0)) for r in steps), default=0)
@@ -76,12 +77,12 @@ def _dealt(rows: DataFrame, codes: Codes, plan: JoinPlan, partitions: int | None
     return rows.repartition(partitions, *keys) if partitions else rows.repartition(*keys)
 
 
-def matched(train: DataFrame, targets: DataFrame, codes: Codes, skew: SkewPolicy) -> DataFrame:
+def matched(train: DataFrame, targets: DataFrame, codes: Codes, skew: SkewPolicy, plan: JoinPlan) -> DataFrame:
     """``(user, neighbour, item, code, first, common)``: each target with each rater of its item
     that shares a train item with the target's user. ``user`` is the larger id of both and the
     target's user where ``first``; ``code`` is the rater's rating of ``item``, ``common`` holds
-    the two ratings of every common item (``n_levels`` * the user's code + the neighbour's)."""
-    plan = plan_join(train, train, "item", skew, deal="user")
+    the two ratings of every common item (``n_levels`` * the user's code + the neighbour's). ``plan``: of the
+    join of ``train`` with itself."""
     hot = plan_join(targets, train, "item", skew)
     partitions = (plan.partitions or 0) + (hot.partitions or 0) or None
     if plan.partitions and plan.buckets is None and hot.buckets is None:
@@ -127,11 +128,11 @@ def similarity_of(metric: str, codes: Codes, bounds: RatingScale) -> Column:
 
 
 def listed_sums(train: DataFrame, targets: DataFrame, users: DataFrame, metrics: Sequence[str], codes: Codes,
-                bounds: RatingScale, skew: SkewPolicy) -> DataFrame:
+                bounds: RatingScale, skew: SkewPolicy, plan: JoinPlan) -> DataFrame:
     """``(user, item, num_<metric>, den_<metric>, ...)`` for the targets with a neighbour of non-zero
     similarity. Targets of unknown users have none and go no further than their ids."""
     known = targets.select("user", "item").join(users.select("user"), "user", "left_semi")
-    rows = matched(train, known, codes, skew)
+    rows = matched(train, known, codes, skew, plan)
     values = [c for c in ("avg_rating", "n_ratings", "norm") if c in users.columns]
     for key, side in (("user", "u"), ("neighbour", "v")):
         rows = rows.join(users.select(F.col("user").alias(key), *[F.col(c).alias(f"{c}_{side}") for c in values]), key)

@@ -21,6 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
+from kinship.operators.blocks import block_plan, block_ratios
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
 from kinship.operators.listed import listed_sums, rating_codes
 from kinship.operators.neighbors import neighbors
@@ -34,6 +35,10 @@ from kinship.session import write_table
 WIDE_TIMES = 4
 
 
+def metric_name(metric: str) -> str:
+    return "cosine" if needs_norms(metric) else "jaccard"
+
+
 def candidates(targets: DataFrame, dev: DataFrame, hot: JoinPlan | None = None) -> DataFrame:
     """``(user, item, neighbour, dev)``: train ratings of each target item by
     users other than the target user. ``dev`` is ``normalized_deviation(train)``
@@ -83,7 +88,8 @@ def all_users_sums(train: DataFrame, targets: DataFrame, users: DataFrame, metri
     users, by lists of raters where the ratings have codes (``kinship.operators.listed``)."""
     codes = rating_codes(train, targets)
     if codes is not None:
-        return listed_sums(train, targets, users, metrics, codes, bounds, skew)
+        plan = plan_join(train, train, "item", skew, deal="user")
+        return listed_sums(train, targets, users, metrics, codes, bounds, skew, plan)
     dev = normalized_deviation(train, bounds, users)
     hot = plan_join(targets, train, "item", skew)
     if len(metrics) == 1:
@@ -104,21 +110,20 @@ def similar_users(train: DataFrame, metric: str, bounds: RatingScale = DEFAULT_S
     return similarity(pre, metric, plan_join(own, train, "item", skew), for_users)
 
 
-def ordered_users(train: DataFrame, metric: str, bounds: RatingScale, skew: SkewPolicy, users: DataFrame) -> tuple[DataFrame, JoinPlan]:
-    """The non-zero similarities of all users in both orders, and the plan of their join."""
-    plan = plan_join(train, train, "item", skew, deal="user")
-    return similarity(pair_input(train, metric, bounds, users), metric, plan, ordered=True), plan
+def ordered_users(train: DataFrame, metric: str, bounds: RatingScale, plan: JoinPlan, users: DataFrame) -> DataFrame:
+    """The non-zero similarities of all users in both orders; ``plan``: of the join of ``train`` with itself."""
+    return similarity(pair_input(train, metric, bounds, users), metric, plan, ordered=True)
 
 
-def nearest(train: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
+def nearest(train: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
             for_users: DataFrame | None = None) -> DataFrame:
-    """The ``k`` nearest neighbours of each user. All users' pairs are dealt out by the
+    """The ``k`` (> 0) nearest neighbours of each user. All users' pairs are dealt out by the
     user and ranked where they stand. Those of ``for_users`` are few; cosine has negative
     values, which makes two consumers of the pairs (the ranks and a count per user), so
     they are written once to the shared folder; this runs a job while the plan is built."""
     if for_users is None:
-        sims, plan = ordered_users(train, metric, bounds, skew, users)
-        return neighbors(sims, k, known_users(users), plan.spare)
+        plan = plan_join(train, train, "item", skew, deal="user")
+        return neighbors(ordered_users(train, metric, bounds, plan, users), k, known_users(users), plan.spare)
     sims = similar_users(train, metric, bounds, skew, for_users, users)
     return neighbors(sims if metric == "jaccard" else write_table(sims, f"similarity-{metric}"), k, known_users(users))
 
@@ -133,11 +138,11 @@ def neighbour_first(targets: DataFrame, dev: DataFrame, ranked: DataFrame) -> Da
 
 
 def ranked_lists(train: DataFrame, targets: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
-                 hot: JoinPlan | None = None) -> DataFrame:
-    """The rows of ``neighbour_first`` where no item is wide: pairs and candidates are sent to the
+                 hot: JoinPlan | None = None, plan: JoinPlan | None = None) -> DataFrame:
+    """The rows of ``neighbour_first`` where no item is wide and blocks do not suit: pairs and candidates are sent to the
     left user's task as lists of raters (``kinship.operators.packed``), where a pair gets its similarity,
     its rank and the targets that it answers. No row of a pair or candidate is sent."""
-    plan = plan_join(train, train, "item", skew, deal="user")
+    plan = plan_join(train, train, "item", skew, deal="user") if plan is None else plan
     pre = pair_input(train, metric, bounds, users)
     rows, pair = ordered_rows(pre, plan, targets, normalized_deviation(train, bounds, users), hot)
     met = rows.groupBy(*pair).agg(
@@ -192,36 +197,46 @@ def sums_per_k(weighted: DataFrame, ks: Sequence[int]) -> DataFrame:
     return weighted.groupBy("user", "item").agg(*sums)
 
 
-def finish_per_k(targets: DataFrame, users: DataFrame, sums: DataFrame, ks: Sequence[int], bounds: RatingScale) -> DataFrame:
+def ratios_per_k(weighted: DataFrame, ks: Sequence[int]) -> DataFrame:
+    """``(user, item, w, w_<k>, ...)``: the weighted deviations that ``sums_per_k`` gives, ``w`` over every row."""
+    ratio = lambda end: safe_ratio(f"num{end}", f"den{end}").alias(f"w{end}")
+    return sums_per_k(weighted, ks).select("user", "item", ratio(""), *[ratio(f"_{k}") for k in ks])
+
+
+def finish_per_k(targets: DataFrame, users: DataFrame, ratios: DataFrame, ks: Sequence[int], bounds: RatingScale) -> DataFrame:
     """``(k, user, item, rating, prediction)``, one row per target row and ``k``, from the
-    targets' ``sums_per_k``."""
+    targets' ``ratios_per_k``."""
     rows = (
         targets.select("user", "item", "rating")
-        .join(sums, ["user", "item"], "left")
+        .join(ratios.drop("w"), ["user", "item"], "left")
         .join(users.select("user", "avg_rating"), "user", "left")
     )
     per_k = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), safe_ratio(f"num_{k}", f"den_{k}").alias("w")) for k in ks]))
+        F.struct(F.lit(k).alias("k"), F.coalesce(F.col(f"w_{k}"), F.lit(0.0)).alias("w")) for k in ks]))
     pred = prediction(users, F.col("s.w"), bounds)
     return rows.select("user", "item", "rating", "avg_rating", per_k.alias("s")).select(
         F.col("s.k").alias("k"), "user", "item", "rating", pred.alias("prediction"))
 
 
-def _nearest_rows(train: DataFrame, targets: DataFrame, metric: str, k: int, bounds: RatingScale, skew: SkewPolicy,
-                  only_target_users: bool, wide_times: int) -> tuple[DataFrame, DataFrame]:
-    """The user table, and the rows of ``neighbour_first`` for the ``k`` nearest; for all
-    users by lists, or where an item has more than ``wide_times * k`` raters by the cheaper way
-    for every item."""
+def _nearest_ratios(train: DataFrame, targets: DataFrame, metric: str, ks: Sequence[int], bounds: RatingScale, skew: SkewPolicy,
+                    only_target_users: bool, wide_times: int) -> tuple[DataFrame, DataFrame]:
+    """The user table, and the targets' ``ratios_per_k``; for all users by blocks or lists, or where
+    an item has more than ``wide_times`` raters for each of the largest ``k`` by the cheaper way for every item."""
+    k = ks[-1]
     users = user_table(train, needs_norms(metric), bounds)
     dev = normalized_deviation(train, bounds, users)
     if only_target_users:
-        return users, neighbour_first(targets, dev, nearest(train, users, metric, k, bounds, skew, targets.select("user")))
+        return users, ratios_per_k(neighbour_first(targets, dev, nearest(train, users, metric, k, bounds, skew, targets.select("user"))), ks)
     hot = plan_join(targets, train, "item", skew, wide=wide_times * k)
     if hot.wide is None:
-        return users, ranked_lists(train, targets, users, metric, k, bounds, skew, hot)
+        plan = plan_join(train, train, "item", skew, deal="user")
+        blocks = block_plan(train, plan)
+        if blocks is not None:
+            return users, block_ratios(train, targets, users, blocks, metric_name(metric), ks, bounds)
+        return users, ratios_per_k(ranked_lists(train, targets, users, metric, k, bounds, skew, hot, plan), ks)
     # read by both ways to the candidates
     ranked = write_table(nearest(train, users, metric, k, bounds, skew), f"ranked-{metric}")
-    return users, ranked_candidates(targets, dev, ranked, hot)
+    return users, ratios_per_k(ranked_candidates(targets, dev, ranked, hot), ks)
 
 
 def predict(
@@ -244,7 +259,7 @@ def predict(
         return predict_per_k(train, targets, (k,), metric, bounds, skew, only_target_users).drop("k")
     users = user_table(train, needs_norms(metric), bounds)
     if not only_target_users:
-        m = "cosine" if needs_norms(metric) else "jaccard"
+        m = metric_name(metric)
         sums = all_users_sums(train, targets, users, (m,), bounds, skew)
         return finish(targets, users, sums.select("user", "item", safe_ratio(f"num_{m}", f"den_{m}").alias("w")), bounds)
     sims = similar_users(train, metric, bounds, skew, targets.select("user"), users)
@@ -267,8 +282,8 @@ def predict_per_k(
     similarities and ranks are computed once, up to the largest ``k``. ``wide_times``: an item with more
     raters than this times ``k`` goes neighbour first."""
     ks = positive(ks)
-    users, weighted = _nearest_rows(train, targets, metric, ks[-1], bounds, skew, only_target_users, wide_times)
-    return finish_per_k(targets, users, sums_per_k(weighted, ks), ks, bounds)
+    users, ratios = _nearest_ratios(train, targets, metric, ks, bounds, skew, only_target_users, wide_times)
+    return finish_per_k(targets, users, ratios, ks, bounds)
 
 
 def positive(ks: Sequence[int]) -> list[int]:

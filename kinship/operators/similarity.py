@@ -17,9 +17,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale, safe_ratio, tidy
+from kinship.operators.blocks import block_pairs, block_plan
 from kinship.operators.features import preprocess, user_table
 from kinship.operators.packed import ordered_rows
-from kinship.operators.skew import JoinPlan, salted_join
+from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 
 METRICS = ("cosine", "jaccard")
 
@@ -108,6 +109,22 @@ def co_ratings(pre: DataFrame, hot: JoinPlan | None = None, for_users: DataFrame
     return pairs.select("*", cell).repartition(hot.partitions, "user", "_cell").groupBy("user", "_cell", "neighbour").agg(*sums).drop("_cell")
 
 
+def all_pairs(ratings: DataFrame, metrics: Sequence[str] = (), bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
+              users: DataFrame | None = None) -> DataFrame:
+    """``co_ratings`` of all users of ``ratings`` with what ``metrics`` need, each pair once: by blocks of users where
+    that suits (``kinship.operators.blocks``). ``users``: the user table, if it is already there."""
+    wanted = [c for m, c in (("cosine", "ndev"), ("jaccard", "n_ratings")) if m in map(_check_metric, metrics)]
+    plan = plan_join(ratings, ratings, "item", skew, deal="user")
+    blocks = block_plan(ratings, plan)
+    if users is None and (wanted or blocks):
+        users = user_table(ratings, "ndev" in wanted, bounds)
+    if blocks is not None:
+        return block_pairs(ratings, users, blocks, wanted, bounds)
+    if len(wanted) == 2:
+        return co_ratings(preprocess(ratings, bounds, users), plan)
+    return co_ratings(pair_input(ratings, metrics[0] if wanted else None, bounds, users), plan)
+
+
 def similarity_value(metric: str):
     """Column computing the (rounded) similarity from a ``co_ratings`` row."""
     m = _check_metric(metric)

@@ -56,7 +56,9 @@ class JoinPlan:
     ``wide``: (key) the keys with more right rows than asked for, or None if there are none.
     ``cells``: parts of one left user's pairs that keep each of them within a task's pairs.
     ``spare``: users with whom any given user is sure to share no key (None: not known).
-    ``dealt``: both sides already stand in ``partitions`` by the key."""
+    ``dealt``: both sides already stand in ``partitions`` by the key.
+    ``pairs``: joined pairs; ``rows``: left rows; ``owners``: distinct left values of ``deal``;
+    ``reach``: the most pairs that one of those can have."""
 
     buckets: DataFrame | None
     partitions: int | None
@@ -64,6 +66,10 @@ class JoinPlan:
     cells: int = 1
     spare: int | None = None
     dealt: bool = False
+    pairs: int = 0
+    rows: int = 0
+    owners: int = 0
+    reach: int = 0
 
 
 def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy = DEFAULT_SKEW, wide: int | None = None,
@@ -90,7 +96,7 @@ def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy =
         own = left.where(F.col(deal).isNotNull()).groupBy(deal).agg(F.count(F.lit(1)).alias("_own")).select("_own")
         counted = counted.unionByName(own, allowMissingColumns=True)
     watched = counted.observe(
-        seen, F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"), F.max("_m").alias("most"),
+        seen, F.sum(F.col("_n").cast("double") * F.col("_m")).alias("pairs"), F.sum("_n").alias("rows"), F.max("_m").alias("most"),
         F.max("_own").alias("own"), F.count("_own").alias("owners"), F.count_if("_hot").alias("hot"), F.count_if("_wide").alias("wide"))
     noted = write_table(watched.where("_hot or _wide").select(
         key, buckets("_n").alias("_left"), buckets("_m").alias("_right"), "_hot", "_wide"), "key-counts")
@@ -102,7 +108,8 @@ def plan_join(left: DataFrame, right: DataFrame, key: str, policy: SkewPolicy =
         wanted if limit and wanted > 1 else None,
         noted.where("_wide").select(key) if found.get("wide") else None,
         max(1, min(math.ceil(reach / policy.pairs_per_task), wanted)),
-        found["owners"] - 1 - reach if deal is not None and left is right else None)
+        found["owners"] - 1 - reach if deal is not None and left is right else None,
+        pairs=int(found.get("pairs") or 0), rows=found.get("rows") or 0, owners=found.get("owners") or 0, reach=reach)
 
 
 def _cut(df: DataFrame, key: str, plan: JoinPlan, salt_col: str, own: str, other: str, own_n: str, other_n: str) -> DataFrame:

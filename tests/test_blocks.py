@@ -1,0 +1,271 @@
+"""Pairs, ranks and weighted deviations by blocks of users: what the plain way gives, with few bytes between tasks."""
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from test_packed import close, same
+from tiny_data import SCHEMA
+
+from kinship.functions.columns import DEFAULT_SCALE
+from kinship.operators import blocks
+from kinship.operators import evaluate as evaluate_mod
+from kinship.operators import predict as predict_mod
+from kinship.operators import similarity as similarity_mod
+from kinship.operators.blocks import block_pairs, block_plan, block_ranks, block_ratios, block_sums
+from kinship.operators.evaluate import mae_value, sweep_and_baseline
+from kinship.operators.features import known_users, normalized_deviation, preprocess, user_table
+from kinship.operators.neighbors import directed, neighbors, ranked_all
+from kinship.operators.predict import all_users_sums, attach_similarity, candidates, nearest, predict, predict_both_metrics, ratios_per_k
+from kinship.operators.reports import similarity_report
+from kinship.operators.similarity import all_pairs, co_ratings, pair_input, similarity
+from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
+
+SMALL = SkewPolicy(pairs_per_task=2_000)
+CUT = SkewPolicy(bucket_rows=7, pairs_per_task=900)  # every item is cut
+METRICS = ("cosine", "jaccard")
+
+
+@pytest.fixture(scope="module")
+def rows(spark):
+    """(train, targets) with sparse and negative ids, unrated, repeated and ownerless rows, a flat user, an unrated one and cold targets."""
+    every = spark.range(1_200).selectExpr(
+        "(id % 60 - 7) * 10000019 as user", "(id * 7 + id div 60) % 40 as item", "cast((id * 3 + id div 40) % 5 + 1 as double) as rating")
+    every = spark.createDataFrame(every.dropDuplicates(["user", "item"]).collect(), SCHEMA)
+    odd = spark.createDataFrame([(3, 5, None), (3, 6, None), (None, 5, 4.0), (-(2**40), 5, 1.0), (-(2**40), 6, 2.0), (4, 6, 3.0), (4, 7, 3.0),
+                                 (6, None, 2.0), (9, 11, 3.0), (9, 11, 3.0), (9, 11, 1.0), (9, 5, 1.0), (10, 3, None), (10, 4, 2.0), (10, 5, 4.0)], SCHEMA)
+    cold = spark.createDataFrame([(10**6, 5, 3.0), (9, 10**6, 2.0), (None, 5, 1.0), (9, None, 1.0), (9, 5, 1.0), (4, 5, 1.0), (4, 5, 2.0), (3, 11, 1.0)], SCHEMA)
+    train = every.where("(user + 3 * item) % 5 <> 0").unionByName(odd).cache()
+    return train, every.where("(user + 3 * item) % 5 = 0").unionByName(cold).cache()
+
+
+def plan_of(train, skew):
+    plan = block_plan(train, plan_join(train, train, "item", skew, deal="user"))
+    assert plan is not None and plan.blocks > 3 and plan.senders > 3
+    assert (plan.buckets is not None) == (skew is CUT)
+    return plan
+
+
+def plain(monkeypatch):
+    for module in (predict_mod, similarity_mod):
+        monkeypatch.setattr(module, "block_plan", lambda *a: None)
+
+
+def bytes_sent(df):
+    """Bytes that all shuffles of the executed plan wrote."""
+    total, out = 0, df.collect()
+
+    def walk(p):
+        nonlocal total
+        name = p.nodeName()
+        if name == "Exchange":
+            total += p.metrics().apply("shuffleBytesWritten").value()
+        if name == "AdaptiveSparkPlan":
+            walk(p.executedPlan())
+        elif name.endswith("QueryStage"):
+            walk(p.plan())
+        for i in range(p.children().size()):
+            walk(p.children().apply(i))
+
+    walk(df._jdf.queryExecution().executedPlan())
+    return total, out
+
+
+def test_longs_come_back_from_their_planes():
+    for longs in ([], [5], [-1, 0, 1], [2**63 - 1, -(2**63)], [7] * 9, [10**9, 10**9 + 70_000]):
+        assert blocks._unpacked(blocks._packed(np.array(longs, np.int64))).tolist() == longs
+    assert len(blocks._packed(np.arange(10**6, 10**6 + 256))) < 256 + 20
+
+
+@pytest.mark.parametrize("wanted", [(), ("ndev", "n_ratings")])
+@pytest.mark.parametrize("skew", [SMALL, CUT])
+def test_blocks_give_the_pairs_of_the_plain_way(spark, rows, wanted, skew):
+    train, _ = rows
+    users = user_table(train)
+    got = block_pairs(train, users, plan_of(train, skew), wanted, DEFAULT_SCALE)
+    want = co_ratings(preprocess(train, users=users).select("user", "item", *wanted))
+    assert got.columns == want.columns and got.dtypes == want.dtypes
+    assert same(close(got), close(want))
+
+
+@pytest.mark.parametrize("metric, k", [("cosine", 4), ("cosine", 62), ("jaccard", 20)])
+@pytest.mark.parametrize("skew", [SMALL, CUT])
+def test_blocks_give_the_ranks_of_the_plain_way(spark, rows, metric, k, skew):
+    train, _ = rows
+    users = user_table(train)
+    want = neighbors(directed(similarity(pair_input(train, metric), metric)), k, known_users(users))
+    got = block_ranks(train, users, plan_of(train, skew), metric, k, DEFAULT_SCALE)
+    assert got.dtypes == want.dtypes and same(close(got), close(want))
+    if k == 62:
+        assert got.where("sim < 0").count() > 0
+
+
+@pytest.mark.parametrize("metric, everyone", [("cosine", True), ("jaccard", False)])
+@pytest.mark.parametrize("skew", [SMALL, CUT])
+def test_blocks_give_the_ratios_of_the_plain_way(spark, rows, metric, skew, everyone):
+    train, targets = rows
+    users, ks = user_table(train), [2, 9, 40]
+    ranked = ranked_all(directed(similarity(pair_input(train, metric), metric)), known_users(users))
+    weighted = attach_similarity(candidates(targets, normalized_deviation(train, users=users)), ranked, lower=False)
+    want = ratios_per_k(weighted if everyone else weighted.where("rank <= 40"), ks)
+    got = block_ratios(train, targets, users, plan_of(train, skew), metric, ks, DEFAULT_SCALE, everyone)
+    assert got.dtypes == want.dtypes and same(close(got), close(want))
+
+
+@pytest.mark.parametrize("metrics, skew", [(METRICS, SMALL), (METRICS[1:], CUT)])
+def test_blocks_give_the_sums_of_the_plain_way(spark, rows, metrics, skew):
+    train, targets = rows
+    users = user_table(train)
+    got = block_sums(train, targets, users, plan_of(train, skew), metrics, DEFAULT_SCALE)
+    want = all_users_sums(train, targets, users, metrics)  # few pairs: by lists
+    got, want = (x.na.fill(0.0) for x in (got, want))
+    assert got.dtypes == want.dtypes and same(close(got), close(want))
+
+
+@pytest.mark.parametrize("metric", METRICS)
+def test_operators_agree_with_and_without_blocks(spark, rows, metric, monkeypatch):
+    train, targets = rows
+    train = train.where("user is not null")
+    targets = targets.where("user is not null and item is not null")
+
+    def answers():
+        sweep, everyone = sweep_and_baseline(train, targets, (2, 9), metric, skew=SMALL)
+        return [close(x) for x in (
+            predict(train, targets, metric, 5, skew=SMALL), nearest(train, user_table(train), metric, 5, skew=SMALL), sweep,
+            everyone, all_pairs(train, (metric,), skew=SMALL).drop("n_user", "n_neighbour"))], sweep.select(mae_value(everyone)).first()[0]
+
+    by_blocks, base = answers()
+    plain(monkeypatch)
+    one_by_one, same_base = answers()
+    assert all(same(a, b) for a, b in zip(by_blocks, one_by_one)) and base == pytest.approx(same_base, abs=1e-9)
+
+
+def test_report_agrees_with_and_without_blocks(spark, rows, monkeypatch):
+    train, targets = rows
+    got = {r.metric: r.value for r in similarity_report(train, targets, skew=SMALL).collect()}
+    plain(monkeypatch)
+    assert got == pytest.approx({r.metric: r.value for r in similarity_report(train, targets, skew=SMALL).collect()}, abs=1e-9)
+
+
+def dense(spark):
+    """30,000 ratings of 500 users, 60 an item."""
+    every = spark.range(30_000).selectExpr("(id * 7919) % 500 as user", "id div 60 as item", "cast(pmod(xxhash64(id), 5) + 1 as double) as rating")
+    return every.where("(user + 3 * item) % 5 <> 0"), every.where("(user + 3 * item) % 5 = 0")
+
+
+@pytest.mark.parametrize("metric", ["jaccard"])
+def test_a_pair_costs_few_bytes_and_is_never_sorted_by_spark(spark, metric, monkeypatch):
+    train, targets = (x.cache() for x in dense(spark))
+    skew = SkewPolicy(pairs_per_task=50_000)
+    pairs = train.groupBy("item").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1)"))).first()[0]
+    users = user_table(train)
+    asked = {"predict": lambda: predict(train, targets, metric, 30, skew=skew)}
+    for name, ask in asked.items():
+        df = ask()
+        sent, out = bytes_sent(df)
+        assert name != "predict" or len({r.prediction for r in out}) > 1_000
+        assert sent < 2 * pairs, (name, sent, pairs)
+        text = df._jdf.queryExecution().executedPlan().toString()
+        assert "MapInArrow" in text and "collect_list" not in text and "Window" not in text, name
+    plain(monkeypatch)
+    assert bytes_sent(asked["predict"]())[0] > sent
+
+
+def in_process(ratings, targets, n_blocks, lower=False, cut=()):
+    """The blocks that the sending task fills from ``(user, item, code)`` rows, without Spark."""
+    every = [(i, u, c, i in cut) for u, i, c in ratings] + [(i, u, -1, i in cut) for u, i in targets]
+    columns = [pa.array([r[n] for r in every]) for n in range(4)]
+    batch = pa.RecordBatch.from_arrays(columns, ["item", "user", "code", "cut"])
+    sent = list(blocks._send_lists(n_blocks, lower)(iter([batch])))
+    ids = sorted({u for u, _, _ in ratings})
+    mine = [[c for u, _, c in ratings if u == x] for x in ids]
+    mean = np.array([sum(x) / len(x) for x in mine])
+    norm = np.array([np.sqrt(sum((c - m) ** 2 for c in x)) for x, m in zip(mine, mean)])
+    table = pa.RecordBatch.from_arrays([pa.array(ids), pa.array([len(x) for x in mine]), pa.array([float(sum(x)) for x in mine]), pa.array(norm)],
+                                       ["user", "n_ratings", "sum_rating", "norm"])
+    users = list(blocks._send_users(iter([table])))
+    for b in range(n_blocks):
+        block = blocks._received(iter([*[x for x in sent if x.column("block")[0].as_py() == b], *users]), n_blocks)
+        if block is not None:
+            yield block
+
+
+@pytest.mark.parametrize("step", [1, 5, 40, 10**6])
+@pytest.mark.parametrize("lower", [False, True])
+@pytest.mark.parametrize("cut", [(), (3, 4, 5)])
+def test_pairs_do_not_depend_on_the_steps_of_a_task(monkeypatch, step, lower, cut):
+    monkeypatch.setattr(blocks, "STEP", step)
+    levels = np.array([1.0, 2.0, 3.0])
+    ratings = [(u * 3, i, (u + i) % 3) for u in range(9) for i in range(12) if (u * i) % 4 != 1]
+    want = {}
+    for u, i, _ in ratings:
+        for v, j, _ in ratings:
+            if i == j and (v < u if lower else v != u):
+                want[u, v] = want.get((u, v), 0) + 1
+    got = {}
+    for block in in_process(ratings, [], 4, lower, cut):
+        for a, b, keys, overlap, dot in blocks._pairs(block, levels, DEFAULT_SCALE, True, lower):
+            assert dot is not None and len(dot) == len(keys) and (keys[1:] > keys[:-1]).all()
+            for key, n in zip(keys.tolist(), overlap.tolist()):
+                left, v = block.ids[block.lefts[key // len(block.ids)]], block.ids[key % len(block.ids)]
+                assert (left, v) not in got and a <= key // len(block.ids) < b
+                got[left, v] = n
+    assert got == want
+
+
+def test_a_task_expands_no_more_pairs_than_a_step(monkeypatch):
+    seen = []
+    spread = blocks._spread
+    ratings = [(u, i, u % 3) for u in range(40) for i in range(30)]  # a user has 1,200 pairs
+    found = list(in_process(ratings, [(0, 3)], 2))
+    monkeypatch.setattr(blocks, "STEP", 100)
+    monkeypatch.setattr(blocks, "_spread", lambda s, n: seen.append(int(n.sum())) or spread(s, n))
+    for block in found:
+        for _ in blocks._pairs(block, np.array([1.0, 2.0, 3.0]), DEFAULT_SCALE, False, False):
+            pass
+    assert max(seen) <= 100 and sum(seen) == 40 * 30 * 40
+
+
+def test_only_asked_lists_reach_a_block():
+    """A list goes once to a block, however many of its users ask for it, and up to the last of them for unordered pairs."""
+    ratings = [(u, i, 0) for u in range(30) for i in range(3)] + [(100, 50, 1)]
+    whole = list(in_process(ratings, [(3, 50), (4, 77), (999, 50)], 3))
+    asking = {int(blocks._block_of(np.array([u]), 3)[0]) for u in (100, 3, 999)}
+    assert sum(len(b.rater) for b in whole) == 3 * 90 + len(asking)
+    for b in whole:
+        assert len(b.items) == len(set(b.items.tolist())) and all(n == (1 if i == 50 else 30) for i, n in zip(b.items.tolist(), b.lens.tolist()))
+    assert sum(len(b.asked_list) for b in whole) == 1  # an item and a user unknown to train ask for nothing
+    lower = list(in_process(ratings, [], 3, lower=True))
+    assert sum(len(b.rater) for b in lower) < sum(len(b.rater) for b in whole)
+
+
+def test_ranks_of_large_similarities():
+    """Repeated rows can give any similarity."""
+    sim = np.array([0.5, 7.0, -3.0, 0.5, 0.25, -0.25])
+    assert blocks._ranks(np.array([0, 0, 0, 0, 1, 1]), sim, 9).tolist() == [2, 1, 8, 3, 1, 8]
+    assert blocks._ranks(np.array([0, 0, 0, 0, 1, 1]), sim / 7, 9).tolist() == [2, 1, 8, 3, 1, 8]
+    assert blocks._ranks(np.empty(0, np.int64), np.empty(0), 9).tolist() == []
+
+
+def test_what_does_not_suit_blocks_goes_the_plain_way(spark, monkeypatch):
+    train, _ = dense(spark)
+    planned = lambda t, skew: block_plan(t, plan_join(t, t, "item", skew, deal="user"))
+    skew = SkewPolicy(pairs_per_task=50_000)
+    assert planned(train, skew) is not None
+    assert planned(train, DEFAULT_SKEW) is None  # few pairs
+    assert planned(train.withColumn("rating", 1 + F.col("user") / 200), skew) is None  # too many ratings for codes
+    plan = plan_join(train, train, "item", skew, deal="user")
+    assert plan.rows == train.count() and plan.owners == 500 and plan.reach > 0 and plan.pairs > 10**6
+    monkeypatch.setattr(blocks, "ENTRIES", plan.reach - 1)
+    assert planned(train, skew) is None  # the pairs of one user exceed a block
+    monkeypatch.setattr(blocks, "ENTRIES", 10**9)
+    monkeypatch.setattr(blocks, "USER_SHARE", 10**6)
+    assert planned(train, skew) is None  # the blocks' tables of users exceed their pairs
+
+
+def test_a_rating_outside_its_scale_is_an_error():
+    block = next(in_process([(1, 1, 0), (2, 1, 1), (2, 2, 1)], [], 1))
+    block.mean[:] = 5.0
+    with pytest.raises(ZeroDivisionError, match="scale"):
+        blocks._deviation(block, np.array([0]), np.array([7.0, 7.0]), DEFAULT_SCALE)
