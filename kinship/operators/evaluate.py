@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, SIM_DIGITS, RatingScale
+from kinship.operators.blocks import block_plan, block_ratios
 from kinship.operators.features import known_users, normalized_deviation, user_table
 from kinship.operators.neighbors import ranked_all
 from kinship.operators.predict import (
@@ -16,6 +17,7 @@ from kinship.operators.predict import (
     candidates,
     finish,
     finish_per_k,
+    metric_name,
     ordered_users,
     positive,
     predict_per_k,
@@ -83,16 +85,21 @@ def sweep_and_baseline(
     skew: SkewPolicy = DEFAULT_SKEW,
 ) -> tuple[DataFrame, DataFrame]:
     """``k_sweep`` and the all-users predictions, from one written row of weighted deviations per target.
-    The baseline weighs every candidate, so all of them meet the ranked pairs rater first."""
+    The baseline weighs every candidate, so all of them meet the ranked pairs rater first, in blocks of
+    users where that suits."""
     ks = positive(ks)
     users = user_table(train, needs_norms(metric), bounds)
     plan = plan_join(train, train, "item", skew, deal="user")
-    dev = normalized_deviation(train, bounds, users)
-    hot = plan_join(targets, train, "item", skew)
-    ranked = ranked_all(ordered_users(train, metric, bounds, plan, users), known_users(users))
-    if plan.partitions:
-        ranked = ranked.repartition(plan.partitions, "user", "neighbour")
-    ratios = ratios_per_k(attach_similarity(candidates(targets, dev, hot), ranked, lower=False), ks)
+    blocks = block_plan(train, plan)
+    if blocks is not None:
+        ratios = block_ratios(train, targets, users, blocks, metric_name(metric), ks, bounds, everyone=True)
+    else:
+        dev = normalized_deviation(train, bounds, users)
+        hot = plan_join(targets, train, "item", skew)
+        ranked = ranked_all(ordered_users(train, metric, bounds, plan, users), known_users(users))
+        if plan.partitions:
+            ranked = ranked.repartition(plan.partitions, "user", "neighbour")
+        ratios = ratios_per_k(attach_similarity(candidates(targets, dev, hot), ranked, lower=False), ks)
     written = write_table(ratios, f"ratios-{metric}")
     return _mae_per_k(finish_per_k(targets, users, written, ks, bounds)), finish(targets, users, written, bounds)
 

@@ -48,7 +48,7 @@ def plan_of(train, skew):
 
 
 def plain(monkeypatch):
-    for module in (predict_mod, similarity_mod):
+    for module in (predict_mod, similarity_mod, evaluate_mod):
         monkeypatch.setattr(module, "block_plan", lambda *a: None)
 
 
@@ -269,3 +269,22 @@ def test_a_rating_outside_its_scale_is_an_error():
     block.mean[:] = 5.0
     with pytest.raises(ZeroDivisionError, match="scale"):
         blocks._deviation(block, np.array([0]), np.array([7.0, 7.0]), DEFAULT_SCALE)
+
+
+@pytest.mark.parametrize("ask", [lambda *a, **b: sweep_and_baseline(*a, **b)[0]])
+def test_a_sweep_writes_one_row_a_target_and_sends_no_pair(spark, ask, monkeypatch):
+    """The written row holds a ratio per k; nothing larger than the lists of raters is shuffled before it."""
+    train, targets = (x.cache() for x in dense(spark))
+    skew, written, sent = SkewPolicy(pairs_per_task=50_000), [], []
+    write = evaluate_mod.write_table
+
+    def noted(df, name):
+        sent.append(bytes_sent(df)[0])
+        written.append(df.columns)
+        return write(df, name)
+
+    monkeypatch.setattr(evaluate_mod, "write_table", noted)
+    pairs = train.groupBy("item").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1)"))).first()[0]
+    df = ask(train, targets, (5, 30, 200), skew=skew)
+    sent.append(bytes_sent(df)[0])
+    assert written in ([], [["user", "item", "w", "w_5", "w_30", "w_200"]]) and sum(sent) < 3 * pairs
