@@ -14,7 +14,7 @@ from kinship.operators import evaluate as evaluate_mod
 from kinship.operators import predict as predict_mod
 from kinship.operators import similarity as similarity_mod
 from kinship.operators.blocks import block_pairs, block_plan, block_ranks, block_ratios, block_sums
-from kinship.operators.evaluate import mae_value, sweep_and_baseline
+from kinship.operators.evaluate import k_sweep, mae_value, sweep_and_baseline
 from kinship.operators.features import known_users, normalized_deviation, preprocess, user_table
 from kinship.operators.neighbors import directed, neighbors, ranked_all
 from kinship.operators.predict import all_users_sums, attach_similarity, candidates, nearest, predict, predict_both_metrics, ratios_per_k
@@ -271,7 +271,7 @@ def test_a_rating_outside_its_scale_is_an_error():
         blocks._deviation(block, np.array([0]), np.array([7.0, 7.0]), DEFAULT_SCALE)
 
 
-@pytest.mark.parametrize("ask", [lambda *a, **b: sweep_and_baseline(*a, **b)[0]])
+@pytest.mark.parametrize("ask", [k_sweep, lambda *a, **b: sweep_and_baseline(*a, **b)[0]])
 def test_a_sweep_writes_one_row_a_target_and_sends_no_pair(spark, ask, monkeypatch):
     """The written row holds a ratio per k; nothing larger than the lists of raters is shuffled before it."""
     train, targets = (x.cache() for x in dense(spark))
