@@ -18,7 +18,7 @@ from kinship.operators.evaluate import k_sweep, mae_value, sweep_and_baseline
 from kinship.operators.features import known_users, normalized_deviation, preprocess, user_table
 from kinship.operators.neighbors import directed, neighbors, ranked_all
 from kinship.operators.predict import all_users_sums, attach_similarity, candidates, nearest, predict, predict_both_metrics, ratios_per_k
-from kinship.operators.reports import similarity_report
+from kinship.operators.reports import knn_report, similarity_report
 from kinship.operators.similarity import all_pairs, co_ratings, pair_input, similarity
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 
@@ -288,3 +288,11 @@ def test_a_sweep_writes_one_row_a_target_and_sends_no_pair(spark, ask, monkeypat
     df = ask(train, targets, (5, 30, 200), skew=skew)
     sent.append(bytes_sent(df)[0])
     assert written in ([], [["user", "item", "w", "w_5", "w_30", "w_200"]]) and sum(sent) < 3 * pairs
+
+
+def test_knn_report_agrees_with_and_without_blocks(spark, rows, monkeypatch):
+    train, targets = rows
+    ask = lambda: {r.metric: r.value for r in knn_report(train, targets, (2, 9, 100), skew=SMALL).collect()}
+    got = ask()
+    plain(monkeypatch)
+    assert got == pytest.approx(ask(), abs=1e-9) and "bytes.k100" in got and "sweep.mae_k9" in got
