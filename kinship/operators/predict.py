@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
-from kinship.operators.blocks import block_plan, block_ratios
+from kinship.operators.blocks import block_plan, block_ranks, block_ratios
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
 from kinship.operators.listed import listed_sums, rating_codes
 from kinship.operators.neighbors import neighbors
@@ -118,11 +118,14 @@ def ordered_users(train: DataFrame, metric: str, bounds: RatingScale, plan: Join
 def nearest(train: DataFrame, users: DataFrame, metric: str, k: int, bounds: RatingScale = DEFAULT_SCALE, skew: SkewPolicy = DEFAULT_SKEW,
             for_users: DataFrame | None = None) -> DataFrame:
     """The ``k`` (> 0) nearest neighbours of each user. All users' pairs are dealt out by the
-    user and ranked where they stand. Those of ``for_users`` are few; cosine has negative
+    user, in blocks where that suits, and ranked where they stand. Those of ``for_users`` are few; cosine has negative
     values, which makes two consumers of the pairs (the ranks and a count per user), so
     they are written once to the shared folder; this runs a job while the plan is built."""
     if for_users is None:
         plan = plan_join(train, train, "item", skew, deal="user")
+        blocks = block_plan(train, plan)
+        if blocks is not None:
+            return block_ranks(train, users, blocks, metric_name(metric), k, bounds)
         return neighbors(ordered_users(train, metric, bounds, plan, users), k, known_users(users), plan.spare)
     sims = similar_users(train, metric, bounds, skew, for_users, users)
     return neighbors(sims if metric == "jaccard" else write_table(sims, f"similarity-{metric}"), k, known_users(users))

@@ -16,10 +16,9 @@ from kinship.functions.columns import PRED_DIGITS, safe_ratio, tidy
 from kinship.operators import features as feat
 from kinship.operators import recommend as rec
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_of_metrics, mae_value, sweep_and_baseline
-from kinship.operators.neighbors import neighbors
-from kinship.operators.predict import all_users_sums, predict, predict_both_metrics
+from kinship.operators.predict import all_users_sums, nearest, predict, predict_both_metrics
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.operators.similarity import co_ratings, pair_input, similarity
+from kinship.operators.similarity import co_ratings, needs_norms, pair_input, similarity
 from kinship.operators.skew import SkewPolicy, plan_join
 from kinship.operators.stats import knn_bytes, multiplications_total, nonzero_bytes, summary_with_zeros
 from kinship.session import write_table_path
@@ -163,9 +162,9 @@ def q_preprocessed(spark, sf_dir):
 
 # --- pairs, similarities and their statistics ----------------------------------
 
-def _pre_hot(spark, sf_dir, metric=None, deal=None):
+def _pre_hot(spark, sf_dir, metric=None):
     train = _split(spark, sf_dir)[0]
-    return train, pair_input(train, metric), plan_join(train, train, "item", deal=deal)
+    return train, pair_input(train, metric), plan_join(train, train, "item")
 
 
 def q_co_ratings(spark, sf_dir):
@@ -223,9 +222,8 @@ def q_knn_bytes(spark, sf_dir):
 
 def _neighbors(metric, k):
     def run(spark, sf_dir):
-        train, pre, hot = _pre_hot(spark, sf_dir, metric, deal="user")
-        ranked = neighbors(similarity(pre, metric, hot, ordered=True), k, feat.user_count_value(train), hot.spare)
-        return _round(ranked, "sim")
+        train = _split(spark, sf_dir)[0]
+        return _round(nearest(train, feat.user_table(train, needs_norms(metric)), metric, k), "sim")
 
     return run
 

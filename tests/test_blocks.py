@@ -160,7 +160,7 @@ def test_a_pair_costs_few_bytes_and_is_never_sorted_by_spark(spark, metric, monk
     skew = SkewPolicy(pairs_per_task=50_000)
     pairs = train.groupBy("item").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1)"))).first()[0]
     users = user_table(train)
-    asked = {"predict": lambda: predict(train, targets, metric, 30, skew=skew)}
+    asked = {"predict": lambda: predict(train, targets, metric, 30, skew=skew), "nearest": lambda: nearest(train, users, metric, 30, skew=skew)}
     for name, ask in asked.items():
         df = ask()
         sent, out = bytes_sent(df)
