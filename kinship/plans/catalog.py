@@ -18,7 +18,7 @@ from kinship.operators import recommend as rec
 from kinship.operators.evaluate import BASELINE_MAE, REFERENCE_KS, k_sweep, lowest_k, mae, mae_of_metrics, mae_value, sweep_and_baseline
 from kinship.operators.predict import all_users_sums, nearest, predict, predict_both_metrics
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.operators.similarity import co_ratings, needs_norms, pair_input, similarity
+from kinship.operators.similarity import all_pairs, co_ratings, needs_norms, pair_input, similarity_from_pairs
 from kinship.operators.skew import SkewPolicy, plan_join
 from kinship.operators.stats import knn_bytes, multiplications_total, nonzero_bytes, summary_with_zeros
 from kinship.session import write_table_path
@@ -162,14 +162,12 @@ def q_preprocessed(spark, sf_dir):
 
 # --- pairs, similarities and their statistics ----------------------------------
 
-def _pre_hot(spark, sf_dir, metric=None):
-    train = _split(spark, sf_dir)[0]
-    return train, pair_input(train, metric), plan_join(train, train, "item")
+def _similarities(train, metric):
+    return similarity_from_pairs(all_pairs(train, (metric,)), metric)
 
 
 def q_co_ratings(spark, sf_dir):
-    _, pre, hot = _pre_hot(spark, sf_dir)
-    return co_ratings(pre, hot).select("user", "neighbour", "overlap")
+    return all_pairs(_split(spark, sf_dir)[0]).select("user", "neighbour", "overlap")
 
 
 def q_co_ratings_salted(spark, sf_dir):
@@ -181,24 +179,23 @@ def q_co_ratings_salted(spark, sf_dir):
 
 def _similarity(metric):
     def run(spark, sf_dir):
-        _, pre, hot = _pre_hot(spark, sf_dir, metric)
-        return _round(similarity(pre, metric, hot), "sim")
+        return _round(_similarities(_split(spark, sf_dir)[0], metric), "sim")
 
     return run
 
 
 def q_overlap_stats(spark, sf_dir):
-    train, pre, hot = _pre_hot(spark, sf_dir)
+    train = _split(spark, sf_dir)[0]
     n_pairs = feat.pair_count(train).select("n_pairs").scalar()
-    return _round(summary_with_zeros(co_ratings(pre, hot), "overlap", n_pairs),
+    return _round(summary_with_zeros(all_pairs(train), "overlap", n_pairs),
                   "min_value", "max_value", "mean_value", "stddev_value")
 
 
 def _similarity_stats(metric):
     def run(spark, sf_dir):
-        train, pre, hot = _pre_hot(spark, sf_dir, metric)
+        train = _split(spark, sf_dir)[0]
         n_pairs = feat.pair_count(train).select("n_pairs").scalar()
-        return _round(summary_with_zeros(similarity(pre, metric, hot), "sim", n_pairs),
+        return _round(summary_with_zeros(_similarities(train, metric), "sim", n_pairs),
                       "min_value", "max_value", "mean_value", "stddev_value")
 
     return run
@@ -210,8 +207,7 @@ def q_multiplications_total(spark, sf_dir):
 
 def _similarity_bytes(metric):
     def run(spark, sf_dir):
-        _, pre, hot = _pre_hot(spark, sf_dir, metric)
-        return nonzero_bytes(similarity(pre, metric, hot))
+        return nonzero_bytes(_similarities(_split(spark, sf_dir)[0], metric))
 
     return run
 

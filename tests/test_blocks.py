@@ -19,7 +19,7 @@ from kinship.operators.features import known_users, normalized_deviation, prepro
 from kinship.operators.neighbors import directed, neighbors, ranked_all
 from kinship.operators.predict import all_users_sums, attach_similarity, candidates, nearest, predict, predict_both_metrics, ratios_per_k
 from kinship.operators.reports import knn_report, similarity_report
-from kinship.operators.similarity import all_pairs, co_ratings, pair_input, similarity
+from kinship.operators.similarity import all_pairs, co_ratings, pair_input, similarity, similarity_from_pairs
 from kinship.operators.skew import DEFAULT_SKEW, SkewPolicy, plan_join
 
 SMALL = SkewPolicy(pairs_per_task=2_000)
@@ -160,7 +160,8 @@ def test_a_pair_costs_few_bytes_and_is_never_sorted_by_spark(spark, metric, monk
     skew = SkewPolicy(pairs_per_task=50_000)
     pairs = train.groupBy("item").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1)"))).first()[0]
     users = user_table(train)
-    asked = {"predict": lambda: predict(train, targets, metric, 30, skew=skew), "nearest": lambda: nearest(train, users, metric, 30, skew=skew)}
+    asked = {"predict": lambda: predict(train, targets, metric, 30, skew=skew), "nearest": lambda: nearest(train, users, metric, 30, skew=skew),
+             "pairs": lambda: similarity_from_pairs(all_pairs(train, (metric,), skew=skew), metric).agg(F.sum("sim"))}
     for name, ask in asked.items():
         df = ask()
         sent, out = bytes_sent(df)
@@ -169,7 +170,7 @@ def test_a_pair_costs_few_bytes_and_is_never_sorted_by_spark(spark, metric, monk
         text = df._jdf.queryExecution().executedPlan().toString()
         assert "MapInArrow" in text and "collect_list" not in text and "Window" not in text, name
     plain(monkeypatch)
-    assert bytes_sent(asked["predict"]())[0] > sent
+    assert bytes_sent(asked["nearest"]())[0] > sent
 
 
 def in_process(ratings, targets, n_blocks, lower=False, cut=()):
