@@ -21,13 +21,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from kinship.functions.columns import DEFAULT_SCALE, RatingScale, rescale, safe_ratio
-from kinship.operators.blocks import block_plan, block_ranks, block_ratios
+from kinship.operators.blocks import block_plan, block_ranks, block_ratios, block_sums
 from kinship.operators.features import known_users, normalized_deviation, overall_mean, preprocess, user_table
 from kinship.operators.listed import listed_sums, rating_codes
 from kinship.operators.neighbors import neighbors
 from kinship.operators.packed import ordered_rows
 from kinship.operators.similarity import (
-    METRICS, co_ratings, needs_norms, pair_input, pair_sums, similarity, similarity_from_pairs, similarity_value)
+    METRICS, all_pairs, co_ratings, needs_norms, pair_input, pair_sums, similarity, similarity_from_pairs, similarity_value)
 from kinship.operators.skew import DEFAULT_SKEW, JoinPlan, SkewPolicy, plan_join, salted_join
 from kinship.session import write_table
 
@@ -85,10 +85,14 @@ def weighted_deviation(
 def all_users_sums(train: DataFrame, targets: DataFrame, users: DataFrame, metrics: Sequence[str], bounds: RatingScale = DEFAULT_SCALE,
                    skew: SkewPolicy = DEFAULT_SKEW) -> DataFrame:
     """``(user, item, num_<metric>, den_<metric>, ...)``: the sums of ``weighted_deviation`` over all
-    users, by lists of raters where the ratings have codes (``kinship.operators.listed``)."""
+    users, where the ratings have codes in blocks of users, or by lists of raters (``kinship.operators.listed``) where
+    those do not suit."""
     codes = rating_codes(train, targets)
     if codes is not None:
         plan = plan_join(train, train, "item", skew, deal="user")
+        blocks = block_plan(train, plan, codes)
+        if blocks is not None:
+            return block_sums(train, targets, users, blocks, metrics, bounds)
         return listed_sums(train, targets, users, metrics, codes, bounds, skew, plan)
     dev = normalized_deviation(train, bounds, users)
     hot = plan_join(targets, train, "item", skew)
@@ -314,7 +318,7 @@ def predict_both_metrics(
     rows = targets.select("user", "item", "rating").join(sums, ["user", "item"], "left").join(
         users.select("user", "avg_rating"), "user", "left")
     preds = [prediction(users, safe_ratio(f"num_{m}", f"den_{m}"), bounds).alias(m) for m in METRICS]
-    return rows.select("user", "item", "rating", *preds), co_ratings(preprocess(train, bounds, users), plan_join(train, train, "item", skew))
+    return rows.select("user", "item", "rating", *preds), all_pairs(train, METRICS, bounds, skew, users)
 
 
 def both_similarities(co: DataFrame) -> DataFrame:

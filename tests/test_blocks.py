@@ -297,3 +297,10 @@ def test_knn_report_agrees_with_and_without_blocks(spark, rows, monkeypatch):
     got = ask()
     plain(monkeypatch)
     assert got == pytest.approx(ask(), abs=1e-9) and "bytes.k100" in got and "sweep.mae_k9" in got
+
+
+def test_both_metrics_send_few_bytes(spark):
+    train, targets = (x.cache() for x in dense(spark))
+    pairs = train.groupBy("item").agg(F.count("*").alias("n")).agg(F.sum(F.expr("n * (n - 1)"))).first()[0]
+    preds, co = predict_both_metrics(train, targets, skew=SkewPolicy(pairs_per_task=50_000))
+    assert bytes_sent(preds)[0] < 2 * pairs and bytes_sent(co.agg(F.sum("dot"), F.sum("overlap"), F.max("n_user")))[0] < pairs
