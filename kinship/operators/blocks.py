@@ -235,21 +235,24 @@ def _places(ids: np.ndarray) -> Callable[[np.ndarray], np.ndarray]:
 
 
 def _received(batches: Iterator[pa.RecordBatch], blocks: int) -> _Block | None:
-    lists, users, block = [], [], None
+    lists, users, block, b, parts = [], [], None, None, None
     for b in batches:
         for i in range(b.num_rows):
             parts = [b.column(f"c{c}")[i].as_buffer() for c in range(6)]
             if b.column("kind")[i].as_py() == _USERS:
-                users.append([_unpacked(p) for p in parts[:4]])
+                users.append(parts[:4])
             else:
                 block = b.column("block")[i].as_py()
                 lists.append(parts)
     if not lists or not users:
         return None
-    ids, count, total, norm = (np.concatenate(x) for x in zip(*users))
-    users.clear()
+    del b, parts  # the last batch is not held beside what is read from it
+    column = lambda n: np.concatenate([_unpacked(p[n]) for p in users])
+    ids = column(0)
     order = np.argsort(ids)
-    ids, count, total, norm = ids[order], count[order], total[order].view(np.float64), norm[order].view(np.float64)
+    ids, count, norm = ids[order], column(1)[order], column(3)[order].view(np.float64)
+    mean = column(2)[order].view(np.float64) / count
+    users.clear()
     place = _places(ids)
     items, lens = (np.concatenate([_unpacked(p[n]) for p in lists]) for n in (0, 1))
     rater, code = np.empty(int(lens.sum()), np.int32), np.empty(int(lens.sum()), np.uint8)
@@ -282,7 +285,7 @@ def _received(batches: Iterator[pa.RecordBatch], blocks: int) -> _Block | None:
     asked = order[found]
     known = (lefts[left] == asked_user) & (items[asked] == asked_item)
     wanted, times = np.unique(left[known] * len(items) + asked[known], return_counts=True)
-    return _Block(ids, count, total / count, norm, items, starts, lens, rater, code, lefts,
+    return _Block(ids, count, mean, norm, items, starts, lens, rater, code, lefts,
                   own_left[by_left], own_list[by_left], own_at[by_left], wanted // len(items), wanted % len(items), times)
 
 
